@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wakeline import catalogue as C
@@ -21,15 +23,18 @@ ANCHOR_EV = "2024-01-01 00:00:00"
 
 
 class Bound:
-    """The domain tables over one data directory. Every property is a lazy plan."""
+    """The domain tables over one data directory. Every property is a lazy plan, built once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._read[name]
 
-    @property
+    @cached_property
     def missions(self) -> DataFrame:
         places = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         orders = self.table("orders").join(
@@ -53,7 +58,7 @@ class Bound:
             F.coalesce(finished, "o_orderdate").alias("updated_at"),
         )
 
-    @property
+    @cached_property
     def early_missions(self) -> DataFrame:
         """Missions as they stood at T1."""
         open_then = F.col("finished_at") >= instant(T1)
@@ -66,28 +71,28 @@ class Bound:
             }
         )
 
-    @property
+    @cached_property
     def live_missions(self) -> DataFrame:
         """Missions left after failed ones are removed from the registry."""
         return self.missions.where(F.col("status") != C.FAILURE)
 
-    @property
+    @cached_property
     def telemetry(self) -> DataFrame:
         return bind_events(self.table("events"))
 
-    @property
+    @cached_property
     def early_telemetry(self) -> DataFrame:
         return bind_events(self.table("events").where(F.col("ts") < instant(MID_EV)))
 
-    @property
+    @cached_property
     def ship_state(self) -> DataFrame:
         return to_ticks(self.telemetry)
 
-    @property
+    @cached_property
     def early_ship_state(self) -> DataFrame:
         return to_ticks(self.early_telemetry)
 
-    @property
+    @cached_property
     def mission_reports(self) -> DataFrame:
         items = self.table("part").select("p_partkey", F.col("p_name").alias("item"))
         lines = self.table("lineitem").join(items, F.col("l_partkey") == F.col("p_partkey"))
@@ -98,7 +103,7 @@ class Bound:
             F.col("l_shipdate").alias("timestamp"),
         )
 
-    @property
+    @cached_property
     def manifests(self) -> DataFrame:
         day = F.col("l_shipdate").cast("date")
         days = (
@@ -118,11 +123,11 @@ class Bound:
             F.lit(C.INGESTED).alias("status"),
         )
 
-    @property
+    @cached_property
     def early_manifests(self) -> DataFrame:
         return self.manifests.where(F.col("mission_date") < F.lit(T1[:10]).cast("date"))
 
-    @property
+    @cached_property
     def report_rows(self) -> DataFrame:
         """Report rows as files hold them: text ids and times, with the key of their file."""
         day = F.col("timestamp").cast("date")
@@ -134,7 +139,7 @@ class Bound:
             report_key(F.col("mission_id"), day).alias("object_key"),
         )
 
-    @property
+    @cached_property
     def mission_states(self) -> DataFrame:
         """Last scored state per mission as a manifest object; ships under repair report the nested layout."""
         last = latest_per_key(score_health(self.telemetry), ["mission_id"], "seq")
@@ -163,7 +168,7 @@ class Bound:
         )
         return last.select(F.col("mission_id").cast("bigint").alias("mission_id"), state.alias("ship_state"))
 
-    @property
+    @cached_property
     def topic_records(self) -> DataFrame:
         return events_as_records(self.table("events"))
 

@@ -909,7 +909,7 @@ def _event_stream(b: Bound) -> DataFrame:
 def stream_lake(b: Bound) -> DataFrame:
     root = work_path(b.spark, "lake")
     J.run_lake(_event_stream(b), f"{root}/lake", f"{root}/checkpoint", J.DRAIN).awaitTermination()
-    return read_lake(b.spark, f"{root}/lake").drop("batch_id").withColumnRenamed(C.ORIGIN_DISTANCE, "distance")
+    return read_lake(b.spark, f"{root}/lake").drop("batch_id", "mission_bucket").withColumnRenamed(C.ORIGIN_DISTANCE, "distance")
 
 
 @query(_METRICS)

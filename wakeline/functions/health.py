@@ -7,14 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wakeline import catalogue as C
-from wakeline.functions.numeric import clamp, round_binary
+from wakeline.functions.numeric import round_fraction
 
 SCORES = ("motor_health", "engine_health", "core_health", "fuel_health")
 
 
 def band_score(reading: Column, centre: float) -> Column:
-    """1 at ``centre``, falling linearly to 0 at zero and at twice the centre."""
-    return clamp(F.lit(1.0) - F.abs(reading - F.lit(centre)) / F.lit(centre))
+    """1 at ``centre``, falling linearly to 0 at zero and at twice the centre. It cannot exceed 1."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(reading - F.lit(centre)) / F.lit(centre))
 
 
 def band_broken(reading: Column, low: float, high: float) -> Column:
@@ -22,7 +22,7 @@ def band_broken(reading: Column, low: float, high: float) -> Column:
 
 
 def fuel_score(reading: Column) -> Column:
-    return clamp(reading / F.lit(100.0))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), reading / F.lit(100.0)))
 
 
 def fuel_broken(reading: Column) -> Column:
@@ -44,7 +44,8 @@ def subsystem_scores(df: DataFrame) -> DataFrame:
 def score_health(df: DataFrame) -> DataFrame:
     """Add the four rounded scores, ``normalized_health_total`` and ``ship_condition``.
 
-    Thresholds compare the unrounded total; rounding happens in the output only.
+    Thresholds compare the unrounded total; rounding happens in the output only. Readings are made non-null first, so
+    plain greatest/least bound them and the generated code stays free of null checks.
     """
     work = subsystem_scores(df)
     status = F.coalesce(F.col("status"), F.lit(C.OK)) if "status" in df.columns else F.lit(C.OK)
@@ -53,7 +54,7 @@ def score_health(df: DataFrame) -> DataFrame:
     broken = reduce(lambda a, b: a | b, [F.col(f"{n}_broken") for n in C.HEALTH_WEIGHTS])
     weighted = reduce(lambda a, b: a + b, [F.lit(w) * F.col(f"{n}_score") for n, w in C.HEALTH_WEIGHTS.items()])
 
-    work = work.withColumn("_total", clamp(weighted))
+    work = work.withColumn("_total", F.least(F.lit(1.0), weighted))
     total = F.col("_total")
     ladder = F.when(status == C.REPAIR, "REPAIRING").when(
         (status == C.FAILURE) | broken | malfunction, "UNOPERATIONAL"
@@ -66,11 +67,11 @@ def score_health(df: DataFrame) -> DataFrame:
         .when(malfunction & ~broken, F.least(total, F.lit(C.MALFUNCTION_CAP)))
         .otherwise(total)
     )
-    scores = {f"{n}_health": round_binary(F.col(f"{n}_score"), 3) for n in C.HEALTH_WEIGHTS}
+    scores = {f"{n}_health": round_fraction(F.col(f"{n}_score"), 3) for n in C.HEALTH_WEIGHTS}
     scored = work.withColumns(
         {
             **scores,
-            "normalized_health_total": round_binary(capped, 3),
+            "normalized_health_total": round_fraction(capped, 3),
             "ship_condition": ladder.otherwise(C.LOWEST_CONDITION),
         }
     )

@@ -16,22 +16,26 @@ def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
-def round_binary(x: Column, digits: int) -> Column:
-    """Round a double on its exact binary value, ties to even, as Python's ``round`` does.
+def round_fraction(x: Column, digits: int) -> Column:
+    """Round a double below 2^40 in size on its exact binary value, ties to even, as Python's ``round`` does.
 
     Spark's ``round``/``bround`` work on the shortest decimal text of the double (2.675 looks like a tie, though it
-    lies below one) and go through BigDecimal. Here ``x`` is split into two halves whose products with 10^digits are
-    exact, so the sign of the distance to the tie is exact too, and everything stays in double arithmetic.
+    lies below one) and go through BigDecimal. Here the scaled value is a doubtful tie only where the rounded product
+    is exactly one; there the sign of the product's error, exact by splitting ``x`` in two, breaks it. All of it stays
+    in double arithmetic.
     """
-    scale = float(10**digits)
-    a = F.abs(x)
-    high = a * _SPLIT - (a * _SPLIT - a)
-    low = a - high
-    whole = F.floor(high * scale + low * scale).cast("double")
-    beyond = (high * scale - whole - F.lit(0.5)) + low * scale
-    up = (beyond > 0) | ((beyond == 0) & (whole % 2 == 1))
-    rounded = F.when(up, whole + F.lit(1.0)).otherwise(whole) / F.lit(scale)
-    return F.when(a < float(2**40), F.signum(x) * rounded).otherwise(x)
+    scale = F.lit(float(10**digits))
+    product = x * scale
+    spread = x * F.lit(_SPLIT)
+    high = spread - (spread - x)
+    error = (high * scale - product) + (x - high) * scale
+    tie = product - F.floor(product) == F.lit(0.5)
+    return F.when(tie, F.rint(product + F.signum(error) * F.lit(0.25))).otherwise(F.rint(product)) / scale
+
+
+def round_binary(x: Column, digits: int) -> Column:
+    """``round_fraction`` for doubles of any size; from 2^40 on they are taken as whole."""
+    return F.when(F.abs(x) < float(2**40), round_fraction(x, digits)).otherwise(x)
 
 
 def round_numeric(x: Column, digits: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wakeline.schemas import INT, LONG, TELEMETRY, TEXT, struct
+from wakeline.sinks.lake import BUCKETS, mission_bucket
 
 TOPIC = "telemetry.raw"
 
@@ -65,6 +66,14 @@ def malformed(parsed: DataFrame) -> DataFrame:
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    """The telemetry lake. The schema is declared, so ``mission_id`` stays text ("007" is not 7)."""
-    schema = T.StructType(TELEMETRY.fields + [T.StructField("seq", LONG), T.StructField("batch_id", LONG)])
-    return spark.read.schema(schema).parquet(path)
+    """The telemetry lake in either layout. The schema is declared, so ``mission_id`` stays text ("007" is not 7)."""
+    extra = [T.StructField("seq", LONG), T.StructField("batch_id", LONG), T.StructField("mission_bucket", INT)]
+    return spark.read.schema(T.StructType(TELEMETRY.fields + extra)).parquet(path)
+
+
+def read_mission(spark: SparkSession, path: str, mission_id: str, buckets: int = BUCKETS) -> DataFrame:
+    """One mission's rows of a bucketed lake: prunes to its directory, then to its row groups."""
+    wanted = F.lit(mission_id)
+    return read_lake(spark, path).where(
+        (F.col("mission_bucket") == mission_bucket(wanted, buckets)) & (F.col("mission_id") == wanted)
+    )
