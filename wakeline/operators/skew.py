@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-ROWS_PER_SLICE = 5_000_000
+ROWS_PER_SLICE = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wakeline import catalogue as C
 from wakeline.functions.health import SCORES, score_health
@@ -14,7 +14,7 @@ from wakeline.operators.arrival import latest_per_key
 from wakeline.operators.skew import sliced_join
 from wakeline.plans.radar import is_terminal
 
-_STATE = ("timestamp", "ship_id", *C.TELEMETRY_NUMBERS, "status")
+_STATE = ("timestamp", "ship_id", *C.TELEMETRY_NUMBERS)
 
 
 def report_snapshots(
@@ -28,8 +28,8 @@ def report_snapshots(
 
     ``period_seconds`` defaults to the mission's report frequency and ``anchor`` to its start. Output: ``mission_id,
     report_no, kind`` (start, periodic, final), the state with its health. The final report carries the mission's
-    outcome as status. The join with the mission's period slices hot missions; after it the ticks are reduced to
-    three per (mission, period).
+    outcome as status. The join with the mission's period slices hot missions; right after it the ticks are reduced to
+    three states per (mission, period), in one pass.
     """
     period = F.col("report_freq_min") * 60 if period_seconds is None else period_seconds
     begin = F.col("started_at") if anchor is None else anchor
@@ -41,43 +41,38 @@ def report_snapshots(
     seconds = F.timestamp_diff("SECOND", F.col("_begin"), F.col("_at"))
     ticks = ticks.withColumn("_slot", F.floor(seconds / F.col("_period")).cast("bigint"))
 
-    state = F.struct(*_STATE)
-    end_state = F.struct(*_STATE, F.col("mission_status").alias("outcome"))
-    seq = F.col(order)
+    seq, ends = F.col(order), is_terminal()
+    live = F.when(F.col("status") == C.REPAIR, F.lit(C.REPAIR)).otherwise(C.OK).alias("status")
+    live_state = F.struct(*_STATE, live)
+    end_state = F.struct(*_STATE, F.col("mission_status").alias("status"))
     slots = ticks.groupBy("mission_id", "_slot").agg(
         F.min(seq).alias("first_seq"),
-        F.min_by(state, seq).alias("first"),
-        F.max_by(state, seq).alias("last"),
-        F.min(F.when(is_terminal(), seq)).alias("end_seq"),
-        F.min_by(end_state, F.when(is_terminal(), seq)).alias("end"),
+        F.min_by(live_state, seq).alias("first"),
+        F.max_by(live_state, seq).alias("last"),
+        F.min(F.when(ends, seq)).alias("end_seq"),
+        F.min_by(end_state, F.when(ends, seq)).alias("end"),
     )
-    whole = slots.groupBy("mission_id").agg(
-        F.min_by("first", "first_seq").alias("first"),
-        F.min("end_seq").alias("end_seq"),
-        F.min_by(F.struct("end", F.col("_slot").alias("slot")), F.col("end_seq")).alias("ending"),
+    # From here on there is one row per mission and period.
+    mission = Window.partitionBy("mission_id")
+    ending = F.min(F.when(F.col("end_seq").isNotNull(), F.struct("end_seq", "_slot"))).over(mission)
+    marked = slots.withColumns({"_begin_seq": F.min("first_seq").over(mission), "_ending": ending})
+
+    def report(condition: Column, number: Column, kind: str, state: str) -> Column:
+        return F.when(condition, F.struct(number.cast("bigint").alias("report_no"), F.lit(kind).alias("kind"), F.col(state).alias("state")))
+
+    still_open = F.col("_ending").isNull() | (F.col("_slot") < F.col("_ending._slot"))
+    made = F.array(
+        report(F.col("first_seq") == F.col("_begin_seq"), F.lit(0), "start", "first"),
+        report(still_open, F.col("_slot") + 1, "periodic", "last"),
+        report(F.col("end_seq") == F.col("_ending.end_seq"), F.col("_slot") + 1, "final", "end"),
     )
-    open_slots = slots.join(whole.select("mission_id", F.col("ending.slot").alias("_end_slot")), "mission_id").where(
-        F.col("_end_slot").isNull() | (F.col("_slot") < F.col("_end_slot"))
-    )
-    start = whole.select("mission_id", F.lit(0).cast("bigint").alias("report_no"), F.lit("start").alias("kind"), "first.*")
-    periodic = open_slots.select(
-        "mission_id", (F.col("_slot") + 1).alias("report_no"), F.lit("periodic").alias("kind"), "last.*"
-    )
-    final = (
-        whole.where(F.col("end_seq").isNotNull())
-        .select("mission_id", (F.col("ending.slot") + 1).alias("report_no"), F.lit("final").alias("kind"), "ending.end.*")
-        .withColumn("status", F.col("outcome"))
-        .drop("outcome")
-    )
-    live = start.unionByName(periodic).withColumn(
-        "status", F.when(F.col("status") == C.REPAIR, F.lit(C.REPAIR)).otherwise(C.OK)
-    )
-    return score_health(live.unionByName(final))
+    reports = marked.select("mission_id", F.inline(F.array_compact(made)))
+    return score_health(reports.select("mission_id", "report_no", "kind", "state.*"))
 
 
 def state_struct(snapshot_columns: list[str]) -> Column:
     """A snapshot row as the ``ship_state`` object of a manifest (flat layout)."""
-    flat = [c for c in snapshot_columns if c in (*_STATE, "normalized_health_total", "ship_condition")]
+    flat = [c for c in snapshot_columns if c in (*_STATE, "status", "normalized_health_total", "ship_condition")]
     scores = F.struct(*[F.col(s).alias(s.removesuffix("_health")) for s in SCORES])
     return F.struct(*flat, scores.alias("health_scores"))
 
