@@ -433,7 +433,9 @@ def touch_updated_at(b: Bound) -> DataFrame:
 
 
 def _documents(b: Bound) -> DataFrame:
-    files = b.manifests.select("mission_id", "mission_date", "mission_file", F.col("checksum_mission").alias("checksum"))
+    files = b.manifests.select(
+        "mission_id", "mission_date", F.col("mission_file").alias("object_key"), F.col("checksum_mission").alias("checksum")
+    )
     return RP.build_manifests(files, b.mission_states, AS_OF)
 
 

@@ -2,11 +2,11 @@
 
 import hashlib
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from tests.conftest import rows
 from wakeline import catalogue as C
@@ -16,7 +16,15 @@ from wakeline.plans import ingest as I, reports as R
 from wakeline.schemas import MANIFESTS, MISSION_REPORTS, RAW_REPORT, SHIP_STATE, land
 from wakeline.sinks.files import export_reports, write_audit_log, write_manifest_documents, write_raw_logs, write_sorted
 from wakeline.sinks.landing import append_by_name, append_landing, ingested_only, read_landing
-from wakeline.sources.files import file_hashes, read_manifest_texts, read_manifests, read_mission_logs, read_reports
+from wakeline.sources.files import (
+    file_hashes,
+    read_manifest_rows,
+    read_manifest_texts,
+    read_manifests,
+    read_mission_logs,
+    read_report_rows,
+    read_reports,
+)
 
 NOW = datetime(2025, 10, 11, 12, 0, 0)
 DAY = "3025-10-11"
@@ -93,7 +101,8 @@ def test_state_layouts_and_defaults(spark, store, tmp_path):
     flat, nested = states
     assert (flat["coord_x"], flat["coord_y"], flat["planet"]) == (2, -3, "UNKNOWN")
     assert (flat["temperature_C"], flat["radiation_uSv"], flat["cargo_integrity_prc"]) == (Decimal("90.3"), 0, 100)
-    assert (flat["fuel_prc"], flat["core_health"], flat["status"], flat["timestamp"]) == (Decimal("55.56"), Decimal("0.250"), None, NOW)
+    assert (flat["fuel_prc"], flat["core_health"], flat["status"]) == (Decimal("55.56"), Decimal("0.250"), None)
+    assert NOW <= flat["timestamp"] < NOW + timedelta(seconds=4)
     assert (nested["coord_x"], nested["coord_z"], nested["planet"]) == (7, 0, "Ohri")
     assert (nested["temperature_C"], nested["normalized_health_total"], nested["ship_condition"]) == (Decimal("-12.3"), None, "DAMAGED")
 
@@ -153,10 +162,53 @@ def test_raw_logs_to_clean_reports_to_export(spark, table, tmp_path):
     write_raw_logs(table(logs, "mission_id string, item string, value string, timestamp string").coalesce(1), str(tmp_path / "raw"))
     clean = I.clean_reports(read_mission_logs(spark, str(tmp_path / "raw")))
     assert rows(clean) == [("007", "Stone of Glory", 300.0, f"{DAY} 10:30:00"), ("12", "Crystal King", 1200.0, f"{DAY} 09:00:00")]
-    export_reports(clean, str(tmp_path / "out"))
-    export_reports(clean, str(tmp_path / "out"))  # a rerun replaces its own files
-    assert (tmp_path / "out" / "report_mission=007" / f"report_date={DAY}").is_dir()
-    assert rows(spark.read.schema(RAW_REPORT).parquet(str(tmp_path / "out")).select(*clean.columns)) == rows(clean)
+    for layout, folder in (("rows", f"report_date={DAY}"), ("files", f"report_mission=007/report_date={DAY}")):
+        out = tmp_path / layout
+        for _ in range(2):  # a rerun replaces its own files
+            counter = Observation()
+            export_reports(clean, str(out), layout, counter)
+            assert counter.get["rows"] == 2
+        assert (out / folder).is_dir()
+        assert rows(spark.read.schema(RAW_REPORT).parquet(str(out)).select(*clean.columns)) == rows(clean)
+
+
+def test_reports_stored_as_rows_are_ingested_and_pruned_by_day(spark, table, tmp_path):
+    """Export, manifest and ingest without one-file-per-key storage."""
+    out, docs = str(tmp_path / "reports"), str(tmp_path / "docs")
+    logs = [("12", "Crystal King", 1200.0, f"{DAY} 09:00:00"), ("12", "Stone of Glory", 300.0, "3025-10-12 09:00:00"), ("7", "Stone of Glory", 300.0, f"{DAY} 10:30:00")]
+    clean = table(logs, "mission_id string, item string, value double, timestamp string")
+    export_reports(clean, out)
+    objects = R.report_objects(clean)
+    assert rows(objects.select("checksum")) == rows(R.report_objects(clean.orderBy(F.desc("item"))).select("checksum"))
+    state = table([("12",)], "mission_id string").select("mission_id", F.struct(F.lit("GOOD").alias("ship_condition")).alias("ship_state"))
+    write_manifest_documents(R.build_manifests(objects, state, NOW), docs, 0)
+    write_manifest_documents(R.build_manifests(objects, state, NOW), docs, 1)
+    documents = I.parse_manifests(read_manifest_rows(spark, docs))
+    assert documents.count() == 3
+    stored = read_report_rows(spark, out)
+    landing = I.ingest_manifests(documents.where(f"date = '{DAY}'"), stored, spark.createDataFrame([], MANIFESTS), NOW)
+    assert rows(landing.reports.select("mission_id", "item")) == [(12, "Crystal King"), (7, "Stone of Glory")]
+    assert "dynamicpruning" in landing.reports._jdf.queryExecution().optimizedPlan().toString()
+    everything = I.ingest_manifests(documents, stored, spark.createDataFrame([], MANIFESTS), NOW)
+    assert DQ.checksum_mismatch(everything.manifests, R.report_objects(stored)).count() == 0
+    assert DQ.primary_key(everything.ship_state, "ship_state", ["mission_id", "timestamp"]).count() == 0
+    assert everything.ship_state.where("mission_id = 12").count() == 2
+
+
+def test_manifest_stream_ingests_what_is_new(spark, store, tmp_path):
+    from wakeline.streaming import jobs as J
+
+    target = str(tmp_path / "landing")
+
+    def run():
+        J.run_ingest(J.new_manifest_files(spark, str(store)), read_reports(spark, str(store)), target, str(tmp_path / "c"), lambda: NOW).awaitTermination()
+        return read_landing(spark, target, "manifests", MANIFESTS).count()
+
+    assert run() == 4
+    key, sha = put_report(store, "5", [("Dream Architect", 1000)])
+    put_manifest(store, "5", key, sha)
+    assert run() == 5 and run() == 5
+    assert read_landing(spark, target, "mission_reports", MISSION_REPORTS).count() == 9
 
 
 def test_missing_columns_are_named(table):
@@ -174,13 +226,13 @@ def test_append_matches_columns_by_name(spark, table, tmp_path):
 
 def test_manifest_documents_written_and_read_back(spark, table, tmp_path):
     state = F.struct(F.lit(1.0).alias("coord_x"), F.lit("GOOD").alias("ship_condition")).alias("ship_state")
-    files = table([(12, DAY, f"12/{DAY}/mission_12_30251011.parquet", "c" * 64)], "mission_id bigint, mission_date string, mission_file string, checksum string")
+    files = table([(12, DAY, f"12/{DAY}/mission_12_30251011.parquet", "c" * 64)], "mission_id bigint, mission_date string, object_key string, checksum string")
     docs = R.build_manifests(files.withColumn("mission_date", F.col("mission_date").cast("date")), table([(12,)], "mission_id bigint").select("mission_id", state), NOW)
     body = json.loads(docs.first()["text"])
     assert body["mission_id"] == "12" and body["date"] == DAY and body["upload_time"] == f"{DAY}T18:00:00Z"
     assert body["ship_state"] == {"coord_x": 1.0, "ship_condition": "GOOD"}
-    write_manifest_documents(docs, str(tmp_path / "m"))
-    write_manifest_documents(docs, str(tmp_path / "m"))
+    write_manifest_documents(docs, str(tmp_path / "m"), layout="files")
+    write_manifest_documents(docs, str(tmp_path / "m"), layout="files")
     got = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "m"))
     assert [json.loads(r["value"]) for r in got.collect()] == [body]
 
@@ -198,7 +250,9 @@ def test_audit_event(table, name, mission, kind):
 
 def test_audit_log_is_stored_by_day_and_mission(spark, table, tmp_path):
     files = table([("mission_1_30251011.parquet", "b", "c", True, "77")], "file_name string, source_bucket string, checksum string, success boolean, mission_id string")
-    write_audit_log(R.upload_audit_log(files, NOW), str(tmp_path / "log"))
+    write_audit_log(R.upload_audit_log(files, NOW), str(tmp_path / "by_day"))
+    assert spark.read.json(str(tmp_path / "by_day")).first()["object_key"].startswith(f"{DAY}/mission_77/")
+    write_audit_log(R.upload_audit_log(files, NOW), str(tmp_path / "log"), by_mission=True)
     assert (tmp_path / "log" / f"log_date={DAY}" / "log_mission=77").is_dir()
     assert spark.read.json(str(tmp_path / "log")).first()["status"] == "SUCCESS"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from wakeline.functions.numeric import ratio
 
@@ -22,6 +22,11 @@ def average(prefix: str) -> Column:
     return ratio(F.col(f"{prefix}_sum"), F.col(f"{prefix}_n"))
 
 
+def count_into(df: DataFrame, counter: Observation | None) -> DataFrame:
+    """``df`` with its rows counted into ``counter`` (as ``rows``) while whatever action runs on it; no extra job."""
+    return df if counter is None else df.observe(counter, F.count(F.lit(1)).alias("rows"))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 

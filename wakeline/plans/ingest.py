@@ -81,13 +81,18 @@ def ingest_manifests(
 ) -> Landing:
     """Rows to append to the three landing tables for all new manifests, in one set-based run.
 
-    ``documents``: parsed manifests with ``manifest_path, checksum_manifest``. ``report_rows``: report rows with the
-    ``object_key`` of their file. The report rows are the large side and never pass a group; a file that holds a
-    large share of them is sliced for the join.
+    ``documents``: parsed manifests with ``manifest_path, checksum_manifest``; persist them when they come from text,
+    as each of the three results decodes them again. ``report_rows``: report rows with the ``object_key`` of their file
+    and, where stored by day, their ``report_date``. The report rows are the large side and never pass a group; a file
+    that holds a large share of them is sliced for the join.
     """
     new = new_manifests(documents, registered)
     loaded = instant(as_of).alias("loaded_at")
     lineage = new.select(F.col("files.mission").alias("object_key"), F.col("checksum.mission").alias("file_checksum"))
+    if "report_date" in report_rows.columns:
+        # One row per calendar day at most, so the broadcast is bounded; it prunes the day partitions of the scan.
+        days = new.select(F.col("mission_date").alias("report_date")).distinct()
+        report_rows = report_rows.join(F.broadcast(days), "report_date", "left_semi")
     spread = F.struct(*REPORT_COLUMNS)
     reports = sliced_join(report_rows, lineage, "object_key", spread).select(
         *REPORT_COLUMNS, "file_checksum", F.col("object_key").alias("source_file"), loaded
@@ -125,10 +130,13 @@ def _states(new: DataFrame, as_of: datetime | str) -> DataFrame:
         inside = F.coalesce(state(f"coordinates.{name}_km"), F.lit(0.0))
         return F.when(nested, inside).otherwise(state(f"coord_{name}"))
 
+    # A mission's states must differ in time (they are keyed by it): each day's comes a microsecond after the last.
+    day_number = F.date_diff("mission_date", F.lit("1970-01-01").cast("date"))
+    ingested_at = instant(as_of) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), day_number / F.lit(1_000_000).cast("decimal(8,0)"))
     planet = F.when(nested, state("coordinates.planet")).otherwise(state("planet"))
     rows = new.where(_any_present("ship_state")).select(
         "mission_id",
-        instant(as_of).alias("timestamp"),
+        ingested_at.alias("timestamp"),
         state("ship_condition", C.UNKNOWN).alias("ship_condition"),
         state("normalized_health_total").alias("normalized_health_total"),
         *[state(f"health_scores.{s}").alias(f"{s}_health") for s in ("motor", "engine", "core", "fuel")],

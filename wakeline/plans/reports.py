@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wakeline import catalogue as C
 from wakeline.functions.health import SCORES, score_health
-from wakeline.functions.text import encode_json, file_stem, manifest_key, report_key, stem_log_type, stem_mission_id
+from wakeline.functions.text import encode_json, file_stem, manifest_key, report_key, sha256_hex, stem_log_type, stem_mission_id
 from wakeline.functions.times import far_future, file_time_tag, instant, iso_seconds, utc_text_to_ntz
 from wakeline.operators.arrival import latest_per_key
 from wakeline.operators.skew import sliced_join
@@ -77,16 +77,27 @@ def state_struct(snapshot_columns: list[str]) -> Column:
     return F.struct(*flat, scores.alias("health_scores"))
 
 
-def report_files(reports: DataFrame) -> DataFrame:
-    """One row per (mission, date) that has report rows: ``mission_id, mission_date, mission_file``."""
-    days = reports.select("mission_id", F.col("timestamp").cast("date").alias("mission_date")).distinct()
-    return days.withColumn("mission_file", report_key(F.col("mission_id"), F.col("mission_date")))
+def report_objects(reports: DataFrame) -> DataFrame:
+    """One row per (mission, day) of cleaned report rows: ``mission_id, mission_date, object_key, checksum, sha256``.
+
+    The checksum covers the rows' content whatever their order or files: row count, sum and exclusive-or of the row
+    hashes. All three merge map-side, so a hot object is never gathered in one place.
+    """
+    row_hash = F.xxhash64("item", F.col("value").cast("double"), F.col("timestamp").cast("string"))
+    day = F.substring(F.col("timestamp").cast("string"), 1, 10).cast("date")
+    hashed = reports.select("mission_id", day.alias("mission_date"), row_hash.alias("_hash"))
+    objects = hashed.groupBy("mission_id", "mission_date").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_hash").cast("decimal(20,0)")).alias("_sum"), F.bit_xor("_hash").alias("_xor")
+    )
+    digest = sha256_hex(F.concat_ws("|", *[F.col(c).cast("string") for c in ("_n", "_sum", "_xor")]).cast("binary"))
+    keyed = objects.withColumns({"object_key": report_key(F.col("mission_id"), F.col("mission_date")), "checksum": digest})
+    return keyed.select("mission_id", "mission_date", "object_key", "checksum", F.col("checksum").alias("sha256"))
 
 
 def build_manifests(files: DataFrame, states: DataFrame, as_of: datetime | str) -> DataFrame:
     """Manifest documents ``manifest_path, text``, one per report file.
 
-    ``files``: ``mission_id, mission_date, mission_file, checksum``. ``states``: ``mission_id, ship_state`` and, when
+    ``files``: ``mission_id, mission_date, object_key, checksum`` (``report_objects``). ``states``: ``mission_id, ship_state`` and, when
     the state differs by day, ``mission_date``. A later report of a day replaces the earlier object.
     """
     keys = [k for k in ("mission_id", "mission_date") if k in states.columns]
@@ -94,7 +105,7 @@ def build_manifests(files: DataFrame, states: DataFrame, as_of: datetime | str)
     text = encode_json(
         F.col("mission_id").cast("string").alias("mission_id"),
         F.date_format("mission_date", "yyyy-MM-dd").alias("date"),
-        F.struct(F.col("mission_file").alias("mission")).alias("files"),
+        F.struct(F.col("object_key").alias("mission")).alias("files"),
         F.struct(F.col("checksum").alias("mission")).alias("checksum"),
         "ship_state",
         upload.alias("upload_time"),

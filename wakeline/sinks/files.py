@@ -1,10 +1,17 @@
-"""Report, log and document files."""
+"""Report, log and document files.
+
+The object-store habit of one small object per mission and day does not survive a large fleet: millions of directories
+are slow to list and to commit. Reports, manifests and audit events are therefore written as rows partitioned by day,
+with their object key as a column; ``layout="files"`` keeps one directory per key for small volumes and for readers
+that expect it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from wakeline.functions.text import file_stem
+from wakeline.functions.text import file_stem, report_key
+from wakeline.operators.aggregates import count_into
 from wakeline.operators.skew import spread_for_write
 
 
@@ -13,33 +20,52 @@ def write_raw_logs(logs: DataFrame, path: str) -> None:
     logs.write.mode("append").option("header", "true").csv(path)
 
 
-def export_reports(reports: DataFrame, path: str) -> None:
-    """Cleaned report rows as Parquet, one directory per mission and reporting day.
+def export_reports(reports: DataFrame, path: str, layout: str = "rows", counter: Observation | None = None) -> None:
+    """Cleaned report rows as Parquet; the days a run holds replace what was stored for them.
 
-    The directory carries mission and date; the columns stay in the files too, as readers of single files need them.
+    ``rows``: a directory per reporting day, ``object_key`` as a column, sorted by it. ``files``: a directory per
+    mission and day. Either way the report columns stay in the files and a large day is written by several tasks.
     """
     day = F.substring("timestamp", 1, 10)
-    rows = reports.withColumns(
-        {"report_mission": F.col("mission_id"), "report_date": day, "_file": F.concat_ws("|", "mission_id", day)}
-    )
-    spread = spread_for_write(rows, "_file", F.struct("item", "timestamp", "value")).drop("_file")
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "report_mission", "report_date"
-    ).parquet(path)
+    key = report_key(F.col("mission_id"), day.cast("date"))
+    rows = reports.withColumns({"report_date": day, "object_key": key})
+    content = F.struct("mission_id", "item", "timestamp", "value")
+    if layout == "rows":
+        spread, levels = spread_for_write(rows, "report_date", content), ["report_date"]
+    elif layout == "files":
+        rows = rows.withColumn("report_mission", F.col("mission_id"))
+        spread, levels = spread_for_write(rows, "object_key", content), ["report_mission", "report_date"]
+    else:
+        raise ValueError(f"unknown report layout: {layout}")
+    out = count_into(spread.sortWithinPartitions(*levels, "object_key"), counter)
+    out = out.drop("object_key") if layout == "files" else out
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
+
 
+def write_manifest_documents(documents: DataFrame, path: str, run_id: int = 0, layout: str = "rows") -> None:
+    """Manifest documents ``manifest_path, text``; a later run's document of a path replaces the earlier.
 
-def write_manifest_documents(documents: DataFrame, path: str) -> None:
-    """One JSON object per line, in a directory per object key; a later document of a key replaces the earlier."""
+    ``rows``: Parquet rows below ``run_id``, read back with ``read_manifest_rows``. ``files``: one JSON text file per
+    path, in a directory of its own.
+    """
+    if layout == "rows":
+        documents.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+        return
+    if layout != "files":
+        raise ValueError(f"unknown manifest layout: {layout}")
     stem = file_stem(F.element_at(F.split("manifest_path", "/"), -1))
     day = F.element_at(F.split("manifest_path", "/"), 2)
     rows = documents.select(F.col("text").alias("value"), day.alias("manifest_date"), stem.alias("manifest"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("manifest_date", "manifest").text(path)
 
 
-def write_audit_log(events: DataFrame, path: str) -> None:
-    """Audit events as JSON below ``log_date`` and mission."""
-    keyed = events.withColumn("log_mission", F.col("mission_id")).drop("object_key")
-    keyed.write.mode("append").partitionBy("log_date", "log_mission").json(path)
+def write_audit_log(events: DataFrame, path: str, by_mission: bool = False) -> None:
+    """Audit events as JSON below ``log_date`` and, for small volumes, below the mission."""
+    if by_mission:
+        keyed = events.withColumn("log_mission", F.col("mission_id")).drop("object_key")
+        keyed.write.mode("append").partitionBy("log_date", "log_mission").json(path)
+    else:
+        events.write.mode("append").partitionBy("log_date").json(path)
 
 
 def write_sorted(df: DataFrame, path: str, *order) -> None:

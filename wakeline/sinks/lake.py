@@ -8,8 +8,9 @@ directory-per-mission layout as an option for small fleets. Rows and columns rea
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from wakeline.operators.aggregates import count_into
 from wakeline.operators.skew import ROWS_PER_SLICE, spread_for_write
 
 BUCKETS = 64
@@ -27,6 +28,7 @@ def write_lake(
     layout: str = "bucket",
     buckets: int = BUCKETS,
     rows_per_file: int = ROWS_PER_SLICE,
+    counter: Observation | None = None,
 ) -> None:
     """Add one micro-batch to the lake.
 
@@ -43,7 +45,9 @@ def write_lake(
     else:
         raise ValueError(f"unknown lake layout: {layout}")
     spread = spread_for_write(rows, level, F.col("seq"), rows_per_file).sortWithinPartitions(level, "mission_id", "seq")
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(level, "batch_id").parquet(path)
+    count_into(spread, counter).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        level, "batch_id"
+    ).parquet(path)
 
 
 def publish_topic(records: DataFrame, servers: str, topic: str, **options: str) -> None:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wakeline.functions.text import sha256_hex
-from wakeline.schemas import MANIFEST_DOCUMENT, RAW_REPORT
+from wakeline.operators.arrival import latest_per_key
+from wakeline.schemas import DATE, LONG, MANIFEST_DOCUMENT, RAW_REPORT, TEXT, struct
 
 
 def _object_key(root: str) -> Column:
@@ -23,11 +24,14 @@ def _recursive(spark: SparkSession, glob: str):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
 
 
+def manifest_texts(files: DataFrame, root: str) -> DataFrame:
+    """``manifest_path, text`` of a (batch or streaming) whole-text scan below ``root``."""
+    return files.select(_object_key(root).alias("manifest_path"), F.col("value").alias("text"))
+
+
 def read_manifest_texts(spark: SparkSession, root: str) -> DataFrame:
     """``manifest_path, text`` for every ``.json`` file below ``root``, whole documents."""
-    return _recursive(spark, "*.json").text(root, wholetext=True).select(
-        _object_key(root).alias("manifest_path"), F.col("value").alias("text")
-    )
+    return manifest_texts(_recursive(spark, "*.json").text(root, wholetext=True), root)
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
@@ -36,12 +40,29 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     return reader.json(root).select(_object_key(root).alias("manifest_path"), *MANIFEST_DOCUMENT.names)
 
 
-def read_reports(spark: SparkSession, root: str) -> DataFrame:
-    """All report rows below ``root`` with the ``object_key`` of their file. Timestamps stay text."""
+def read_manifest_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``manifest_path, text`` of documents stored as rows; of a path's documents the one of the newest run."""
+    stored = spark.read.schema(struct(manifest_path=TEXT, text=TEXT, run_id=LONG)).parquet(path)
+    return latest_per_key(stored, ["manifest_path"], "run_id").select("manifest_path", "text")
+
+
+def read_reports(spark: SparkSession, root: str, modified_after: str | None = None) -> DataFrame:
+    """All report rows of a one-file-per-key store with the ``object_key`` of their file. Timestamps stay text.
+
+    ``modified_after`` (an ISO time) leaves older files out of the listing; an incremental run passes its last time.
+    """
     reader = _recursive(spark, "*.parquet").schema(RAW_REPORT)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     return reader.parquet(root).select(*RAW_REPORT.names, _object_key(root).alias("object_key"))
 
 
+def read_report_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Report rows stored by day, with ``object_key`` and the partition column ``report_date``."""
+    extra = struct(object_key=TEXT, report_date=DATE)
+    return spark.read.schema(T.StructType(RAW_REPORT.fields + extra.fields)).parquet(path)
+
+
 def read_mission_logs(spark: SparkSession, path: str) -> DataFrame:
     """Raw mission logs (CSV with header), columns taken by name; nothing is inferred.
 

@@ -6,17 +6,24 @@ is retried after a lost executor or driver replaces its own output.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.operators.reshape import latest_gauges, merge_gauges
+from wakeline.plans.ingest import ingest_manifests, parse_manifests
 from wakeline.plans.radar import drop_finished, last_known, named_ships, radar_transitions
-from wakeline.schemas import DOUBLE, TEXT, struct
+from wakeline.schemas import DOUBLE, MANIFESTS, TEXT, struct
+from wakeline.sinks.landing import append_landing, read_landing
 from wakeline.sinks.lake import write_lake
+from wakeline.sources.files import manifest_texts
 from wakeline.sources.tables import TableStore
 from wakeline.sources.telemetry import parse_telemetry
 
+log = logging.getLogger(__name__)
+
 EVERY_SECOND = {"processingTime": "1 second"}
 DRAIN = {"availableNow": True}
 
@@ -43,7 +50,9 @@ def run_telemetry(
         try:
             if parsed.isEmpty():
                 return
-            write_lake(parsed, batch_id, lake_path)
+            counter = Observation()
+            write_lake(parsed, batch_id, lake_path, counter=counter)
+            log.info("batch %d: %d telemetry rows", batch_id, counter.get["rows"])
             if metrics is not None:
                 current = metrics.read("metrics_latest", METRICS, below=batch_id)
                 metrics.write(merge_gauges(current, latest_gauges(parsed, "seq")), "metrics_latest", batch_id)
@@ -95,8 +104,8 @@ def run_transitions(
             if parsed.isEmpty():
                 return
             known = store.read("radar_states", STATES, below=batch_id)
-            log = radar_transitions(parsed, carried=known.where(F.col("state").isNotNull()))
-            log.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+            changes = radar_transitions(parsed, carried=known.where(F.col("state").isNotNull()))
+            changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
             newest = last_known(parsed)
             kept = known.join(newest.select("ship_id"), "ship_id", "left_anti")
             store.write(kept.unionByName(newest).where(F.col("state").isNotNull()), "radar_states", batch_id)
@@ -107,11 +116,29 @@ def run_transitions(
     return source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def new_manifest_files(spark, root: str) -> DataFrame:
+def new_manifest_files(spark: SparkSession, root: str) -> DataFrame:
     """Streaming ``manifest_path, text`` of manifest files not seen by the query before."""
-    from wakeline.sources.files import _object_key
-
     reader = spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", "*.json").load(root).select(
-        _object_key(root).alias("manifest_path"), F.col("value").alias("text")
-    )
+    return manifest_texts(reader.option("pathGlobFilter", "*.json").load(root), root)
+
+
+def run_ingest(
+    manifests: DataFrame, report_rows: DataFrame, landing_root: str, checkpoint: str, as_of, trigger: dict = DRAIN
+) -> StreamingQuery:
+    """Ingest newly arrived manifests into the landing tables, one run per micro-batch.
+
+    ``as_of`` is called once per batch for its ingest time. With the default trigger the query takes what is new since
+    its last run and ends, so a scheduler can start it every few minutes.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        documents = parse_manifests(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if documents.isEmpty():
+                return
+            earlier = read_landing(batch.sparkSession, landing_root, "manifests", MANIFESTS, below_run=batch_id)
+            append_landing(ingest_manifests(documents, report_rows, earlier, as_of()), landing_root, batch_id)
+        finally:
+            documents.unpersist()
+
+    return manifests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
