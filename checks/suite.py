@@ -917,9 +917,9 @@ def stream_lake(b: Bound) -> DataFrame:
 @query(_METRICS)
 def stream_metrics(b: Bound) -> DataFrame:
     root = work_path(b.spark, "metrics")
-    store = TableStore(b.spark, f"{root}/tables")
-    J.run_telemetry(_event_stream(b), f"{root}/checkpoint", f"{root}/lake", store, J.DRAIN).awaitTermination()
-    return store.read("metrics_latest", J.METRICS).drop("help")
+    metrics = J.metrics_table(TableStore(b.spark, f"{root}/tables"))
+    J.run_telemetry(_event_stream(b), f"{root}/checkpoint", f"{root}/lake", metrics, J.DRAIN).awaitTermination()
+    return metrics.read().drop("help")
 
 
 @query(Q.sql([Q.TELEMETRY, _RADAR], _RADAR_OUT))
@@ -933,6 +933,6 @@ def stream_radar_latest(b: Bound) -> DataFrame:
 @query(_TRANSITIONS)
 def stream_radar_transitions(b: Bound) -> DataFrame:
     root = work_path(b.spark, "transitions")
-    store = TableStore(b.spark, f"{root}/tables")
-    J.run_transitions(_event_stream(b), store, f"{root}/log", f"{root}/checkpoint", J.DRAIN).awaitTermination()
+    states = J.states_table(TableStore(b.spark, f"{root}/tables"))
+    J.run_transitions(_event_stream(b), states, f"{root}/log", f"{root}/checkpoint", J.DRAIN).awaitTermination()
     return b.spark.read.parquet(f"{root}/log").drop("batch_id")

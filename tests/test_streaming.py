@@ -54,16 +54,18 @@ def drain(query):
 def test_stream_over_three_runs_equals_batch(spark, topic, tmp_path):
     rng = random.Random(2)
     store, lake = TableStore(spark, str(tmp_path / "tables")), str(tmp_path / "lake")
+    metrics, states = J.metrics_table(store, every=2), J.states_table(store, every=2)  # folded after the second batch
     for _ in range(3):
         topic.send([event(rng, rng.choice(["007", "7", "42"])) for _ in range(60)])
-        drain(J.run_telemetry(topic.stream(), str(tmp_path / "c1"), lake, store, J.DRAIN))
+        drain(J.run_telemetry(topic.stream(), str(tmp_path / "c1"), lake, metrics, J.DRAIN))
         drain(J.run_radar(topic.stream(), store, str(tmp_path / "c2"), J.DRAIN))
-        drain(J.run_transitions(topic.stream(), store, str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
+        drain(J.run_transitions(topic.stream(), states, str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
     batch = topic.batch()
     columns = batch.columns
     assert rows(read_lake(spark, lake).select(*columns)) == rows(batch)
     assert rows(read_lake(spark, lake).groupBy("batch_id").count()) == [(0, 60), (1, 60), (2, 60)]
-    assert rows(store.read("metrics_latest")) == rows(latest_gauges(batch, "seq"))
+    assert store.versions("metrics_latest") == [1] and store.versions("metrics_latest_changes") == [0, 1, 2]
+    assert rows(metrics.read()) == rows(latest_gauges(batch, "seq"))
     assert rows(store.read("radar_latest").select("ship_id", "seq", "status", "colour")) == rows(radar_latest(batch).select("ship_id", "seq", "status", "colour"))
     assert rows(spark.read.parquet(str(tmp_path / "log")).drop("batch_id"), "seq") == rows(radar_transitions(batch), "seq")
 
@@ -163,6 +165,24 @@ def test_versions_are_pruned(spark, table, tmp_path):
         store.read("nothing")
 
 
+def test_change_table(spark, table, tmp_path):
+    from wakeline.sources.tables import ChangeTable
+
+    def batch(*pairs):
+        return table(list(pairs), J.STATES)
+
+    kept = ChangeTable(TableStore(spark, str(tmp_path)), "t", ("ship_id",), J.STATES, every=3)
+    assert kept.read().count() == 0
+    kept.put(batch(("a", "1"), ("b", "1")), 0)
+    kept.put(batch(("a", "2"), ("c", "2")), 1)
+    kept.put(batch(("a", "lost attempt")), 2)
+    kept.put(batch(("a", None)), 2)  # the retry replaces it, and the fold with it
+    kept.put(batch(("b", "4")), 4)  # batch 3 was empty
+    assert rows(kept.read(below=2)) == [("a", "2"), ("b", "1"), ("c", "2")]
+    assert rows(kept.read(below=3)) == [("a", None), ("b", "1"), ("c", "2")]
+    assert rows(kept.read()) == [("a", None), ("b", "4"), ("c", "2")]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     from wakeline.session import shared_dir, work_path
 

@@ -64,16 +64,16 @@ def parse_manifests(texts: DataFrame) -> DataFrame:
 def new_manifests(documents: DataFrame, registered: DataFrame) -> DataFrame:
     """Documents of (mission, date) pairs not registered yet; of repeats the first path is taken.
 
-    Documents without a readable key are left out after the aggregation: a filter on the grouping keys would be pushed
-    below it and decode every document twice.
+    Registered pairs leave before the aggregation, which then shuffles new documents only. Documents without a readable
+    key leave after it: a filter on the grouping keys would be pushed below it and decode every document twice.
     """
     mission, day = F.col("mission_id").try_cast("bigint"), F.col("date").try_cast("date")
     keys = ["mission_id", "mission_date"]
-    typed = documents.withColumns({"mission_id": mission, "mission_date": day})
+    typed = unseen(documents.withColumns({"mission_id": mission, "mission_date": day}), registered, keys)
     rest = [c for c in typed.columns if c not in keys]
     keyed = (F.col("mission_id").isNotNull() & F.col("mission_date").isNotNull()).alias("_keyed")
     once = typed.groupBy(*keys).agg(F.min_by(F.struct(*rest, keyed), "manifest_path").alias("_doc"))
-    return unseen(once.where("_doc._keyed").select(*keys, *[f"_doc.{c}" for c in rest]), registered, keys)
+    return once.where("_doc._keyed").select(*keys, *[f"_doc.{c}" for c in rest])
 
 
 def ingest_manifests(

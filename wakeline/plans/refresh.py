@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 
 from wakeline.operators.gates import MISSION_WINDOW, missions_gate
+from wakeline.operators.keys import narrow
 from wakeline.plans import business as B, serving as S
 from wakeline.sources.tables import TableStore
 
@@ -56,25 +57,27 @@ def run_bl_refresh(
 ) -> dict[str, DataFrame] | None:
     """Gate, then refresh and store the four summaries; None when no mission was updated within ``window``.
 
-    Each summary is written before the next one reads it, so a later stage starts from stored rows and not from the
-    whole lineage.
+    Only children of missions due for a refresh are aggregated, where these are few. Each summary is written before the
+    next one reads it, so a later stage starts from stored rows and not from the whole lineage.
     """
     if not missions_gate(sources["missions"], as_of, window).first()["should_run"]:
         return None
     now = {n: store.read(f"bl.{n}") for n in ("mission_summary", "cargo_summary", "manifest_summary", "planet_summary")}
     missions = sources["missions"]
+    changed = B.changed_missions(missions, now["mission_summary"])
+    due = B.cargo_due_missions(missions, now["cargo_summary"], as_of)
+    ticks = narrow(sources["ship_state"], changed, "mission_id")
+    reports = narrow(sources["mission_reports"], due, "mission_id")
+
     done = {}
-    done["mission_summary"] = store.write(
-        B.refresh_mission_summary(now["mission_summary"], missions, sources["ship_state"], as_of), "bl.mission_summary"
-    )
-    done["cargo_summary"] = store.write(
-        B.refresh_cargo_summary(now["cargo_summary"], missions, sources["mission_reports"], as_of), "bl.cargo_summary"
-    )
-    done["manifest_summary"] = store.write(
-        B.refresh_manifest_summary(now["manifest_summary"], missions, sources["manifests"], as_of), "bl.manifest_summary"
-    )
-    done["planet_summary"] = store.write(
-        B.refresh_planet_summary(now["planet_summary"], missions, done["mission_summary"], done["cargo_summary"], as_of),
-        "bl.planet_summary",
+    operations = B.refresh_mission_summary(now["mission_summary"], missions, ticks, as_of)
+    done["mission_summary"] = store.write(operations, "bl.mission_summary")
+    cargo = B.refresh_cargo_summary(now["cargo_summary"], missions, reports, as_of)
+    done["cargo_summary"] = store.write(cargo, "bl.cargo_summary")
+    uploads = B.refresh_manifest_summary(now["manifest_summary"], missions, sources["manifests"], as_of)
+    done["manifest_summary"] = store.write(uploads, "bl.manifest_summary")
+    places = B.refresh_planet_summary(
+        now["planet_summary"], missions, done["mission_summary"], done["cargo_summary"], as_of
     )
+    done["planet_summary"] = store.write(places, "bl.planet_summary")
     return done

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from wakeline.operators.arrival import latest_per_key
+from wakeline.operators.upsert import upsert
 
 
 @dataclass(frozen=True)
@@ -67,6 +70,51 @@ class TableStore:
         return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
 
 
+@dataclass(frozen=True)
+class ChangeTable:
+    """A keyed table that micro-batches update: changed rows are written per batch and merged when read.
+
+    A batch costs what it changes, not what the table holds. Every ``every`` batches the changes are folded into a new
+    base version. A column value of null in a change replaces like any other.
+    """
+
+    store: TableStore
+    name: str
+    keys: tuple[str, ...]
+    schema: T.StructType
+    every: int = 50
+
+    def read(self, below: int | None = None) -> DataFrame:
+        """Rows as of the newest batch, or of the newest one before ``below``."""
+        return self._merged(below, below)
+
+    def _merged(self, base_below: int | None, changes_below: int | None) -> DataFrame:
+        bases = [v for v in self.store.versions(self.name) if base_below is None or v < base_below]
+        since = bases[-1] if bases else -1
+        base = self.store.read(self.name, self.schema, base_below)
+        recorded = self.store.versions(self._changes)
+        recent = [v for v in recorded if v > since and (changes_below is None or v < changes_below)]
+        if not recent:
+            return base
+        versioned = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
+        changes = self.store.spark.read.schema(versioned).parquet(self.store._table(self._changes))
+        newest = latest_per_key(changes.where(F.col("version").isin(recent)), list(self.keys), "version")
+        return upsert(base, newest.drop("version"), list(self.keys))
+
+    def put(self, rows: DataFrame, batch_id: int) -> None:
+        """Record a batch's changed rows, one per key; a retried batch replaces its own."""
+        self.store.write(rows, self._changes, batch_id)
+        if (batch_id + 1) % self.every == 0:
+            # A retried batch may find the base its lost attempt wrote; it starts from the one before.
+            self.store.write(self._merged(batch_id, batch_id + 1), self.name, batch_id)
+            self.store.prune(self.name, keep=2)
+            self.store.prune(self._changes, keep=2 * self.every)
+
+    @property
+    def _changes(self) -> str:
+        return f"{self.name}_changes"
+
+
 def read_table(spark: SparkSession, name: str, kind: str = "catalog", **options: str) -> DataFrame:
     """A warehouse table: ``catalog`` (a registered table), ``parquet`` (a path) or ``jdbc`` (connector options)."""
     if kind == "catalog":

@@ -12,14 +12,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wakeline.operators.reshape import latest_gauges, merge_gauges
+from wakeline.operators.reshape import METRIC_KEYS, latest_gauges
 from wakeline.plans.ingest import ingest_manifests, parse_manifests
 from wakeline.plans.radar import drop_finished, last_known, named_ships, radar_transitions
 from wakeline.schemas import DOUBLE, MANIFESTS, TEXT, struct
 from wakeline.sinks.landing import append_landing, read_landing
 from wakeline.sinks.lake import write_lake
 from wakeline.sources.files import manifest_texts
-from wakeline.sources.tables import TableStore
+from wakeline.sources.tables import ChangeTable, TableStore
 from wakeline.sources.telemetry import parse_telemetry
 
 log = logging.getLogger(__name__)
@@ -31,6 +31,16 @@ METRICS = struct(metric=TEXT, help=TEXT, ship_id=TEXT, mission_id=TEXT, value=DO
 STATES = struct(ship_id=TEXT, state=TEXT)
 
 
+def metrics_table(store: TableStore, every: int = 50) -> ChangeTable:
+    """Latest sample per metric, ship and mission."""
+    return ChangeTable(store, "metrics_latest", tuple(METRIC_KEYS), METRICS, every)
+
+
+def states_table(store: TableStore, every: int = 50) -> ChangeTable:
+    """Status each ship is known by; null where a terminal event cleared it."""
+    return ChangeTable(store, "radar_states", ("ship_id",), STATES, every)
+
+
 def arriving(records: DataFrame) -> DataFrame:
     """Parsed telemetry with its arrival number. A ship's records share a partition, so offsets order them."""
     return parse_telemetry(records.withColumn("seq", F.col("offset")), keep=("seq",))
@@ -40,7 +50,7 @@ def run_telemetry(
     source: DataFrame,
     checkpoint: str,
     lake_path: str,
-    metrics: TableStore | None = None,
+    metrics: ChangeTable | None = None,
     trigger: dict = EVERY_SECOND,
 ) -> StreamingQuery:
     """Land the stream in the lake and, with ``metrics``, keep the latest gauges up to date."""
@@ -54,9 +64,7 @@ def run_telemetry(
             write_lake(parsed, batch_id, lake_path, counter=counter)
             log.info("batch %d: %d telemetry rows", batch_id, counter.get["rows"])
             if metrics is not None:
-                current = metrics.read("metrics_latest", METRICS, below=batch_id)
-                metrics.write(merge_gauges(current, latest_gauges(parsed, "seq")), "metrics_latest", batch_id)
-                metrics.prune("metrics_latest")
+                metrics.put(latest_gauges(parsed, "seq"), batch_id)
         finally:
             parsed.unpersist()
 
@@ -94,22 +102,21 @@ def run_radar(source: DataFrame, store: TableStore, checkpoint: str, trigger: di
 
 
 def run_transitions(
-    source: DataFrame, store: TableStore, log_path: str, checkpoint: str, trigger: dict = EVERY_SECOND
+    source: DataFrame, states: ChangeTable, log_path: str, checkpoint: str, trigger: dict = EVERY_SECOND
 ) -> StreamingQuery:
-    """Append status changes to ``log_path``; the status each ship is known by is kept as table ``radar_states``."""
+    """Append status changes to ``log_path``; ``states`` keeps the status each ship is known by."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = arriving(batch).select("seq", "ship_id", "status", "mission_status").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if parsed.isEmpty():
                 return
-            known = store.read("radar_states", STATES, below=batch_id)
-            changes = radar_transitions(parsed, carried=known.where(F.col("state").isNotNull()))
-            changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
             newest = last_known(parsed)
-            kept = known.join(newest.select("ship_id"), "ship_id", "left_anti")
-            store.write(kept.unionByName(newest).where(F.col("state").isNotNull()), "radar_states", batch_id)
-            store.prune("radar_states")
+            known = states.read(below=batch_id).where(F.col("state").isNotNull())
+            concerned = known.join(newest.select("ship_id"), "ship_id", "left_semi")
+            changes = radar_transitions(parsed, carried=concerned)
+            changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+            states.put(newest, batch_id)
         finally:
             parsed.unpersist()
 
