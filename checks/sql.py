@@ -32,6 +32,11 @@ def num(x: str, digits: int = 9) -> str:
     return f"round(CAST({x} AS DOUBLE), {digits})"
 
 
+def numeric(x: str, digits: int) -> str:
+    """Round as SQL rounds a NUMERIC: half away from zero on the decimal value, free of binary noise below 1e-12."""
+    return f"CAST(round(CAST({x} AS DECIMAL(30, 12)), {digits}) AS DOUBLE)"
+
+
 def band(x: str, centre: float) -> str:
     return f"greatest(0::DOUBLE, least(1::DOUBLE, 1::DOUBLE - abs({x} - {centre}::DOUBLE) / {centre}::DOUBLE))"
 
@@ -180,9 +185,9 @@ def planet_bl(name: str, missions: str, operations: str, cargo: str, as_of: str)
 {name} AS (
   SELECT m.target AS planet, count(*) AS nb_missions,
          count(*) FILTER (m.status = 'SUCCESS') AS nb_success, count(*) FILTER (m.status = 'FAILURE') AS nb_failure,
-         round(100.0 * count(*) FILTER (m.status = 'SUCCESS') / count(*), 1) AS success_rate_pct,
-         round(avg(o.avg_health), 3) AS avg_health, round(100 * avg(o.uptime_ratio), 1) AS avg_uptime_pct,
-         round(avg(c.total_value_poko), 0) AS avg_value_poko, {as_of} AS computed_at
+         {numeric("100.0 * count(*) FILTER (m.status = 'SUCCESS') / count(*)", 1)} AS success_rate_pct,
+         {numeric("avg(o.avg_health)", 3)} AS avg_health, {numeric("100 * avg(o.uptime_ratio)", 1)} AS avg_uptime_pct,
+         {numeric("avg(c.total_value_poko)", 0)} AS avg_value_poko, {as_of} AS computed_at
   FROM {missions} m LEFT JOIN {operations} o USING (mission_id) LEFT JOIN {cargo} c USING (mission_id)
   GROUP BY m.target
 )"""

@@ -58,11 +58,11 @@ def _refreshed(b: Bound) -> dict[str, DataFrame]:
 
 _SHIP_MART = f"""SELECT ship_name, count(*) AS nb_missions_total,
   count(*) FILTER (status = 'SUCCESS') AS nb_missions_success, count(*) FILTER (status = 'FAILURE') AS nb_missions_failure,
-  round(100.0 * count(*) FILTER (status = 'SUCCESS') / count(*), 1) AS success_rate_pct,
-  round(avg(avg_health), 3) AS avg_health, round(100 * avg(uptime_ratio), 1) AS avg_uptime_pct,
-  round(avg(min_fuel_prc), 1) AS avg_min_fuel_prc, round(avg(max_temp_c), 1) AS avg_max_temp_c,
-  round(avg(mission_duration_hr), 2) AS avg_duration_hr, {Q.num('round(sum(total_value_poko), 0)', 6)} AS total_value_poko,
-  round(CAST(sum(total_value_poko) AS DOUBLE) / count(*), 2) AS avg_value_per_mission,
+  {Q.numeric("100.0 * count(*) FILTER (status = 'SUCCESS') / count(*)", 1)} AS success_rate_pct,
+  {Q.numeric("avg(avg_health)", 3)} AS avg_health, {Q.numeric("100 * avg(uptime_ratio)", 1)} AS avg_uptime_pct,
+  {Q.numeric("avg(min_fuel_prc)", 1)} AS avg_min_fuel_prc, {Q.numeric("avg(max_temp_c)", 1)} AS avg_max_temp_c,
+  {Q.numeric("avg(mission_duration_hr)", 2)} AS avg_duration_hr, {Q.num('round(sum(total_value_poko), 0)', 6)} AS total_value_poko,
+  {Q.numeric("CAST(sum(total_value_poko) AS DOUBLE) / count(*)", 2)} AS avg_value_per_mission,
   {Q.ts('max(finished_at)')} AS last_mission_end, {Q.ts(Q.AS_OF)} AS computed_at
 FROM operations JOIN cargo USING (mission_id, ship_name) GROUP BY ship_name"""
 
@@ -74,10 +74,10 @@ def mart_ship_performance(b: Bound) -> DataFrame:
 
 
 _FLEET_MART = f"""SELECT count(DISTINCT mission_id) AS nb_missions_total, count(DISTINCT ship_name) AS nb_ships_total,
-  round(avg(avg_health), 3) AS avg_fleet_health, round(100 * avg(uptime_ratio), 1) AS avg_uptime_pct,
-  round(avg(min_fuel_prc), 1) AS avg_min_fuel_prc, round(avg(max_temp_c), 1) AS avg_max_temp_c,
+  {Q.numeric("avg(avg_health)", 3)} AS avg_fleet_health, {Q.numeric("100 * avg(uptime_ratio)", 1)} AS avg_uptime_pct,
+  {Q.numeric("avg(min_fuel_prc)", 1)} AS avg_min_fuel_prc, {Q.numeric("avg(max_temp_c)", 1)} AS avg_max_temp_c,
   {Q.num('round(sum(total_value_poko), 0)', 6)} AS total_value_poko,
-  round(CAST(sum(total_value_poko) AS DOUBLE) / count(DISTINCT ship_name), 2) AS avg_value_per_ship,
+  {Q.numeric("CAST(sum(total_value_poko) AS DOUBLE) / count(DISTINCT ship_name)", 2)} AS avg_value_per_ship,
   {Q.ts(Q.AS_OF)} AS computed_at
 FROM operations JOIN cargo USING (mission_id, ship_name)"""
 
@@ -98,9 +98,9 @@ _FAVOURITE = """favourite AS (
     Q.sql(
         [*Q.BL, _FAVOURITE],
         f"""SELECT o.captain, favorite_ship, nb_fav_ship_missions, count(*) AS nb_missions_done,
-  round(avg(avg_health), 3) AS avg_mission_health, round(100 * avg(uptime_ratio), 1) AS avg_uptime_pct,
-  round(avg(total_value_poko), 0) AS avg_value_poko, {Q.num('round(sum(total_value_poko), 0)', 6)} AS total_value_poko,
-  round(1.0 * count(*) FILTER (status = 'SUCCESS') / count(*), 2) AS success_rate, {Q.ts(Q.AS_OF)} AS computed_at
+  {Q.numeric("avg(avg_health)", 3)} AS avg_mission_health, {Q.numeric("100 * avg(uptime_ratio)", 1)} AS avg_uptime_pct,
+  {Q.numeric("avg(total_value_poko)", 0)} AS avg_value_poko, {Q.num('round(sum(total_value_poko), 0)', 6)} AS total_value_poko,
+  {Q.numeric("1.0 * count(*) FILTER (status = 'SUCCESS') / count(*)", 2)} AS success_rate, {Q.ts(Q.AS_OF)} AS computed_at
 FROM operations o JOIN cargo USING (mission_id) JOIN favourite f ON f.captain = o.captain
 GROUP BY o.captain, favorite_ship, nb_fav_ship_missions""",
     )
@@ -112,12 +112,12 @@ def mart_captain_performance(b: Bound) -> DataFrame:
 
 _PLANET_MART = f"""SELECT planet AS planet_name, count(DISTINCT mission_id) AS nb_missions_total,
   count(*) FILTER (status = 'SUCCESS') AS nb_missions_success, count(*) FILTER (status = 'FAILURE') AS nb_missions_failure,
-  round(100.0 * count(*) FILTER (status = 'SUCCESS') / count(*), 1) AS success_rate_pct,
-  round(avg(o.avg_health), 3) AS avg_health, round(100 * avg(uptime_ratio), 1) AS avg_uptime_pct,
-  round(avg(min_fuel_prc), 1) AS avg_min_fuel_prc, round(avg(max_temp_c), 1) AS avg_max_temp_c,
+  {Q.numeric("100.0 * count(*) FILTER (status = 'SUCCESS') / count(*)", 1)} AS success_rate_pct,
+  {Q.numeric("avg(o.avg_health)", 3)} AS avg_health, {Q.numeric("100 * avg(uptime_ratio)", 1)} AS avg_uptime_pct,
+  {Q.numeric("avg(min_fuel_prc)", 1)} AS avg_min_fuel_prc, {Q.numeric("avg(max_temp_c)", 1)} AS avg_max_temp_c,
   {Q.num('round(sum(total_value_poko), 0)', 6)} AS total_value_poko,
-  round(CAST(sum(total_value_poko) AS DOUBLE) / count(DISTINCT o.ship_name), 2) AS avg_value_per_ship,
-  round(CAST(sum(total_value_poko) AS DOUBLE) / count(*), 2) AS avg_value_per_mission, {Q.ts(Q.AS_OF)} AS computed_at
+  {Q.numeric("CAST(sum(total_value_poko) AS DOUBLE) / count(DISTINCT o.ship_name)", 2)} AS avg_value_per_ship,
+  {Q.numeric("CAST(sum(total_value_poko) AS DOUBLE) / count(*)", 2)} AS avg_value_per_mission, {Q.ts(Q.AS_OF)} AS computed_at
 FROM planets p LEFT JOIN operations o ON o.target = p.planet LEFT JOIN cargo c USING (mission_id) GROUP BY planet"""
 
 

@@ -110,6 +110,12 @@ def test_hot_key_is_spread_and_nothing_is_lost(table):
     assert sliced.where("k = 'cold'").select("_slice").distinct().collect()[0]["_slice"] == 0
 
 
+def test_rows_without_a_key_are_sliced_too(table):
+    df = table([(None, i) for i in range(300)] + [("a", 1000)], "k string, v bigint")
+    sliced = with_slice(df, "k", F.col("v"), 100)
+    assert sliced.count() == 301 and sliced.where("k is null").select("_slice").distinct().count() == 3
+
+
 def test_latest_per_key_takes_the_whole_row(table):
     df = table([("a", 1, "x", None), ("a", 5, None, 2.0), ("b", 2, "y", 3.0)], "k string, seq bigint, s string, d double")
     assert rows(latest_per_key(df, ["k"], "seq")) == [("a", 5, None, 2.0), ("b", 2, "y", 3.0)]

@@ -165,6 +165,13 @@ def test_upsert_rules(table):
     assert rows(upsert(old, new, ["k"]), "k") == [(1, "a1", "b1"), (2, "A2", None), (3, "A3", "B3")]
 
 
+def test_null_keys_match_on_request(table):
+    schema = "k string, v int"
+    old, new = table([(None, 1), ("a", 1)], schema), table([(None, 2)], schema)
+    assert rows(upsert(old, new, ["k"], null_keys=True)) == [(None, 2), ("a", 1)]
+    assert upsert(old, new, ["k"]).count() == 3
+
+
 def test_gate(table):
     df = table([(T1,), (T2,)], "updated_at timestamp_ntz")
     assert freshness_gate(df, "updated_at", T2, timedelta(minutes=30)).collect()[0] == (True, 1)

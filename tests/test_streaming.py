@@ -4,7 +4,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wakeline import catalogue as C
@@ -188,3 +187,27 @@ def test_shared_folder_comes_from_the_session(spark):
 
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_bare_local_session_gets_a_folder_and_a_cluster_does_not():
+    from types import SimpleNamespace
+
+    from wakeline.session import shared_dir
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, path):
+            self.dir = path
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=Context(master))
+
+    local = session("local[2]")
+    assert shared_dir(local) == shared_dir(local) != ""
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))

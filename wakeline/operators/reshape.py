@@ -50,7 +50,7 @@ def latest_gauges(telemetry: DataFrame, order: str) -> DataFrame:
 
 def merge_gauges(current: DataFrame, batch: DataFrame) -> DataFrame:
     """Fold a batch of latest samples into the current ones: the batch wins."""
-    return upsert(current, batch, METRIC_KEYS)
+    return upsert(current, batch, METRIC_KEYS, null_keys=True)
 
 
 def to_topic_records(events: DataFrame, key: str = "ship_id", drop: tuple[str, ...] = ()) -> DataFrame:

@@ -17,11 +17,13 @@ def hot_keys(df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> D
 def with_slice(df: DataFrame, key: str, spread_by: Column, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``_slice``: 0 for ordinary keys, a hash of ``spread_by`` over the key's slices for hot ones.
 
-    The hash depends on row content only, so a recomputed task puts its rows where the lost one did.
+    The hash depends on row content only, so a recomputed task puts its rows where the lost one did. Null is a key like
+    any other here.
     """
-    hot = F.broadcast(hot_keys(df, key, rows_per_slice))
+    hot = F.broadcast(hot_keys(df, key, rows_per_slice).withColumnRenamed(key, "_hot"))
     slice_no = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_slices")), F.lit(0)).cast("int")
-    return df.join(hot, key, "left").withColumn("_slice", slice_no).drop("_slices")
+    marked = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
+    return marked.withColumn("_slice", slice_no).drop("_hot", "_slices")
 
 
 def sliced_join(
@@ -31,6 +33,7 @@ def sliced_join(
 
     Unlike the runtime skew join it also works where the result is grouped by ``key`` right after.
     """
+    large = large.where(F.col(key).isNotNull())
     hot = F.broadcast(hot_keys(large, key, rows_per_slice))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
     copied = small.join(hot, key, "left").withColumn("_slice", copies).drop("_slices")

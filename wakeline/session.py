@@ -40,12 +40,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the cluster names none (a bare local session, as in tests) is a local folder made and set.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set: name a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="wakeline-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wakeline-"))
+        configured = context.getCheckpointDir()
     return configured.rstrip("/")
 
 

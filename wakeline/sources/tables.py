@@ -99,7 +99,7 @@ class ChangeTable:
         versioned = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
         changes = self.store.spark.read.schema(versioned).parquet(self.store._table(self._changes))
         newest = latest_per_key(changes.where(F.col("version").isin(recent)), list(self.keys), "version")
-        return upsert(base, newest.drop("version"), list(self.keys))
+        return upsert(base, newest.drop("version"), list(self.keys), null_keys=True)
 
     def put(self, rows: DataFrame, batch_id: int) -> None:
         """Record a batch's changed rows, one per key; a retried batch replaces its own."""
