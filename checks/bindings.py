@@ -11,9 +11,10 @@ from wakeline.functions.health import score_health
 from wakeline.functions.numeric import distance_from_origin
 from wakeline.functions.text import manifest_key, report_key, sha256_hex
 from wakeline.functions.times import instant
+from wakeline.operators.arrival import latest_per_key
 from wakeline.plans.ingest import telemetry_to_ship_state
 from wakeline.plans.radar import is_terminal
-from wakeline.operators.arrival import latest_per_key
+from wakeline.schemas import DOUBLE, INT, LONG, TEXT, TIME, struct
 
 AS_OF = "2002-01-01 00:00:00"
 AS_OF_EV = "2024-02-01 00:00:00"
@@ -22,6 +23,32 @@ MID_EV = "2024-01-16 00:00:00"
 ANCHOR_EV = "2024-01-01 00:00:00"
 
 
+# Declared, so that opening a table reads no footer.
+TABLES = {
+    "nation": struct(n_nationkey=INT, n_name=TEXT, n_regionkey=INT),
+    "customer": struct(c_custkey=LONG, c_name=TEXT, c_nationkey=INT, c_acctbal=DOUBLE, c_mktsegment=TEXT),
+    "part": struct(p_partkey=LONG, p_name=TEXT, p_brand=TEXT, p_type=TEXT, p_size=INT, p_retailprice=DOUBLE),
+    "orders": struct(
+        o_orderkey=LONG, o_custkey=LONG, o_orderstatus=TEXT, o_totalprice=DOUBLE, o_orderdate=TIME, o_orderpriority=TEXT
+    ),
+    "lineitem": struct(
+        l_orderkey=LONG,
+        l_partkey=LONG,
+        l_suppkey=LONG,
+        l_linenumber=INT,
+        l_quantity=DOUBLE,
+        l_extendedprice=DOUBLE,
+        l_discount=DOUBLE,
+        l_tax=DOUBLE,
+        l_returnflag=TEXT,
+        l_linestatus=TEXT,
+        l_shipdate=TIME,
+    ),
+    "events": struct(event_id=LONG, ts=TIME, user_id=LONG, event_type=TEXT, value=DOUBLE, props=TEXT),
+    "documents": struct(doc_id=LONG, text=TEXT, lang=TEXT, source=TEXT, n_chars=LONG),
+}
+
+
 class Bound:
     """The domain tables over one data directory. Every property is a lazy plan, built once."""
 
@@ -31,7 +58,7 @@ class Bound:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            self._read[name] = self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
         return self._read[name]
 
     @cached_property

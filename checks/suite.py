@@ -44,14 +44,29 @@ def _summaries(b: Bound) -> dict[str, DataFrame]:
     return RF.bl_rebuild(b.missions, b.ship_state, b.mission_reports, b.manifests, AS_OF)
 
 
-def _early_summaries(b: Bound) -> dict[str, DataFrame]:
-    reports = b.mission_reports.where(F.col("timestamp") < TM.instant(T1))
-    return RF.bl_rebuild(b.early_missions, b.early_ship_state, reports, b.early_manifests, T1)
+def _mart_inputs(b: Bound) -> tuple[DataFrame, DataFrame]:
+    return B.mission_summary(b.missions, b.ship_state, AS_OF), B.cargo_summary(b.missions, b.mission_reports, AS_OF)
+
+
+def _early_reports(b: Bound) -> DataFrame:
+    return b.mission_reports.where(F.col("timestamp") < TM.instant(T1))
 
 
 def _refreshed(b: Bound) -> dict[str, DataFrame]:
+    """All four summaries as of T1, refreshed to AS_OF."""
     sources = {"missions": b.missions, "ship_state": b.ship_state, "mission_reports": b.mission_reports, "manifests": b.manifests}
-    return RF.bl_refresh({**sources, **_early_summaries(b)}, AS_OF)
+    early = RF.bl_rebuild(b.early_missions, b.early_ship_state, _early_reports(b), b.early_manifests, T1)
+    return RF.bl_refresh({**sources, **early}, AS_OF)
+
+
+def _refreshed_operations(b: Bound) -> DataFrame:
+    early = B.mission_summary(b.early_missions, b.early_ship_state, T1)
+    return B.refresh_mission_summary(early, b.missions, b.ship_state, AS_OF)
+
+
+def _refreshed_cargo(b: Bound) -> DataFrame:
+    early = B.cargo_summary(b.early_missions, _early_reports(b), T1)
+    return B.refresh_cargo_summary(early, b.missions, b.mission_reports, AS_OF)
 
 
 # --- serving layer -----------------------------------------------------------------------------------------------
@@ -69,8 +84,7 @@ FROM operations JOIN cargo USING (mission_id, ship_name) GROUP BY ship_name"""
 
 @query(Q.sql(Q.BL, _SHIP_MART))
 def mart_ship_performance(b: Bound) -> DataFrame:
-    bl = _summaries(b)
-    return present(S.mart_ship_performance(bl["mission_summary"], bl["cargo_summary"], AS_OF))
+    return present(S.mart_ship_performance(*_mart_inputs(b), AS_OF))
 
 
 _FLEET_MART = f"""SELECT count(DISTINCT mission_id) AS nb_missions_total, count(DISTINCT ship_name) AS nb_ships_total,
@@ -84,8 +98,7 @@ FROM operations JOIN cargo USING (mission_id, ship_name)"""
 
 @query(Q.sql(Q.BL, _FLEET_MART))
 def mart_fleet_kpis(b: Bound) -> DataFrame:
-    bl = _summaries(b)
-    return present(S.mart_fleet_kpis(bl["mission_summary"], bl["cargo_summary"], AS_OF))
+    return present(S.mart_fleet_kpis(*_mart_inputs(b), AS_OF))
 
 
 _FAVOURITE = """favourite AS (
@@ -106,8 +119,7 @@ GROUP BY o.captain, favorite_ship, nb_fav_ship_missions""",
     )
 )
 def mart_captain_performance(b: Bound) -> DataFrame:
-    bl = _summaries(b)
-    return present(S.mart_captain_performance(bl["mission_summary"], bl["cargo_summary"], AS_OF))
+    return present(S.mart_captain_performance(*_mart_inputs(b), AS_OF))
 
 
 _PLANET_MART = f"""SELECT planet AS planet_name, count(DISTINCT mission_id) AS nb_missions_total,
@@ -157,17 +169,18 @@ def bl_planet_summary(b: Bound) -> DataFrame:
 
 @query(Q.sql(Q.REFRESH, Q.operations_out()))
 def upsert_mission_summary(b: Bound) -> DataFrame:
-    return present(_refreshed(b)["mission_summary"])
+    return present(_refreshed_operations(b))
 
 
 @query(Q.sql(Q.REFRESH, Q.cargo_out()))
 def upsert_cargo_summary(b: Bound) -> DataFrame:
-    return present(_refreshed(b)["cargo_summary"])
+    return present(_refreshed_cargo(b))
 
 
 @query(Q.sql(Q.REFRESH, Q.uploads_out()))
 def upsert_manifest_summary(b: Bound) -> DataFrame:
-    return present(_refreshed(b)["manifest_summary"])
+    early = B.manifest_summary(b.early_missions, b.early_manifests, T1)
+    return present(B.refresh_manifest_summary(early, b.missions, b.manifests, AS_OF))
 
 
 @query(Q.sql(Q.REFRESH, Q.planets_out()))
@@ -183,13 +196,12 @@ FROM operations o JOIN missions m USING (mission_id) WHERE o.status <> m.status
     )
 )
 def stale_status_report(b: Bound) -> DataFrame:
-    return B.stale_statuses(_refreshed(b)["mission_summary"], b.missions)
+    return B.stale_statuses(_refreshed_operations(b), b.missions)
 
 
 @query(Q.sql(Q.REFRESH, _SHIP_MART))
 def mart_ship_performance_after_refresh(b: Bound) -> DataFrame:
-    bl = _refreshed(b)
-    return present(S.mart_ship_performance(bl["mission_summary"], bl["cargo_summary"], AS_OF))
+    return present(S.mart_ship_performance(_refreshed_operations(b), _refreshed_cargo(b), AS_OF))
 
 
 # --- scoring and scalar functions --------------------------------------------------------------------------------
@@ -869,8 +881,7 @@ def dq_status_domain(b: Bound) -> DataFrame:
 
 @query(Q.sql([Q.MISSIONS], """SELECT 'captains' AS "table", 'single_row' AS "check", 'rows' AS key, count(DISTINCT captain) AS n FROM missions"""))
 def dq_single_row_mart(b: Bound) -> DataFrame:
-    bl = _summaries(b)
-    operations, cargo = bl["mission_summary"], bl["cargo_summary"]
+    operations, cargo = _mart_inputs(b)
     fleet = DQ.single_row(S.mart_fleet_kpis(operations, cargo, AS_OF), "fleet")
     return fleet.unionAll(DQ.single_row(S.mart_captain_performance(operations, cargo, AS_OF), "captains"))
 

@@ -18,6 +18,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # a quarter of plan construction time
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
