@@ -507,6 +507,20 @@ def manifest_registration(b: Bound) -> DataFrame:
     return present(_landing(b).manifests.drop("checksum_manifest"))
 
 
+@query(
+    Q.sql(
+        [Q.MANIFESTS, _NEW],
+        """SELECT mission_id, strftime(mission_date, '%Y-%m-%d') AS mission_date, manifest_path FROM new
+WHERE mission_date < DATE '2000-01-01'""",
+    )
+)
+def manifests_waiting(b: Bound) -> DataFrame:
+    """Of the reports only those from 2000 on have arrived."""
+    arrived = b.report_rows.where(F.col("timestamp") >= "2000-01-01")
+    landing = I.ingest_manifests(I.parse_manifests(_documents(b)), arrived, b.early_manifests, AS_OF)
+    return present(landing.waiting)
+
+
 @query(
     Q.sql(
         Q.TICKS,

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Observation, functions as F
 
 from tests.conftest import rows
@@ -135,6 +136,37 @@ def test_unregistered_rows_stay_hidden_and_are_replaced(spark, store, tmp_path):
     assert ingested_only(read_landing(spark, target, "mission_reports", MISSION_REPORTS), done).count() == 8
 
 
+def test_object_exported_again_is_replaced(spark, table, tmp_path):
+    schema, out = "mission_id string, item string, value double, timestamp string", str(tmp_path / "r")
+    export_reports(table([("1", "old", 1.0, f"{DAY} 09:00:00"), ("2", "kept", 1.0, f"{DAY} 09:00:00")], schema), out, 0)
+    export_reports(table([("1", "new", 2.0, f"{DAY} 09:00:00")], schema), out, 1)
+    doc = table([(m, DAY, f"{m}/{DAY}/mission_{m}_30251011.parquet", f"p{m}") for m in ("1", "2", "3")], "m string, d string, k string, p string")
+    texts = doc.select(F.col("p").alias("manifest_path"), F.to_json(F.struct(F.col("m").alias("mission_id"), F.col("d").alias("date"), F.struct(F.col("k").alias("mission")).alias("files"))).alias("text"))
+    landing = I.ingest_manifests(I.parse_manifests(texts), read_report_rows(spark, out), spark.createDataFrame([], MANIFESTS), NOW)
+    assert rows(landing.reports.select("mission_id", "item")) == [(1, "new"), (2, "kept")]
+    assert rows(landing.manifests.select("mission_id")) == [(1,), (2,)]
+    assert rows(landing.waiting.select("mission_id", "manifest_path")) == [(3, "p3")]
+
+
+def test_manifest_without_report_waits(spark, store, tmp_path):
+    from wakeline.streaming import jobs as J
+
+    target, late = str(tmp_path / "landing"), f"8/{DAY}/mission_8_30251011.parquet"
+    put_manifest(store, "8", late, "c" * 64)
+
+    def run_stream():
+        query = J.run_ingest(J.new_manifest_files(spark, str(store)), lambda: read_reports(spark, str(store)), target, str(tmp_path / "c"), lambda: NOW)
+        query.awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="wait for their report"):
+        run_stream()
+    assert read_landing(spark, target, "manifests", MANIFESTS).count() == 4
+    put_report(store, "8", [("Dream Architect", 1000)])
+    run_stream()
+    assert read_landing(spark, target, "manifests", MANIFESTS).count() == 5
+    assert read_landing(spark, target, "mission_reports", MISSION_REPORTS).count() == 9
+
+
 def test_both_manifest_readers_agree(spark, store):
     typed = read_manifests(spark, str(store)).select("manifest_path", "mission_id", "files.mission", "ship_state.coordinates.x_km")
     parsed = I.parse_manifests(read_manifest_texts(spark, str(store))).select("manifest_path", "mission_id", "files.mission", "ship_state.coordinates.x_km")
@@ -166,7 +198,7 @@ def test_raw_logs_to_clean_reports_to_export(spark, table, tmp_path):
         out = tmp_path / layout
         for _ in range(2):  # a rerun replaces its own files
             counter = Observation()
-            export_reports(clean, str(out), layout, counter)
+            export_reports(clean, str(out), 0, layout, counter)
             assert counter.get["rows"] == 2
         assert (out / folder).is_dir()
         assert rows(spark.read.schema(RAW_REPORT).parquet(str(out)).select(*clean.columns)) == rows(clean)
@@ -177,7 +209,8 @@ def test_reports_stored_as_rows_are_ingested_and_pruned_by_day(spark, table, tmp
     out, docs = str(tmp_path / "reports"), str(tmp_path / "docs")
     logs = [("12", "Crystal King", 1200.0, f"{DAY} 09:00:00"), ("12", "Stone of Glory", 300.0, "3025-10-12 09:00:00"), ("7", "Stone of Glory", 300.0, f"{DAY} 10:30:00")]
     clean = table(logs, "mission_id string, item string, value double, timestamp string")
-    export_reports(clean, out)
+    export_reports(clean.where("item <> 'Crystal King'"), out, 0)
+    export_reports(clean.where("timestamp < '3025-10-11 10'"), out, 1)  # another run adds an object to a stored day
     objects = R.report_objects(clean)
     assert rows(objects.select("checksum")) == rows(R.report_objects(clean.orderBy(F.desc("item"))).select("checksum"))
     state = table([("12",)], "mission_id string").select("mission_id", F.struct(F.lit("GOOD").alias("ship_condition")).alias("ship_state"))
@@ -190,6 +223,7 @@ def test_reports_stored_as_rows_are_ingested_and_pruned_by_day(spark, table, tmp
     assert rows(landing.reports.select("mission_id", "item")) == [(12, "Crystal King"), (7, "Stone of Glory")]
     assert "dynamicpruning" in landing.reports._jdf.queryExecution().optimizedPlan().toString()
     everything = I.ingest_manifests(documents, stored, spark.createDataFrame([], MANIFESTS), NOW)
+    assert everything.reports.count() == 3 and everything.waiting.count() == 0
     assert DQ.checksum_mismatch(everything.manifests, R.report_objects(stored)).count() == 0
     assert DQ.primary_key(everything.ship_state, "ship_state", ["mission_id", "timestamp"]).count() == 0
     assert everything.ship_state.where("mission_id = 12").count() == 2
@@ -201,7 +235,7 @@ def test_manifest_stream_ingests_what_is_new(spark, store, tmp_path):
     target = str(tmp_path / "landing")
 
     def run():
-        J.run_ingest(J.new_manifest_files(spark, str(store)), read_reports(spark, str(store)), target, str(tmp_path / "c"), lambda: NOW).awaitTermination()
+        J.run_ingest(J.new_manifest_files(spark, str(store)), lambda: read_reports(spark, str(store)), target, str(tmp_path / "c"), lambda: NOW).awaitTermination()
         return read_landing(spark, target, "manifests", MANIFESTS).count()
 
     assert run() == 4

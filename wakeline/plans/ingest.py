@@ -17,11 +17,15 @@ from wakeline.schemas import MANIFEST_DOCUMENT, MANIFESTS, MISSION_REPORTS, REPO
 
 
 class Landing(NamedTuple):
-    """What one ingest run appends. Write ``manifests`` last: it marks the others as complete."""
+    """What one ingest run appends. Write ``manifests`` last: it marks the others as complete.
+
+    ``waiting`` names new manifests whose report is not there; they stay new and nothing of them is appended.
+    """
 
     reports: DataFrame
     ship_state: DataFrame
     manifests: DataFrame
+    waiting: DataFrame
 
 
 def telemetry_to_ship_state(scored: DataFrame) -> DataFrame:
@@ -82,32 +86,37 @@ def ingest_manifests(
     """Rows to append to the three landing tables for all new manifests, in one set-based run.
 
     ``documents``: parsed manifests with ``manifest_path, checksum_manifest``; persist them when they come from text,
-    as each of the three results decodes them again. ``report_rows``: report rows with the ``object_key`` of their file
-    and, where stored by day, their ``report_date``. The report rows are the large side and never pass a group; a file
-    that holds a large share of them is sliced for the join.
+    as each of the results decodes them again. ``report_rows``: report rows with the ``object_key`` of their file and,
+    where stored by day and run, ``report_date`` and ``run_id``: the newest run of an object counts. The report rows are
+    the large side and never pass a group; a file that holds a large share of them is sliced for the join.
     """
-    new = new_manifests(documents, registered)
-    loaded = instant(as_of).alias("loaded_at")
-    lineage = new.select(F.col("files.mission").alias("object_key"), F.col("checksum.mission").alias("file_checksum"))
+    new = new_manifests(documents, registered).withColumn("object_key", F.col("files.mission"))
     if "report_date" in report_rows.columns:
         # One row per calendar day at most, so the broadcast is bounded; it prunes the day partitions of the scan.
         days = new.select(F.col("mission_date").alias("report_date")).distinct()
         report_rows = report_rows.join(F.broadcast(days), "report_date", "left_semi")
-    spread = F.struct(*REPORT_COLUMNS)
-    reports = sliced_join(report_rows, lineage, "object_key", spread).select(
-        *REPORT_COLUMNS, "file_checksum", F.col("object_key").alias("source_file"), loaded
+    run = F.col("run_id") if "run_id" in report_rows.columns else F.lit(0).cast("bigint")
+    report_rows = report_rows.select(*REPORT_COLUMNS, "object_key", run.alias("run_id"))
+    objects = report_rows.groupBy("object_key").agg(F.max("run_id").alias("newest_run"))
+    complete = new.join(objects, "object_key")
+
+    lineage = complete.select("object_key", "newest_run", F.col("checksum.mission").alias("file_checksum"))
+    joined = sliced_join(report_rows, lineage, "object_key", F.struct(*REPORT_COLUMNS))
+    reports = joined.where(F.col("run_id") == F.col("newest_run")).select(
+        *REPORT_COLUMNS, "file_checksum", F.col("object_key").alias("source_file"), instant(as_of).alias("loaded_at")
     )
-    manifests = new.select(
+    manifests = complete.select(
         "mission_id",
         "mission_date",
         "manifest_path",
-        F.col("files.mission").alias("mission_file"),
+        F.col("object_key").alias("mission_file"),
         F.col("checksum.mission").alias("checksum_mission"),
         "checksum_manifest",
         utc_text_to_ntz(F.col("upload_time")).alias("upload_time"),
         F.lit(C.INGESTED).alias("status"),
     )
-    return Landing(land(reports, MISSION_REPORTS), _states(new, as_of), land(manifests, MANIFESTS))
+    waiting = new.join(objects, "object_key", "left_anti").select("mission_id", "mission_date", "manifest_path")
+    return Landing(land(reports, MISSION_REPORTS), _states(complete, as_of), land(manifests, MANIFESTS), waiting)
 
 
 def _any_present(struct: str) -> Column:

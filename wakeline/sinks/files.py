@@ -20,18 +20,23 @@ def write_raw_logs(logs: DataFrame, path: str) -> None:
     logs.write.mode("append").option("header", "true").csv(path)
 
 
-def export_reports(reports: DataFrame, path: str, layout: str = "rows", counter: Observation | None = None) -> None:
-    """Cleaned report rows as Parquet; the days a run holds replace what was stored for them.
-
-    ``rows``: a directory per reporting day, ``object_key`` as a column, sorted by it. ``files``: a directory per
-    mission and day. Either way the report columns stay in the files and a large day is written by several tasks.
+def export_reports(
+    reports: DataFrame, path: str, run_id: int = 0, layout: str = "rows", counter: Observation | None = None
+) -> None:
+    """Cleaned report rows as Parquet; an object (mission and day) exported again is replaced by the later run's.
+
+    ``rows``: a directory per reporting day and run, ``object_key`` as a column, sorted by it; a repeated run replaces
+    its own rows, and ``read_report_rows`` leaves choosing an object's newest run to the ingest. ``files``: a directory
+    per mission and day, replaced as a whole. Either way the report columns stay in the files and a large day or
+    object is written by several tasks.
     """
     day = F.substring("timestamp", 1, 10)
     key = report_key(F.col("mission_id"), day.cast("date"))
     rows = reports.withColumns({"report_date": day, "object_key": key})
     content = F.struct("mission_id", "item", "timestamp", "value")
     if layout == "rows":
-        spread, levels = spread_for_write(rows, "report_date", content), ["report_date"]
+        rows = rows.withColumn("run_id", F.lit(run_id).cast("bigint"))
+        spread, levels = spread_for_write(rows, "report_date", content), ["report_date", "run_id"]
     elif layout == "files":
         rows = rows.withColumn("report_mission", F.col("mission_id"))
         spread, levels = spread_for_write(rows, "object_key", content), ["report_mission", "report_date"]

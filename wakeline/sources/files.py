@@ -58,8 +58,8 @@ def read_reports(spark: SparkSession, root: str, modified_after: str | None = No
 
 
 def read_report_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Report rows stored by day, with ``object_key`` and the partition column ``report_date``."""
-    extra = struct(object_key=TEXT, report_date=DATE)
+    """Report rows stored by day and run, with ``object_key`` and the partition columns ``report_date, run_id``."""
+    extra = struct(object_key=TEXT, report_date=DATE, run_id=LONG)
     return spark.read.schema(T.StructType(RAW_REPORT.fields + extra.fields)).parquet(path)
 
 

@@ -7,6 +7,8 @@ is retried after a lost executor or driver replaces its own output.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -130,12 +132,19 @@ def new_manifest_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run_ingest(
-    manifests: DataFrame, report_rows: DataFrame, landing_root: str, checkpoint: str, as_of, trigger: dict = DRAIN
+    manifests: DataFrame,
+    report_rows: Callable[[], DataFrame],
+    landing_root: str,
+    checkpoint: str,
+    as_of: Callable[[], datetime | str],
+    trigger: dict = DRAIN,
 ) -> StreamingQuery:
     """Ingest newly arrived manifests into the landing tables, one run per micro-batch.
 
-    ``as_of`` is called once per batch for its ingest time. With the default trigger the query takes what is new since
-    its last run and ends, so a scheduler can start it every few minutes.
+    ``report_rows`` and ``as_of`` are called once per batch, for a fresh file listing and the ingest time. With the
+    default trigger the query takes what is new since its last run and ends, so a scheduler can start it every few
+    minutes. A batch with a manifest whose report is missing lands the others and fails; it is taken again, with the
+    same manifests, by the next start.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -144,7 +153,11 @@ def run_ingest(
             if documents.isEmpty():
                 return
             earlier = read_landing(batch.sparkSession, landing_root, "manifests", MANIFESTS, below_run=batch_id)
-            append_landing(ingest_manifests(documents, report_rows, earlier, as_of()), landing_root, batch_id)
+            landing = ingest_manifests(documents, report_rows(), earlier, as_of())
+            append_landing(landing, landing_root, batch_id)
+            waiting = landing.waiting.count()
+            if waiting:
+                raise RuntimeError(f"{waiting} manifests of batch {batch_id} wait for their report")
         finally:
             documents.unpersist()
 
