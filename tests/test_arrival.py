@@ -99,6 +99,9 @@ def test_sliced_join_equals_plain_join(table, per_slice):
     large, small = table(big, "k string, v bigint"), table([("HOT", 1)] + [(f"k{i}", i) for i in range(40)], "k string, w bigint")
     got = sliced_join(large, small, "k", F.col("v"), per_slice)
     assert rows(got.select("k", "v", "w")) == rows(large.join(small, "k").select("k", "v", "w"))
+    for how in ("left_semi", "left_anti"):
+        got = sliced_join(large, small.where("k <> 'k3'").select("k"), "k", F.col("v"), per_slice, how)
+        assert rows(got.select("k", "v")) == rows(large.join(small.where("k <> 'k3'"), "k", how).select("k", "v"))
 
 
 def test_hot_key_is_spread_and_nothing_is_lost(table):
@@ -110,6 +113,12 @@ def test_hot_key_is_spread_and_nothing_is_lost(table):
     assert sliced.where("k = 'cold'").select("_slice").distinct().collect()[0]["_slice"] == 0
 
 
+def test_equal_rows_of_a_hot_key_are_spread(table):
+    df = table([("HOT", 1)] * 400, "k string, v bigint").repartition(16)
+    assert with_slice(df, "k", F.col("v"), 50).select("_slice").distinct().count() > 3
+    assert sliced_join(df, table([("HOT", 2)], "k string, w bigint"), "k", F.col("v"), 50).count() == 400
+
+
 def test_rows_without_a_key_are_sliced_too(table):
     df = table([(None, i) for i in range(300)] + [("a", 1000)], "k string, v bigint")
     sliced = with_slice(df, "k", F.col("v"), 100)

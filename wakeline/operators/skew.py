@@ -15,29 +15,37 @@ def hot_keys(df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> D
 
 
 def with_slice(df: DataFrame, key: str, spread_by: Column, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary keys, a hash of ``spread_by`` over the key's slices for hot ones.
+    """Add ``_slice``: 0 for ordinary keys, for hot ones a hash of ``spread_by`` and the input partition over the key's
+    slices.
 
-    The hash depends on row content only, so a recomputed task puts its rows where the lost one did. Null is a key like
-    any other here.
+    The partition number spreads equal rows too. A retried task reads the same partition, so it puts its rows where the
+    lost one did; nothing here is random. Null is a key like any other.
     """
     hot = F.broadcast(hot_keys(df, key, rows_per_slice).withColumnRenamed(key, "_hot"))
-    slice_no = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_slices")), F.lit(0)).cast("int")
+    slice_no = F.coalesce(F.pmod(F.xxhash64(spread_by, F.spark_partition_id()), F.col("_slices")), F.lit(0)).cast("int")
     marked = df.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
     return marked.withColumn("_slice", slice_no).drop("_hot", "_slices")
 
 
 def sliced_join(
-    large: DataFrame, small: DataFrame, key: str, spread_by: Column, rows_per_slice: int = ROWS_PER_SLICE
+    large: DataFrame,
+    small: DataFrame,
+    key: str,
+    spread_by: Column,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of a large side with a side unique in ``key``; rows of hot keys meet copies of their small row.
+    """Inner, left_semi or left_anti join of a large side with a side unique in ``key``: rows of hot keys meet copies
+    of their small row.
 
-    Unlike the runtime skew join it also works where the result is grouped by ``key`` right after.
+    Unlike the runtime skew join it also works where the result is grouped by ``key`` right after, and in micro-batches.
     """
-    large = large.where(F.col(key).isNotNull())
+    if how != "left_anti":
+        large = large.where(F.col(key).isNotNull())
     hot = F.broadcast(hot_keys(large, key, rows_per_slice))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
     copied = small.join(hot, key, "left").withColumn("_slice", copies).drop("_slices")
-    return with_slice(large, key, spread_by, rows_per_slice).join(copied, [key, "_slice"]).drop("_slice")
+    return with_slice(large, key, spread_by, rows_per_slice).join(copied, [key, "_slice"], how).drop("_slice")
 
 
 def spread_for_write(df: DataFrame, key: str, spread_by: Column, rows_per_file: int = ROWS_PER_SLICE) -> DataFrame:
