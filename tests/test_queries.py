@@ -22,5 +22,6 @@ def test_query_agrees_with_sql(spark, con, name):
 def test_entry_point(spark):
     import __spark_entry__ as entry
 
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() == 23
