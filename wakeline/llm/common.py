@@ -151,3 +151,42 @@ def union_find(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if np.array_equal(root, before):
             break
     return root
+
+
+class Recent(dict):
+    """Values of ``make``, kept for the keys seen of late: when full, keys not seen since the last time are let go."""
+
+    def __init__(self, make: Callable, most: int = 150_000):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit finalizer: every input bit reaches every output bit."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def pairs_within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (i, j), i < j, of all pairs inside consecutive groups of the given sizes."""
+    counts = sizes * (sizes - 1) // 2
+    group = np.repeat(np.arange(len(sizes)), counts)
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    n = sizes[group].astype(float)
+    i = np.floor((2 * n - 1 - np.sqrt((2 * n - 1) ** 2 - 8 * at)) / 2).astype(np.int64)
+    n = sizes[group]
+    i -= i * (2 * n - i - 1) // 2 > at  # square roots of large numbers may be off by one
+    i += (i + 1) * (2 * n - i - 2) // 2 <= at
+    j = at - i * (2 * n - i - 1) // 2 + i + 1
+    begin = (np.cumsum(sizes) - sizes)[group]
+    return begin + i, begin + j
