@@ -190,3 +190,39 @@ def pairs_within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     j = at - i * (2 * n - i - 1) // 2 + i + 1
     begin = (np.cumsum(sizes) - sizes)[group]
     return begin + i, begin + j
+
+
+_R = 0xD6E8FEB86659FD93
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number modulo 2^64, and of its inverse."""
+    if len(_POWERS[0]) < n:
+        size = max(n, 1 << 16)
+        for k, base in enumerate((_R, pow(_R, -1, 1 << 64))):
+            grown = np.full(size, base, np.uint64)
+            grown[0] = 1
+            _POWERS[k] = np.multiply.accumulate(grown)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+class Prefixes:
+    """Hashes of any substring of a byte array, from sums over its prefixes."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=self.sums[1:])
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of data[begin:end], elementwise; equal bytes give equal hashes wherever they stand."""
+        value = (self.sums[end] - self.sums[begin]) * self.down[begin]
+        return mixed(value + (end - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def byte_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, starts): UTF-8 of the texts, a line feed behind each; ``starts`` has one more entry than texts."""
+    raw = [t.encode("utf-8", "replace") for t in texts]
+    data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    return data, np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.llm import bpe, mixing, nearjoin, secrets
+from wakeline.llm import bpe, mixing, nearjoin, quality, secrets
 
 #: Ranks of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +31,12 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = quality.classify(documents, quality.fit(documents))
+    return found.withColumn("quality", F.col("accepted").cast("int"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, ends=None)
     coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
@@ -47,6 +53,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_secret_scans": op3_secret_scans,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_source_mixing": op10_source_mixing,
 }
