@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.llm import bpe, mixing, nearjoin, quality, secrets
+from wakeline.llm import bpe, language, mixing, nearjoin, quality, secrets
 
 #: Ranks of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +31,12 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = language.identify(documents, language.fit(documents))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = quality.classify(documents, quality.fit(documents))
@@ -53,6 +59,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_secret_scans": op3_secret_scans,
+    "op4_language_id": op4_language_id,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_source_mixing": op10_source_mixing,
