@@ -21,13 +21,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of Arrow batches with their texts (null: empty), each slice of bounded size."""
     for batch in batches:
         texts = ["" if t is None else t for t in batch.column(text).to_pylist()]
         begin, chars = 0, 0
         for i, t in enumerate(texts):
-            if i > begin and chars + len(t) > CHUNK_CHARS:
+            if i > begin and chars + len(t) > limit:
                 yield batch.slice(begin, i - begin), texts[begin:i]
                 begin, chars = i, 0
             chars += len(t)
