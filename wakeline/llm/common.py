@@ -226,3 +226,14 @@ def byte_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = [t.encode("utf-8", "replace") for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
     return data, np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)])
+
+
+def link_rows(ids: np.ndarray, copies: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """(id, links, near) of rows that have a link (a[i], b[i]): copies linked to, and the least id connected with here."""
+    node, index = np.unique(ids, return_inverse=True)
+    x, y = index[a], index[b]
+    links = np.bincount(x, copies[b], len(node)) + np.bincount(y, copies[a], len(node))
+    some = np.flatnonzero(links)
+    root = union_find(len(node), x, y)
+    columns = [pa.array(node[some]), pa.array(links[some].astype(np.int64)), pa.array(node[root[some]])]
+    return pa.RecordBatch.from_arrays(columns, names=["id", "links", "near"])
