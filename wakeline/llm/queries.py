@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.llm import bpe, language, mixing, nearjoin, quality, secrets, suffixes, vectors
+from wakeline.llm import bpe, fingerprints, language, mixing, nearjoin, quality, secrets, suffixes, vectors
 
 #: Ranks of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,6 +45,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scans": op3_secret_scans,
     "op4_language_id": op4_language_id,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_fingerprints": op6_fingerprints,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
