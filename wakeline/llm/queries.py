@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.llm import bpe, fingerprints, language, mixing, nearjoin, quality, secrets, suffixes, vectors
+from wakeline.llm import bpe, extraction, fingerprints, language, mixing, nearjoin, quality, secrets, suffixes, vectors
 
 #: Ranks of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copy_id")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, extraction.fit(pages))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [
@@ -74,6 +79,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_html_extraction": op2_html_extraction,
     "op3_secret_scans": op3_secret_scans,
     "op4_language_id": op4_language_id,
     "op5_suffix_dedup": op5_suffix_dedup,
