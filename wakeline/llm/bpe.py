@@ -12,7 +12,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from wakeline.llm.common import map_arrow, text_batches
 
@@ -266,10 +266,10 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
     schema = docs.select(*others).schema.add("n_tokens", "long").add(ids, "binary")
     if ends:
         schema = schema.add(ends, "binary")
-    source = docs.select(*others, F.col(text).alias("__text"))
+    source = docs.select(*others, text)
 
     def work(batches):
-        for batch, texts in text_batches(batches, "__text"):
+        for batch, texts in text_batches(batches, text):
             coded = encode_texts(texts, lines.value)
             columns = [batch.column(c) for c in others]
             columns.append(pa.array([len(c) for c in coded], pa.int64()))

@@ -208,7 +208,7 @@ def extract(pages: DataFrame, model: str, html: str = "html", out: str = "text")
 
     def work(batches):
         trees = json.loads(sent.value)
-        for batch, texts in text_batches(batches, "__html"):
+        for batch, texts in text_batches(batches, html):
             for at in range(0, len(texts), 200):
                 read = [Page(t) for t in texts[at : at + 200]]
                 rows = [p.rows() for p in read]
@@ -220,4 +220,4 @@ def extract(pages: DataFrame, model: str, html: str = "html", out: str = "text")
                 columns = [*(part.column(c) for c in others), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return map_arrow(pages.select(*others, F.col(html).alias("__html")), work, schema)
+    return map_arrow(pages.select(*others, html), work, schema)

@@ -309,12 +309,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
         F.max(F.col("n_links")).alias("__links"),
     )
     held = stored(held.filter("__stays"), "kept")
-    tagged = docs.withColumn("__text_key", F.xxhash64(text))
-    met = tagged.join(
-        held.select("__key", F.col("__text_key").alias("__held"), "__times", "__links"),
-        tagged[key].eqNullSafe(F.col("__key")) & (tagged["__text_key"] == F.col("__held")),
-    )
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("text_key"))
+    met = rows.join(held, rows.key.eqNullSafe(held["__key"]) & (rows.text_key == held["__text_key"]))
     if held.filter("__times > 1 and __links > 0").limit(1).count():
         again = (F.col("__times") > 1) & (F.col("__links") > 0)
-        met = met.filter(~again).union(met.filter(again).dropDuplicates(["__key", "__held"]))
-    return met.select(*docs.columns)
+        met = met.filter(~again).union(met.filter(again).dropDuplicates(["key", "text_key"]))
+    return met.select("row.*")

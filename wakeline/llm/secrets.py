@@ -96,13 +96,13 @@ def scan(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame
     Whole texts are read. Null or empty text: an empty array. A column named like ``out`` is replaced.
     """
     others = [c for c in docs.columns if c not in (text, out)]
-    source = docs.select(*others, F.col(text).alias("__text"))
+    source = docs.select(*others, text)
     schema = "array<struct<kind:string,start:int,end:int>>"
     full = docs.select(*others, F.lit(None).cast(schema).alias(out)).schema
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def work(batches):
-        for batch, texts in text_batches(batches, "__text"):
+        for batch, texts in text_batches(batches, text):
             spans = [[{"kind": k, "start": a, "end": b} for k, a, b in find_secrets(t)] for t in texts]
             columns = [*(batch.column(c) for c in others), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=[*others, out])
