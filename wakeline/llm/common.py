@@ -21,6 +21,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drawn(df: DataFrame, hash_: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those of least ``hash_``, one a hash: hashes alone decide, then only these rows move."""
+    cut = df.select(hash_).orderBy(hash_).limit(rows).agg(F.max(hash_)).first()[0]
+    return df.filter(F.lit(False) if cut is None else F.col(hash_) <= cut).dropDuplicates([hash_])
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of Arrow batches with their texts (null: empty), each slice of bounded size."""
     for batch in batches:

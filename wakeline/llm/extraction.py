@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wakeline.llm import boosting, dom, templates
-from wakeline.llm.common import map_arrow, text_batches
+from wakeline.llm.common import drawn, map_arrow, text_batches
 
 #: Pages whose texts fill the taught pages (least hash first), and how many pages are taught.
 SAMPLE, TAUGHT = 300, 500
@@ -184,9 +184,9 @@ def teach(texts: list[str], pages: int = TAUGHT, seed: int = 3) -> dict:
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = SAMPLE) -> str:
     """The trees as JSON text. At most ``sample`` pages, least hash of key and html first, come to the driver."""
-    drawn = pages.filter(F.col(html).isNotNull()).select(F.xxhash64(F.lit(9), key, html).alias("hash"), F.col(html).alias("html"))
+    seen = pages.filter(F.col(html).isNotNull()).select(F.xxhash64(F.lit(9), key, html).alias("hash"), F.col(html).alias("html"))
     texts = []
-    for row in drawn.orderBy("hash", "html").limit(sample).collect():
+    for row in drawn(seen, "hash", sample).orderBy("hash", "html").collect():
         for _, t in Page(row["html"]).pieces:
             t = entities.escape(" ".join((t or "").split()), quote=False).replace(templates.MARK, "")
             if 10 < len(t) < 3000:

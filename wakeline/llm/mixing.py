@@ -90,7 +90,7 @@ def mix(
     taken 0. Null sources form one source, the last. Null keys and repeated rows are rows like others. Equal input
     gives equal output; ties in the shuffle go by key, then size. An empty table gives an empty table.
     """
-    order = F.xxhash64(F.lit(seed), F.col(key), F.col(source), F.col(text))
+    order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key), F.col(source), F.col(text)), 1)
     rows = stored(
         docs.select(
             F.col(key).alias("__key"),
@@ -107,7 +107,7 @@ def mix(
     rows = rows.join(goal, rows["__source"].eqNullSafe(goal["source"])).drop("source", "weight")
 
     bits = max(0, math.ceil(math.log2(max(1, count / CHUNK))))
-    rows = rows.withColumn("__place", F.shiftrightunsigned("__order", 64 - bits) if bits else F.lit(0).cast("long"))
+    rows = rows.withColumn("__place", F.shiftright("__order", 63 - bits) if bits else F.lit(0).cast("long"))
     chunk = Window.partitionBy("rank", "__place").orderBy("__order", "__key", "__size")
     upto = chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = rows.groupBy("rank", "__place").agg(F.sum("__size").alias("__total"))

@@ -44,7 +44,7 @@ def entropy_windows(s: str, width: int, least: float) -> Iterator[tuple[int, int
 
     H = log2(w) - sum(c * log2(c)) / w; a step changes two counts, so it costs the same at any width.
     """
-    weight = [c * math.log2(c) if c else 0.0 for c in range(width + 1)]
+    weight = [c * math.log2(c) if c else 0.0 for c in range(width + 2)]  # one more: counts fall after they rise
     counts: dict[str, int] = {}
     total, begin, end = 0.0, -1, -1
     for i, c in enumerate(s):

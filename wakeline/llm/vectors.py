@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wakeline.llm.common import components, grouped, in_blocks, link_rows, map_arrow, pairs_within, runs, starts_of, stored
+from wakeline.llm.common import components, drawn, grouped, in_blocks, link_rows, map_arrow, pairs_within, runs, starts_of, stored
 
 #: Least cosine of a link.
 COSINE = 0.98
@@ -48,7 +48,8 @@ def pivot_lists(classes: DataFrame) -> tuple[DataFrame, type]:
     """
     count = classes.count()
     number = min(MOST_PIVOTS, max(LEAST_PIVOTS, count // PER_PIVOT))
-    chosen = classes.orderBy(F.xxhash64(F.lit(5), "h1", "h2"), "id").limit(number).select("embedding").toPandas()
+    hashed = classes.select(F.xxhash64(F.lit(5), "h1", "h2").alias("hash"), "label", "embedding")
+    chosen = drawn(hashed, "hash", number).orderBy("hash", "label").select("embedding").toPandas()
     by_size: dict[int, list] = {}
     for v in chosen["embedding"]:
         by_size.setdefault(len(v), []).append(np.asarray(v, np.float64))
