@@ -14,6 +14,8 @@ COSINE = 0.98
 PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 16, 64, 4096
 #: Nearest reference points that describe a vector, and how many of them a pair must share.
 NEAREST, SHARED = 8, 2
+#: No two pivots are nearer: a dense group gets one, so that its members agree on their order of pivots.
+APART = 0.8
 #: Rows of a pivot list, and pairs of rows, that are compared at once.
 BLOCK, PAIRS = 512, 200_000
 
@@ -30,6 +32,17 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
+def apart(rows: np.ndarray) -> np.ndarray:
+    """The rows, in order, that have a cosine below APART with all rows taken before."""
+    taken = np.empty_like(rows)
+    n = 0
+    for row in rows:
+        if not n or (taken[:n] @ row).max() < APART:
+            taken[n] = row
+            n += 1
+    return taken[:n]
+
+
 def nearest_pivots(rows: np.ndarray, pivots: np.ndarray, first: int) -> np.ndarray:
     """(rows, NEAREST) numbers of the nearest pivots, nearest first, ties by number; -1 where there are fewer pivots."""
     out = np.full((len(rows), NEAREST), -1, np.int32)
@@ -44,7 +57,7 @@ def pivot_lists(classes: DataFrame) -> tuple[DataFrame, type]:
     """(inverted lists, numpy type of a component). The lists have a row (label, pivot, id, copies, perm, vec) for each of the nearest pivots of a class.
 
     ``perm`` packs the ordered pivots, ``vec`` the components as doubles or floats. Pivots are classes of least hash,
-    those of one dimension describe the vectors of that dimension.
+    those of one dimension describe the vectors of that dimension. Pivots too near to one another are left out.
     """
     count = classes.count()
     number = min(MOST_PIVOTS, max(LEAST_PIVOTS, count // PER_PIVOT))
@@ -55,8 +68,8 @@ def pivot_lists(classes: DataFrame) -> tuple[DataFrame, type]:
         by_size.setdefault(len(v), []).append(np.asarray(v, np.float64))
     pivots, first = {}, 0
     for size, rows in sorted(by_size.items()):
-        pivots[size] = (unit(np.stack(rows)), first)
-        first += len(rows)
+        pivots[size] = (apart(unit(np.stack(rows))), first)
+        first += len(pivots[size][0])
     sent = classes.sparkSession.sparkContext.broadcast(pivots)
     single = classes.schema["embedding"].dataType.elementType.typeName() == "float"
     kind = np.float32 if single else np.float64
