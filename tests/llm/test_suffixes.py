@@ -1,0 +1,97 @@
+"""Removal of repeated strings against all 400-byte strings counted."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from wakeline.llm import suffixes
+
+from .cases import ODD, words
+
+
+def plain(texts, length=suffixes.LENGTH):
+    """(n_bytes, spans, sha256 of the rest) of each text."""
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(r[i : i + length] for r in raw for i in range(len(r) - length + 1))
+    out = []
+    for r in raw:
+        covered = np.zeros(len(r) + 1, int)
+        for i in range(len(r) - length + 1):
+            if seen[r[i : i + length]] > 1:
+                covered[i] += 1
+                covered[i + length] -= 1
+        mask = np.concatenate([[0], (np.cumsum(covered) > 0)[: len(r)].astype(int), [0]])
+        begin, end = np.flatnonzero(np.diff(mask) == 1), np.flatnonzero(np.diff(mask) == -1)
+        rest = bytes(np.frombuffer(r, np.uint8)[mask[1:-1] == 0])
+        out.append((len(r), list(zip(begin.tolist(), end.tolist())), hashlib.sha256(rest).hexdigest()))
+    return out
+
+
+def check(documents, texts, **more):
+    df = documents(list(enumerate(texts)), more="spans kept t1 anchor")
+    got = {r.doc_id: r for r in suffixes.repeated_spans(df, kept_text=True).collect()}
+    assert len(got) == len(texts)
+    for i, (size, spans, sha) in enumerate(plain(texts)):
+        r = got[i]
+        assert (r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept_sha256) == (size, spans, sha), i
+        assert hashlib.sha256(bytes(r.kept)).hexdigest() == sha
+
+
+def passages():
+    rng = random.Random(8)
+    shared = words(200, 1)
+    texts = [words(rng.randint(20, 300), 10 + i) for i in range(30)]
+    for i in range(0, 20, 2):  # cuts of one passage, some just long enough, some not
+        n = rng.choice((398, 399, 400, 401, 450, 800))
+        at = rng.randint(0, 300)
+        texts[i] = texts[i][:200] + shared[at : at + n] + texts[i][200:]
+    texts += [texts[3], texts[3] + "é", "x" + texts[5], texts[5][10:]]
+    texts += ["ab " * 300, "ab " * 140 + words(40, 99), "ba " * 200, "x" * 399, "x" * 400, "y" * 401, words(70, 5) * 2]
+    half = words(150, 77)
+    return texts + [half[:450] + "1" + half[450:900], half[:450] + "2" + half[450:900], half[200:700], "ä" * 500]
+
+
+def test_as_when_all_strings_are_counted(documents):
+    check(documents, passages())
+
+
+def test_blocks_lose_nothing(documents, monkeypatch):
+    monkeypatch.setattr(suffixes, "BLOCK", 2)
+    shared = words(120, 3)
+    check(documents, [words(30, i) + shared[: 420 + i % 7 * 30] + words(30, 50 + i) for i in range(16)])
+
+
+def test_odd_texts_and_empty_table(documents):
+    check(documents, [*ODD, *ODD[:9]])
+    assert suffixes.repeated_spans(documents([])).collect() == []
+    rows = [(None, "q" * 500), (7, "q" * 500), (7, "q" * 500), (None, None)]
+    got = suffixes.repeated_spans(documents(rows)).collect()
+    assert sorted((str(r.doc_id), [tuple(s) for s in r.spans]) for r in got) == [
+        ("7", [(0, 500)]), ("7", [(0, 500)]), ("None", []), ("None", [(0, 500)])]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_deep_shallow_sort(seed):
+    rng = random.Random(seed)
+    base = bytes(rng.choice(b"ab") for _ in range(80))
+    strings = [base[: rng.randint(0, 80)] + bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 6))) for _ in range(rng.randint(1, 60))]
+    order = suffixes.sorted_suffixes(strings)
+    assert sorted(order) == list(range(len(strings)))
+    assert [strings[i] for i in order] == sorted(strings)
+    grid = suffixes.prefix_lengths(strings)
+    for i in range(len(strings)):
+        for j in range(len(strings)):
+            if i != j:
+                a, b = strings[i], strings[j]
+                want = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+                assert grid[i, j] == want
+
+
+def test_sliding_picks():
+    rng = np.random.default_rng(0)
+    for n, w in ((10, 3), (9, 3), (7, 7), (50, 8)):
+        a = rng.integers(0, 99, n).astype(np.uint64)
+        assert suffixes.sliding(a, w, np.minimum, 2**64 - 1).tolist() == [a[i : i + w].min() for i in range(n - w + 1)]
