@@ -156,7 +156,7 @@ class Page:
                 if block:
                     blocks.append(" ".join("".join(block).split()))
                     block = []
-            elif self.judge[i] in kept and (self.judge[i] or i == 0):
+            elif self.judge[i] in kept:
                 block.append(t)
         if block:
             blocks.append(" ".join("".join(block).split()))

@@ -30,11 +30,11 @@ VOTERS = (
     ("upper", (0.6, 1.0), (0.0, 0.3), 3),
     ("fresh_triples", (0.0, 0.6), (0.85, 1.0), 12),
     ("variety", (0.0, 1.6), (3.5, 1e9), 20),
-    ("bare_words", (0.15, 1.0), (0.0, 0.03), 4),
+    ("bare_words", (0.1, 1.0), (0.0, 0.03), 14),
     ("double_marks", (0.2, 1e9), (0.0, 0.03), 3),
     ("sentence", (90.0, 1e9), (1.5, 60.0), 8),
     ("function_words", (0.0, 0.02), (0.08, 0.7), 20),
-    ("same_again", (0.1, 1.0), (0.0, 0.02), 25),
+    ("same_again", (0.2, 1.0), (0.0, 0.05), 10),
 )
 #: Edges of the bins that make a statistic a feature of the scorer.
 BINS = {
@@ -144,21 +144,22 @@ def accuracies(patterns: np.ndarray, weight: np.ndarray, rounds: int = 100) -> t
     """(posterior of junk for each pattern of votes, share of junk), by expectation-maximisation.
 
     Voters err independently given the class; each has its own chance of voting junk in either class, if it votes at
-    all; abstaining says nothing. A voter knows one kind of junk, so it starts at 0.4 for junk and 0.02 for fine texts.
+    all; abstaining says nothing. A voter knows one kind of junk, so a text starts as junk if two voters say so, as
+    doubtful if one does; from there the votes alone decide.
     """
-    chance = np.tile(np.array([[0.02], [0.4]]), (1, patterns.shape[1]))  # class (0 fine, 1 junk), voter: votes junk
     junk, fine = (patterns == 1).astype(float), (patterns == 2).astype(float)
+    posterior = np.select([junk.sum(1) >= 2, junk.sum(1) == 1], [0.95, 0.3], 0.02)
     share = 0.1
-    posterior = np.full(len(patterns), share)
     for _ in range(rounds):
-        log = junk @ np.log(chance).T + fine @ np.log(1 - chance).T + np.log([1 - share, share])
-        new = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
-        done = np.abs(new - posterior).max(initial=0) < 1e-9
-        posterior = new
+        chance = np.empty((2, patterns.shape[1]))  # class (0 fine, 1 junk), voter: votes junk
         for c, p in ((0, (1 - posterior) * weight), (1, posterior * weight)):
             chance[c] = (p @ junk + 0.1) / (p @ (junk + fine) + 1.0)
         chance[1] = np.maximum(chance[1], chance[0])  # no voter is worse than none
         share = float(np.clip((posterior * weight).sum() / max(weight.sum(), 1e-9), 0.001, 0.5))
+        log = junk @ np.log(chance).T + fine @ np.log(1 - chance).T + np.log([1 - share, share])
+        new = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
+        done = np.abs(new - posterior).max(initial=0) < 1e-9
+        posterior = new
         if done:
             break
     return posterior, share
