@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
-def present(df: DataFrame, digits: int = 9, money: int = 6, **names) -> DataFrame:
-    """Decimals as rounded doubles (fewer digits for values and hours), counts as bigint, times and dates as text."""
+def present(df: DataFrame, digits: int = 9, money: int = 9, **names) -> DataFrame:
+    """Decimals as rounded doubles (values and hours may take other digits), counts as bigint, times and dates as text."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")

@@ -260,15 +260,15 @@ REFRESH = [
 
 def operations_out(source: str = "operations") -> str:
     return f"""SELECT mission_id, ship_name, captain, target, report_freq_min, status, {ts('started_at')} AS started_at,
-       {ts('finished_at')} AS finished_at, {num('mission_duration_hr', 6)} AS mission_duration_hr, total_ticks,
+       {ts('finished_at')} AS finished_at, {num('mission_duration_hr')} AS mission_duration_hr, total_ticks,
        {num('avg_health')} AS avg_health, {num('min_fuel_prc')} AS min_fuel_prc, {num('max_temp_c')} AS max_temp_c,
        {num('avg_radiation_usv')} AS avg_radiation_usv, {num('avg_cargo_int_prc')} AS avg_cargo_int_prc,
        {num('uptime_ratio')} AS uptime_ratio, {ts('computed_at')} AS computed_at FROM {source}"""
 
 
 def cargo_out(source: str = "cargo") -> str:
-    return f"""SELECT mission_id, ship_name, captain, target, nb_unique_items, {num('total_value_poko', 6)} AS total_value_poko,
-       {num('avg_value', 6)} AS avg_value, {num('max_item_value', 6)} AS max_item_value, {ts('computed_at')} AS computed_at
+    return f"""SELECT mission_id, ship_name, captain, target, nb_unique_items, {num('total_value_poko')} AS total_value_poko,
+       {num('avg_value')} AS avg_value, {num('max_item_value')} AS max_item_value, {ts('computed_at')} AS computed_at
        FROM {source}"""
 
 
@@ -280,7 +280,7 @@ def uploads_out(source: str = "uploads") -> str:
 def planets_out(source: str = "planets") -> str:
     return f"""SELECT planet, nb_missions, nb_success, nb_failure, {num('success_rate_pct')} AS success_rate_pct,
        {num('avg_health')} AS avg_health, {num('avg_uptime_pct')} AS avg_uptime_pct,
-       {num('avg_value_poko', 6)} AS avg_value_poko, {ts('computed_at')} AS computed_at FROM {source}"""
+       {num('avg_value_poko')} AS avg_value_poko, {ts('computed_at')} AS computed_at FROM {source}"""
 
 
 def sql(ctes: list[str], body: str) -> str:

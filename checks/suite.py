@@ -250,9 +250,16 @@ def sigmoid(b: Bound) -> DataFrame:
 
 
 @query(f"""SELECT l_orderkey, l_linenumber, {Q.round_binary('p', 2)} AS binary_2, {Q.round_binary('p', 3)} AS binary_3,
-  {Q.num(Q.dec('p', 18, 1))} AS numeric_1 FROM (SELECT l_orderkey, l_linenumber, l_quantity / 7 AS p FROM lineitem)""")
+  {Q.num(Q.dec('p', 18, 1))} AS numeric_1,
+  (CASE WHEN l_linenumber % 2 = 1 THEN -1 ELSE 1 END) * ((t // 64 + CASE WHEN t % 64 > 32 OR (t % 64 = 32 AND (t // 64) % 2 = 1)
+  THEN 1 ELSE 0 END)::DOUBLE / 100) AS large_2
+  FROM (SELECT l_orderkey, l_linenumber, l_quantity / 7 AS p,
+  ((l_orderkey * 134217728)::BIGINT * 64 + l_partkey * 7 % 64) * 100 AS t FROM lineitem)""")
 def rounding(b: Bound) -> DataFrame:
+    """Small quotients, and numbers up to 2^43 of either sign in steps of 1/64, which SQL rounds in whole numbers."""
     p = F.col("l_quantity") / 7
+    sign = F.when(F.col("l_linenumber") % 2 == 1, -1.0).otherwise(1.0)
+    large = (F.col("l_orderkey").cast("double") * 134217728.0 + (F.col("l_partkey") * 7 % 64) / 64.0) * sign
     numeric = N.round_numeric(p.cast("decimal(30,17)"), 1)
     return b.table("lineitem").select(
         "l_orderkey",
@@ -260,6 +267,7 @@ def rounding(b: Bound) -> DataFrame:
         N.round_binary(p, 2).alias("binary_2"),
         N.round_binary(p, 3).alias("binary_3"),
         numeric.cast("double").alias("numeric_1"),
+        N.round_binary(large, 2).alias("large_2"),
     )
 
 

@@ -52,6 +52,11 @@ def test_rounding_equals_python(spark, table):
     rng = random.Random(7)
     values = [k / 16 for k in range(-64, 64)] + [2.675, -2.675, 0.0045, 0.0005, 1e15 + 0.3, 1e300, 0.0]
     values += [rng.randrange(1 << 22) / 2000 for _ in range(20000)] + [rng.uniform(-1e6, 1e6) for _ in range(20000)]
+    # every size up to where doubles are whole, both signs, and the ends of each power of two
+    for power in range(36, 56):
+        some = [rng.uniform(2.0**power, 2.0 ** (power + 1)) for _ in range(400)] + [2.0**power, 2.0**power + 0.125, 2.0**power - 0.375]
+        values += [v * sign for v in some for sign in (1, -1)]
+    values += [1099511627776.123, 8796093022208.127, -8796093022208.127]
     df = table([(v, round(v, 2), round(v, 3)) for v in values], "x double, two double, three double")
     x = F.col("x")
     assert df.where((round_binary(x, 2) != F.col("two")) | (round_binary(x, 3) != F.col("three"))).count() == 0

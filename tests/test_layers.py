@@ -191,3 +191,15 @@ def test_stored_refresh_runs_in_order_and_keeps_old_versions(spark, domain, tmp_
     assert store.versions("bl.mission_summary") == [1, 2]
     assert store.read("bl.mission_summary").count() == 2 and store.read("bl.mission_summary", below=2).count() == 1
     assert MISSIONS["status"].metadata["comment"].startswith("Mission outcome")
+
+
+def test_averages_of_money_are_rounded_once(domain):
+    """15000.00 over 3000001 reports is 0.00499999833: cut to six digits first it would round up to a cent."""
+    from wakeline.operators.aggregates import average
+    from wakeline.functions.numeric import round_numeric
+
+    d = domain([mission(1)])
+    one = d["missions"].select(F.lit("15000.00").cast("decimal(38,2)").alias("value_sum"), F.lit(3000001).cast("bigint").alias("value_n"))
+    got = one.select(average("value").alias("mean"), round_numeric(average("value"), 2).alias("cents")).first()
+    assert str(got["mean"]).startswith("0.004999998") and got["cents"] == Decimal("0.00")
+    assert one.select(average("value").alias("m")).schema["m"].dataType.scale >= 12

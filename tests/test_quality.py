@@ -51,13 +51,6 @@ def test_keys(table):
     assert rows(K.departed(table([("a",), ("b",)], "id string"), table([("b",)], "id string"), "id")) == [("a",)]
 
 
-def test_narrow_broadcasts_few_keys_only(spark):
-    large, wanted = spark.range(100).withColumnRenamed("id", "k"), spark.range(5).withColumnRenamed("id", "k")
-    few = K.narrow(large, wanted, "k")
-    assert few.count() == 5 and "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
-    assert K.narrow(large, wanted, "k", limit=4) is large
-
-
 def test_tables(spark, table, tmp_path):
     from wakeline.sources.tables import read_table
 

@@ -17,7 +17,7 @@ def sigmoid(x: Column) -> Column:
 
 
 def round_fraction(x: Column, digits: int) -> Column:
-    """Round a double below 2^40 in size on its exact binary value, ties to even, as Python's ``round`` does.
+    """Round a double below 2^53 / 10^digits in size on its exact binary value, ties to even, as Python's ``round`` does.
 
     Spark's ``round``/``bround`` work on the shortest decimal text of the double (2.675 looks like a tie, though it
     lies below one) and go through BigDecimal. Here the scaled value is a doubtful tie only where the rounded product
@@ -34,8 +34,12 @@ def round_fraction(x: Column, digits: int) -> Column:
 
 
 def round_binary(x: Column, digits: int) -> Column:
-    """``round_fraction`` for doubles of any size; from 2^40 on they are taken as whole."""
-    return F.when(F.abs(x) < float(2**40), round_fraction(x, digits)).otherwise(x)
+    """``round_fraction`` for doubles of any size.
+
+    From 2^53 / 10^digits on neighbouring doubles lie further apart than a rounding step, so each is the double nearest
+    to its own rounded value.
+    """
+    return F.when(F.abs(x) < float(2**53) / 10**digits, round_fraction(x, digits)).otherwise(x)
 
 
 def round_numeric(x: Column, digits: int) -> Column:

@@ -17,9 +17,15 @@ def sum_and_count(column: str, prefix: str) -> list[Column]:
     return [F.sum(column).alias(f"{prefix}_sum"), F.count(column).alias(f"{prefix}_n")]
 
 
+#: Type of a sum of money before it is divided. A sum of sums is decimal(38,2), whose quotients Spark cuts to six digits;
+#: from this type twelve remain.
+MONEY = "decimal(28,2)"
+
+
 def average(prefix: str) -> Column:
-    """Average from the parts of ``sum_and_count``; null when no value was counted."""
-    return ratio(F.col(f"{prefix}_sum"), F.col(f"{prefix}_n"))
+    """Average from the parts of ``sum_and_count``; null when no value was counted. Sums of ``value`` are money."""
+    total = F.col(f"{prefix}_sum")
+    return ratio(total.cast(MONEY) if prefix == "value" else total, F.col(f"{prefix}_n"))
 
 
 def count_into(df: DataFrame, counter: Observation | None) -> DataFrame:

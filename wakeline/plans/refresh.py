@@ -7,7 +7,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 
 from wakeline.operators.gates import MISSION_WINDOW, missions_gate
-from wakeline.operators.keys import narrow
 from wakeline.plans import business as B, serving as S
 from wakeline.sources.tables import TableStore
 
@@ -57,7 +56,7 @@ def run_bl_refresh(
 ) -> dict[str, DataFrame] | None:
     """Gate, then refresh and store the four summaries; None when no mission was updated within ``window``.
 
-    Only children of missions due for a refresh are aggregated, where these are few. Each summary is written before the
+    Only children of missions due for a refresh are aggregated. Each summary is written before the
     next one reads it, so a later stage starts from stored rows and not from the whole lineage.
     """
     if not missions_gate(sources["missions"], as_of, window).first()["should_run"]:
@@ -66,8 +65,8 @@ def run_bl_refresh(
     missions = sources["missions"]
     changed = B.changed_missions(missions, now["mission_summary"])
     due = B.cargo_due_missions(missions, now["cargo_summary"], as_of)
-    ticks = narrow(sources["ship_state"], changed, "mission_id")
-    reports = narrow(sources["mission_reports"], due, "mission_id")
+    ticks = sources["ship_state"].join(changed.select("mission_id"), "mission_id", "left_semi")
+    reports = sources["mission_reports"].join(due.select("mission_id"), "mission_id", "left_semi")
 
     done = {}
     operations = B.refresh_mission_summary(now["mission_summary"], missions, ticks, as_of)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wakeline import catalogue as C
 from wakeline.functions.numeric import count_ratio, ratio, round_numeric
 from wakeline.functions.times import instant
-from wakeline.operators.aggregates import average, count_where, sum_and_count
+from wakeline.operators.aggregates import MONEY, average, count_where, sum_and_count
 
 _MEASURES = {
     "health": "avg_health",
@@ -58,7 +58,7 @@ def _total() -> Column:
 
 
 def _per(count: Column) -> Column:
-    return round_numeric(ratio(F.col("value_sum"), count), 2)
+    return round_numeric(ratio(F.col("value_sum").cast(MONEY), count), 2)
 
 
 def _success_pct() -> Column:
