@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -529,6 +530,56 @@ def manifests_waiting(b: Bound) -> DataFrame:
     return present(landing.waiting)
 
 
+def _damaged(b: Bound) -> DataFrame:
+    """Manifest documents, those of every seventh mission cut, those of every eleventh without a date."""
+    cut = F.element_at(F.split("manifest_path", "/"), 1).cast("bigint")
+    undated = F.regexp_replace("text", '"date":', '"day":')
+    return _documents(b).withColumn("text", F.when(cut % 7 == 0, "{not json").when(cut % 11 == 0, undated).otherwise(F.col("text")))
+
+
+_UNREADABLE = "mission_id % 7 = 0 OR mission_id % 11 = 0"
+
+
+@query(Q.sql([Q.MANIFESTS], f"SELECT manifest_path AS source, 'no readable mission or date' AS reason FROM manifests WHERE {_UNREADABLE}"))
+def manifests_rejected(b: Bound) -> DataFrame:
+    return I.unreadable_manifests(I.parse_manifests(_damaged(b))).select("source", "reason")
+
+
+@query(
+    Q.sql(
+        [Q.MANIFESTS],
+        f"""SELECT CASE WHEN {_UNREADABLE} THEN 'rejected' WHEN mission_date < DATE '1998-07-01' THEN 'known'
+  WHEN mission_date < DATE '2000-01-01' THEN 'waiting' ELSE 'landed' END AS outcome, count(*) AS n FROM manifests GROUP BY 1""",
+    )
+)
+def manifests_outcomes(b: Bound) -> DataFrame:
+    """Every document ends in one place: landed, known before, waiting for its report, or rejected."""
+    documents = I.parse_manifests(_damaged(b))
+    arrived = b.report_rows.where(F.col("timestamp") >= "2000-01-01")
+    landing = I.ingest_manifests(documents, arrived, b.early_manifests, AS_OF)
+    ids = documents.select(F.col("mission_id").try_cast("bigint").alias("mission_id"), F.col("date").try_cast("date").alias("mission_date"))
+    known = ids.join(b.early_manifests.select("mission_id", "mission_date"), ["mission_id", "mission_date"], "left_semi")
+    unreadable = landing.rejected.where(F.col("reason") == "no readable mission or date")
+    places = {"landed": landing.manifests, "known": known, "waiting": landing.waiting, "rejected": unreadable}
+    each = [df.select(F.lit(name).alias("outcome")) for name, df in places.items()]
+    return reduce(DataFrame.unionAll, each).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    Q.sql(
+        [Q.REPORTS, Q.MANIFESTS, _NEW],
+        """SELECT mission_file AS source, 'report row does not fit' AS reason, count(*) AS n
+FROM reports r JOIN new n ON n.mission_id = r.mission_id AND n.mission_date = CAST(r.seen AS DATE) WHERE value >= 50000 GROUP BY 1""",
+    )
+)
+def landing_rejects(b: Bound) -> DataFrame:
+    """Prices from 50000 on are made too large for their column: these rows are listed and do not land."""
+    value = F.when(F.col("value") >= 50000, F.col("value") * 1e13).otherwise(F.col("value"))
+    landing = I.ingest_manifests(I.parse_manifests(_documents(b)), b.report_rows.withColumn("value", value), b.early_manifests, AS_OF)
+    rows = landing.rejected.where(F.col("reason") == "report row does not fit")
+    return rows.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     Q.sql(
         Q.TICKS,

@@ -6,7 +6,6 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import Observation, functions as F
 
 from tests.conftest import rows
@@ -14,9 +13,9 @@ from wakeline import catalogue as C
 from wakeline.operators import quality as DQ
 from wakeline.operators.reshape import split_encodable, to_topic_records
 from wakeline.plans import ingest as I, reports as R
-from wakeline.schemas import MANIFESTS, MISSION_REPORTS, RAW_REPORT, SHIP_STATE, land
+from wakeline.schemas import MANIFESTS, MISSION_REPORTS, RAW_REPORT, REJECTED, SHIP_STATE, land
 from wakeline.sinks.files import export_reports, write_audit_log, write_manifest_documents, write_raw_logs, write_sorted
-from wakeline.sinks.landing import append_by_name, append_landing, ingested_only, read_landing
+from wakeline.sinks.landing import append_by_name, append_landing, ingested_only, read_landing, read_waiting
 from wakeline.sources.files import (
     file_hashes,
     read_manifest_rows,
@@ -148,23 +147,29 @@ def test_object_exported_again_is_replaced(spark, table, tmp_path):
     assert rows(landing.waiting.select("mission_id", "manifest_path")) == [(3, "p3")]
 
 
-def test_manifest_without_report_waits(spark, store, tmp_path):
+def test_manifest_without_report_waits_and_stops_nobody(spark, store, tmp_path):
     from wakeline.streaming import jobs as J
 
-    target, late = str(tmp_path / "landing"), f"8/{DAY}/mission_8_30251011.parquet"
+    target, late, never = str(tmp_path / "landing"), f"8/{DAY}/mission_8_30251011.parquet", f"9/{DAY}/mission_9_30251011.parquet"
     put_manifest(store, "8", late, "c" * 64)
+    put_manifest(store, "9", never, "d" * 64)
 
     def run_stream():
         query = J.run_ingest(J.new_manifest_files(spark, str(store)), lambda: read_reports(spark, str(store)), target, str(tmp_path / "c"), lambda: NOW)
         query.awaitTermination()
+        assert query.exception() is None
+        return sorted(m["mission_id"] for m in read_landing(spark, target, "manifests", MANIFESTS).collect())
 
-    with pytest.raises(StreamingQueryException, match="wait for their report"):
-        run_stream()
-    assert read_landing(spark, target, "manifests", MANIFESTS).count() == 4
+    assert run_stream() == [1, 2, 3, 4]
     put_report(store, "8", [("Dream Architect", 1000)])
-    run_stream()
-    assert read_landing(spark, target, "manifests", MANIFESTS).count() == 5
-    assert read_landing(spark, target, "mission_reports", MISSION_REPORTS).count() == 9
+    key, sha = put_report(store, "5", [("Dream Architect", 1000)])
+    put_manifest(store, "5", key, sha)
+    assert run_stream() == [1, 2, 3, 4, 5, 8]
+    key, sha = put_report(store, "6", [("Dream Architect", 1000)])
+    put_manifest(store, "6", key, sha)
+    assert run_stream() == [1, 2, 3, 4, 5, 6, 8]
+    assert [r["manifest_path"] for r in read_waiting(spark, target, 99).collect()] == [f"9/{DAY}/manifest_9_30251011.json"]
+    assert read_landing(spark, target, "mission_reports", MISSION_REPORTS).count() == 11
 
 
 def test_both_manifest_readers_agree(spark, store):
@@ -173,10 +178,21 @@ def test_both_manifest_readers_agree(spark, store):
     assert rows(typed) == rows(parsed) and typed.count() == 4
 
 
-def test_broken_document_is_left_out(spark, store, tmp_path):
+def test_broken_documents_and_misfits_are_listed(spark, store, tmp_path):
+    target = str(tmp_path / "landing")
     put(store, "9/x.json", "{not json")
-    run(spark, store, tmp_path / "landing")
-    assert read_landing(spark, str(tmp_path / "landing"), "manifests", MANIFESTS).count() == 4
+    put(store, "9/y.json", '{"mission_id": "9", "date": "some day"}')
+    key, sha = put_report(store, "5", [("Dream Architect", 1000), ("Crystal King", 1e17)])
+    put_manifest(store, "5", key, sha, {"fuel_prc": 12345.0, "temperature_C": 99999.9, "ship_condition": "GOOD"})
+    run(spark, store, target)
+    assert read_landing(spark, target, "manifests", MANIFESTS).count() == 5
+    rejected = rows(read_landing(spark, target, "rejected", REJECTED).select("source", "reason", "detail"))
+    assert [(s, r) for s, r, _ in rejected if r == "no readable mission or date"] == [("9/x.json", "no readable mission or date"), ("9/y.json", "no readable mission or date")]
+    assert [(s, d) for s, r, d in rejected if r == "report row does not fit"] == [(key, "value=1.0E17")]
+    assert [(s, d) for s, r, d in rejected if r == "reading does not fit"] == [(key, "fuel_prc=12345.0, temperature_C=99999.9")]
+    landed = read_landing(spark, target, "mission_reports", MISSION_REPORTS).where("mission_id = 5")
+    assert rows(landed.select("item")) == [("Dream Architect",)]
+    assert rows(read_landing(spark, target, "ship_state", SHIP_STATE).where("mission_id = 5").select("fuel_prc", "ship_condition")) == [(None, "GOOD")]
 
 
 def test_checksums(spark, store, tmp_path):
@@ -298,6 +314,9 @@ def test_topic_records(table):
     assert (good.first()["key"], json.loads(good.first()["value"])) == ("SS_ÉTOILE", {"ship_id": "SS_ÉTOILE", "coord_x": 42.0, "status": None})
     _, dead = split_encodable(table([("k", None)], "key string, value string"))
     assert "serialization_error" in dead.first()["value"]
+    odd = table([("a", 1.0, 2.0), ("b", float("nan"), 2.0), ("c", 1.0, float("-inf")), ("d", None, None)], "ship_id string, x double, y double")
+    good, dead = split_encodable(to_topic_records(odd))
+    assert (rows(good.select("key")), rows(dead.select("key"))) == ([("a",), ("d",)], [("b",), ("c",)])
 
 
 def test_snapshots(spark, table):

@@ -112,6 +112,23 @@ def test_bad_records(spark, topic, tmp_path):
     assert read_lake(spark, str(tmp_path / "lake")).count() == 4
 
 
+def test_bad_records_are_no_ships(spark, topic, tmp_path):
+    good = event(random.Random(1), "1") | {"mission_status": None}
+    topic.send([good | {"ship_id": "A"}, b"not json", b"[1]", b"{}", good | {"ship_id": None}])
+    batch = topic.batch()
+    assert rows(radar_latest(batch).select("ship_id")) == [("A",), ("UNKNOWN",)]
+    assert rows(radar_transitions(batch).select("ship_id")) == [("A",), ("UNKNOWN",)]
+    store = TableStore(spark, str(tmp_path / "tables"))
+    drain(J.run_radar(topic.stream(), store, str(tmp_path / "c2"), J.DRAIN))
+    assert rows(store.read("radar_latest").select("ship_id")) == [("A",), ("UNKNOWN",)]
+    drain(J.run_transitions(topic.stream(), J.states_table(store), str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
+    assert rows(spark.read.parquet(str(tmp_path / "log")).select("ship_id")) == [("A",), ("UNKNOWN",)]
+    rejects = str(tmp_path / "rejects")
+    drain(J.run_telemetry(topic.stream(), str(tmp_path / "c1"), str(tmp_path / "lake"), None, J.DRAIN, rejects))
+    assert sorted(bytes(r["value"]) for r in spark.read.parquet(rejects).collect()) == [b"[1]", b"not json", b"{}"]
+    assert read_lake(spark, str(tmp_path / "lake")).count() == 2
+
+
 def test_sample_event(spark, table):
     value = '{"timestamp":"2025-10-11T10:45:22.345Z","mission_id":3,"coord_x":42.0,"coord_y":24.0,"fuel_prc":99.8}'
     row = parse_telemetry(table([(value,)], "value string")).first()
@@ -152,6 +169,9 @@ def test_new_manifest_files_are_seen_once(spark, tmp_path):
 def test_unknown_source_kind(spark):
     with pytest.raises(ValueError):
         telemetry_source(spark, "carrier pigeon")
+    for refused in ({"starting": "latest"}, {"min_partitions": 8}):
+        with pytest.raises(ValueError):
+            telemetry_source(spark, "files", path="x", **refused)
 
 
 def test_versions_are_pruned(spark, table, tmp_path):

@@ -54,9 +54,15 @@ def merge_gauges(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def to_topic_records(events: DataFrame, key: str = "ship_id", drop: tuple[str, ...] = ()) -> DataFrame:
-    """Keyed UTF-8 JSON records ``key, value``; nulls stay in the JSON."""
+    """Keyed UTF-8 JSON records ``key, value``; nulls stay in the JSON.
+
+    JSON has no NaN and no infinity: an event with such a number has a null value, which ``split_encodable`` sets aside.
+    """
     fields = [c for c in events.columns if c not in drop]
-    return events.select(F.col(key).alias("key"), encode_json(*fields).alias("value"))
+    numbers = [c for c, kind in events.select(*fields).dtypes if kind in ("double", "float")]
+    odd = [F.coalesce(F.isnan(c) | (F.abs(F.col(c)) == float("inf")), F.lit(False)) for c in numbers]
+    value = encode_json(*fields)
+    return events.select(F.col(key).alias("key"), (F.when(~reduce(lambda a, b: a | b, odd), value) if odd else value).alias("value"))
 
 
 def split_encodable(records: DataFrame) -> tuple[DataFrame, DataFrame]:

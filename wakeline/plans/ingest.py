@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wakeline import catalogue as C
 from wakeline.functions.text import sha256_hex
@@ -20,12 +20,16 @@ class Landing(NamedTuple):
     """What one ingest run appends. Write ``manifests`` last: it marks the others as complete.
 
     ``waiting`` names new manifests whose report is not there; they stay new and nothing of them is appended.
+    ``rejected`` (source, reason, detail) lists what could not be taken: documents without a readable mission or date,
+    report rows that do not fit the landing table (they are left out of it), and readings of a state that do not fit
+    (the state lands without them).
     """
 
     reports: DataFrame
     ship_state: DataFrame
     manifests: DataFrame
     waiting: DataFrame
+    rejected: DataFrame
 
 
 def telemetry_to_ship_state(scored: DataFrame) -> DataFrame:
@@ -65,19 +69,44 @@ def parse_manifests(texts: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(documents: DataFrame) -> DataFrame:
+    mission, day = F.col("mission_id").try_cast("bigint"), F.col("date").try_cast("date")
+    return documents.withColumns({"mission_id": mission, "mission_date": day})
+
+
+def unreadable_manifests(documents: DataFrame) -> DataFrame:
+    """``source, reason, detail`` of documents that are no JSON object or lack a readable mission or date."""
+    bad = _keyed(documents).where(F.col("mission_id").isNull() | F.col("mission_date").isNull())
+    return bad.select(
+        F.col("manifest_path").alias("source"),
+        F.lit("no readable mission or date").alias("reason"),
+        F.col("checksum_manifest").alias("detail"),
+    )
+
+
 def new_manifests(documents: DataFrame, registered: DataFrame) -> DataFrame:
     """Documents of (mission, date) pairs not registered yet; of repeats the first path is taken.
 
-    Registered pairs leave before the aggregation, which then shuffles new documents only. Documents without a readable
-    key leave after it: a filter on the grouping keys would be pushed below it and decode every document twice.
+    Documents without a readable key (``unreadable_manifests``) leave first, so they do not meet as one group.
+    Registered pairs leave before the aggregation, which then shuffles new documents only.
     """
-    mission, day = F.col("mission_id").try_cast("bigint"), F.col("date").try_cast("date")
     keys = ["mission_id", "mission_date"]
-    typed = unseen(documents.withColumns({"mission_id": mission, "mission_date": day}), registered, keys)
+    readable = _keyed(documents).where(F.col("mission_id").isNotNull() & F.col("mission_date").isNotNull())
+    typed = unseen(readable, registered, keys)
     rest = [c for c in typed.columns if c not in keys]
-    keyed = (F.col("mission_id").isNotNull() & F.col("mission_date").isNotNull()).alias("_keyed")
-    once = typed.groupBy(*keys).agg(F.min_by(F.struct(*rest, keyed), "manifest_path").alias("_doc"))
-    return once.where("_doc._keyed").select(*keys, *[f"_doc.{c}" for c in rest])
+    once = typed.groupBy(*keys).agg(F.min_by(F.struct(*rest), "manifest_path").alias("_doc"))
+    return once.select(*keys, *[f"_doc.{c}" for c in rest])
+
+
+def _misfits(df: DataFrame, schema: T.StructType) -> Column:
+    """``name=value`` of the columns whose value is there but not representable in the landing table, else null."""
+    have = dict(df.dtypes)
+    bad = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.concat(F.lit(f"{f.name}="), F.col(f.name).cast("string")))
+        for f in schema.fields
+        if f.name in have and have[f.name] != f.dataType.simpleString()
+    ]
+    return F.nullif(F.concat_ws(", ", *bad), F.lit("")) if bad else F.lit(None).cast("string")
 
 
 def ingest_manifests(
@@ -102,9 +131,11 @@ def ingest_manifests(
 
     lineage = complete.select("object_key", "newest_run", F.col("checksum.mission").alias("file_checksum"))
     joined = sliced_join(report_rows, lineage, "object_key", F.struct(*REPORT_COLUMNS))
-    reports = joined.where(F.col("run_id") == F.col("newest_run")).select(
+    counted = joined.where(F.col("run_id") == F.col("newest_run")).select(
         *REPORT_COLUMNS, "file_checksum", F.col("object_key").alias("source_file"), instant(as_of).alias("loaded_at")
     )
+    checked = counted.withColumn("_misfit", _misfits(counted, MISSION_REPORTS))
+    reports = checked.where(F.col("_misfit").isNull()).drop("_misfit")
     manifests = complete.select(
         "mission_id",
         "mission_date",
@@ -116,7 +147,15 @@ def ingest_manifests(
         F.lit(C.INGESTED).alias("status"),
     )
     waiting = new.join(objects, "object_key", "left_anti").select("mission_id", "mission_date", "manifest_path")
-    return Landing(land(reports, MISSION_REPORTS), _states(complete, as_of), land(manifests, MANIFESTS), waiting)
+    states = _states(complete, as_of)
+    left_out = checked.where(F.col("_misfit").isNotNull()).select(
+        F.col("source_file").alias("source"), F.lit("report row does not fit").alias("reason"), F.col("_misfit").alias("detail")
+    )
+    dropped = states.withColumn("_misfit", _misfits(states, SHIP_STATE)).where(F.col("_misfit").isNotNull()).select(
+        F.col("source_file").alias("source"), F.lit("reading does not fit").alias("reason"), F.col("_misfit").alias("detail")
+    )
+    rejected = unreadable_manifests(documents).unionByName(left_out).unionByName(dropped)
+    return Landing(land(reports, MISSION_REPORTS), land(states, SHIP_STATE), land(manifests, MANIFESTS), waiting, rejected)
 
 
 def _any_present(struct: str) -> Column:
@@ -143,7 +182,7 @@ def _states(new: DataFrame, as_of: datetime | str) -> DataFrame:
     day_number = F.date_diff("mission_date", F.lit("1970-01-01").cast("date"))
     ingested_at = instant(as_of) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), day_number / F.lit(1_000_000).cast("decimal(8,0)"))
     planet = F.when(nested, state("coordinates.planet")).otherwise(state("planet"))
-    rows = new.where(_any_present("ship_state")).select(
+    return new.where(_any_present("ship_state")).select(
         "mission_id",
         ingested_at.alias("timestamp"),
         state("ship_condition", C.UNKNOWN).alias("ship_condition"),
@@ -159,4 +198,3 @@ def _states(new: DataFrame, as_of: datetime | str) -> DataFrame:
         F.col("files.mission").alias("source_file"),
         instant(as_of).alias("loaded_at"),
     )
-    return land(rows, SHIP_STATE)

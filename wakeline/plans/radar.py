@@ -14,7 +14,12 @@ def is_terminal() -> Column:
 
 
 def named_ships(telemetry: DataFrame) -> DataFrame:
-    return telemetry.withColumn("ship_id", ship_or_unknown(F.col("ship_id")))
+    """Events with a ship to show: one without a ship id counts as UNKNOWN, a row with neither ship nor mission (what an
+    unreadable record leaves) as none."""
+    seen = telemetry
+    if "mission_id" in telemetry.columns:
+        seen = telemetry.where(F.coalesce(F.col("ship_id").cast("string"), F.col("mission_id").cast("string")).isNotNull())
+    return seen.withColumn("ship_id", ship_or_unknown(F.col("ship_id")))
 
 
 def drop_finished(latest: DataFrame) -> DataFrame:

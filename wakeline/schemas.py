@@ -137,6 +137,10 @@ MANIFEST_DOCUMENT = struct(
     upload_time=TEXT,
 )
 
+#: What an ingest run could not take, and the manifests that wait for their report.
+REJECTED = struct(source=TEXT, reason=TEXT, detail=TEXT)
+WAITING = struct(manifest_path=TEXT, text=TEXT)
+
 #: Column widths declared for text columns: table -> {column: (shortest, longest)}.
 TEXT_WIDTHS = {
     "ship_state": {"planet": (0, 255), "file_checksum": (64, 64)},

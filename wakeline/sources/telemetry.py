@@ -22,21 +22,22 @@ def telemetry_source(
     servers: str | None = None,
     topic: str = TOPIC,
     path: str | None = None,
-    starting: str = "latest",
+    starting: str | None = None,
     max_per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """Streaming topic records. ``kind`` is ``kafka`` (needs the Kafka connector on the classpath) or ``files``.
 
-    ``starting="latest"`` tails the topic, ``"earliest"`` replays it; either way a restarted query continues from its
-    own checkpoint, which takes the place of a consumer group.
+    ``starting="latest"`` (the default) tails the topic, ``"earliest"`` replays it; either way a restarted query
+    continues from its own checkpoint, which takes the place of a consumer group. Files are always read from the first
+    one, in tasks of the file reader's choice: the options that say otherwise are refused there.
     """
     if kind == "kafka":
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
-            .option("startingOffsets", starting)
+            .option("startingOffsets", starting or "latest")
         )
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
@@ -44,6 +45,8 @@ def telemetry_source(
             reader = reader.option("minPartitions", min_partitions)
         return reader.load()
     if kind == "files":
+        if starting not in (None, "earliest") or min_partitions:
+            raise ValueError("a file source takes neither starting='latest' nor min_partitions")
         reader = spark.readStream.schema(TOPIC_RECORD)
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
@@ -65,6 +68,12 @@ def malformed(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("mission_id").isNull())
 
 
+def unreadable(records: DataFrame) -> DataFrame:
+    """Records whose value is no JSON object, or one without mission and ship: no row can be made of them."""
+    decoded = F.from_json(F.col("value").cast("string"), TELEMETRY)
+    return records.where(F.coalesce(decoded["mission_id"], decoded["ship_id"]).isNull())
+
+
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """The telemetry lake in either layout. The schema is declared, so ``mission_id`` stays text ("007" is not 7)."""
     extra = [T.StructField("seq", LONG), T.StructField("batch_id", LONG), T.StructField("mission_bucket", INT)]

@@ -18,11 +18,11 @@ from wakeline.operators.reshape import METRIC_KEYS, latest_gauges
 from wakeline.plans.ingest import ingest_manifests, parse_manifests
 from wakeline.plans.radar import drop_finished, last_known, named_ships, radar_transitions
 from wakeline.schemas import DOUBLE, MANIFESTS, TEXT, struct
-from wakeline.sinks.landing import append_landing, read_landing
+from wakeline.sinks.landing import append_landing, read_landing, read_waiting, write_waiting
 from wakeline.sinks.lake import write_lake
 from wakeline.sources.files import manifest_texts
 from wakeline.sources.tables import ChangeTable, TableStore
-from wakeline.sources.telemetry import parse_telemetry
+from wakeline.sources.telemetry import parse_telemetry, unreadable
 
 log = logging.getLogger(__name__)
 
@@ -54,16 +54,23 @@ def run_telemetry(
     lake_path: str,
     metrics: ChangeTable | None = None,
     trigger: dict = EVERY_SECOND,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Land the stream in the lake and, with ``metrics``, keep the latest gauges up to date."""
+    """Land the stream in the lake and, with ``metrics``, keep the latest gauges up to date.
+
+    With ``rejects_path`` records that give no row (no JSON, neither mission nor ship) go there instead, as they came.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = arriving(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if parsed.isEmpty():
                 return
+            if rejects_path is not None:
+                unreadable(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+            landed = parsed if rejects_path is None else parsed.where(F.coalesce("mission_id", "ship_id").isNotNull())
             counter = Observation()
-            write_lake(parsed, batch_id, lake_path, counter=counter)
+            write_lake(landed, batch_id, lake_path, counter=counter)
             log.info("batch %d: %d telemetry rows", batch_id, counter.get["rows"])
             if metrics is not None:
                 metrics.put(latest_gauges(parsed, "seq"), batch_id)
@@ -109,7 +116,7 @@ def run_transitions(
     """Append status changes to ``log_path``; ``states`` keeps the status each ship is known by."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = arriving(batch).select("seq", "ship_id", "status", "mission_status").persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = arriving(batch).select("seq", "mission_id", "ship_id", "status", "mission_status").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if parsed.isEmpty():
                 return
@@ -143,22 +150,23 @@ def run_ingest(
 
     ``report_rows`` and ``as_of`` are called once per batch, for a fresh file listing and the ingest time. With the
     default trigger the query takes what is new since its last run and ends, so a scheduler can start it every few
-    minutes. A batch with a manifest whose report is missing lands the others and fails; it is taken again, with the
-    same manifests, by the next start.
+    minutes. Manifests whose report is missing are kept in ``waiting`` and taken up again by every later batch; what
+    cannot be read or does not fit is listed in ``rejected``.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        documents = parse_manifests(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch.sparkSession
+        texts = batch.unionByName(read_waiting(spark, landing_root, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+        documents = parse_manifests(texts).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if documents.isEmpty():
+            if texts.isEmpty():
                 return
-            earlier = read_landing(batch.sparkSession, landing_root, "manifests", MANIFESTS, below_run=batch_id)
+            earlier = read_landing(spark, landing_root, "manifests", MANIFESTS, below_run=batch_id)
             landing = ingest_manifests(documents, report_rows(), earlier, as_of())
+            write_waiting(texts, landing.waiting, landing_root, batch_id)
             append_landing(landing, landing_root, batch_id)
-            waiting = landing.waiting.count()
-            if waiting:
-                raise RuntimeError(f"{waiting} manifests of batch {batch_id} wait for their report")
         finally:
             documents.unpersist()
+            texts.unpersist()
 
     return manifests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
