@@ -789,24 +789,33 @@ def mission_outcomes(b: Bound) -> DataFrame:
     return RD.mission_outcomes(b.telemetry)
 
 
+_REPORTED_BY = "2024-01-26 12:00:00"
 _SNAPSHOTS = [
     Q.MISSIONS,
     Q.TELEMETRY,
-    """ticks AS (
-  SELECT t.*, CAST(floor(floor(epoch(ts - TIMESTAMP '2024-01-01 00:00:00')) / (report_freq_min * 21600)) AS BIGINT) AS slot
-  FROM telemetry t JOIN missions m ON m.mission_id = t.mission)""",
-    """ends AS (
-  SELECT mission, seq AS end_seq, slot AS end_slot FROM (
-    SELECT *, row_number() OVER (PARTITION BY mission ORDER BY seq) AS rn FROM ticks WHERE mission_status IS NOT NULL) WHERE rn = 1)""",
+    f"seen AS (SELECT t.* FROM telemetry t JOIN missions m ON m.mission_id = t.mission WHERE ts <= TIMESTAMP '{_REPORTED_BY}')",
+    "ends AS (SELECT mission, min(seq) AS end_seq FROM seen WHERE mission_status IS NOT NULL GROUP BY mission)",
+    "firsts AS (SELECT mission, min(seq) AS seq FROM seen GROUP BY mission)",
+    # Every report time up to the day of the run; what was known then is the latest tick before it.
+    f"""times AS (
+  SELECT mission_id AS mission, k AS report_no, TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) AS at
+  FROM missions, range(1, 200) r(k)
+  WHERE TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) <= TIMESTAMP '{_REPORTED_BY}')""",
+    """known AS (
+  SELECT r.mission, r.report_no, max(t.seq) AS seq FROM times r JOIN seen t ON t.mission = r.mission
+  AND date_trunc('second', t.ts) < r.at GROUP BY 1, 2)""",
     """picked AS (
-  SELECT 0 AS report_no, 'start' AS report_kind, CASE status WHEN 'REPAIR' THEN 'REPAIR' ELSE 'OK' END AS reported, * FROM (
-    SELECT *, row_number() OVER (PARTITION BY mission ORDER BY seq) AS rn FROM ticks) WHERE rn = 1
+  SELECT 0 AS report_no, 'start' AS report_kind, CASE status WHEN 'REPAIR' THEN 'REPAIR' ELSE 'OK' END AS reported, t.*
+  FROM firsts f JOIN seen t ON t.seq = f.seq
   UNION ALL
-  SELECT slot + 1, 'periodic', CASE status WHEN 'REPAIR' THEN 'REPAIR' ELSE 'OK' END, * FROM (
-    SELECT t.*, row_number() OVER (PARTITION BY t.mission, slot ORDER BY seq DESC) AS rn
-    FROM ticks t LEFT JOIN ends e ON e.mission = t.mission WHERE end_slot IS NULL OR slot < end_slot) WHERE rn = 1
+  SELECT k.report_no, 'periodic', CASE status WHEN 'REPAIR' THEN 'REPAIR' ELSE 'OK' END, t.*
+  FROM known k JOIN seen t ON t.seq = k.seq LEFT JOIN ends e ON e.mission = k.mission
+  WHERE NOT EXISTS (SELECT 1 FROM times r JOIN seen x ON x.seq = e.end_seq
+                    WHERE r.mission = k.mission AND r.report_no = k.report_no AND date_trunc('second', x.ts) < r.at)
   UNION ALL
-  SELECT slot + 1, 'final', mission_status, t.*, 1 FROM ticks t JOIN ends e ON e.mission = t.mission AND e.end_seq = t.seq)""",
+  SELECT (SELECT count(*) FROM range(1, 200) r(k) WHERE TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER))
+          <= date_trunc('second', t.ts)) + 1, 'final', mission_status, t.*
+  FROM seen t JOIN ends e ON e.mission = t.mission AND e.end_seq = t.seq JOIN missions m ON m.mission_id = t.mission)""",
     "reported AS (SELECT * REPLACE (reported AS status) FROM picked)",
     Q.scored("snap", "reported", "false"),
 ]
@@ -821,7 +830,7 @@ _SNAPSHOTS = [
 )
 def report_snapshots(b: Bound) -> DataFrame:
     anchor = TM.instant(ANCHOR_EV)
-    snaps = RP.report_snapshots(b.missions, b.telemetry, "seq", F.col("report_freq_min") * 6 * 3600, anchor)
+    snaps = RP.report_snapshots(b.missions, b.telemetry, _REPORTED_BY, "seq", F.col("report_freq_min") * 6 * 3600, anchor)
     return snaps.select(
         "mission_id", "report_no", "kind", "timestamp", "ship_id", "status", "fuel_prc", "normalized_health_total", "ship_condition"
     )

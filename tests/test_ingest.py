@@ -328,13 +328,36 @@ def test_snapshots(spark, table):
 
     schema = "seq bigint, timestamp string, mission_id string, ship_id string, " + ", ".join(f"{n} double" for n in C.TELEMETRY_NUMBERS) + ", status string, mission_status string"
     stream = [event(1, 5, "OK"), event(2, 100, "REPAIR"), event(3, 130, "OK"), event(4, 250, "OK"), event(5, 260, "FAILURE", "FAILURE"), event(6, 300, "OK")]
-    snaps = R.report_snapshots(missions, spark.createDataFrame(stream, schema))
+    snaps = R.report_snapshots(missions, spark.createDataFrame(stream, schema), "2025-01-01 01:00:00")
     got = rows(snaps.select("report_no", "kind", "timestamp", "status"), "report_no", "kind")
     assert [(n, k, s) for n, k, _, s in got] == [(0, "start", "OK"), (1, "periodic", "REPAIR"), (2, "periodic", "OK"), (3, "final", "FAILURE")]
     state = R.latest_states(snaps).first()["ship_state"]
     assert state["status"] == "FAILURE" and state["ship_condition"] == "UNOPERATIONAL"
 
 
+def test_snapshots_follow_the_clock(spark, table):
+    """Period one minute, ticks at 0, 30 and 190 s: every closed period has a report, the running one has none yet."""
+    missions = table([(1, datetime(2025, 1, 1), 1)], "mission_id bigint, started_at timestamp_ntz, report_freq_min int")
+    tick = {n: 1.0 for n in C.TELEMETRY_NUMBERS}
+    schema = "seq bigint, timestamp string, mission_id string, ship_id string, " + ", ".join(f"{n} double" for n in C.TELEMETRY_NUMBERS) + ", status string, mission_status string"
+
+    def snaps(as_of, *events):
+        stream = [{"seq": i, "timestamp": f"2025-01-01T00:{s // 60:02d}:{s % 60:02d}+00:00", "mission_id": "1", "ship_id": "S", **tick, "fuel_prc": float(s), "status": "OK", "mission_status": end}
+                  for i, (s, end) in enumerate(events)]
+        got = R.report_snapshots(missions, spark.createDataFrame(stream, schema), f"2025-01-01 00:{as_of // 60:02d}:{as_of % 60:02d}")
+        return rows(got.select("report_no", "kind", "fuel_prc"), "report_no", "kind")
+
+    open_ = [(0, None), (30, None), (190, None)]
+    at = {t: snaps(t, *open_) for t in (59, 60, 200, 240, 300)}
+    assert at[59] == [(0, "start", 0.0)]
+    assert at[60] == [(0, "start", 0.0), (1, "periodic", 30.0)]
+    assert at[200] == [(0, "start", 0.0), (1, "periodic", 30.0), (2, "periodic", 30.0), (3, "periodic", 30.0)]
+    assert at[240] == [*at[200], (4, "periodic", 190.0)] and at[300] == [*at[240], (5, "periodic", 190.0)]
+    ended = [*open_, (250, "SUCCESS"), (290, None)]
+    assert snaps(245, *ended) == at[240]
+    assert snaps(900, *ended) == [*at[240], (5, "final", 250.0)]
+
+
 def test_sorted_mart(spark, table, tmp_path):
     write_sorted(table([(i,) for i in range(50)], "v int").repartition(3), str(tmp_path / "s"), F.desc("v"))
     assert spark.read.parquet(str(tmp_path / "s")).count() == 50

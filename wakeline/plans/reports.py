@@ -20,23 +20,29 @@ _STATE = ("timestamp", "ship_id", *C.TELEMETRY_NUMBERS)
 def report_snapshots(
     missions: DataFrame,
     telemetry: DataFrame,
+    as_of: datetime | str,
     order: str = "seq",
     period_seconds: Column | None = None,
     anchor: Column | None = None,
 ) -> DataFrame:
-    """Reported states per mission: the first tick, the last tick before every report time, the ending tick.
+    """Reported states per mission by ``as_of``: the first tick, the last tick before every report time, the ending tick.
 
-    ``period_seconds`` defaults to the mission's report frequency and ``anchor`` to its start. Output: ``mission_id,
-    report_no, kind`` (start, periodic, final), the state with its health. The final report carries the mission's
-    outcome as status. The join with the mission's period slices hot missions; right after it the ticks are reduced to
-    three states per (mission, period), in one pass.
+    Report times are ``anchor`` plus whole periods; ``period_seconds`` defaults to the mission's report frequency and
+    ``anchor`` to its start. A report is due at its time, whether or not something arrived in its period: it shows the last known
+    state. Reports end with the mission. Nothing after ``as_of`` is reported or looked at, so a later run repeats all
+    earlier reports. Output: ``mission_id, report_no, kind`` (start, periodic, final), the state with its health. The
+    final report carries the mission's outcome as status.
+
+    The join with the mission's period slices hot missions; right after it the ticks are reduced to three states per
+    (mission, period), in one pass. Empty periods are filled from the state before them, one row per report.
     """
     period = F.col("report_freq_min") * 60 if period_seconds is None else period_seconds
     begin = F.col("started_at") if anchor is None else anchor
-    plan = missions.select("mission_id", period.cast("bigint").alias("_period"), begin.alias("_begin"))
+    due = F.floor(F.timestamp_diff("SECOND", begin, instant(as_of)) / period.cast("bigint")).cast("bigint")
+    plan = missions.select("mission_id", period.cast("bigint").alias("_period"), begin.alias("_begin"), due.alias("_due"))
     typed = telemetry.withColumns(
         {"mission_id": F.col("mission_id").try_cast("bigint"), "_at": utc_text_to_ntz(F.col("timestamp"))}
-    )
+    ).where(F.col("_at") <= instant(as_of))
     ticks = sliced_join(typed, plan, "mission_id", F.col(order))
     seconds = F.timestamp_diff("SECOND", F.col("_begin"), F.col("_at"))
     ticks = ticks.withColumn("_slot", F.floor(seconds / F.col("_period")).cast("bigint"))
@@ -46,28 +52,36 @@ def report_snapshots(
     live_state = F.struct(*_STATE, live)
     end_state = F.struct(*_STATE, F.col("mission_status").alias("status"))
     slots = ticks.groupBy("mission_id", "_slot").agg(
+        F.max("_due").alias("_due"),
         F.min(seq).alias("first_seq"),
         F.min_by(live_state, seq).alias("first"),
         F.max_by(live_state, seq).alias("last"),
         F.min(F.when(ends, seq)).alias("end_seq"),
         F.min_by(end_state, F.when(ends, seq)).alias("end"),
     )
-    # From here on there is one row per mission and period.
+    # From here on there is one row per mission and period that has ticks.
     mission = Window.partitionBy("mission_id")
     ending = F.min(F.when(F.col("end_seq").isNotNull(), F.struct("end_seq", "_slot"))).over(mission)
-    marked = slots.withColumns({"_begin_seq": F.min("first_seq").over(mission), "_ending": ending})
-
-    def report(condition: Column, number: Column, kind: str, state: str) -> Column:
-        return F.when(condition, F.struct(number.cast("bigint").alias("report_no"), F.lit(kind).alias("kind"), F.col(state).alias("state")))
-
-    still_open = F.col("_ending").isNull() | (F.col("_slot") < F.col("_ending._slot"))
-    made = F.array(
-        report(F.col("first_seq") == F.col("_begin_seq"), F.lit(0), "start", "first"),
-        report(still_open, F.col("_slot") + 1, "periodic", "last"),
-        report(F.col("end_seq") == F.col("_ending.end_seq"), F.col("_slot") + 1, "final", "end"),
+    following = F.lead("_slot").over(mission.orderBy("_slot"))
+    marked = slots.withColumns({"_begin_seq": F.min("first_seq").over(mission), "_ending": ending, "_next": following})
+
+    # A slot's last state is shown by the report that closes it and by those up to the next slot with ticks.
+    upto = F.least("_due", F.coalesce("_next", "_due"), F.coalesce("_ending._slot", "_due"))
+    from_ = F.greatest(F.col("_slot") + 1, F.lit(1))
+    numbers = F.when(from_ <= upto, F.sequence(from_, upto)).otherwise(F.array().cast("array<bigint>"))
+
+    def reports(condition: Column, number: Column, kind: str, state: str) -> Column:
+        one = F.array(F.struct(number.cast("bigint").alias("report_no"), F.lit(kind).alias("kind"), F.col(state).alias("state")))
+        return F.when(condition, one).otherwise(F.slice(one, 1, 0))
+
+    periodic = F.transform(numbers, lambda n: F.struct(n.alias("report_no"), F.lit("periodic").alias("kind"), F.col("last").alias("state")))
+    made = F.concat(
+        reports(F.col("first_seq") == F.col("_begin_seq"), F.lit(0), "start", "first"),
+        periodic,
+        reports(F.col("end_seq") == F.col("_ending.end_seq"), F.col("_slot") + 1, "final", "end"),
     )
-    reports = marked.select("mission_id", F.inline(F.array_compact(made)))
-    return score_health(reports.select("mission_id", "report_no", "kind", "state.*"))
+    out = marked.select("mission_id", F.inline(made))
+    return score_health(out.select("mission_id", "report_no", "kind", "state.*"))
 
 
 def state_struct(snapshot_columns: list[str]) -> Column:
