@@ -60,6 +60,7 @@ def test_as_when_all_strings_are_counted(documents):
 
 def test_blocks_lose_nothing(documents, monkeypatch):
     monkeypatch.setattr(suffixes, "BLOCK", 2)
+    monkeypatch.setattr(suffixes, "PAIRWISE", 2)
     shared = words(120, 3)
     check(documents, [words(30, i) + shared[: 420 + i % 7 * 30] + words(30, 50 + i) for i in range(16)])
 
@@ -95,3 +96,15 @@ def test_sliding_picks():
     for n, w in ((10, 3), (9, 3), (7, 7), (50, 8)):
         a = rng.integers(0, 99, n).astype(np.uint64)
         assert suffixes.sliding(a, w, np.minimum, 2**64 - 1).tolist() == [a[i : i + w].min() for i in range(n - w + 1)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_many_and_pairs_agree(seed, monkeypatch):
+    monkeypatch.setattr(suffixes, "REACH", 20)
+    rng = random.Random(seed)
+    pool = [bytes(rng.choice(b"ab") for _ in range(24)) for _ in range(3)]
+    side = lambda: rng.choice(pool)[: rng.choice((3, 12, 20, 20))][: rng.randint(0, 20)] + bytes(rng.choice(b"ab") for _ in range(9))
+    lefts, rights = ([side()[:20] for _ in range(rng.randint(3, 90))] for _ in range(2))
+    n = min(len(lefts), len(rights))
+    a, b = suffixes.reaches(lefts[:n], rights[:n]), suffixes.reaches_of_many(lefts[:n], rights[:n])
+    assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()

@@ -14,8 +14,8 @@ from wakeline.llm.common import Prefixes, byte_table, grouped, in_blocks, map_ar
 LENGTH, ANCHOR = 400, 64
 #: Bytes before and behind an anchor that a string of LENGTH around it can reach.
 REACH = LENGTH - ANCHOR
-#: Characters handed to numpy at once, rows of an anchor compared at once.
-CHUNK, BLOCK = 1_000_000, 512
+#: Occurrences of an anchor that meet in one task, and up to how many are compared by pairs.
+BLOCK, PAIRWISE = 16_384, 128
 #: Bytes compared at once by the multikey quicksort, and the depth from which blind tries take over.
 SUPER, SHALLOW = 8, 24
 
@@ -149,14 +149,20 @@ def sorted_suffixes(strings: list[bytes]) -> list[int]:
     return out
 
 
-def prefix_lengths(strings: list[bytes]) -> np.ndarray:
-    """(n, n) lengths of common prefixes, from those of neighbours in the sorted order."""
+def neighbours(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(order, common prefix of each string with the one before it in the order; 0 for the first)."""
     order = sorted_suffixes(strings)
+    step = [0] + [common_prefix(strings[a], strings[b]) for a, b in zip(order, order[1:])]
+    return np.array(order), np.array(step, np.int32)
+
+
+def prefix_lengths(strings: list[bytes]) -> np.ndarray:
+    """(n, n) lengths of common prefixes: the least of the neighbours' between two places of the order."""
+    order, step = neighbours(strings)
     n = len(order)
-    step = np.array([common_prefix(strings[a], strings[b]) for a, b in zip(order, order[1:])], np.int32)
     grid = np.zeros((n, n), np.int32)
     for k in range(n - 1):
-        grid[order[k], order[k + 1 :]] = np.minimum.accumulate(step[k:])
+        grid[order[k], order[k + 1 :]] = np.minimum.accumulate(step[k + 1 :])
     return np.maximum(grid, grid.T)
 
 
@@ -165,15 +171,48 @@ def reaches(lefts: list[bytes], rights: list[bytes]) -> tuple[np.ndarray, np.nda
 
     ``lefts`` are read away from the anchor. All strings that count hold the anchor, so what they cover is one span.
     """
-    if len(lefts) == 2:
+    n = len(lefts)
+    if n == 2:
         a, b = sorted_suffixes(rights)
         left, right = common_prefix(*lefts), common_prefix(rights[a], rights[b])
         ok = left + right >= REACH
         return np.full(2, left if ok else -1), np.full(2, right if ok else -1)
-    left, right = prefix_lengths(lefts), prefix_lengths(rights)
-    ok = left + right >= REACH
-    np.fill_diagonal(ok, False)
-    return np.where(ok, left, -1).max(1), np.where(ok, right, -1).max(1)
+    if n <= PAIRWISE:
+        left, right = prefix_lengths(lefts), prefix_lengths(rights)
+        ok = left + right >= REACH
+        np.fill_diagonal(ok, False)
+        return np.where(ok, left, -1).max(1), np.where(ok, right, -1).max(1)
+    return reaches_of_many(lefts, rights)
+
+
+def reaches_of_many(lefts: list[bytes], rights: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``reaches`` without comparing pairs.
+
+    A string of LENGTH bytes begins x bytes before the anchor. Occurrences that agree on x bytes to the left are runs of
+    the left order, those that agree on REACH - x bytes to the right are runs of the right order; two that share both
+    runs hold the same string. The x that matter are the common prefixes of neighbours, at most REACH + 1 of them.
+    """
+    n = len(lefts)
+    (left_order, left_step), (right_order, right_step) = neighbours(lefts), neighbours(rights)
+    first = np.union1d(left_step[1:], REACH - right_step[1:])
+    first = first[(first >= 0) & (first <= REACH)]
+    left, right = np.full(n, -1), np.full(n, -1)
+    left_run, right_run = np.empty(n, np.int64), np.empty(n, np.int64)
+    left_size, right_size = np.array([len(x) for x in lefts]), np.array([len(x) for x in rights])
+    for x in first.tolist():
+        left_run[left_order] = np.cumsum(left_step < x)
+        right_run[right_order] = np.cumsum(right_step < REACH - x)
+        some = np.flatnonzero((left_size >= x) & (right_size >= REACH - x))
+        key = left_run[some] * (n + 1) + right_run[some]
+        order = np.argsort(key, kind="stable")
+        same = key[order][1:] == key[order][:-1]
+        twice = np.zeros(len(some), bool)
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        rows = some[twice]
+        left[rows] = np.maximum(left[rows], x)
+        right[rows] = np.maximum(right[rows], REACH - x)
+    return left, right
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -198,7 +237,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
     1. All texts give their anchors with a hash of the context (two longs and a position an anchor, one anchor in 170
        bytes or so). 2. Anchors whose context occurs twice cover it whole. 3. Of anchors with several contexts one
        occurrence a context is cut out, and the contexts of an anchor are compared: suffixes to the right and to the
-       left are sorted, common prefixes follow from neighbours. Anchors with many contexts are cut into pairs of blocks.
+       left are sorted, common prefixes follow from neighbours, in time linear in a large group. Only anchors with over
+       BLOCK different contexts are cut into pairs of blocks.
     4. Covered spans meet the distinct texts again.
     """
     source = docs.select(
@@ -211,7 +251,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
     long = source.filter(F.col("n_bytes") >= LENGTH)
 
     def find(batches):
-        for batch, texts in text_batches(batches, limit=CHUNK):
+        for batch, texts in text_batches(batches):
             data, starts = byte_table(texts)
             owner, place, value, context = anchors(data, starts)
             yield pa.RecordBatch.from_arrays(
@@ -229,34 +269,35 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
     whole = found.join(twice, (found.anchor == twice["__a"]) & (found.context == twice["__c"]))
     whole = whole.select("t1", "t2", (F.col("place") - REACH).alias("begin"), (F.col("place") + LENGTH).alias("end")).distinct()
 
-    kinds = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    several = seen.join(kinds.select("anchor"), "anchor", "left_semi")
-    wanted = several.groupBy("first.t1", "first.t2").agg(F.collect_list(F.struct("first.place", "anchor", "context", "times")).alias("wanted"))
+    several = in_blocks(seen, ["anchor"], F.xxhash64("context"), BLOCK)
+    wanted = several.groupBy("first.t1", "first.t2").agg(
+        F.collect_list(F.struct("first.place", "anchor", "lo", "hi", "times")).alias("wanted")
+    )
     texts = long.groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    names = ["anchor", "lo", "hi", "times", "t1", "t2", "place", "left", "right"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 3, pa.int32(), pa.binary(), pa.binary()]
 
     def cut(batches):
         for batch in batches:
-            out = [[] for _ in range(8)]
+            out = [[] for _ in names]
             for t1, t2, t, want in zip(*(batch.column(c).to_pylist() for c in ("t1", "t2", "text", "wanted"))):
                 raw = t.encode("utf-8", "replace")
                 for w in want:
                     p = w["place"]
-                    row = (w["anchor"], w["context"], w["times"], t1, t2, p, raw[max(0, p - REACH) : p][::-1], raw[p + ANCHOR : p + LENGTH])
+                    row = (*(w[c] for c in names[:4]), t1, t2, p, raw[max(0, p - REACH) : p][::-1], raw[p + ANCHOR : p + LENGTH])
                     for column, x in zip(out, row):
                         column.append(x)
                 if len(out[0]) > 5000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds_)], names=names)
-                    out = [[] for _ in range(8)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds_)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+                    out = [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    names = ["anchor", "context", "times", "t1", "t2", "place", "left", "right"]
-    kinds_ = [pa.int64()] * 5 + [pa.int32(), pa.binary(), pa.binary()]
     cuts = map_arrow(
         texts.join(wanted, ["t1", "t2"]).select("t1", "t2", "text", "wanted"),
         cut,
-        "anchor long, context long, times long, t1 long, t2 long, place int, left binary, right binary",
+        "anchor long, lo int, hi int, times long, t1 long, t2 long, place int, left binary, right binary",
     )
-    met = grouped(in_blocks(cuts, ["anchor"], F.xxhash64("context"), BLOCK, kinds), ["anchor", "lo", "hi"])
+    met = grouped(cuts, ["anchor", "lo", "hi"])
 
     def compare(batches):
         for table in runs(batches, ["anchor", "lo", "hi"]):
@@ -274,7 +315,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
                 names=["t1", "t2", "begin", "end"],
             )
 
-    part = map_arrow(met.drop("context", "side"), compare, "t1 long, t2 long, begin int, end int")
+    part = map_arrow(met, compare, "t1 long, t2 long, begin int, end int")
     spans = whole.union(part).groupBy("t1", "t2").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
     def remove(batches):
