@@ -128,3 +128,12 @@ def test_rows_without_a_key_are_sliced_too(table):
 def test_latest_per_key_takes_the_whole_row(table):
     df = table([("a", 1, "x", None), ("a", 5, None, 2.0), ("b", 2, "y", 3.0)], "k string, seq bigint, s string, d double")
     assert rows(latest_per_key(df, ["k"], "seq")) == [("a", 5, None, 2.0), ("b", 2, "y", 3.0)]
+
+
+def test_numbers_of_requests_far_apart(spark):
+    """Ids millions to 2^40 apart: every request is a chunk of its own, and no window holds all chunks."""
+    from wakeline.operators.arrival import number_by_arrival
+
+    ids = [i * 5_000_000 for i in range(300)] + [2**45 + i * 2**37 for i in range(40)] + [-5, 2**62]
+    got = {r.id: r.number for r in number_by_arrival(spark.createDataFrame([(i,) for i in reversed(ids)], "id bigint"), "id").collect()}
+    assert got == {i: n for n, i in enumerate(sorted(ids), 1)}

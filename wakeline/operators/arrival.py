@@ -63,15 +63,24 @@ def with_previous(
 def number_by_arrival(df: DataFrame, order: str, name: str = "number", chunk: int = CHUNK) -> DataFrame:
     """Number the rows 1..n without gaps in arrival order.
 
-    Rows are numbered inside their chunk and shifted by the count of all earlier chunks. Only the per-chunk counts
-    (one small row per ``chunk`` arrivals) meet in a single task.
+    Rows are numbered inside their chunk and shifted by the count of all earlier chunks, which is added up over blocks of
+    2^16 chunks and blocks of 2^16 such blocks. However far apart arrival numbers lie, no task orders more than 2^16
+    of these counts (of the outermost, that is all there can be for chunks of a million).
     """
     rows = df.withColumn("_chunk", F.floor(F.col(order) / chunk).cast("bigint"))
-    earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (
-        rows.groupBy("_chunk")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    )
+    counts = rows.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumns({"_block": F.shiftright("_chunk", 16), "_outer": F.shiftright("_chunk", 32)})
+    blocks = counts.groupBy("_outer", "_block").agg(F.sum("_n").alias("_n"))
+    outer = blocks.groupBy("_outer").agg(F.sum("_n").alias("_n"))
+
+    def earlier(by: str, inside: str | None) -> Column:
+        window = Window.partitionBy(inside) if inside else Window
+        return F.coalesce(F.sum("_n").over(window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    outer = outer.select("_outer", earlier("_outer", None).alias("_shift_outer"))
+    blocks = blocks.select("_outer", "_block", earlier("_block", "_outer").alias("_shift_block"))
+    shift = counts.select("_outer", "_block", "_chunk", earlier("_chunk", "_block").alias("_shift_chunk"))
+    shift = shift.join(blocks, ["_outer", "_block"]).join(outer, "_outer")
+    shift = shift.select("_chunk", (F.col("_shift_chunk") + F.col("_shift_block") + F.col("_shift_outer")).alias("_shift"))
     inside = F.row_number().over(Window.partitionBy("_chunk").orderBy(order))
     return rows.join(shift, "_chunk").withColumn(name, (F.col("_shift") + inside).cast("bigint")).drop("_chunk", "_shift")

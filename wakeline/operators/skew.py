@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROWS_PER_SLICE = 1_000_000
+#: Longest list of hot keys; it bounds the broadcasts below. A key that is not among the hottest holds less than
+#: rows / MOST_HOT rows.
+MOST_HOT = 10_000
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """``key, _slices`` for keys above ``rows_per_slice`` rows. At most ``rows / rows_per_slice`` keys can be listed,
-    which is what bounds the broadcasts below."""
+    """``key, _slices`` for the ``MOST_HOT`` hottest keys above ``rows_per_slice`` rows."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_slice)
+    counts = counts.orderBy(F.desc("_n"), key).limit(MOST_HOT)
     return counts.select(key, F.ceil(F.col("_n") / rows_per_slice).cast("int").alias("_slices"))
 
 

@@ -98,10 +98,16 @@ def cargo_summary(missions: DataFrame, mission_reports: DataFrame, as_of: dateti
 
 
 def manifest_summary(missions: DataFrame, manifests: DataFrame, as_of: datetime | str) -> DataFrame:
-    """Uploads per mission. ``last_status`` is the greatest status text, not the latest one."""
-    uploads = manifests.groupBy("mission_id").agg(
-        F.count("manifest_path").alias("uploads"),
-        F.max("upload_time").alias("last_upload_time"),
+    """Uploads per mission. ``last_status`` is the greatest status text, not the latest one.
+
+    A maximum of text needs sorted input, so it is taken over one row per (mission, status), which a hash aggregate makes.
+    """
+    kinds = manifests.groupBy("mission_id", "status").agg(
+        F.count("manifest_path").alias("uploads"), F.max("upload_time").alias("last_upload_time")
+    )
+    uploads = kinds.groupBy("mission_id").agg(
+        F.sum("uploads").alias("uploads"),
+        F.max("last_upload_time").alias("last_upload_time"),
         F.max("status").alias("last_status"),
     )
     return missions.join(uploads, "mission_id", "left").select(
@@ -186,9 +192,13 @@ def refresh_cargo_summary(
 def refresh_manifest_summary(
     target: DataFrame, missions: DataFrame, manifests: DataFrame, as_of: datetime | str
 ) -> DataFrame:
-    """Summary after merging missions with an upload newer than the last run; others are never inserted."""
-    fresh = F.coalesce(F.col("last_upload_time"), epoch()) > last_computed(target)
-    batch = manifest_summary(missions, manifests, as_of).where(fresh)
+    """Summary after merging missions with an upload newer than the last run; others are never inserted.
+
+    Only the manifests of such missions are aggregated.
+    """
+    fresh = manifests.where(F.col("upload_time") > last_computed(target)).select("mission_id").distinct()
+    due = [df.join(fresh, "mission_id", "left_semi") for df in (missions, manifests)]
+    batch = manifest_summary(*due, as_of)
     return upsert(target, batch, ["mission_id"], MANIFEST_UPDATE_COLS)
 
 

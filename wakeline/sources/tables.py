@@ -84,22 +84,31 @@ class ChangeTable:
     schema: T.StructType
     every: int = 50
 
-    def read(self, below: int | None = None) -> DataFrame:
-        """Rows as of the newest batch, or of the newest one before ``below``."""
-        return self._merged(below, below)
+    def read(self, below: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """Rows as of the newest batch, or of the newest one before ``below``; with ``only`` those of its keys.
 
-    def _merged(self, base_below: int | None, changes_below: int | None) -> DataFrame:
+        Base and changes are reduced to these keys before they are merged.
+        """
+        return self._merged(below, below, only)
+
+    def _merged(self, base_below: int | None, changes_below: int | None, only: DataFrame | None = None) -> DataFrame:
         bases = [v for v in self.store.versions(self.name) if base_below is None or v < base_below]
         since = bases[-1] if bases else -1
+        keys = list(self.keys)
         base = self.store.read(self.name, self.schema, base_below)
+        if only is not None:
+            base = base.join(only.select(*keys), keys, "left_semi")
         recorded = self.store.versions(self._changes)
         recent = [v for v in recorded if v > since and (changes_below is None or v < changes_below)]
         if not recent:
             return base
         versioned = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
         changes = self.store.spark.read.schema(versioned).parquet(self.store._table(self._changes))
-        newest = latest_per_key(changes.where(F.col("version").isin(recent)), list(self.keys), "version")
-        return upsert(base, newest.drop("version"), list(self.keys), null_keys=True)
+        changes = changes.where(F.col("version").isin(recent))
+        if only is not None:
+            changes = changes.join(only.select(*keys), keys, "left_semi")
+        newest = latest_per_key(changes, keys, "version")
+        return upsert(base, newest.drop("version"), keys, null_keys=True)
 
     def put(self, rows: DataFrame, batch_id: int) -> None:
         """Record a batch's changed rows, one per key; a retried batch replaces its own."""

@@ -121,9 +121,8 @@ def run_transitions(
             if parsed.isEmpty():
                 return
             newest = last_known(parsed)
-            known = states.read(below=batch_id).where(F.col("state").isNotNull())
-            concerned = known.join(newest.select("ship_id"), "ship_id", "left_semi")
-            changes = radar_transitions(parsed, carried=concerned)
+            known = states.read(below=batch_id, only=newest).where(F.col("state").isNotNull())
+            changes = radar_transitions(parsed, carried=known)
             changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
             states.put(newest, batch_id)
         finally:
