@@ -74,7 +74,9 @@ def test_round_trip_with_offsets(documents):
     df = documents([(i, t) for i, t in enumerate(ODD)], more="ids_ more")
     coded = bpe.encode(df, PATH)
     assert coded.columns == ["doc_id", "lang", "source", "n_chars", "ids_", "more", "n_tokens", "ids", "ends"]
-    for r, d in zip(coded.orderBy("doc_id").collect(), bpe.decode(coded, PATH).orderBy("doc_id").collect()):
+    both = bpe.encode(df, PATH, ends=None, decoded="back").select("doc_id", "back").orderBy("doc_id").collect()
+    for r, d, b in zip(coded.orderBy("doc_id").collect(), bpe.decode(coded, PATH).orderBy("doc_id").collect(), both):
+        assert b.back == d.decoded
         raw = (ODD[r.doc_id] or "").encode()
         ids, ends = (struct.unpack(f"<{r.n_tokens}I", x) for x in (r.ids, r.ends))
         assert bytes(d.decoded) == raw

@@ -30,7 +30,7 @@ STATES = 8
 #: Characters that one row of the scan composes before rows are composed with each other.
 WIDTH = 32
 #: Recent slices kept with their ids by each worker (as many older ones stay too), and the longest slice kept.
-CACHE, CACHED_BYTES = 150_000, 64
+CACHE, CACHED_BYTES = 120_000, 64
 NO_RANK = 1 << 40
 
 
@@ -250,8 +250,18 @@ def encode_texts(texts: list[str], lines: bytes) -> list[array]:
     return out
 
 
-def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids", ends: str | None = "ends") -> DataFrame:
-    """``docs`` without its text, plus n_tokens, ``ids`` and ``ends`` (none if ``ends`` is None).
+def decode_ids(coded: list[array], lines: bytes) -> list[bytes]:
+    """Bytes of each text's ids."""
+    tokens = vocabulary(lines)[1]
+    return [b"".join(map(tokens.__getitem__, ids)) for ids in coded]
+
+
+def encode(
+    docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids", ends: str | None = "ends", decoded: str | None = None
+) -> DataFrame:
+    """``docs`` without its text, plus n_tokens, ``ids``, ``ends`` and ``decoded`` (none where the name is None).
+
+    ``decoded`` holds the bytes that the ids give back, as ``decode`` would.
 
     ``ids`` holds the ids as little-endian unsigned 32-bit integers, ``ends`` the byte offset behind each token, packed
     alike; with both a token's bytes are found in the text and back. The rank file is read here and sent to workers;
@@ -261,11 +271,13 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
     """
     with open(ranks_path, "rb") as f:
         lines = docs.sparkSession.sparkContext.broadcast(f.read())
-    added = ["n_tokens", ids, *([ends] if ends else [])]
+    added = ["n_tokens", ids, *([ends] if ends else []), *([decoded] if decoded else [])]
     others = [c for c in docs.columns if c not in (text, *added)]
     schema = docs.select(*others).schema.add("n_tokens", "long").add(ids, "binary")
     if ends:
         schema = schema.add(ends, "binary")
+    if decoded:
+        schema = schema.add(decoded, "binary")
     source = docs.select(*others, text)
 
     def work(batches):
@@ -278,6 +290,8 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
                 tokens = vocabulary(lines.value)[1]
                 stops = (array("I", accumulate(len(tokens[i]) for i in c)).tobytes() for c in coded)
                 columns.append(pa.array(list(stops), pa.binary()))
+            if decoded:
+                columns.append(pa.array(decode_ids(coded, lines.value), pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_arrow(source, work, schema)
@@ -291,9 +305,8 @@ def decode(coded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "deco
     schema = coded.select(*others).schema.add(out, "binary")
 
     def work(batches):
-        tokens = vocabulary(lines.value)[1]
         for batch in batches:
-            texts = [b"".join(map(tokens.__getitem__, array("I", raw or b""))) for raw in batch.column(ids).to_pylist()]
+            texts = decode_ids([array("I", raw or b"") for raw in batch.column(ids).to_pylist()], lines.value)
             columns = [*(batch.column(c) for c in others), pa.array(texts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 

@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wakeline.session import work_path
 
-#: Texts handed to numpy at once stay below this many characters (a longer single text goes alone).
-CHUNK_CHARS = 2_000_000
+#: Texts handed to numpy at once stay below this many bytes (a longer single text goes alone).
+CHUNK_CHARS = 500_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -27,18 +28,22 @@ def drawn(df: DataFrame, hash_: str, rows: int) -> DataFrame:
     return df.filter(F.lit(False) if cut is None else F.col(hash_) <= cut).dropDuplicates([hash_])
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of Arrow batches with their texts (null: empty), each slice of bounded size."""
+def text_batches(
+    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of Arrow batches with their texts (null: empty), of ``limit`` bytes or one text; one is held at a time."""
     for batch in batches:
-        texts = ["" if t is None else t for t in batch.column(text).to_pylist()]
-        begin, chars = 0, 0
-        for i, t in enumerate(texts):
-            if i > begin and chars + len(t) > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
-                begin, chars = i, 0
-            chars += len(t)
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+        if not batch.num_rows:
+            continue
+        column = batch.column(text)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            part = batch.slice(begin, stop - begin)
+            yield part, ["" if t is None else t for t in part.column(text).to_pylist()]
+            begin = stop
 
 
 def map_arrow(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
@@ -162,7 +167,7 @@ def union_find(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Recent(dict):
     """Values of ``make``, kept for the keys seen of late: when full, keys not seen since the last time are let go."""
 
-    def __init__(self, make: Callable, most: int = 150_000):
+    def __init__(self, make: Callable, most: int = 100_000):
         self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):

@@ -65,10 +65,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, ends=None)
-    coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
-    return bpe.decode(coded, RANKS).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, ends=None, decoded="decoded")
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
