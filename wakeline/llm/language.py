@@ -18,7 +18,7 @@ WINDOW = 128
 WIDTHS, FILTERS, EMBED = (2, 3, 4, 5), 12, 8
 #: Training documents of each language, and windows drawn from each: the bound of the fitted sample.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 600, 8
-EPOCHS, BATCH, RATE = 6, 256, 0.004
+STEPS, BATCH, RATE = 500, 256, 0.004
 #: Windows convolved at once.
 STEP = 256
 _LETTER = re.compile(r"[^\W\d_]")
@@ -121,22 +121,20 @@ class Network:
         return grads
 
     def train(self, x: np.ndarray, y: np.ndarray, seed: int = 7) -> None:
-        """Adam over shuffled batches; every language weighs by the windows it has in the sample."""
+        """Adam over shuffled batches, as many whatever the size of the sample."""
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.parts.items()}
         second = {k: np.zeros_like(v) for k, v in self.parts.items()}
-        t = 0
-        for epoch in range(EPOCHS):
-            order = rng.permutation(len(x))
-            rate = RATE * (1 - epoch / EPOCHS)
-            for at in range(0, len(x), BATCH):
-                i = order[at : at + BATCH]
-                t += 1
-                for k, g in self.gradients(x[i], y[i]).items():
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    step = first[k] / (1 - 0.9**t) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
-                    self.parts[k] = (self.parts[k] - rate * step).astype(np.float32)
+        order = np.zeros(0, np.int64)
+        for t in range(1, STEPS + 1):
+            if len(order) < BATCH:
+                order = np.concatenate([order, rng.permutation(len(x))])
+            i, order = order[:BATCH], order[BATCH:]
+            for k, g in self.gradients(x[i], y[i]).items():
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.999 * second[k] + 0.001 * g * g
+                step = first[k] / (1 - 0.9**t) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
+                self.parts[k] = (self.parts[k] - RATE * (1 - t / STEPS) * step).astype(np.float32)
 
 
 def held_out(key: Column) -> Column:
