@@ -17,9 +17,12 @@ from wakeline.functions.health import score_health, subsystem_scores
 from wakeline.operators import aggregates as A, gates as G, keys as K, quality as DQ, registry as R, reshape as RS
 from wakeline.operators.skew import sliced_join
 from wakeline.plans import business as B, ingest as I, radar as RD, refresh as RF, reports as RP, serving as S
-from wakeline.schemas import SHIP_STATE
+from wakeline.schemas import MANIFESTS, MISSION_REPORTS, SHIP_STATE
 from wakeline.session import work_path
+from wakeline.sinks import files as SF
+from wakeline.sinks.landing import append_landing, ingested_only, read_landing, rebuild_layer
 from wakeline.sources.dimensions import planets, unknown_targets, with_arrival, with_target_position
+from wakeline.sources.files import read_manifest_rows, read_mission_logs, read_report_rows
 from wakeline.sources.tables import TableStore
 from wakeline.sources.telemetry import malformed, parse_telemetry, read_lake
 from wakeline.streaming import jobs as J
@@ -1029,3 +1032,87 @@ def stream_radar_transitions(b: Bound) -> DataFrame:
     states = J.states_table(TableStore(b.spark, f"{root}/tables"))
     J.run_transitions(_event_stream(b), states, f"{root}/log", f"{root}/checkpoint", J.DRAIN).awaitTermination()
     return b.spark.read.parquet(f"{root}/log").drop("batch_id")
+
+
+# --- what is written and read back -------------------------------------------------------------------------------
+
+
+@query(
+    Q.sql(
+        [Q.REPORTS, Q.MANIFESTS],
+        f"""SELECT CAST(r.mission_id AS VARCHAR) AS mission_id, item, {Q.num('value')} AS value, {Q.ts('seen')} AS "timestamp", mission_file AS object_key
+FROM reports r JOIN manifests n ON n.mission_id = r.mission_id AND n.mission_date = CAST(r.seen AS DATE)""",
+    )
+)
+def stored_reports(b: Bound) -> DataFrame:
+    """Report rows by day and run; the run is repeated for its last days and replaces itself there."""
+    path, rows = work_path(b.spark, "reports"), b.report_rows.drop("object_key")
+    SF.export_reports(rows, path, 0)
+    SF.export_reports(rows.where(F.col("timestamp") >= "1998-06-01"), path, 0)
+    return read_report_rows(b.spark, path).select("mission_id", "item", "value", "timestamp", "object_key")
+
+
+@query(Q.sql([Q.MANIFESTS], "SELECT manifest_path, checksum_mission AS checksum FROM manifests"))
+def stored_manifests(b: Bound) -> DataFrame:
+    """Manifest documents of two runs; of each path the newer one is read."""
+    path, documents = work_path(b.spark, "documents"), _documents(b)
+    SF.write_manifest_documents(documents.withColumn("text", F.lit("{}")), path, 0)
+    SF.write_manifest_documents(documents, path, 1)
+    got = read_manifest_rows(b.spark, path)
+    return got.select("manifest_path", F.get_json_object("text", "$.checksum.mission").alias("checksum"))
+
+
+@query(ORACLES["clean_reports"])
+def stored_logs(b: Bound) -> DataFrame:
+    """Raw logs as CSV, written twice by one run, read by column names and cleaned."""
+    path, parts = work_path(b.spark, "logs"), b.table("part").select("p_partkey", F.col("p_name").alias("item"))
+    raw = b.table("lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").cast("string").alias("mission_id"),
+        "item",
+        F.col("l_quantity").cast("string").alias("value"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+    )
+    for _ in range(2):
+        SF.write_raw_logs(raw, path, 0)
+    return I.clean_reports(read_mission_logs(b.spark, path).select("mission_id", "item", "value", "timestamp"))
+
+
+@query(ORACLES["audit_log"])
+def stored_audit_log(b: Bound) -> DataFrame:
+    path, events = work_path(b.spark, "audit"), audit_log(b)
+    for _ in range(2):
+        SF.write_audit_log(events, path, run_id=0)
+    names = events.columns
+    return b.spark.read.json(path).withColumn("log_date", F.col("log_date").cast("string")).select(*names)
+
+
+@query(ORACLES["manifest_registration"])
+def stored_landing(b: Bound) -> DataFrame:
+    """An ingest run appended twice under its number, and read over all runs."""
+    root = work_path(b.spark, "landing")
+    for _ in range(2):
+        append_landing(_landing(b), root, 1)
+    reports = read_landing(b.spark, root, "mission_reports", MISSION_REPORTS)
+    manifests = read_landing(b.spark, root, "manifests", MANIFESTS)
+    landed = ingested_only(reports, manifests).select("source_file").distinct()
+    seen = manifests.join(landed, manifests["mission_file"] == landed["source_file"], "left_semi")
+    return present(seen.drop("checksum_manifest"))
+
+
+@query(ORACLES["upsert_cargo_summary"])
+def stored_refresh(b: Bound) -> DataFrame:
+    """Summaries as of T1 in the table store, refreshed there by one gated run."""
+    store = TableStore(b.spark, work_path(b.spark, "bl"))
+    early = RF.bl_rebuild(b.early_missions, b.early_ship_state, _early_reports(b), b.early_manifests, T1)
+    rebuild_layer(store, "bl", early)
+    sources = {"missions": b.missions, "ship_state": b.ship_state, "mission_reports": b.mission_reports, "manifests": b.manifests}
+    done = RF.run_bl_refresh(store, sources, AS_OF, timedelta(days=36500))
+    return present(done["cargo_summary"])
+
+
+@query(ORACLES["mart_ship_performance"])
+def stored_mart(b: Bound) -> DataFrame:
+    """The ship leaderboard stored in rank order."""
+    path = work_path(b.spark, "mart")
+    SF.write_sorted(S.mart_ship_performance(*_mart_inputs(b), AS_OF), path, F.desc_nulls_first("total_value_poko"), "ship_name")
+    return present(b.spark.read.parquet(path))

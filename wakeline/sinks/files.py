@@ -15,9 +15,9 @@ from wakeline.operators.aggregates import count_into
 from wakeline.operators.skew import spread_for_write
 
 
-def write_raw_logs(logs: DataFrame, path: str) -> None:
-    """Raw mission logs as CSV with header."""
-    logs.write.mode("append").option("header", "true").csv(path)
+def write_raw_logs(logs: DataFrame, path: str, run_id: int = 0) -> None:
+    """Raw mission logs as CSV with header, in a folder of the run; a repeated run replaces its own."""
+    logs.write.mode("overwrite").option("header", "true").csv(f"{path}/run_id={run_id}")
 
 
 def export_reports(
@@ -64,13 +64,14 @@ def write_manifest_documents(documents: DataFrame, path: str, run_id: int = 0, l
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("manifest_date", "manifest").text(path)
 
 
-def write_audit_log(events: DataFrame, path: str, by_mission: bool = False) -> None:
-    """Audit events as JSON below ``log_date`` and, for small volumes, below the mission."""
+def write_audit_log(events: DataFrame, path: str, by_mission: bool = False, run_id: int = 0) -> None:
+    """Audit events as JSON below ``log_date`` (and, for small volumes, the mission) and the run, which replaces its own."""
+    levels = ["log_date"]
     if by_mission:
-        keyed = events.withColumn("log_mission", F.col("mission_id")).drop("object_key")
-        keyed.write.mode("append").partitionBy("log_date", "log_mission").json(path)
-    else:
-        events.write.mode("append").partitionBy("log_date").json(path)
+        events = events.withColumn("log_mission", F.col("mission_id")).drop("object_key")
+        levels.append("log_mission")
+    rows = events.withColumn("run_id", F.lit(run_id).cast("bigint"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels, "run_id").json(path)
 
 
 def write_sorted(df: DataFrame, path: str, *order) -> None:
