@@ -1045,10 +1045,9 @@ FROM reports r JOIN manifests n ON n.mission_id = r.mission_id AND n.mission_dat
     )
 )
 def stored_reports(b: Bound) -> DataFrame:
-    """Report rows by day and run; the run is repeated for its last days and replaces itself there."""
+    """Report rows by day and run, with the key of their object."""
     path, rows = work_path(b.spark, "reports"), b.report_rows.drop("object_key")
     SF.export_reports(rows, path, 0)
-    SF.export_reports(rows.where(F.col("timestamp") >= "1998-06-01"), path, 0)
     return read_report_rows(b.spark, path).select("mission_id", "item", "value", "timestamp", "object_key")
 
 
