@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from wakeline.llm.common import Prefixes, byte_table, map_arrow, mixed, stored, text_batches
 
 #: Rows that the scorer is fitted on, about so many, drawn by hash from all rows.
-SAMPLE = 6000
+SAMPLE = 4000
 #: Size of the scorer's hashed feature space.
 DIMS = 2048
 #: Documents with a lower probability of being fine are rejected.
@@ -272,9 +272,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
                 yield pa.RecordBatch.from_arrays(columns, names=["hash", "code", "x"])
 
     drawn = source.filter(F.pmod("hash", F.lit(max(total, 1))) < sample)
-    drawn = stored(map_arrow(drawn, describe, "hash long, code long, x binary"), "drawn").orderBy("hash", "code").toPandas()
-    x = np.frombuffer(b"".join(drawn["x"]), np.float16).reshape(-1, DIMS).astype(np.float32)
-    fine = 1 - np.array([junk[c] for c in drawn["code"]])
+    drawn = stored(map_arrow(drawn, describe, "hash long, code long, x binary"), "drawn").orderBy("hash", "code").toArrow()
+    x = np.frombuffer(b"".join(drawn.column("x").to_pylist()), np.float16).reshape(-1, DIMS).astype(np.float32)
+    fine = 1 - np.array([junk[c] for c in drawn.column("code").to_pylist()])
     weights = fit_scorer(x, fine)
     return json.dumps({"posterior": junk, "weights": base64.b64encode(weights.tobytes()).decode()})
 
