@@ -167,13 +167,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(langs), pa.array(rows, pa.binary())], names=["key", "lang", "x"])
 
     schema = taught.select("key", "lang").schema.add("x", "binary")
-    got = map_arrow(taught, cut, schema).orderBy("lang", "key", "x").toPandas()
-    got = got[got["x"].map(len) > 0]
-    langs = sorted(set(got["lang"]))
+    got = map_arrow(taught, cut, schema).orderBy("lang", "key", "x").toArrow()
+    got = [(v, r) for v, r in zip(got.column("lang").to_pylist(), got.column("x").to_pylist()) if r]
+    langs = sorted({v for v, _ in got})
     net = Network(langs or [])
     if langs:
-        x = [np.frombuffer(r, np.uint8).reshape(-1, WINDOW) for r in got["x"]]
-        y = np.repeat([langs.index(v) for v in got["lang"]], [len(r) for r in x])
+        x = [np.frombuffer(r, np.uint8).reshape(-1, WINDOW) for _, r in got]
+        y = np.repeat([langs.index(v) for v, _ in got], [len(r) for r in x])
         net.train(np.concatenate(x), y)
     return net.dump()
 
