@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import sql as Q
-from checks.bindings import ANCHOR_EV, AS_OF, MID_EV, T1, Bound, events_as_records, terminal_commands
+from checks.bindings import ANCHOR_EV, AS_OF, AS_OF_EV, MID_EV, T1, Bound, events_as_records, terminal_commands
 from checks.present import present
 from wakeline import catalogue as C
 from wakeline.functions import numeric as N, text as X, times as TM
@@ -792,18 +792,17 @@ def mission_outcomes(b: Bound) -> DataFrame:
     return RD.mission_outcomes(b.telemetry)
 
 
-_REPORTED_BY = "2024-01-26 12:00:00"
 _SNAPSHOTS = [
     Q.MISSIONS,
     Q.TELEMETRY,
-    f"seen AS (SELECT t.* FROM telemetry t JOIN missions m ON m.mission_id = t.mission WHERE ts <= TIMESTAMP '{_REPORTED_BY}')",
+    f"seen AS (SELECT t.* FROM telemetry t JOIN missions m ON m.mission_id = t.mission WHERE ts <= TIMESTAMP '{AS_OF_EV}')",
     "ends AS (SELECT mission, min(seq) AS end_seq FROM seen WHERE mission_status IS NOT NULL GROUP BY mission)",
     "firsts AS (SELECT mission, min(seq) AS seq FROM seen GROUP BY mission)",
     # Every report time up to the day of the run; what was known then is the latest tick before it.
     f"""times AS (
   SELECT mission_id AS mission, k AS report_no, TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) AS at
   FROM missions, range(1, 200) r(k)
-  WHERE TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) <= TIMESTAMP '{_REPORTED_BY}')""",
+  WHERE TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) <= TIMESTAMP '{AS_OF_EV}')""",
     """known AS (
   SELECT r.mission, r.report_no, max(t.seq) AS seq FROM times r JOIN seen t ON t.mission = r.mission
   AND date_trunc('second', t.ts) < r.at GROUP BY 1, 2)""",
@@ -833,7 +832,7 @@ _SNAPSHOTS = [
 )
 def report_snapshots(b: Bound) -> DataFrame:
     anchor = TM.instant(ANCHOR_EV)
-    snaps = RP.report_snapshots(b.missions, b.telemetry, _REPORTED_BY, "seq", F.col("report_freq_min") * 6 * 3600, anchor)
+    snaps = RP.report_snapshots(b.missions, b.telemetry, AS_OF_EV, "seq", F.col("report_freq_min") * 6 * 3600, anchor)
     return snaps.select(
         "mission_id", "report_no", "kind", "timestamp", "ship_id", "status", "fuel_prc", "normalized_health_total", "ship_condition"
     )

@@ -2,6 +2,7 @@
 
 import pytest
 
+from checks import sql as Q
 from checks.compare import compare, connect
 from checks.suite import ORACLES, QUERIES
 
@@ -25,3 +26,11 @@ def test_entry_point(spark):
     assert set(ORACLES) == set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() == 23
+
+
+def test_snapshots_cover_the_whole_table(spark, con):
+    """Every mission with an ending tick, however late, has its final report."""
+    kinds = [r.kind for r in QUERIES["report_snapshots"](spark, SF).collect()]
+    ended = "SELECT count(DISTINCT mission) FROM seen WHERE mission_status IS NOT NULL"
+    seen = ", ".join([Q.MISSIONS, Q.TELEMETRY, "seen AS (SELECT t.* FROM telemetry t JOIN missions m ON m.mission_id = t.mission)"])
+    assert kinds.count("final") == con.execute(f"WITH {seen} {ended}").fetchone()[0] > 0
