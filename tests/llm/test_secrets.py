@@ -90,3 +90,34 @@ def test_redaction(documents):
     assert out[0].text.startswith("[secret] token:abc [secret]")
     assert secrets.scan(documents([])).collect() == [] and secrets.redact(documents([])).collect() == []
     assert secrets.scan(documents([(1, None)])).select(F.size("secrets")).first()[0] == 0
+
+
+@pytest.mark.parametrize(
+    "before, key, behind",
+    [
+        ("/v1/example-bucket/", "9aF3kLm2Qx7Vb2Nn8Rt5Wp1Ys6Hd", ""),
+        ("", "9aF3kLm2Qx7Vb2Nn8Rt5Wp1Ys6Hd", "_000000"),
+        ("example", "9aF3kLm2Qx7Vb2Nn8Rt5Wp1Ys6Hd", ""),
+        ("", "A9F03B77C1D45E8260BF", "000000A9F03B77C1D45E8260BF"),
+        ("", "qWzKxRvTbNmLpYsGdHfJcQaZ", ""),
+        ("docs/", "qWzKxRvTbNmLpYsGdHfJcQaZwXeD", ""),
+    ],
+)
+def test_harmless_parts_hide_no_key_beside_them(documents, before, key, behind):
+    text = f"see {before}{key}{behind} there"
+    spans = [(a, b) for k, a, b in secrets.find_secrets(text) if k not in secrets.BASE_KINDS]
+    assert any(a <= text.index(key) and text.index(key) + len(key) <= b for a, b in spans)
+    assert key not in secrets.redact(documents([(1, text)])).first().text
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "/v1/example-bucket/object-names/for-testing",
+        "AbstractSingletonProxyFactoryBean src/main/java/com/company/HandlerFactory",
+        "documentation/getting-started/installation-guide/v2 the_quick_brown_fox_jumps_over_lazy_dogs",
+        "0123456789ABCDEF0123456789ABCDEF XXXXXXXX-XXXXXX-XXXXXXXXXX-XXXX1",
+    ],
+)
+def test_windows_of_harmless_parts_alone_are_left(text):
+    assert secrets.find_secrets(text) == []

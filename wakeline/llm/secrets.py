@@ -29,25 +29,86 @@ CLASSES = {
 }
 KINDS = (*BASE_KINDS, *CLASSES)
 
-#: Candidates that are no secrets whatever their entropy.
+#: Candidates that may hold harmless parts; what exactly is harmless in them says ``harmless``.
 ALLOWED = (
-    re.compile(r"[^0-9]*"),  # words, however long: no digit
+    re.compile(r"[^0-9]*"),  # words: no digit
     re.compile(r"[0-9]*"),  # numbers
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),  # UUIDs
     re.compile(r"(?:[A-Za-z]+[_/-])+[A-Za-z0-9]{0,8}"),  # paths and names in parts
     re.compile(r".*(?:EXAMPLE|example|XXXXXX|xxxxxx|000000|123456789|abcdefgh).*"),  # placeholders, sequences
 )
+PART = re.compile(r"[A-Za-z0-9]+")
+HUMP = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+NUMBER = re.compile(r"v?[0-9]+")
+PLACEHOLDER = re.compile(r"EXAMPLE|example")
+REPEAT = re.compile(r"([A-Za-z0-9])\1{5,}")
+#: Characters that go up one by one from which a stretch is a sequence; a letter may follow 9.
+SEQUENCE = 6
 
 
-def entropy_windows(s: str, width: int, least: float) -> Iterator[tuple[int, int]]:
+def is_word(part: str, width: int) -> bool:
+    """Letters that are cased like words: humps of three or more (the first may be shorter), four on average.
+
+    A hump as long as a window is left to its entropy.
+    """
+    if not part.isalpha():
+        return False
+    humps = [len(h) for h in HUMP.findall(part)]
+    if len(part) <= 3:
+        return True
+    return max(humps) < width and min(humps[1:], default=3) >= 3 and len(part) >= 4 * len(humps) - 3
+
+
+def harmless(s: str, width: int) -> bytearray:
+    """A flag for every character of a candidate: 1 where a harmless part covers it.
+
+    Parts end at / _ - + =. Harmless are separators, words, numbers, a whole UUID, an end of up to 8 characters behind a
+    word, repeats of a character, sequences, and a part named example unless what else is in it is as long as a window.
+    Candidates that match nothing of ALLOWED have no harmless part.
+    """
+    flags = bytearray(len(s))
+    if not any(p.fullmatch(s) for p in ALLOWED):
+        return flags
+    if ALLOWED[1].fullmatch(s) or ALLOWED[2].fullmatch(s):
+        return bytearray(b"\1" * len(s))
+    spans, at, after_word = [], 0, False
+    for m in PART.finditer(s):
+        spans.append((at, m.start()))
+        at = m.end()
+        word = is_word(m[0], width)
+        if word or NUMBER.fullmatch(m[0]) or (after_word and at - m.start() <= 8 and not s[at:].strip("=")):
+            spans.append(m.span())
+        for x in PLACEHOLDER.finditer(m[0]):
+            short = x.start() < width and len(m[0]) - x.end() < width
+            spans.append(m.span() if short else (m.start() + x.start(), m.start() + x.end()))
+        after_word = word
+    spans.append((at, len(s)))
+    spans += [m.span() for m in REPEAT.finditer(s)]
+    begin = 0
+    for i in range(1, len(s) + 1):
+        if i < len(s) and (ord(s[i]) == ord(s[i - 1]) + 1 or s[i - 1] == "9" and s[i] in "aA"):
+            continue
+        if i - begin >= SEQUENCE:
+            spans.append((begin, i))
+        begin = i
+    for x, y in spans:
+        flags[x:y] = b"\1" * (y - x)
+    return flags
+
+
+def entropy_windows(s: str, width: int, least: float, harmless: bytes = b"") -> Iterator[tuple[int, int]]:
     """Unions of the windows of ``width`` characters whose Shannon entropy is ``least`` or more.
 
+    Windows of which every character is flagged in ``harmless`` don't count.
+
     H = log2(w) - sum(c * log2(c)) / w; a step changes two counts, so it costs the same at any width.
     """
     weight = [c * math.log2(c) if c else 0.0 for c in range(width + 2)]  # one more: counts fall after they rise
     counts: dict[str, int] = {}
-    total, begin, end = 0.0, -1, -1
+    total, begin, end, free = 0.0, -1, -1, -1 if harmless else len(s)
     for i, c in enumerate(s):
+        if harmless and not harmless[i]:
+            free = i
         n = counts.get(c, 0)
         counts[c] = n + 1
         total += weight[n + 1] - weight[n]
@@ -56,7 +117,7 @@ def entropy_windows(s: str, width: int, least: float) -> Iterator[tuple[int, int
             n = counts[c]
             counts[c] = n - 1
             total += weight[n - 1] - weight[n]
-        if i >= width - 1 and math.log2(width) - total / width >= least - 1e-9:
+        if i >= width - 1 and free > i - width and math.log2(width) - total / width >= least - 1e-9:
             at = i - width + 1
             if begin >= 0 and at > end:
                 yield begin, end
@@ -79,9 +140,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     base = [(a, b) for _, a, b in found]
     for kind, (pattern, width, least) in CLASSES.items():
         for m in pattern.finditer(text):
-            if any(p.fullmatch(m[0]) for p in ALLOWED):
-                continue
-            for a, b in entropy_windows(m[0], width, least):
+            for a, b in entropy_windows(m[0], width, least, harmless(m[0], width)):
                 a, b = a + m.start(), b + m.start()
                 if not any(x <= a and b <= y for x, y in base):
                     found.append((kind, a, b))
@@ -92,7 +151,7 @@ def scan(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame
     """``docs`` without its text, plus ``out``: array of (kind, start, end), code points, end exclusive.
 
     Base kinds: assignments to password-like names, access keys, long hex strings; leftmost matches that don't overlap
-    within a kind. Entropy kinds add windows that are not inside a base span; candidates on the allow list add none.
+    within a kind. Entropy kinds add windows that are not inside a base span, nor covered by harmless parts.
     Whole texts are read. Null or empty text: an empty array. A column named like ``out`` is replaced.
     """
     others = [c for c in docs.columns if c not in (text, out)]
