@@ -113,3 +113,13 @@ def test_shared_counts_are_exact():
     rows, cols = np.arange(0, 12), np.arange(8, 30)
     got = nearjoin.shared_counts(np.concatenate(sets), starts, rows, cols)
     assert got.tolist() == [[len(np.intersect1d(sets[i], sets[j])) for j in cols] for i in rows]
+
+
+def test_one_of_each_class_stays_without_keys_and_with_repeated_keys(documents):
+    near, same, other = (variants(words(120, s), s, 3, 2) for s in (1, 2, 3))
+    alone = [(None, words(90, 70)), (5, words(90, 71)), (5, words(90, 72)), (None, "")]
+    rows = [(None, t) for t in near] + [(5, t) for t in same] + [(9, other[0]), (None, other[1]), (5, other[2]), (5, other[2])] + alone
+    kept = [(r.doc_id, r.text) for r in nearjoin.keep_one(documents(rows)).collect()]
+    for group, key in ((near, None), (same, 5), (other, 5)):
+        assert [k for k, t in kept if t in group] == [key]
+    assert all(kept.count(r) == 1 for r in alone) and len(kept) == 3 + len(alone)

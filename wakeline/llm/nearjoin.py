@@ -266,6 +266,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     Steps: describe rows; reduce copies to classes; meet in the tries; connect what met; verify every connected set
     exactly in blocks; connect verified links. No step emits all pairs of a group, none holds a whole hot group.
     """
+    found = linked(docs, key, text, similarity)
+    return found.select(
+        F.col("key").alias(key),
+        "text_key",
+        F.coalesce("least", "key").alias("copy_id"),
+        F.coalesce("class", "key").alias("class_id"),
+        F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def linked(docs: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
+    """Per row of ``docs``: key, text_key, and least, class, root, copies, links of its set; null without shingles.
+
+    ``root`` is a number of the connected class, which tells classes of the same least key (or none) apart.
+    """
     rows = stored(described(docs, key, text), "described")
     sets = rows.filter("n > 0").groupBy("lo64", "hi64")
     classes = sets.agg(
@@ -285,33 +300,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     heads = named.groupBy("root").agg(F.min("least").alias("class"))
     named = named.join(heads, "root").join(counted, "id", "left")
     named = named.select(
-        F.col("lo64").alias("__lo"), F.col("hi64").alias("__hi"), "least", "class", "copies", F.coalesce("links", F.lit(0)).alias("links")
+        F.col("lo64").alias("__lo"), F.col("hi64").alias("__hi"), "least", "class", "root", "copies", F.coalesce("links", F.lit(0)).alias("links")
     )
     out = rows.join(named, (F.col("lo64") == F.col("__lo")) & (F.col("hi64") == F.col("__hi")) & (F.col("n") > 0), "left")
-    return out.select(
-        F.col("key").alias(key),
-        "text_key",
-        F.coalesce("least", "key").alias("copy_id"),
-        F.coalesce("class", "key").alias("class_id"),
-        F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
-    )
+    return out.select("key", "text_key", "least", "class", "root", "copies", "links")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each class: the one of least key, and one only of rows equal in key and text.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each class: the one of least key, nulls last; of equal keys one by a hash of the text.
 
     Rows without shingles are no copies of anything; all stay. Rows with null key in a class that has keys go.
     """
-    found = near_duplicates(docs, key, text, **options)
-    held = found.groupBy(F.col(key).alias("__key"), F.col("text_key").alias("__text_key")).agg(
-        F.min(F.col(key).eqNullSafe(F.col("class_id"))).alias("__stays"),
-        F.count(F.lit(1)).alias("__times"),
-        F.max(F.col("n_links")).alias("__links"),
-    )
-    held = stored(held.filter("__stays"), "kept")
+    found = linked(docs, key, text, similarity).groupBy("root", "key", "text_key").agg(F.count(F.lit(1)).alias("times"))
+    found = stored(found, "found")
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_key", "times")).alias("first")
+    held = found.filter("root is not null").groupBy("root").agg(first).select("first.key", "first.text_key", "first.times")
+    held = held.union(found.filter("root is null").select("key", "text_key", F.lit(1).cast("long")))
+    held = stored(held.toDF("__key", "__text_key", "__times"), "kept")
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("text_key"))
     met = rows.join(held, rows.key.eqNullSafe(held["__key"]) & (rows.text_key == held["__text_key"]))
-    if held.filter("__times > 1 and __links > 0").limit(1).count():
-        again = (F.col("__times") > 1) & (F.col("__links") > 0)
+    if held.filter("__times > 1").limit(1).count():
+        again = F.col("__times") > 1
         met = met.filter(~again).union(met.filter(again).dropDuplicates(["key", "text_key"]))
     return met.select("row.*")
