@@ -123,3 +123,17 @@ def test_one_of_each_class_stays_without_keys_and_with_repeated_keys(documents):
     for group, key in ((near, None), (same, 5), (other, 5)):
         assert [k for k, t in kept if t in group] == [key]
     assert all(kept.count(r) == 1 for r in alone) and len(kept) == 3 + len(alone)
+
+
+def test_texts_of_a_hot_key_are_fetched_once_a_class(documents, monkeypatch):
+    """A key with many classes gives one text a class, not rows x classes."""
+    rows = [(key, t) for key in (1, None) for s in range(12) for t in variants(words(60, s + 100 * (key is None)), s, 3, 1) * 2]
+    fetched, verified = [], nearjoin.verified
+    monkeypatch.setattr(nearjoin, "verified", lambda members, *a: fetched.extend(r.id for r in members.collect()) or verified(members, *a))
+    got = nearjoin.near_duplicates(documents(rows)).collect()
+    assert fetched and len(fetched) == len(set(fetched)) <= len({" ".join(t.split()) for _, t in rows})
+    assert sorted(r.n_links for r in got) == sorted(n for _, n in plain(rows_with_numbers(rows)))
+
+
+def rows_with_numbers(rows):
+    return [(i, t) for i, (_, t) in enumerate(rows)]

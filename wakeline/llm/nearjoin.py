@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wakeline.llm.common import (
     Recent, components, grouped, in_blocks, map_arrow, mixed, pairs_within, runs, starts_of, stored, text_batches, union_find,
@@ -201,7 +201,7 @@ def verified(members: DataFrame, similarity: float) -> DataFrame:
     """(id, links, near) from (root, id, copies, lo64, hi64, text): exact Jaccard of all pairs of a root, in blocks.
 
     ``links`` counts documents (copies included) of other classes in the block, ``near`` is the least id that the block
-    connects with. A row whose text has another set than its class is left out (repeated keys with other texts).
+    connects with. A row whose text has another set than its class is left out.
     """
     met = in_blocks(members, ["root"], F.xxhash64("id"), BLOCK)
     met = grouped(met, ["root", "lo", "hi"])
@@ -253,6 +253,11 @@ def verified(members: DataFrame, similarity: float) -> DataFrame:
     return map_arrow(met, work, "id long, links long, near long")
 
 
+def row_key(key: Column, text_key: Column) -> Column:
+    """Hash of a row's key and text: rows of one key with other texts have others, rows equal in both the same."""
+    return F.xxhash64(F.lit(7), key, text_key)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Per row of ``docs``: key, text_key, copy_id, class_id, n_links.
 
@@ -283,19 +288,20 @@ def linked(docs: DataFrame, key: str, text: str, similarity: float) -> DataFrame
     """
     rows = stored(described(docs, key, text), "described")
     sets = rows.filter("n > 0").groupBy("lo64", "hi64")
+    shown = F.min(F.struct(row_key(F.col("key"), F.col("text_key")).alias("row_key"), "text_key")).alias("shown")
     classes = sets.agg(
-        F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"), F.first("prefixes").alias("prefixes")
+        F.min("key").alias("least"), shown, F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"), F.first("prefixes").alias("prefixes")
     )
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     met = components(met_in_tries(classes))
-    known = classes.select("id", "least", "copies", "lo64", "hi64").join(met, classes.id == met.node).drop("node")
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    members = texts.join(known, texts.key.eqNullSafe(known.least))
+    known = classes.select("id", "shown.*", "copies", "lo64", "hi64").join(met, classes.id == met.node).drop("node")
+    texts = docs.select(row_key(F.col(key), F.xxhash64(text)).alias("row_key"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    members = texts.join(known, ["row_key", "text_key"]).dropDuplicates(["row_key", "text_key", "id"])
     members = members.select("root", "id", "copies", "lo64", "hi64", "text")
     links = stored(verified(members, similarity), "links")
-    linked = components(links.select(F.col("id").alias("a"), F.col("near").alias("b")))
+    near = components(links.select(F.col("id").alias("a"), F.col("near").alias("b")))
     counted = links.groupBy("id").agg(F.sum("links").alias("links"))
-    named = classes.select("id", "lo64", "hi64", "least", "copies").join(linked, F.col("id") == F.col("node"), "left")
+    named = classes.select("id", "lo64", "hi64", "least", "copies").join(near, F.col("id") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "id")).drop("node")
     heads = named.groupBy("root").agg(F.min("least").alias("class"))
     named = named.join(heads, "root").join(counted, "id", "left")
