@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.llm import bpe, extraction, fingerprints, language, mixing, nearjoin, quality, secrets, suffixes, vectors
+from wakeline.llm import bpe, extraction, fingerprints, language, leaks, mixing, nearjoin, quality, secrets, sql, suffixes, vectors
 
 #: Ranks of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,6 +76,12 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated", F.col("near_items").alias("n_near"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_source_mixing": op10_source_mixing,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_benchmark_decontamination": sql.OP13}
