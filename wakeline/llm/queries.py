@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.llm import bpe, extraction, fingerprints, language, leaks, mixing, nearjoin, quality, secrets, sql, suffixes, vectors
+from wakeline.llm import bpe, extraction, fingerprints, language, leaks, mixing, nearjoin, quality, repair, secrets, sql, suffixes, vectors
 
 #: Ranks of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,6 +76,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.audit(repair.damaged(conversations), every=conversations)
+
+
 def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     listed = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -93,7 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_source_mixing": op10_source_mixing,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op13_benchmark_decontamination": sql.OP13}
+ORACLES: dict[str, str] = {"op12_conversation_repair": sql.OP12, "op13_benchmark_decontamination": sql.OP13}

@@ -41,3 +41,75 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN owner USING (r) LEFT JOIN near USING (r)
 """
+
+#: White space of the contract: blanks and the control characters 9 to 13.
+_BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+
+OP12 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+                 lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END) AS v
+        FROM range(256) g(i))),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS name
+  FROM conversations),
+fated AS (
+  SELECT given.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+             list_transform(string_split(name, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+             lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])), CAST(4294967295 AS BIGINT)) % 20 AS fate
+  FROM given, crc),
+harmed AS (
+  SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE fate WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM fated WHERE fate <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         rtrim(text, {_BLANKS}) = '' AS blank FROM harmed),
+judged AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+         right(rtrim(text, {_BLANKS}), 1) NOT IN ('.', '!', '?') AS cut,
+         CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS c FROM placed),
+turns AS (
+  SELECT *, blank OR duplicate AS lost, lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair FROM judged),
+step AS (SELECT * FROM (VALUES (0, 2), (1, 2), (2, 3), (3, 2)) v(q, nxt)),
+ins AS (
+  SELECT q, q AS q2, 0 AS k, CAST([] AS VARCHAR[]) AS said FROM step
+  UNION ALL SELECT q, nxt, 1, [CASE nxt WHEN 2 THEN 'user:' ELSE 'assistant:' END] FROM step
+  UNION ALL SELECT a.q, b.nxt, 2, [CASE a.nxt WHEN 2 THEN 'user:' ELSE 'assistant:' END,
+                                  CASE b.nxt WHEN 2 THEN 'user:' ELSE 'assistant:' END]
+  FROM step a JOIN step b ON b.q = a.nxt),
+keep AS (SELECT * FROM (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)) v(c, q, q2)),
+edit AS (
+  SELECT 'D' AS e, t.conv_id, i, s.q, s.q AS q2, 3 AS cost, CAST([] AS VARCHAR[]) AS said FROM turns t, step s
+  UNION ALL SELECT 'K', t.conv_id, i, k.q, k.q2, CAST(cut AS INT), [role || ':' || text] FROM turns t JOIN keep k USING (c) WHERE NOT lost
+  UNION ALL SELECT 'R', t.conv_id, i, s.q, s.nxt, 2 + CAST(cut AS INT),
+                   [CASE s.nxt WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] FROM turns t, step s WHERE NOT lost),
+path AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'said': CAST([] AS VARCHAR[])}} AS best
+  FROM turns GROUP BY conv_id
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, e.q2, min({{'cost': p.best.cost + 2 * n.k + e.cost, 'audit': p.best.audit || repeat('I', n.k) || e.e,
+         'said': list_concat(list_concat(p.best.said, n.said), e.said)}})
+  FROM path p JOIN ins n ON n.q = p.q
+       JOIN edit e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.i = p.i + 1 AND e.q = n.q2
+  GROUP BY p.conv_id, p.i, e.q2),
+size AS (
+  SELECT conv_id, max(i) AS n, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+         count(*) FILTER (WHERE cut AND NOT lost) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM turns GROUP BY conv_id),
+finished AS (
+  SELECT s.conv_id, gaps, blank, duplicate, truncated, illegal,
+         min({{'cost': p.best.cost + 2 * n.k, 'audit': p.best.audit || repeat('I', n.k), 'said': list_concat(p.best.said, n.said)}}) AS best
+  FROM size s JOIN path p ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = s.n
+       JOIN ins n ON n.q = p.q AND n.q2 IN (0, 3)
+  GROUP BY ALL)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(f.best.cost, 0) AS BIGINT) AS cost,
+       coalesce(f.best.audit, '') AS audit, sha256(coalesce(array_to_string(f.best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN finished f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
+"""
