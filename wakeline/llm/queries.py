@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.llm import bpe, extraction, fingerprints, language, leaks, mixing, nearjoin, quality, repair, secrets, sql, suffixes, vectors
+from wakeline.llm import bpe, collocations, extraction, fingerprints, language, leaks, mixing, nearjoin, quality, repair, secrets, sql, suffixes, vectors
 
 #: Ranks of the byte-level vocabulary.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,6 +76,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return repair.audit(repair.damaged(conversations), every=conversations)
@@ -98,8 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_source_mixing": op10_source_mixing,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op12_conversation_repair": sql.OP12, "op13_benchmark_decontamination": sql.OP13}
+ORACLES: dict[str, str] = {"op11_phrase_collocations": sql.OP11, "op12_conversation_repair": sql.OP12, "op13_benchmark_decontamination": sql.OP13}

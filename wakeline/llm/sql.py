@@ -113,3 +113,32 @@ SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
        coalesce(f.best.audit, '') AS audit, sha256(coalesce(array_to_string(f.best.said, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN finished f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
 """
+
+OP11 = rf"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\f\r]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents)),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM words, range(1, 5) g(k) WHERE len(w) >= k)),
+f AS (SELECT lang, CAST(k AS INT) AS k, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+scored AS (
+  SELECT x.lang, x.k, x.phrase, x.a, x.c, h.a AS l, t.a AS r,
+         CAST(2000000 * CAST(x.a AS HUGEINT) // (CAST(h.a AS HUGEINT) + t.a) AS BIGINT) AS score
+  FROM cuts x JOIN f h ON h.lang = x.lang AND h.phrase = x.head JOIN f t ON t.lang = x.lang AND t.phrase = x.tail),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+parts AS (
+  SELECT lang, a, array_to_string(w[s:s + j - 1], ' ') AS part
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS j FROM f WHERE k > 2))),
+longer AS (SELECT lang, part, max(a) AS most FROM parts GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.part = b.phrase
+  WHERE most IS NULL OR 100 * most < 80 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
