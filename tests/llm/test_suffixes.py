@@ -74,6 +74,33 @@ def test_odd_texts_and_empty_table(documents):
         ("7", [(0, 500)]), ("7", [(0, 500)]), ("None", []), ("None", [(0, 500)])]
 
 
+def test_even_texts_give_few_anchors(documents):
+    """A million equal bytes, and a period of three: all goes, and what is stored does not grow with the text."""
+    texts = ["x" * 1_000_000, "abc" * 333_334, "x" * 700 + words(90, 4), words(90, 5) + "cab" * 140]
+    got = {r.doc_id: r for r in suffixes.repeated_spans(documents(list(enumerate(texts)))).collect()}
+    assert [[tuple(s) for s in got[i].spans] for i in range(2)] == [[(0, 1_000_000)], [(0, 1_000_002)]]
+    assert [tuple(s) for s in got[2].spans] == [(0, 700)] and [tuple(s) for s in got[3].spans] == [(len(texts[3]) - 420, len(texts[3]))]
+    for text in texts[:2]:
+        raw = np.frombuffer(text.encode() + b"\n", np.uint8)
+        found = suffixes.anchors(raw, np.array([0, len(raw)]))
+        first, last, times = suffixes.reduced(*found)
+        assert len(first) < 1500 and times.sum() == len(found[0]) > 300_000
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 64, 336, 337, 400])
+def test_periods_as_when_all_strings_are_counted(documents, period):
+    base = words(400, 6)[:period]
+    run = base * (1500 // period + 1)
+    check(documents, [run[:1500], words(20, 1) + run[:1100] + words(20, 2), run[3:420], words(9, 3) + run[5:405] + words(9, 4), run[:399]])
+
+
+def test_what_is_left_is_counted_in_code_points(documents):
+    texts = ["ä" * 500, words(50, 1) + "é", None, "é" * 300 + "x" + words(99, 3) + "é" * 300]
+    got = {r.doc_id: r for r in suffixes.repeated_spans(documents(list(enumerate(texts))), kept_text=True).collect()}
+    assert [got[i].kept_chars for i in range(4)] == [len(bytes(got[i].kept).decode("utf-8", "ignore")) for i in range(4)]
+    assert got[1].kept_chars == len(texts[1]) and got[2].kept_chars == 0 and got[3].kept_chars == len(words(99, 3)) + 1
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_deep_shallow_sort(seed):
     rng = random.Random(seed)

@@ -46,7 +46,14 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeated_spans(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
-        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+        (F.col("n_bytes") - removed).alias("n_kept"),
+        "kept_chars",
+        (removed > 0).alias("repeated"),
     )
 
 

@@ -57,6 +57,23 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return owner, place - starts[owner], value[place].view(np.int64), context.view(np.int64)
 
 
+def reduced(
+    owner: np.ndarray, place: np.ndarray, value: np.ndarray, context: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, count): occurrences of equal anchor and context in one text, whose contexts touch, as one.
+
+    ``first`` are rows of the input, ``last`` places. All of them cover one span, from the context of the first to that of
+    the last, so a run of one byte or of a short period gives a few rows however long it is.
+    """
+    order = np.lexsort((place, context, value, owner))
+    o, p, v, c = owner[order], place[order], value[order], context[order]
+    new = np.ones(len(o), bool)
+    new[1:] = (o[1:] != o[:-1]) | (v[1:] != v[:-1]) | (c[1:] != c[:-1]) | (p[1:] - p[:-1] > REACH + LENGTH)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(o))
+    return order[begin], p[end - 1], (end - begin).astype(np.int64)
+
+
 def common_prefix(a: bytes, b: bytes, low: int = 0) -> int:
     """Length of the common prefix; the first ``low`` bytes are known to agree."""
     high = min(len(a), len(b))
@@ -227,7 +244,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kept_text: bool = False) -> DataFrame:
-    """Per row of ``docs``: key, n_bytes, spans (array of start, end in bytes: maximal removed runs), kept_sha256.
+    """Per row of ``docs``: key, n_bytes, spans (array of start, end in bytes: maximal removed runs), kept_sha256, kept_chars
+    (code points that begin in the remaining bytes).
 
     Texts are UTF-8 bytes. A byte is removed if it lies in a string of LENGTH bytes that also starts elsewhere, in the
     same text or another, overlapping or not, all judged on the input. With ``kept_text`` the remaining bytes come as
@@ -235,7 +253,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
     of LENGTH bytes or more lose all bytes in all rows. Extra columns are not read.
 
     1. All texts give their anchors with a hash of the context (two longs and a position an anchor, one anchor in 170
-       bytes or so). 2. Anchors whose context occurs twice cover it whole. 3. Of anchors with several contexts one
+       bytes or so; those of one text that are alike and touch, as in runs of a short period, are one row). 2. Anchors whose context occurs twice cover it whole. 3. Of anchors with several contexts one
        occurrence a context is cut out, and the contexts of an anchor are compared: suffixes to the right and to the
        left are sorted, common prefixes follow from neighbours, in time linear in a large group. Only anchors with over
        BLOCK different contexts are cut into pairs of blocks.
@@ -254,20 +272,24 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
         for batch, texts in text_batches(batches):
             data, starts = byte_table(texts)
             owner, place, value, context = anchors(data, starts)
+            first, last, times = reduced(owner, place, value, context)
+            texts_ = pa.array(owner[first])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("t1").take(pa.array(owner)), batch.column("t2").take(pa.array(owner))]
-                + [pa.array(place.astype(np.int32)), pa.array(value), pa.array(context)],
-                names=["t1", "t2", "place", "anchor", "context"],
+                [batch.column("t1").take(texts_), batch.column("t2").take(texts_)]
+                + [pa.array(place[first].astype(np.int32)), pa.array(value[first]), pa.array(context[first])]
+                + [pa.array(last.astype(np.int32)), pa.array(times)],
+                names=["t1", "t2", "place", "anchor", "context", "last", "times"],
             )
 
-    found = stored(map_arrow(long.select("text", "t1", "t2"), find, "t1 long, t2 long, place int, anchor long, context long"), "anchors")
+    schema = "t1 long, t2 long, place int, anchor long, context long, last int, times long"
+    found = stored(map_arrow(long.select("text", "t1", "t2"), find, schema), "anchors")
     seen = found.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("t1", "t2", "place")).alias("first")
+        F.sum("times").alias("times"), F.min(F.struct("t1", "t2", "place")).alias("first")
     )
     seen = stored(seen, "contexts")
     twice = seen.filter("times > 1").select(F.col("anchor").alias("__a"), F.col("context").alias("__c"))
     whole = found.join(twice, (found.anchor == twice["__a"]) & (found.context == twice["__c"]))
-    whole = whole.select("t1", "t2", (F.col("place") - REACH).alias("begin"), (F.col("place") + LENGTH).alias("end")).distinct()
+    whole = whole.select("t1", "t2", (F.col("place") - REACH).alias("begin"), (F.col("last") + LENGTH).alias("end")).distinct()
 
     several = in_blocks(seen, ["anchor"], F.xxhash64("context"), BLOCK)
     wanted = several.groupBy("first.t1", "first.t2").agg(
@@ -322,7 +344,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part_ = batch.slice(at, 500)
-                cuts_, shas, kept = [], [], []
+                cuts_, shas, sizes, kept = [], [], [], []
                 for t, raw_spans in zip(part_.column("text").to_pylist(), part_.column("spans").to_pylist()):
                     raw = t.encode("utf-8", "replace")
                     got = merged([(max(0, s["begin"]), min(len(raw), s["end"])) for s in raw_spans])
@@ -330,26 +352,29 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", kep
                     rest = b"".join(raw[b:a] for b, (a, _) in zip(ends, got)) + raw[ends[-1] :]
                     cuts_.append([{"start": a, "end": b} for a, b in got])
                     shas.append(hashlib.sha256(rest).hexdigest())
+                    sizes.append(int(((np.frombuffer(rest, np.uint8) & 0xC0) != 0x80).sum()))
                     kept.append(rest if kept_text else None)
                 yield pa.RecordBatch.from_arrays(
                     [part_.column("t1"), part_.column("t2"), pa.array(cuts_, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
-                    + [pa.array(shas), pa.array(kept, pa.binary())],
-                    names=["t1", "t2", "spans", "sha", "kept"],
+                    + [pa.array(shas), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary())],
+                    names=["t1", "t2", "spans", "sha", "chars", "kept"],
                 )
 
     done = map_arrow(
         texts.join(spans, ["t1", "t2"]).select("t1", "t2", "text", "spans"),
         remove,
-        "t1 long, t2 long, spans array<struct<start:int,end:int>>, sha string, kept binary",
+        "t1 long, t2 long, spans array<struct<start:int,end:int>>, sha string, chars long, kept binary",
     )
     done = done.withColumnsRenamed({"t1": "__t1", "t2": "__t2"})
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = source.select("key", "t1", "t2", "n_bytes", F.sha2(raw, 256).alias("own"), *([raw.alias("raw")] if kept_text else []))
+    whole_chars = F.char_length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("own_chars")
+    rows = source.select("key", "t1", "t2", "n_bytes", F.sha2(raw, 256).alias("own"), whole_chars, *([raw.alias("raw")] if kept_text else []))
     out = rows.join(done, (F.col("t1") == F.col("__t1")) & (F.col("t2") == F.col("__t2")), "left")
     return out.select(
         F.col("key").alias(key),
         "n_bytes",
         F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
         F.coalesce("sha", "own").alias("kept_sha256"),
+        F.coalesce("chars", "own_chars").alias("kept_chars"),
         *([F.coalesce("kept", "raw").alias("kept")] if kept_text else []),
     )
