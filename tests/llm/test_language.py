@@ -40,6 +40,18 @@ def test_held_out_rows_and_null_languages_teach_nothing(documents, taught):
     assert got == model
 
 
+def test_sample_is_bounded_whatever_the_keys(documents, monkeypatch):
+    """Null keys, one key for all and equal rows: at most SAMPLE_DOCS documents a language teach."""
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 5)
+    seen = []
+    monkeypatch.setattr(language.Network, "train", lambda net, x, y: seen.append(np.bincount(y).tolist()))
+    texts = [(prose(12, i, TONGUES[("en", "de")[i % 2]]), ("en", "de")[i % 2]) for i in range(10_000)]
+    short = [(t[:100], lang) for t, lang in texts]  # one window each
+    for rows in ([(None, *r) for r in short], [(1, *r) for r in short], [(i, *short[i % 2]) for i in range(4000)]):
+        language.fit(documents(rows))
+    assert seen == [[5, 5], [5, 5], [5, 5]]
+
+
 def test_crc_is_that_of_the_id_as_text(documents):
     from pyspark.sql import functions as F
 

@@ -145,17 +145,18 @@ def held_out(key: Column) -> Column:
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> str:
     """The network as JSON text, trained on the texts and languages of rows that are not held out.
 
-    The sample is SAMPLE_DOCS documents a language, least hash of key and language first, and up to SAMPLE_WINDOWS of
-    each document's windows, spread over the whole text: so much, times the number of languages, comes to the driver.
+    The sample is SAMPLE_DOCS documents a language, least hash of key and text first, one of equal hash, whatever keys are
+    null or repeated, and up to SAMPLE_WINDOWS of each document's windows, spread over the whole text: so much, times the
+    number of languages, comes to the driver.
     Rows with null language or null text don't teach. No teaching row at all: a network without languages.
     """
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = source.filter(~held_out(F.col("key")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy("hash", "key")
-    ids = usable.select("key", "lang", F.xxhash64(F.lit(11), "key", "lang").alias("hash"))
-    ids = ids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCS)
-    ids = stored(ids.select(F.col("key").alias("k"), F.col("lang").alias("l")).distinct(), "taught")
-    taught = usable.join(F.broadcast(ids), usable.key.eqNullSafe(ids.k) & (usable.lang == ids.l)).select("key", "lang", "text")
+    usable = usable.withColumn("hash", F.xxhash64(F.lit(11), "key", "text"))
+    order = Window.partitionBy("lang").orderBy("hash")
+    ids = usable.select("lang", "hash").distinct().withColumn("rank", F.row_number().over(order))
+    ids = stored(ids.filter(F.col("rank") <= SAMPLE_DOCS).drop("rank"), "taught")
+    taught = usable.join(F.broadcast(ids), ["lang", "hash"]).dropDuplicates(["lang", "hash"]).select("key", "lang", "text")
 
     def cut(batches):
         for batch, texts in text_batches(batches):
