@@ -2,8 +2,12 @@
 
 import hashlib
 import random
+import re
+import struct
+from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from wakeline.llm import fingerprints
@@ -22,9 +26,88 @@ def edits(rows):
     return out
 
 
-@pytest.mark.parametrize("rows_each", [2000, 3])
-def test_edited_texts_and_neighbours(documents, monkeypatch, rows_each):
-    monkeypatch.setattr(fingerprints, "ROWS", rows_each)
+def _hash(values, seed=42):
+    """xxhash64 of longs one after the other, as the engine chains them."""
+    for v in values:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", v), seed)
+        seed = seed - 2**64 if seed >= 2**63 else seed
+    return seed
+
+
+def sketch(text):
+    """The signature in plain Python: units, numbered k-mers, the two least of each bin in text order."""
+    words = re.split(r"[ \t\n\x0b\f\r]+", text or "")
+    words = [w for w in words if w]
+    if not words:
+        return []
+
+    def pieces(t):
+        return [t[i : i + fingerprints.PIECE] for i in range(max(len(t) - fingerprints.PIECE, 0) + 1)]
+
+    def chars(t):  # as the hash of single characters chained
+        seed = 42
+        for c in t:
+            seed = xxhash.xxh64_intdigest(c.encode(), seed)
+        return seed - 2**64 if seed >= 2**63 else seed
+
+    one = lambda w: chars([w])
+    units = [h for w in words for h in ([chars(p) for p in pieces(w)] if len(w) > fingerprints.LONG else [one(w)])]
+    k = fingerprints.KMER
+    grams = [(_hash(units[i : i + k]), i) for i in range(max(len(units) - k, 0) + 1)]
+    if len(units) < fingerprints.FEW:
+        grams += [(chars(p), i + fingerprints.FEW) for i, p in enumerate(pieces(text.strip(" ")))]
+    grams = sorted((h >> fingerprints.PLACE, place) for h, place in grams)
+    seen, numbered = Counter(), []
+    for h, place in grams:
+        numbered.append((_hash([h, seen[h]]) >> fingerprints.PLACE, place))
+        seen[h] += 1
+    bins = defaultdict(list)
+    for h, place in sorted(numbered):
+        bins[h >> (64 - fingerprints.BITS - fingerprints.PLACE)].append((place, h))
+    out = []
+    for b in sorted(bins):
+        least = [h for _, h in sorted(bins[b][:2])]
+        out.append(((b + (1 << (fingerprints.BITS - 1))) << fingerprints.TUPLE) | (_hash(least) & ((1 << fingerprints.TUPLE) - 1)))
+    return out
+
+
+def test_signature_is_that_of_plain_python(documents):
+    texts = [*ODD, *[words(n, n) for n in (1, 3, 4, 31, 32, 33, 200)], "a b c " * 40, "é" * 300, "日本語" * 30 + " x " + words(20, 1), "a b " + "z" * 17]
+    got = fingerprints.fingerprints(documents(list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.signature for r in got} == {i: sketch(t) for i, t in enumerate(texts)}
+
+
+def test_half_of_a_text_without_spaces_and_of_a_short_one(documents):
+    rng = random.Random(2)
+    solid = lambda n: "".join(chr(rng.randint(0x4E00, 0x5E00)) for _ in range(n))
+    for n in (301, 600, 5000):
+        got = fingerprints.edited_fingerprints(documents([(2, solid(n)), (1, solid(n))])).collect()
+        assert all(r.near_edited > 0.2 > 0.1 > r.near_next for r in got), n
+    short = fingerprints.edited_fingerprints(documents([(2, "abcd efgh ijkl mno"), (1, "qrst uvwx yzab cd?")])).collect()
+    assert all(r.near_edited > 0.2 for r in short)
+
+
+def test_null_and_repeated_ids_are_dealt_out(documents, monkeypatch):
+    """No block of rows grows with the rows of one id, and equal rows are one until the end."""
+    monkeypatch.setattr(fingerprints, "ROW_BITS", 3)
+    monkeypatch.setattr(fingerprints, "COPIES", 4)
+    rows = [(None, words(8, i)) for i in range(60)] + [(7, words(8, 100 + i)) for i in range(60)] + [(9, "same text here")] * 30
+    ids = fingerprints._rows(documents(rows), "doc_id", "text").groupBy(*fingerprints._ROW).count().drop("count")
+    sizes = [r["count"] for r in fingerprints._followers(ids).groupBy("block").count().collect()]
+    assert max(sizes) <= 9 and sum(sizes) == 121 + len(sizes)
+    got = fingerprints.edited_fingerprints(documents(rows)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    itself = hashlib.sha256(b"same tesame te").hexdigest()
+    assert sum(r.doc_id == 9 and r.edited_sha256 == itself for r in got) == 29
+    texts = {t for _, t in rows}
+    halves = Counter(r.edited_sha256 for r in got)
+    following = Counter(hashlib.sha256((a[: len(a) - len(a) // 2] + b[: len(a) // 2]).encode()).hexdigest() for a in texts for b in texts)
+    assert all(h in following for h in halves)
+
+
+@pytest.mark.parametrize("row_bits", [11, 1])
+def test_edited_texts_and_neighbours(documents, monkeypatch, row_bits):
+    monkeypatch.setattr(fingerprints, "ROW_BITS", row_bits)
     rng = random.Random(5)
     rows = [(rng.randrange(10**12) if i % 3 else i, t) for i, t in enumerate([*[words(rng.randint(1, 200), i) for i in range(40)], *ODD])]
     rows.append((-5, "né " * 40))

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wakeline.llm.common import stored
 
-#: Words of a k-mer.
+#: Units of a k-mer. Units are words, or overlapping pieces of words of over LONG code points.
 KMER = 3
+LONG, PIECE = 16, 4
+#: Texts of fewer units also give all runs of PIECE code points.
+FEW = 32
 #: Bins of the hash range (2^BITS), each giving one tuple of its two least k-mers.
 BITS = 6
-#: Low bits of a packed long that hold a k-mer's place in the text; the high bits hold its hash.
-PLACE = 24
+#: Low bits of a packed long that hold a k-mer's place in the text (all that an array can have); the high bits hold its hash.
+PLACE = 31
 #: Bits of a tuple's hash in the signature.
 TUPLE = 26
-#: Rows that one task orders together, quantiles asked for.
-ROWS, QUANTILES = 2000, 256
+#: Rows that one task orders together, as a power of two, and copies that one row stands for at most.
+ROW_BITS, COPIES = 11, 10_000
 
 
 def _high(x: Column) -> Column:
@@ -36,28 +37,55 @@ def _bin(x: Column) -> Column:
     return F.shiftright(x, 64 - BITS)
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)``, with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _pieces(text: Column) -> Column:
+    """Hashes of all runs of PIECE code points (of the whole text, if it has fewer), in order."""
+
+    def cut(c: Column) -> Column:
+        last = F.greatest(F.size(c) - PIECE, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(c, i + k) for k in range(PIECE)]))
+
+    return _let(F.split(text, ""), cut)
+
+
+def units(text: Column) -> Column:
+    """Hashes of the units of a text, in order: its words, those of over LONG code points by their overlapping pieces."""
+
+    def hashed(words: Column) -> Column:
+        whole = F.transform(words, lambda w: F.xxhash64(w))
+        cut = F.flatten(F.transform(words, lambda w: F.when(F.char_length(w) > LONG, _pieces(w)).otherwise(F.array(F.xxhash64(w)))))
+        return F.when(F.exists(words, lambda w: F.char_length(w) > LONG), cut).otherwise(whole)
+
+    return _let(F.filter(F.split(text, r"\s+"), lambda w: w != ""), hashed)
+
+
 def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` plus ``out``: the signature of column ``text`` as an array of longs, at most one a bin, in bin order.
 
-    k-mers are runs of KMER words (a text of fewer words is one k-mer); equal k-mers are told apart by the number of
-    their occurrence. All get one hash; the hash range has 2^BITS bins. Of each bin the two least k-mers are taken, put
-    in the order of the text and hashed together, so moving text about changes tuples that a set of k-mers would keep.
-    A text without words has an empty signature.
+    k-mers are runs of KMER units (fewer units are one k-mer). Texts of fewer than FEW units also give all runs of PIECE
+    code points, behind the others, so that short texts and texts without spaces are compared by what they share, too.
+    Equal k-mers are told apart by the number of their occurrence. All get one hash; the hash range has 2^BITS bins. Of
+    each bin the two least k-mers are taken, put in the order of the text and hashed together, so moving text about
+    changes tuples that a set of k-mers would keep. A text without words has an empty signature.
 
     Everything is a pass over arrays of longs (hash high, place low), sorted as longs twice: by k-mer, which numbers the
-    occurrences, and by hash. Each step is a column of its own so that it is computed once. Places are exact up to 2^24
-    words; beyond, they count modulo 2^24, which may swap a tuple's order but gives equal texts equal signatures.
+    occurrences, and by hash. Each step is a column of its own so that it is computed once.
     """
     c = {k: f"__{out}_{k}" for k in ("words", "kmers", "runs", "minima", "picked", "starts")}
     drop = list(c.values())
-    words = F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
-    df = df.withColumn(c["words"], words)
+    df = df.withColumn(c["words"], units(F.coalesce(text, F.lit(""))))
     w = F.col(c["words"])
-    kmer = lambda i: _packed(F.xxhash64(*[F.get(w, i + k) for k in range(KMER)]), i % (1 << PLACE))
+    kmer = lambda i: _packed(F.xxhash64(*[F.get(w, i + k) for k in range(KMER)]), i)
     last = F.greatest(F.size(w) - KMER, F.lit(0))
     none = F.array().cast("array<bigint>")
+    long = F.transform(F.sequence(F.lit(0), last), kmer)
+    short = F.concat(long, F.transform(_pieces(F.trim(F.coalesce(text, F.lit("")))), lambda h, i: _packed(h, i + FEW)))
     df = df.withColumn(
-        c["kmers"], F.when(F.size(w) > 0, F.sort_array(F.transform(F.sequence(F.lit(0), last), kmer))).otherwise(none)
+        c["kmers"], F.when(F.size(w) >= FEW, F.sort_array(long)).when(F.size(w) > 0, F.sort_array(short)).otherwise(none)
     )
     k = F.col(c["kmers"])
     places = F.when(F.size(k) > 0, F.sequence(F.lit(0), F.size(k) - 1)).otherwise(F.array().cast("array<int>"))
@@ -102,9 +130,13 @@ def as_text(signature: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the bins either signature fills in which both have the same tuple; two empty signatures are alike."""
+    """Square root of the share of the bins either signature fills in which both have the same tuple.
+
+    Both k-mers of a bin have to agree for that, so the root estimates the share of k-mers in common, in order. Two empty
+    signatures are alike.
+    """
     bins = F.size(F.array_union(F.transform(a, lambda x: F.shiftright(x, TUPLE)), F.transform(b, lambda x: F.shiftright(x, TUPLE))))
-    return F.when(bins == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / bins)
+    return F.when(bins == 0, 1.0).otherwise(F.sqrt(F.size(F.array_intersect(a, b)) / bins))
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,50 +145,70 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return got.withColumn("fingerprint", as_text(F.col("signature")))
 
 
-def ordered_buckets(ids: DataFrame) -> Column:
-    """A number for column ``id`` that grows with it, -1 for null, so that about ROWS rows of ``ids`` share it.
+_ROW = ["k", "none", "h1", "h2"]
 
-    Quantiles cut the ids into at most QUANTILES spans, equal widths cut each span further; uneven ids give uneven
-    buckets but no wrong ones.
-    """
-    count = ids.count()
-    spans = max(1, min(QUANTILES, math.ceil(count / ROWS)))
-    cuts = sorted(set(ids.approxQuantile("id", [i / spans for i in range(spans)], 0.25 / spans))) or [0.0]
-    cuts = [math.floor(q) for q in cuts]
-    parts = max(1, math.ceil(count / ROWS / spans))
-    bounds = F.array(*[F.lit(q).cast("long") for q in cuts])
-    span = F.size(F.filter(bounds, lambda q: q <= F.col("id")))
-    low, high = F.get(bounds, span - 1), F.get(bounds, span)
-    share = (F.col("id").cast("double") - low) / (high.cast("double") - low)
-    part = F.coalesce(F.least(F.floor(share * parts), F.lit(parts - 1)), F.lit(0))
-    return F.when(F.col("id").isNull(), F.lit(-1)).otherwise(span * parts + part).cast("long")
-
-
-def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, text, signature, next_text, next_signature): rows in descending id, null ids last, after the last the first.
-
-    Rows of equal id go by a hash of their text. Buckets of ids are ordered on their own; each also gets, as a guest,
-    the first row of the bucket below it (the lowest: of the highest), found by ids and hashes alone.
+
+def _followers(ids: DataFrame) -> DataFrame:
+    """Stored (row, at, block, guest): rows by their block, and as guest the row that follows a block's last.
+
+    ``ids`` holds distinct rows. They are put in order by a range sort; a block is 2^ROW_BITS of them. The first of the
+    next block is found among the firsts of a partition's blocks, for the last block among the firsts of partitions.
     """
-    rows = docs.select(
-        F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("hash")
+    order = ["none", F.col("k").desc(), F.col("h1").desc(), F.col("h2").desc()]
+    placed = ids.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = stored(placed.withColumn("block", F.shiftright("at", ROW_BITS)), "placed")
+    row = F.struct(*_ROW, "at")
+    firsts = placed.groupBy("block").agg(F.min_by(row, "at").alias("first"))
+    firsts = stored(firsts.withColumn("part", F.shiftright("block", 33 - ROW_BITS)), "firsts")
+    within = firsts.withColumn("after", F.lead("first").over(Window.partitionBy("part").orderBy("block")))
+    parts = firsts.groupBy("part").agg(F.min_by("first", "block").alias("first"))
+    around = parts.select(  # one row a partition
+        "part", F.coalesce(F.lead("first").over(Window.orderBy("part")), F.min_by("first", "part").over(Window.partitionBy())).alias("next")
     )
-    ids = stored(rows.select("id", "hash"), "ids")
-    bucket = ordered_buckets(ids)
-    firsts = ids.groupBy(bucket.alias("bucket")).agg(F.max(F.struct("id", "hash")).alias("first"))
-    down = Window.orderBy(F.col("bucket").desc())  # one row a bucket, rows / ROWS in all
-    hosts = firsts.select("first", F.lag("bucket").over(down).alias("host"), F.min("bucket").over(Window.partitionBy()).alias("lowest"))
-    hosts = stored(
-        hosts.select(F.col("first.id").alias("__id"), F.col("first.hash").alias("__hash"), F.coalesce("host", "lowest").alias("bucket")),
-        "hosts",
+    guests = within.join(around, "part").select("block", F.coalesce("after", "next").alias("g"))
+    guests = guests.select(*[F.col(f"g.{c}").alias(c) for c in _ROW], F.col("g.at").alias("at"), "block", F.lit(1).alias("guest"))
+    return stored(placed.select(*_ROW, "at", "block", F.lit(0).alias("guest")).unionByName(guests), "followers")
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    source = F.coalesce(F.col(text), F.lit(""))
+    id_ = F.col(key).cast("long")
+    return docs.select(
+        F.coalesce(id_, F.lit(0)).alias("k"),
+        id_.isNull().alias("none"),
+        F.xxhash64(source).alias("h1"),
+        F.xxhash64(F.lit(1), source).alias("h2"),
+        source.alias("text"),
     )
-    own = rows.withColumn("bucket", bucket).withColumn("guest", F.lit(0))
-    same = rows.id.eqNullSafe(hosts["__id"]) & (rows["hash"] == hosts["__hash"])
-    guests = rows.join(hosts, same).select("id", "text", "hash", "bucket", F.lit(1).alias("guest"))
-    both = with_signature(own.union(guests), "text", "signature")
-    order = Window.partitionBy("bucket").orderBy("guest", F.col("id").desc_nulls_last(), F.col("hash").desc())
+
+
+def with_next(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Two tables (id, text, signature, next_text, next_signature, copies): distinct rows with the row that follows them in
+    descending id, null ids last, after the last the first; and rows that repeat, which follow themselves ``copies`` times.
+
+    Rows of equal id go by hashes of their text, so neither null ids nor a repeated one share a task.
+    """
+    rows = _rows(docs, key, text)
+    ids = stored(rows.groupBy(*_ROW).agg(F.count(F.lit(1)).alias("copies")), "ids")
+    met = rows.groupBy(*_ROW).agg(F.first("text").alias("text")).join(_followers(ids), _ROW)
+    both = with_signature(met.repartition("block"), "text", "signature")
+    order = Window.partitionBy("block").orderBy("guest", "at")
     both = both.withColumn("next_text", F.lead("text").over(order)).withColumn("next_signature", F.lead("signature").over(order))
-    return both.filter("guest = 0").drop("guest", "bucket", "hash")
+    id_ = F.when(~F.col("none"), F.col("k")).alias("id")
+    own = both.filter("guest = 0").select(id_, "text", "signature", "next_text", "next_signature", F.lit(1).cast("long").alias("copies"))
+    repeated = stored(ids.filter("copies > 1"), "copies")
+    again = rows.join(repeated, _ROW, "left_semi").groupBy(*_ROW).agg(F.first("text").alias("text")).join(repeated, _ROW)
+    again = with_signature(again, "text", "signature")
+    itself = [F.col("text").alias("next_text"), F.col("signature").alias("next_signature")]
+    return own, again.select(id_, "text", "signature", *itself, (F.col("copies") - 1).alias("copies"))
+
+
+def _copied(rows: DataFrame) -> DataFrame:
+    """Every row ``copies`` times; tasks get at most COPIES of one row."""
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))
+    dealt = rows.withColumn("part", F.explode(parts)).repartition("part", "copies")
+    own = F.sequence(F.col("part") * COPIES, F.least("copies", (F.col("part") + 1) * COPIES) - 1)
+    return dealt.withColumn("__copy", F.explode(own)).drop("__copy", "part")
 
 
 def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -164,14 +216,18 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     A text of n code points loses its last floor(n / 2); the next row's text, in descending ``key``, gives as many from
     its start, or all it has. Likenesses lie between 0 and 1. Null text: as empty. A single row is followed by itself.
-    ``key`` is an integer column; null keys come last, repeated keys by a hash of the text, equal rows are alike anyway.
+    ``key`` is an integer column; null keys come last, repeated keys by hashes of the text, equal rows follow each other.
     Extra columns are not read.
     """
-    near = with_next(docs, key, text)
+    own, again = with_next(docs, key, text)
+    return _compared(own, key).drop("copies").union(_copied(_compared(again, key)).drop("copies"))
+
+
+def _compared(near: DataFrame, key: str) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    near = near.select("id", n.cast("long").alias("n_chars"), edited.alias("edited"), "signature", "next_signature")
+    near = near.select("id", n.cast("long").alias("n_chars"), edited.alias("edited"), "signature", "next_signature", "copies")
     near = near.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     near = with_signature(near, "edited", "edited_signature")
     return near.select(
@@ -182,4 +238,5 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         as_text(F.col("edited_signature")).alias("edited_fingerprint"),
         likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
         likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+        "copies",
     )
