@@ -234,15 +234,17 @@ def to_ticks(telemetry: DataFrame) -> DataFrame:
 
 
 def events_as_records(events: DataFrame) -> DataFrame:
-    """Events as topic records; arrival order is the offset."""
+    """Events as topic records of two partitions, a third of them without key; they arrive a millisecond apart, and their
+    offset is their number."""
     bound = bind_events(events)
     fields = [f for f in bound.columns if f != "seq"]
     text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return bound.select(
-        F.col("ship_id").cast("binary").alias("key"),
+        F.when(F.col("seq") % 3 > 0, F.col("ship_id").cast("binary")).alias("key"),
         text.cast("binary").alias("value"),
-        F.lit(0).alias("partition"),
+        (F.col("seq") % 2).cast("int").alias("partition"),
         F.col("seq").alias("offset"),
+        F.timestamp_millis(F.lit(1_704_067_200_000) + F.col("seq")).alias("timestamp"),
     )
 
 

@@ -20,9 +20,9 @@ from wakeline.plans import business as B, ingest as I, radar as RD, refresh as R
 from wakeline.schemas import MANIFESTS, MISSION_REPORTS, SHIP_STATE
 from wakeline.session import work_path
 from wakeline.sinks import files as SF
-from wakeline.sinks.landing import append_landing, ingested_only, read_landing, rebuild_layer
+from wakeline.sinks.landing import append_landing, ingested_only, read_landing
 from wakeline.sources.dimensions import planets, unknown_targets, with_arrival, with_target_position
-from wakeline.sources.files import read_manifest_rows, read_mission_logs, read_report_rows
+from wakeline.sources.files import newest_run, read_manifest_rows, read_mission_logs, read_report_rows
 from wakeline.sources.tables import TableStore
 from wakeline.sources.telemetry import malformed, parse_telemetry, read_lake
 from wakeline.streaming import jobs as J
@@ -792,21 +792,22 @@ def mission_outcomes(b: Bound) -> DataFrame:
     return RD.mission_outcomes(b.telemetry)
 
 
-_SNAPSHOTS = [
-    Q.MISSIONS,
-    Q.TELEMETRY,
-    f"seen AS (SELECT t.* FROM telemetry t JOIN missions m ON m.mission_id = t.mission WHERE ts <= TIMESTAMP '{AS_OF_EV}')",
-    "ends AS (SELECT mission, min(seq) AS end_seq FROM seen WHERE mission_status IS NOT NULL GROUP BY mission)",
-    "firsts AS (SELECT mission, min(seq) AS seq FROM seen GROUP BY mission)",
-    # Every report time up to the day of the run; what was known then is the latest tick before it.
-    f"""times AS (
+def _snapshots(as_of: str) -> list[str]:
+    return [
+        Q.MISSIONS,
+        Q.TELEMETRY,
+        f"seen AS (SELECT t.* FROM telemetry t JOIN missions m ON m.mission_id = t.mission WHERE ts <= {as_of})",
+        "ends AS (SELECT mission, min(seq) AS end_seq FROM seen WHERE mission_status IS NOT NULL GROUP BY mission)",
+        "firsts AS (SELECT mission, min(seq) AS seq FROM seen GROUP BY mission)",
+        # Every report time up to the day of the run; what was known then is the latest tick before it.
+        f"""times AS (
   SELECT mission_id AS mission, k AS report_no, TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) AS at
   FROM missions, range(1, 200) r(k)
-  WHERE TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) <= TIMESTAMP '{AS_OF_EV}')""",
-    """known AS (
+  WHERE TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER)) <= {as_of})""",
+        """known AS (
   SELECT r.mission, r.report_no, max(t.seq) AS seq FROM times r JOIN seen t ON t.mission = r.mission
   AND date_trunc('second', t.ts) < r.at GROUP BY 1, 2)""",
-    """picked AS (
+        """picked AS (
   SELECT 0 AS report_no, 'start' AS report_kind, CASE status WHEN 'REPAIR' THEN 'REPAIR' ELSE 'OK' END AS reported, t.*
   FROM firsts f JOIN seen t ON t.seq = f.seq
   UNION ALL
@@ -818,21 +819,23 @@ _SNAPSHOTS = [
   SELECT (SELECT count(*) FROM range(1, 200) r(k) WHERE TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(k * report_freq_min * 6 AS INTEGER))
           <= date_trunc('second', t.ts)) + 1, 'final', mission_status, t.*
   FROM seen t JOIN ends e ON e.mission = t.mission AND e.end_seq = t.seq JOIN missions m ON m.mission_id = t.mission)""",
-    "reported AS (SELECT * REPLACE (reported AS status) FROM picked)",
-    Q.scored("snap", "reported", "false"),
-]
+        "reported AS (SELECT * REPLACE (reported AS status) FROM picked)",
+        Q.scored("snap", "reported", "false"),
+    ]
 
 
-@query(
-    Q.sql(
-        _SNAPSHOTS,
-        """SELECT mission AS mission_id, report_no, report_kind AS kind, "timestamp", ship_id, status, fuel_prc,
-  health AS normalized_health_total, ship_condition FROM snap""",
-    )
-)
+_SNAPSHOT_COLUMNS = """SELECT mission AS mission_id, report_no, report_kind AS kind, "timestamp", ship_id, status, fuel_prc,
+  health AS normalized_health_total, ship_condition FROM snap"""
+
+
+@query(Q.sql(_snapshots(f"TIMESTAMP '{AS_OF_EV}'"), _SNAPSHOT_COLUMNS))
 def report_snapshots(b: Bound) -> DataFrame:
     anchor = TM.instant(ANCHOR_EV)
     snaps = RP.report_snapshots(b.missions, b.telemetry, AS_OF_EV, "seq", F.col("report_freq_min") * 6 * 3600, anchor)
+    return _reported(snaps)
+
+
+def _reported(snaps: DataFrame) -> DataFrame:
     return snaps.select(
         "mission_id", "report_no", "kind", "timestamp", "ship_id", "status", "fuel_prc", "normalized_health_total", "ship_condition"
     )
@@ -970,17 +973,40 @@ def dq_single_row_mart(b: Bound) -> DataFrame:
     return fleet.unionAll(DQ.single_row(S.mart_captain_performance(operations, cargo, AS_OF), "captains"))
 
 
+def _digests(name: str, value: str, rows: str) -> list[str]:
+    """CTEs giving (mission_id, day, checksum) of report rows: the parts of the rows' hashes added up, and hashed."""
+    sums = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT)) AS VARCHAR)" for i in range(8))
+    return [
+        f"""{name}_row AS (
+  SELECT mission_id, CAST(seen AS DATE) AS day, sha256(item || '|' || CAST(CAST({value} AS DECIMAL(38, 9)) AS VARCHAR) || '|'
+         || strftime(seen, '%Y-%m-%d %H:%M:%S')) AS h FROM {rows})""",
+        f"{name} AS (SELECT mission_id, day, sha256(concat_ws('|', CAST(count(*) AS VARCHAR), {sums})) AS checksum FROM {name}_row GROUP BY 1, 2)",
+    ]
+
+
 @query(
     Q.sql(
-        [Q.MANIFESTS],
-        """SELECT 'manifests' AS "table", 'checksum' AS "check", mission_file AS key, 1::BIGINT AS n FROM manifests
-WHERE mission_date < DATE '1998-07-01'""",
+        [
+            Q.REPORTS,
+            Q.MANIFESTS,
+            *_digests("sent", "value", "reports"),
+            *_digests("kept", "value + CASE WHEN mission_id % 97 = 5 THEN 1 ELSE 0 END", "(SELECT * FROM reports WHERE mission_id % 97 <> 6)"),
+        ],
+        """SELECT 'manifests' AS "table", 'checksum' AS "check", mission_file AS key, 1::BIGINT AS n
+FROM manifests m JOIN sent s ON s.mission_id = m.mission_id AND s.day = m.mission_date
+LEFT JOIN kept k ON k.mission_id = s.mission_id AND k.day = s.day
+WHERE k.checksum IS DISTINCT FROM s.checksum""",
     )
 )
 def dq_checksum_mismatch(b: Bound) -> DataFrame:
-    """Files uploaded since T1 are present and intact; of the earlier ones nothing is left."""
-    files = b.manifests.where(F.col("mission_date") >= F.lit(T1[:10]).cast("date"))
-    return DQ.checksum_mismatch(b.manifests, files.select(F.col("mission_file").alias("object_key"), F.col("checksum_mission").alias("sha256")))
+    """Manifests hold the checksums of the rows that were sent; what is stored was written without some missions and
+    written again with other values for some."""
+    path, mission = work_path(b.spark, "objects"), F.col("mission_id").cast("bigint")
+    sent = b.report_rows.drop("object_key")
+    SF.export_reports(sent.where(mission % 97 != 6), path, 0)
+    SF.export_reports(sent.where(mission % 97 == 5).withColumn("value", F.col("value") + 1), path, 1)
+    manifests = RP.report_objects(sent).select(F.col("object_key").alias("mission_file"), F.col("checksum").alias("checksum_mission"))
+    return DQ.checksum_mismatch(manifests, RP.report_objects(newest_run(read_report_rows(b.spark, path))))
 
 
 @query(
@@ -1012,8 +1038,8 @@ def stream_lake(b: Bound) -> DataFrame:
 @query(_METRICS)
 def stream_metrics(b: Bound) -> DataFrame:
     root = work_path(b.spark, "metrics")
-    metrics = J.metrics_table(TableStore(b.spark, f"{root}/tables"))
-    J.run_telemetry(_event_stream(b), f"{root}/checkpoint", f"{root}/lake", metrics, J.DRAIN).awaitTermination()
+    metrics = J.metrics_table(b.spark, f"{root}/gauges")
+    J.run_metrics(_event_stream(b), metrics, f"{root}/checkpoint", J.DRAIN).awaitTermination()
     return metrics.read().drop("help")
 
 
@@ -1028,11 +1054,19 @@ def stream_radar_latest(b: Bound) -> DataFrame:
 @query(_TRANSITIONS)
 def stream_radar_transitions(b: Bound) -> DataFrame:
     root = work_path(b.spark, "transitions")
-    states = J.states_table(TableStore(b.spark, f"{root}/tables"))
-    J.run_transitions(_event_stream(b), states, f"{root}/log", f"{root}/checkpoint", J.DRAIN).awaitTermination()
+    J.run_transitions(_event_stream(b), f"{root}/log", f"{root}/checkpoint", J.DRAIN).awaitTermination()
     return b.spark.read.parquet(f"{root}/log").drop("batch_id")
 
 
+@query(Q.sql(_snapshots("(SELECT max(ts) FROM telemetry)"), _SNAPSHOT_COLUMNS))
+def stream_reports(b: Bound) -> DataFrame:
+    """Reports that fell due while the events went by: the last event is the clock."""
+    root, anchor = work_path(b.spark, "due"), TM.instant(ANCHOR_EV)
+    period = F.col("report_freq_min") * 6 * 3600
+    J.run_reports(_event_stream(b), b.missions, f"{root}/reports", f"{root}/checkpoint", J.DRAIN, period, anchor).awaitTermination()
+    return _reported(b.spark.read.parquet(f"{root}/reports").drop("batch_id"))
+
+
 # --- what is written and read back -------------------------------------------------------------------------------
 
 
@@ -1099,13 +1133,12 @@ def stored_landing(b: Bound) -> DataFrame:
 
 @query(ORACLES["upsert_cargo_summary"])
 def stored_refresh(b: Bound) -> DataFrame:
-    """Summaries as of T1 in the table store, refreshed there by one gated run."""
-    store = TableStore(b.spark, work_path(b.spark, "bl"))
+    """Summaries as of T1 stored by bucket, refreshed there by one gated run."""
     early = RF.bl_rebuild(b.early_missions, b.early_ship_state, _early_reports(b), b.early_manifests, T1)
-    rebuild_layer(store, "bl", early)
+    tables = RF.store_summaries(b.spark, work_path(b.spark, "bl"), early, buckets=16)
     sources = {"missions": b.missions, "ship_state": b.ship_state, "mission_reports": b.mission_reports, "manifests": b.manifests}
-    done = RF.run_bl_refresh(store, sources, AS_OF, timedelta(days=36500))
-    return present(done["cargo_summary"])
+    RF.run_bl_refresh(tables, sources, AS_OF, 1, timedelta(days=36500))
+    return present(tables["cargo_summary"].read())
 
 
 @query(ORACLES["mart_ship_performance"])

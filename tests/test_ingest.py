@@ -205,6 +205,39 @@ def test_checksums(spark, store, tmp_path):
     assert rows(bad) == [("manifests", "checksum", f"2/{DAY}/mission_2_30251011.parquet", 1)]
 
 
+def test_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    (tmp_path / "a b").mkdir()
+    contents = {"a b/x.bin": b"1", "y%20z.bin": b"q" * 3_000_000, "é.bin": bytes(range(256)) * 5000}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    got = {r.object_key: (r.length, r.sha256) for r in file_hashes(spark, str(tmp_path)).collect()}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
+
+
+def test_object_checksums_see_every_change(table):
+    rows_ = [("1", f"item{i % 7}", float(i), f"{DAY} 09:00:{i % 60:02d}") for i in range(200)] + [("2", None, None, f"{DAY} 09:00:00")]
+    schema = "mission_id string, item string, value double, timestamp string"
+    first = {r.mission_id: r.checksum for r in R.report_objects(table(rows_, schema)).collect()}
+    again = {r.mission_id: r.checksum for r in R.report_objects(table(rows_[::-1], schema).repartition(7)).collect()}
+    assert first == again and all(len(c) == 64 for c in first.values())
+    for change in (rows_[1:], [*rows_, rows_[3]], [("1", "item0", 0.5, rows_[0][3]), *rows_[1:]]):
+        other = {r.mission_id: r.checksum for r in R.report_objects(table(change, schema)).collect()}
+        assert other["1"] != first["1"] and other["2"] == first["2"]
+
+
+def test_missions_without_a_period(spark, table):
+    """A period of 0 or none, or no start, gives no periodic reports and does not disturb the others; a year of minutes is fine."""
+    start = datetime(2025, 1, 1)
+    missions = table([(1, start, 0), (2, start, None), (3, None, 5), (4, start, -1), (5, start, 1)], "mission_id bigint, started_at timestamp_ntz, report_freq_min int")
+    tick = {n: 1.0 for n in C.TELEMETRY_NUMBERS}
+    schema = "seq bigint, timestamp string, mission_id string, ship_id string, " + ", ".join(f"{n} double" for n in C.TELEMETRY_NUMBERS) + ", status string, mission_status string"
+    stream = [{"seq": i, "timestamp": "2025-01-01T00:00:05Z", "mission_id": str(i % 6), "ship_id": "S", **tick, "status": "OK", "mission_status": "FAILURE" if i == 8 else None} for i in range(1, 12)]
+    got = R.report_snapshots(missions, spark.createDataFrame(stream, schema), "2026-01-01 00:00:00").groupBy("mission_id", "kind").count()
+    assert rows(got) == sorted([(1, "start", 1), (2, "start", 1), (2, "final", 1), (3, "start", 1), (4, "start", 1), (5, "start", 1), (5, "periodic", 365 * 1440)], key=str)
+
+
 def test_raw_logs_to_clean_reports_to_export(spark, table, tmp_path):
     logs = [("12", "Crystal King", "1200", f"{DAY} 09:00:00"), ("12", "Crystal King", "1200", f"{DAY} 09:00:00"), ("007", "Stone of Glory", "300", f"{DAY} 10:30:00")]
     write_raw_logs(table(logs, "mission_id string, item string, value string, timestamp string").coalesce(1), str(tmp_path / "raw"))

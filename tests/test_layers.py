@@ -178,19 +178,27 @@ def test_gate(table):
     assert freshness_gate(df, "updated_at", T2 + timedelta(days=1), timedelta(minutes=30)).collect()[0] == (False, 0)
 
 
-def test_stored_refresh_runs_in_order_and_keeps_old_versions(spark, domain, tmp_path):
-    store = TableStore(spark, str(tmp_path))
-    before = domain([mission(1)], reports=[(1, "a", 5.0)])
-    from wakeline.sinks.landing import rebuild_layer
-
-    rebuild_layer(store, "bl", summaries(before, T1))
-    now = domain([mission(1, "SUCCESS", T2, T2), mission(2, updated=T2)], reports=[(1, "a", 5.0), (2, "b", 7.0)])
-    assert RF.run_bl_refresh(store, now, T2 + timedelta(days=9)) is None
-    done = RF.run_bl_refresh(store, now, T2)
-    assert done["planet_summary"].first()["nb_missions"] == 2
-    assert store.versions("bl.mission_summary") == [1, 2]
-    assert store.read("bl.mission_summary").count() == 2 and store.read("bl.mission_summary", below=2).count() == 1
-    assert MISSIONS["status"].metadata["comment"].startswith("Mission outcome")
+def test_stored_refresh_rewrites_the_buckets_of_due_missions(spark, domain, tmp_path):
+    def known(*more, missions=12):
+        done = [mission(i, "SUCCESS", T1, T1) for i in range(1, missions)]
+        return domain([*done, *more], reports=[(i, "a", 5.0) for i in range(1, missions + 1)])
+
+    before = known(mission(12, updated=T1))
+    tables = RF.store_summaries(spark, str(tmp_path), summaries(before, T1), buckets=8)
+    now = known(mission(12, "SUCCESS", T2, T2))
+    assert RF.run_bl_refresh(tables, now, T2 + timedelta(days=9), 1) is None
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "mission_summary").rglob("bucket=*/version=*/*.parquet")}
+    for _ in range(2):  # a run repeated after a loss starts from what was there before it
+        touched = RF.run_bl_refresh(tables, now, T2, 1)
+        assert len(touched["mission_summary"]) == len(touched["cargo_summary"]) == 1
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items())
+    assert rows(tables["mission_summary"].read(below=1).select("mission_id", "computed_at")) == [(i, T1) for i in sorted(range(1, 13), key=str)]
+    want = RF.bl_refresh({**now, **summaries(before, T1)}, T2)
+    for name, table in tables.items():
+        assert rows(table.read()) == rows(want[name].select(*table.read().columns)), name
+    for version in range(2, 7):
+        RF.run_bl_refresh(tables, known(mission(12, "SUCCESS", T2, T2 + timedelta(minutes=version))), T2 + timedelta(minutes=version), version)
+    assert all(len(list(b.glob("version=*"))) <= 2 for b in tmp_path.rglob("bucket=*") if "_changes" not in str(b))
 
 
 def test_averages_of_money_are_rounded_once(domain):

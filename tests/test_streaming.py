@@ -2,6 +2,7 @@
 
 import json
 import random
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -9,7 +10,9 @@ from tests.conftest import rows
 from wakeline import catalogue as C
 from wakeline.operators.reshape import gauge_samples, latest_gauges
 from wakeline.plans.radar import radar_latest, radar_transitions
-from wakeline.sources.tables import TableStore
+from wakeline.plans.reports import report_snapshots
+from wakeline.schemas import TEXT, struct
+from wakeline.sources.tables import BucketTable, TableStore
 from wakeline.sources.telemetry import malformed, parse_telemetry, read_lake, read_mission, telemetry_source
 from wakeline.sinks.lake import write_lake
 from wakeline.streaming import jobs as J
@@ -53,22 +56,91 @@ def drain(query):
 def test_stream_over_three_runs_equals_batch(spark, topic, tmp_path):
     rng = random.Random(2)
     store, lake = TableStore(spark, str(tmp_path / "tables")), str(tmp_path / "lake")
-    metrics, states = J.metrics_table(store, every=2), J.states_table(store, every=2)  # folded after the second batch
+    metrics = J.metrics_table(spark, str(tmp_path / "gauges"), buckets=4)
     for _ in range(3):
         topic.send([event(rng, rng.choice(["007", "7", "42"])) for _ in range(60)])
-        drain(J.run_telemetry(topic.stream(), str(tmp_path / "c1"), lake, metrics, J.DRAIN))
+        drain(J.run_telemetry(topic.stream(), str(tmp_path / "c1"), lake, J.DRAIN))
         drain(J.run_radar(topic.stream(), store, str(tmp_path / "c2"), J.DRAIN))
-        drain(J.run_transitions(topic.stream(), states, str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
+        drain(J.run_transitions(topic.stream(), str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
+        drain(J.run_metrics(topic.stream(), metrics, str(tmp_path / "c4"), J.DRAIN))
     batch = topic.batch()
     columns = batch.columns
     assert rows(read_lake(spark, lake).select(*columns)) == rows(batch)
     assert rows(read_lake(spark, lake).groupBy("batch_id").count()) == [(0, 60), (1, 60), (2, 60)]
-    assert store.versions("metrics_latest") == [1] and store.versions("metrics_latest_changes") == [0, 1, 2]
     assert rows(metrics.read()) == rows(latest_gauges(batch, "seq"))
     assert rows(store.read("radar_latest").select("ship_id", "seq", "status", "colour")) == rows(radar_latest(batch).select("ship_id", "seq", "status", "colour"))
     assert rows(spark.read.parquet(str(tmp_path / "log")).drop("batch_id"), "seq") == rows(radar_transitions(batch), "seq")
 
 
+def test_records_of_several_partitions_go_by_their_time(spark, topic, tmp_path):
+    """Key-less records of one ship lie in two partitions, whose offsets say nothing about each other."""
+    rng = random.Random(6)
+    events = [event(rng, "1") | {"ship_id": rng.choice(["A", None])} for _ in range(80)]
+    at = datetime(2025, 1, 1, tzinfo=timezone.utc)
+    recs, ends = [], [900, 5]
+    for i, e in enumerate(events):
+        part = rng.randrange(2)
+        ends[part] += 1
+        recs.append((None, json.dumps(e).encode(), "telemetry.raw", part, ends[part], at + timedelta(milliseconds=i)))
+    schema = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+    for part in (recs[:50], recs[50:]):
+        rng.shuffle(part)
+        spark.createDataFrame(part, schema).repartition(3).write.mode("append").parquet(topic.path)
+        drain(J.run_transitions(topic.stream(), str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
+        drain(J.run_radar(topic.stream(), store := TableStore(spark, str(tmp_path / "t")), str(tmp_path / "c2"), J.DRAIN))
+        drain(J.run_metrics(topic.stream(), metrics := J.metrics_table(spark, str(tmp_path / "g")), str(tmp_path / "c4"), J.DRAIN))
+    ordered = spark.createDataFrame([(r[1], i) for i, r in enumerate(sorted(recs, key=lambda r: r[5]))], "value binary, seq bigint")
+    batch = parse_telemetry(ordered, keep=("seq",))
+    want = rows(radar_transitions(batch).select("ship_id", "previous", "current"))
+    assert rows(spark.read.parquet(str(tmp_path / "log")).select("ship_id", "previous", "current")) == want
+    assert rows(store.read("radar_latest").select("ship_id", "status", "fuel_prc")) == rows(radar_latest(batch).select("ship_id", "status", "fuel_prc"))
+    assert rows(metrics.read()) == rows(latest_gauges(batch, "seq"))
+
+
+def test_state_does_not_grow_with_batches(spark, topic, tmp_path):
+    """A value a ship, none for a ship whose mission ended, however many batches went by."""
+    rng, sizes = random.Random(3), []
+    for i in range(6):
+        ends = {"C": "SUCCESS"} if i % 2 else {}
+        topic.send([event(rng, "1") | {"ship_id": s, "mission_status": ends.get(s)} for s in "ABC" for _ in range(5)])
+        query = J.run_transitions(topic.stream(), str(tmp_path / "log"), str(tmp_path / "c"), J.DRAIN)
+        drain(query)
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert sizes == [3, 2, 3, 2, 3, 2]
+
+
+MISSIONS = "mission_id bigint, report_freq_min int, started_at timestamp_ntz"
+
+
+def ticks(*events):
+    """Events of (mission, minute, more) as records' values."""
+    numbers = {n: 1.0 for n in C.TELEMETRY_NUMBERS}
+    for mission, minute, more in events:
+        at = datetime(2025, 1, 1) + timedelta(minutes=minute)
+        yield {"timestamp": at.isoformat() + "Z", "mission_id": str(mission), "ship_id": f"S{mission}", **numbers, "status": "OK", "mission_status": None, **more}
+
+
+def test_reports_fall_due_in_the_stream(spark, topic, table, tmp_path):
+    """Silent missions report by the clock of the others; after every run the reports are those of the batch plan."""
+    start = datetime(2025, 1, 1)
+    missions = table([(1, 10, start), (2, 7, start + timedelta(minutes=3)), (3, 10, start), (4, 0, start), (5, None, start), (6, 10, None)], MISSIONS)
+    runs = [
+        [(1, 1, {}), (2, 4, {}), (4, 4, {}), (1, 9, {"status": "REPAIR"}), (5, 12, {}), (3, 14.5, {})],
+        [(1, 30, {}), (6, 31, {}), (1, 44.5, {"status": "REPAIR"}), (4, 46, {"mission_status": "FAILURE"})],
+        [(1, 61, {}), (1, 62, {"mission_status": "SUCCESS"}), (1, 63, {}), (3, 120, {})],
+        [(2, 200, {"fuel_prc": 7.0}), (2, 205, {"mission_status": "FAILURE"}), (6, 206, {"mission_status": "SUCCESS"}), (3, 230.5, {})],
+    ]
+    out, sent = str(tmp_path / "due"), 0
+    for run in runs:
+        topic.send(list(ticks(*run)))
+        drain(J.run_reports(topic.stream(), missions, out, str(tmp_path / "c"), J.DRAIN))
+        as_of = start + timedelta(minutes=max(m for _, m, _ in run))
+        got = spark.read.parquet(out).drop("batch_id")
+        assert rows(got) == rows(report_snapshots(missions, topic.batch(), as_of).select(*got.columns)), as_of
+        assert got.count() > sent
+        sent = got.count()
+
+
 def test_mission_ids_stay_text_and_one_mission_can_be_read(spark, topic, tmp_path):
     rng = random.Random(4)
     topic.send([event(rng, m) for m in ["007"] * 5 + ["7"] * 3])
@@ -121,10 +193,10 @@ def test_bad_records_are_no_ships(spark, topic, tmp_path):
     store = TableStore(spark, str(tmp_path / "tables"))
     drain(J.run_radar(topic.stream(), store, str(tmp_path / "c2"), J.DRAIN))
     assert rows(store.read("radar_latest").select("ship_id")) == [("A",), ("UNKNOWN",)]
-    drain(J.run_transitions(topic.stream(), J.states_table(store), str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
+    drain(J.run_transitions(topic.stream(), str(tmp_path / "log"), str(tmp_path / "c3"), J.DRAIN))
     assert rows(spark.read.parquet(str(tmp_path / "log")).select("ship_id")) == [("A",), ("UNKNOWN",)]
     rejects = str(tmp_path / "rejects")
-    drain(J.run_telemetry(topic.stream(), str(tmp_path / "c1"), str(tmp_path / "lake"), None, J.DRAIN, rejects))
+    drain(J.run_telemetry(topic.stream(), str(tmp_path / "c1"), str(tmp_path / "lake"), J.DRAIN, rejects))
     assert sorted(bytes(r["value"]) for r in spark.read.parquet(rejects).collect()) == [b"[1]", b"not json", b"{}"]
     assert read_lake(spark, str(tmp_path / "lake")).count() == 2
 
@@ -184,22 +256,30 @@ def test_versions_are_pruned(spark, table, tmp_path):
         store.read("nothing")
 
 
-def test_change_table(spark, table, tmp_path):
-    from wakeline.sources.tables import ChangeTable
+STATES = struct(ship_id=TEXT, state=TEXT)
+
 
+def test_bucket_table(spark, table, tmp_path):
     def batch(*pairs):
-        return table(list(pairs), J.STATES)
-
-    kept = ChangeTable(TableStore(spark, str(tmp_path)), "t", ("ship_id",), J.STATES, every=3)
-    assert kept.read().count() == 0
-    kept.put(batch(("a", "1"), ("b", "1")), 0)
-    kept.put(batch(("a", "2"), ("c", "2")), 1)
-    kept.put(batch(("a", "lost attempt")), 2)
-    kept.put(batch(("a", None)), 2)  # the retry replaces it, and the fold with it
-    kept.put(batch(("b", "4")), 4)  # batch 3 was empty
-    assert rows(kept.read(below=2)) == [("a", "2"), ("b", "1"), ("c", "2")]
-    assert rows(kept.read(below=3)) == [("a", None), ("b", "1"), ("c", "2")]
-    assert rows(kept.read()) == [("a", None), ("b", "4"), ("c", "2")]
+        return table(list(pairs), STATES)
+
+    kept = BucketTable(spark, str(tmp_path / "t"), ("ship_id",), STATES, buckets=4)
+    assert kept.read().count() == 0 and kept.put(batch(), 0) == []
+    assert len(kept.put(batch(*[(f"s{i}", "1") for i in range(40)], (None, "n")), 1)) == 4
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("bucket=*/version=*/*.parquet")}
+    (touched,) = kept.put(batch(("s3", "2")), 2)
+    assert {f.parent.parent.name for f in set((tmp_path / "t").rglob("bucket=*/version=*/*.parquet")) - set(files)} == {f"bucket={touched}"}
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items())
+    kept.put(batch(("s3", "lost attempt"), ("s4", "lost")), 3)
+    kept.put(batch(("s3", None), (None, "m")), 3)  # the retry starts from what was there before
+    old = {f"s{i}": "1" for i in range(40)} | {None: "n", "s3": "2"}
+    assert {r.ship_id: r.state for r in kept.read().collect()} == old | {None: "m", "s3": None}
+    assert {r.ship_id: r.state for r in kept.read(below=3).collect()} == old
+    for v in range(4, 9):
+        kept.put(batch(("s3", str(v))), v)
+    assert len(list((tmp_path / "t").rglob(f"bucket={touched}/version=*"))) <= 4 and kept.current()[touched] == 8
+    assert len(list((tmp_path / "t" / f"bucket={touched}").glob("version=*"))) == 2
+    assert len(list((tmp_path / "t" / "_changes").glob("version=*"))) == 2
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -36,14 +36,14 @@ def gauge_samples(telemetry: DataFrame) -> DataFrame:
     return _to_long(_complete_rows(telemetry).select("ship_id", "mission_id", *_aliased(_gauge_columns())))
 
 
-def latest_gauges(telemetry: DataFrame, order: str) -> DataFrame:
+def latest_gauges(telemetry: DataFrame, order: str | Column) -> DataFrame:
     """Latest sample per metric, ship and mission.
 
     Every complete row carries all twelve gauges, so the latest row per (ship, mission) is taken first and unpivoted
     afterwards. All twelve are doubles: the aggregation stays a hash aggregate with map-side merging.
     """
     gauges = _gauge_columns()
-    wide = _complete_rows(telemetry).select("ship_id", "mission_id", F.col(order).alias("_order"), *_aliased(gauges))
+    wide = _complete_rows(telemetry).select("ship_id", "mission_id", (F.col(order) if isinstance(order, str) else order).alias("_order"), *_aliased(gauges))
     last = wide.groupBy("ship_id", "mission_id").agg(*[F.max_by(g, "_order").alias(g) for g in gauges])
     return _to_long(last)
 

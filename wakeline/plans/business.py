@@ -177,29 +177,38 @@ def refresh_mission_summary(
 
     By default a known mission keeps the status it was first summarised with; ``update_cols="all"`` refreshes it.
     """
-    batch = mission_summary(changed_missions(missions, target), ship_state, as_of)
-    return upsert(target, batch, ["mission_id"], update_cols)
+    return upsert(target, mission_batch(target, missions, ship_state, as_of), ["mission_id"], update_cols)
+
+
+def mission_batch(target: DataFrame, missions: DataFrame, ship_state: DataFrame, as_of: datetime | str) -> DataFrame:
+    """New summary rows of the missions that changed."""
+    return mission_summary(changed_missions(missions, target), ship_state, as_of)
 
 
 def refresh_cargo_summary(
     target: DataFrame, missions: DataFrame, mission_reports: DataFrame, as_of: datetime | str
 ) -> DataFrame:
     """Summary after merging due missions. Reports landing after a mission's last refresh are not picked up."""
-    batch = cargo_summary(cargo_due_missions(missions, target, as_of), mission_reports, as_of)
-    return upsert(target, batch, ["mission_id"], CARGO_UPDATE_COLS)
+    return upsert(target, cargo_batch(target, missions, mission_reports, as_of), ["mission_id"], CARGO_UPDATE_COLS)
+
+
+def cargo_batch(target: DataFrame, missions: DataFrame, mission_reports: DataFrame, as_of: datetime | str) -> DataFrame:
+    """New summary rows of the due missions."""
+    return cargo_summary(cargo_due_missions(missions, target, as_of), mission_reports, as_of)
 
 
 def refresh_manifest_summary(
     target: DataFrame, missions: DataFrame, manifests: DataFrame, as_of: datetime | str
 ) -> DataFrame:
-    """Summary after merging missions with an upload newer than the last run; others are never inserted.
+    """Summary after merging missions with an upload newer than the last run; others are never inserted."""
+    return upsert(target, manifest_batch(target, missions, manifests, as_of), ["mission_id"], MANIFEST_UPDATE_COLS)
 
-    Only the manifests of such missions are aggregated.
-    """
+
+def manifest_batch(target: DataFrame, missions: DataFrame, manifests: DataFrame, as_of: datetime | str) -> DataFrame:
+    """New summary rows of missions with an upload newer than the last run; only their manifests are aggregated."""
     fresh = manifests.where(F.col("upload_time") > last_computed(target)).select("mission_id").distinct()
     due = [df.join(fresh, "mission_id", "left_semi") for df in (missions, manifests)]
-    batch = manifest_summary(*due, as_of)
-    return upsert(target, batch, ["mission_id"], MANIFEST_UPDATE_COLS)
+    return manifest_summary(*due, as_of)
 
 
 def refresh_planet_summary(

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.operators.gates import MISSION_WINDOW, missions_gate
 from wakeline.plans import business as B, serving as S
-from wakeline.sources.tables import TableStore
+from wakeline.sources.tables import BucketTable
 
 
 def bl_rebuild(missions: DataFrame, ship_state: DataFrame, reports: DataFrame, manifests: DataFrame, as_of) -> dict[str, DataFrame]:
@@ -51,32 +51,54 @@ def sl_rebuild(summaries: dict[str, DataFrame], as_of: datetime | str) -> dict[s
     }
 
 
+#: Summaries with their key, and what a refresh updates of a known key.
+SUMMARIES = {
+    "mission_summary": ("mission_id", B.MISSION_UPDATE_COLS),
+    "cargo_summary": ("mission_id", B.CARGO_UPDATE_COLS),
+    "manifest_summary": ("mission_id", B.MANIFEST_UPDATE_COLS),
+    "planet_summary": ("planet", B.PLANET_UPDATE_COLS),
+}
+
+
+def store_summaries(spark: SparkSession, root: str, summaries: dict[str, DataFrame], buckets: int = 64) -> dict[str, BucketTable]:
+    """The four summaries as tables by bucket of their key below ``root``, filled as version 0."""
+    tables = {}
+    for name, df in summaries.items():
+        key, _ = SUMMARIES[name]
+        tables[name] = BucketTable(spark, f"{root}/{name}", (key,), df.schema, buckets=buckets if key == "mission_id" else 1)
+        tables[name].put(df, 0)
+    return tables
+
+
 def run_bl_refresh(
-    store: TableStore, sources: dict[str, DataFrame], as_of: datetime | str, window: timedelta = MISSION_WINDOW
-) -> dict[str, DataFrame] | None:
-    """Gate, then refresh and store the four summaries; None when no mission was updated within ``window``.
+    tables: dict[str, BucketTable],
+    sources: dict[str, DataFrame],
+    as_of: datetime | str,
+    version: int,
+    window: timedelta = MISSION_WINDOW,
+) -> dict[str, list[int]] | None:
+    """Gate, then refresh the stored summaries as ``version``; None when no mission was updated within ``window``.
 
-    Only children of missions due for a refresh are aggregated. Each summary is written before the
-    next one reads it, so a later stage starts from stored rows and not from the whole lineage.
+    Only children of missions due for a refresh are aggregated, and only the buckets such missions fall in are joined and
+    rewritten: returned by table. A run repeated under its version starts from what was there before it. Each summary is
+    written before the next one reads it, so a later stage starts from stored rows and not from the whole lineage.
     """
     if not missions_gate(sources["missions"], as_of, window).first()["should_run"]:
         return None
-    now = {n: store.read(f"bl.{n}") for n in ("mission_summary", "cargo_summary", "manifest_summary", "planet_summary")}
+    now = {name: table.read(below=version) for name, table in tables.items()}
     missions = sources["missions"]
     changed = B.changed_missions(missions, now["mission_summary"])
     due = B.cargo_due_missions(missions, now["cargo_summary"], as_of)
     ticks = sources["ship_state"].join(changed.select("mission_id"), "mission_id", "left_semi")
     reports = sources["mission_reports"].join(due.select("mission_id"), "mission_id", "left_semi")
+    touched = {}
+
+    def put(name: str, batch: DataFrame) -> None:
+        touched[name] = tables[name].put(batch, version, list(SUMMARIES[name][1]))
 
-    done = {}
-    operations = B.refresh_mission_summary(now["mission_summary"], missions, ticks, as_of)
-    done["mission_summary"] = store.write(operations, "bl.mission_summary")
-    cargo = B.refresh_cargo_summary(now["cargo_summary"], missions, reports, as_of)
-    done["cargo_summary"] = store.write(cargo, "bl.cargo_summary")
-    uploads = B.refresh_manifest_summary(now["manifest_summary"], missions, sources["manifests"], as_of)
-    done["manifest_summary"] = store.write(uploads, "bl.manifest_summary")
-    places = B.refresh_planet_summary(
-        now["planet_summary"], missions, done["mission_summary"], done["cargo_summary"], as_of
-    )
-    done["planet_summary"] = store.write(places, "bl.planet_summary")
-    return done
+    put("mission_summary", B.mission_batch(now["mission_summary"], missions, ticks, as_of))
+    put("cargo_summary", B.cargo_batch(now["cargo_summary"], missions, reports, as_of))
+    put("manifest_summary", B.manifest_batch(now["manifest_summary"], missions, sources["manifests"], as_of))
+    operations, cargo = tables["mission_summary"].read(), tables["cargo_summary"].read()
+    put("planet_summary", B.planet_summary(missions, operations, cargo, as_of))
+    return touched

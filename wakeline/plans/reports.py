@@ -15,6 +15,8 @@ from wakeline.operators.skew import sliced_join
 from wakeline.plans.radar import is_terminal
 
 _STATE = ("timestamp", "ship_id", *C.TELEMETRY_NUMBERS)
+#: Report numbers that one row spreads out into.
+_SPAN = 4096
 
 
 def report_snapshots(
@@ -30,7 +32,7 @@ def report_snapshots(
     Report times are ``anchor`` plus whole periods; ``period_seconds`` defaults to the mission's report frequency and
     ``anchor`` to its start. A report is due at its time, whether or not something arrived in its period: it shows the last known
     state. Reports end with the mission. Nothing after ``as_of`` is reported or looked at, so a later run repeats all
-    earlier reports. Output: ``mission_id, report_no, kind`` (start, periodic, final), the state with its health. The
+    earlier reports. A period that is null or not positive gives no periodic reports. Output: ``mission_id, report_no, kind`` (start, periodic, final), the state with its health. The
     final report carries the mission's outcome as status.
 
     The join with the mission's period slices hot missions; right after it the ticks are reduced to three states per
@@ -38,8 +40,9 @@ def report_snapshots(
     """
     period = F.col("report_freq_min") * 60 if period_seconds is None else period_seconds
     begin = F.col("started_at") if anchor is None else anchor
-    due = F.floor(F.timestamp_diff("SECOND", begin, instant(as_of)) / period.cast("bigint")).cast("bigint")
-    plan = missions.select("mission_id", period.cast("bigint").alias("_period"), begin.alias("_begin"), due.alias("_due"))
+    period = F.when(period > 0, period.cast("bigint"))
+    due = F.floor(F.timestamp_diff("SECOND", begin, instant(as_of)) / period).cast("bigint")
+    plan = missions.select("mission_id", period.alias("_period"), begin.alias("_begin"), due.alias("_due"))
     typed = telemetry.withColumns(
         {"mission_id": F.col("mission_id").try_cast("bigint"), "_at": utc_text_to_ntz(F.col("timestamp"))}
     ).where(F.col("_at") <= instant(as_of))
@@ -68,19 +71,22 @@ def report_snapshots(
     # A slot's last state is shown by the report that closes it and by those up to the next slot with ticks.
     upto = F.least("_due", F.coalesce("_next", "_due"), F.coalesce("_ending._slot", "_due"))
     from_ = F.greatest(F.col("_slot") + 1, F.lit(1))
-    numbers = F.when(from_ <= upto, F.sequence(from_, upto)).otherwise(F.array().cast("array<bigint>"))
+    after = F.coalesce("_slot", F.lit(0)) + 1
 
-    def reports(condition: Column, number: Column, kind: str, state: str) -> Column:
-        one = F.array(F.struct(number.cast("bigint").alias("report_no"), F.lit(kind).alias("kind"), F.col(state).alias("state")))
-        return F.when(condition, one).otherwise(F.slice(one, 1, 0))
+    def span(condition: Column, kind: str, low: Column, high: Column) -> Column:
+        return F.when(condition, F.struct(F.lit(kind).alias("kind"), low.cast("bigint").alias("low"), high.cast("bigint").alias("high")))
 
-    periodic = F.transform(numbers, lambda n: F.struct(n.alias("report_no"), F.lit("periodic").alias("kind"), F.col("last").alias("state")))
-    made = F.concat(
-        reports(F.col("first_seq") == F.col("_begin_seq"), F.lit(0), "start", "first"),
-        periodic,
-        reports(F.col("end_seq") == F.col("_ending.end_seq"), F.col("_slot") + 1, "final", "end"),
+    spans = F.array(
+        span(F.col("first_seq") == F.col("_begin_seq"), "start", F.lit(0), F.lit(0)),
+        span(F.col("_slot").isNotNull() & (from_ <= upto), "periodic", from_, upto),
+        span(F.col("end_seq") == F.col("_ending.end_seq"), "final", after, after),
     )
-    out = marked.select("mission_id", F.inline(made))
+    # Numbers are spread out before a state is attached, _SPAN of them at a time: no row holds many states or many numbers.
+    listed = marked.select("mission_id", "first", "last", "end", F.inline(F.filter(spans, lambda x: x.isNotNull())))
+    parts = listed.withColumn("_part", F.explode(F.sequence("low", "high", F.lit(_SPAN).cast("bigint"))))
+    each = parts.withColumn("report_no", F.explode(F.sequence("_part", F.least("high", F.col("_part") + _SPAN - 1))))
+    state = F.when(F.col("kind") == "start", F.col("first")).when(F.col("kind") == "final", F.col("end")).otherwise(F.col("last"))
+    out = each.select("mission_id", "report_no", "kind", state.alias("state"))
     return score_health(out.select("mission_id", "report_no", "kind", "state.*"))
 
 
@@ -94,16 +100,18 @@ def state_struct(snapshot_columns: list[str]) -> Column:
 def report_objects(reports: DataFrame) -> DataFrame:
     """One row per (mission, day) of cleaned report rows: ``mission_id, mission_date, object_key, checksum, sha256``.
 
-    The checksum covers the rows' content whatever their order or files: row count, sum and exclusive-or of the row
-    hashes. All three merge map-side, so a hot object is never gathered in one place.
+    The checksum covers the rows' content whatever their order or files: the SHA-256 of every row is taken apart into eight
+    numbers of 32 bits, these are added up exactly, and count and sums are hashed. All merge map-side, so a hot object is
+    never gathered in one place.
     """
-    row_hash = F.xxhash64("item", F.col("value").cast("double"), F.col("timestamp").cast("string"))
+    fields = [F.col("item"), F.col("value").cast("decimal(38,9)").cast("string"), F.col("timestamp").cast("timestamp_ntz").cast("string")]
+    text = F.concat_ws("|", *[F.coalesce(f, F.lit("")) for f in fields])
     day = F.substring(F.col("timestamp").cast("string"), 1, 10).cast("date")
-    hashed = reports.select("mission_id", day.alias("mission_date"), row_hash.alias("_hash"))
-    objects = hashed.groupBy("mission_id", "mission_date").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_hash").cast("decimal(20,0)")).alias("_sum"), F.bit_xor("_hash").alias("_xor")
-    )
-    digest = sha256_hex(F.concat_ws("|", *[F.col(c).cast("string") for c in ("_n", "_sum", "_xor")]).cast("binary"))
+    hashed = reports.select("mission_id", day.alias("mission_date"), sha256_hex(text.cast("binary")).alias("_hash"))
+    limbs = [F.conv(F.substring("_hash", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(8)]
+    sums = [F.sum(limb).alias(f"_{i}") for i, limb in enumerate(limbs)]
+    objects = hashed.groupBy("mission_id", "mission_date").agg(F.count(F.lit(1)).alias("_n"), *sums)
+    digest = sha256_hex(F.concat_ws("|", *[F.col(c).cast("string") for c in ("_n", *[f"_{i}" for i in range(8)])]).cast("binary"))
     keyed = objects.withColumns({"object_key": report_key(F.col("mission_id"), F.col("mission_date")), "checksum": digest})
     return keyed.select("mission_id", "mission_date", "object_key", "checksum", F.col("checksum").alias("sha256"))
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from wakeline.functions.text import sha256_hex
 from wakeline.operators.arrival import latest_per_key
 from wakeline.schemas import DATE, LONG, MANIFEST_DOCUMENT, RAW_REPORT, TEXT, struct
 
+#: Bytes of a file read at once.
+PIECE = 1 << 20
+
 
 def _object_key(root: str) -> Column:
     """Path of the scanned file below ``root``."""
@@ -71,7 +78,32 @@ def read_mission_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(path)
 
 
+def newest_run(rows: DataFrame) -> DataFrame:
+    """Of report rows stored by run, those of each object's newest run."""
+    newest = rows.groupBy("object_key").agg(F.max("run_id").alias("run_id"))
+    return rows.join(newest, ["object_key", "run_id"], "left_semi")
+
+
 def file_hashes(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """``object_key, length, sha256`` of every file below ``root``; bytes never leave the executors."""
+    """``object_key, length, sha256`` of every file below ``root``.
+
+    Files are listed without their content; a task reads its files from the store in pieces of ``PIECE`` bytes, so a
+    file of any size takes one piece of memory. Files without a byte are not listed.
+    """
     files = _recursive(spark, glob).format("binaryFile").load(root)
-    return files.select(_object_key(root).alias("object_key"), "length", sha256_hex(F.col("content")).alias("sha256"))
+    listed = files.select(_object_key(root).alias("object_key"), "path", "length")
+    hashed = listed.mapInArrow(_hash_files, struct(object_key=TEXT, path=TEXT, length=LONG, sha256=TEXT))
+    return hashed.drop("path")
+
+
+def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path in batch.column("path").to_pylist():
+            store, name = (pa.fs.LocalFileSystem(), path[5:]) if path.startswith("file:") else pa.fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with store.open_input_stream(name) as stream:
+                while piece := stream.read(PIECE):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=["object_key", "path", "length", "sha256"])

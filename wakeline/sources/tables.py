@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from wakeline.operators.arrival import latest_per_key
 from wakeline.operators.upsert import upsert
 
 
@@ -71,57 +70,80 @@ class TableStore:
 
 
 @dataclass(frozen=True)
-class ChangeTable:
-    """A keyed table that micro-batches update: changed rows are written per batch and merged when read.
+class BucketTable:
+    """A keyed table below ``path`` as ``bucket=B/version=V``: an update rewrites the buckets that its keys fall in.
 
-    A batch costs what it changes, not what the table holds. Every ``every`` batches the changes are folded into a new
-    base version. A column value of null in a change replaces like any other.
+    Other buckets stay as they are, file for file. ``by`` are the keys that decide the bucket. A bucket's newest version
+    counts; ``keep`` of them stay. A version written again (a retried micro-batch or run) starts from what was there before
+    it. Changed rows are written below ``_changes`` first, so that they are computed once and survive a lost executor.
     """
 
-    store: TableStore
-    name: str
+    spark: SparkSession
+    path: str
     keys: tuple[str, ...]
     schema: T.StructType
-    every: int = 50
-
-    def read(self, below: int | None = None, only: DataFrame | None = None) -> DataFrame:
-        """Rows as of the newest batch, or of the newest one before ``below``; with ``only`` those of its keys.
-
-        Base and changes are reduced to these keys before they are merged.
-        """
-        return self._merged(below, below, only)
-
-    def _merged(self, base_below: int | None, changes_below: int | None, only: DataFrame | None = None) -> DataFrame:
-        bases = [v for v in self.store.versions(self.name) if base_below is None or v < base_below]
-        since = bases[-1] if bases else -1
-        keys = list(self.keys)
-        base = self.store.read(self.name, self.schema, base_below)
-        if only is not None:
-            base = base.join(only.select(*keys), keys, "left_semi")
-        recorded = self.store.versions(self._changes)
-        recent = [v for v in recorded if v > since and (changes_below is None or v < changes_below)]
-        if not recent:
-            return base
-        versioned = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
-        changes = self.store.spark.read.schema(versioned).parquet(self.store._table(self._changes))
-        changes = changes.where(F.col("version").isin(recent))
-        if only is not None:
-            changes = changes.join(only.select(*keys), keys, "left_semi")
-        newest = latest_per_key(changes, keys, "version")
-        return upsert(base, newest.drop("version"), keys, null_keys=True)
-
-    def put(self, rows: DataFrame, batch_id: int) -> None:
-        """Record a batch's changed rows, one per key; a retried batch replaces its own."""
-        self.store.write(rows, self._changes, batch_id)
-        if (batch_id + 1) % self.every == 0:
-            # A retried batch may find the base its lost attempt wrote; it starts from the one before.
-            self.store.write(self._merged(batch_id, batch_id + 1), self.name, batch_id)
-            self.store.prune(self.name, keep=2)
-            self.store.prune(self._changes, keep=2 * self.every)
-
-    @property
-    def _changes(self) -> str:
-        return f"{self.name}_changes"
+    by: tuple[str, ...] = ()
+    buckets: int = 64
+    keep: int = 2
+
+    def current(self, below: int | None = None) -> dict[int, int]:
+        """Newest version of every bucket, or the newest before ``below``: one listing of at most buckets x keep folders."""
+        newest: dict[int, int] = {}
+        for bucket, version in self._versions():
+            if below is None or version < below:
+                newest[bucket] = max(version, newest.get(bucket, version))
+        return newest
+
+    def read(self, below: int | None = None, only: list[int] | None = None) -> DataFrame:
+        """All rows, or those of some buckets, as of the newest version or of the newest one before ``below``."""
+        found = {b: v for b, v in self.current(below).items() if only is None or b in only}
+        if not found:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.path}/bucket={b}/version={v}" for b, v in sorted(found.items())]
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def put(self, rows: DataFrame, version: int, update_cols: list[str] | str = "all") -> list[int]:
+        """Insert or update ``rows`` (one per key) as ``version``; returns the buckets that were rewritten."""
+        columns = [f.name for f in self.schema.fields]
+        self._delete([f"bucket={b}/version={v}" for b, v in self._versions() if v == version])  # of a lost attempt
+        staged = f"{self.path}/_changes/version={version}"
+        changed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        changed.withColumn("bucket", self._bucket()).write.mode("overwrite").partitionBy("bucket").parquet(staged)
+        touched = sorted(int(p.getName().split("=")[1]) for p in self._glob(f"{staged}/bucket=*"))
+        if touched:
+            batch = self.spark.read.schema(self.schema).parquet(*[f"{staged}/bucket={b}" for b in touched])
+            merged = upsert(self.read(version, touched), batch, list(self.keys), update_cols, null_keys=True)
+            placed = merged.select(*columns, self._bucket().alias("bucket"), F.lit(version).cast("bigint").alias("version"))
+            placed.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "bucket", "version"
+            ).parquet(self.path)
+        self._prune(version)
+        return touched
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*(self.by or self.keys)), F.lit(self.buckets)).cast("int")
+
+    def _versions(self) -> list[tuple[int, int]]:
+        found = self._glob(f"{self.path}/bucket=*/version=*")
+        return [(int(p.getParent().getName().split("=")[1]), int(p.getName().split("=")[1])) for p in found]
+
+    def _prune(self, version: int) -> None:
+        held: dict[int, list[int]] = {}
+        for bucket, v in self._versions():
+            held.setdefault(bucket, []).append(v)
+        old = [f"bucket={b}/version={v}" for b, vs in held.items() for v in sorted(vs)[: -self.keep]]
+        stale = [p.getName() for p in self._glob(f"{self.path}/_changes/version=*")]
+        old += [f"_changes/{name}" for name in stale if int(name.split("=")[1]) <= version - self.keep]
+        self._delete(old)
+
+    def _delete(self, names: list[str]) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _glob(self, pattern: str) -> list:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        return [s.getPath() for s in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []]
 
 
 def read_table(spark: SparkSession, name: str, kind: str = "catalog", **options: str) -> DataFrame:

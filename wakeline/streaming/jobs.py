@@ -11,18 +11,19 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.operators.reshape import METRIC_KEYS, latest_gauges
 from wakeline.plans.ingest import ingest_manifests, parse_manifests
-from wakeline.plans.radar import drop_finished, last_known, named_ships, radar_transitions
+from wakeline.plans.radar import drop_finished, named_ships
 from wakeline.schemas import DOUBLE, MANIFESTS, TEXT, struct
 from wakeline.sinks.landing import append_landing, read_landing, read_waiting, write_waiting
 from wakeline.sinks.lake import write_lake
 from wakeline.sources.files import manifest_texts
-from wakeline.sources.tables import ChangeTable, TableStore
+from wakeline.sources.tables import BucketTable, TableStore
 from wakeline.sources.telemetry import parse_telemetry, unreadable
+from wakeline.streaming.states import PLACE, arrival_number, due_reports, status_changes
 
 log = logging.getLogger(__name__)
 
@@ -30,33 +31,32 @@ EVERY_SECOND = {"processingTime": "1 second"}
 DRAIN = {"availableNow": True}
 
 METRICS = struct(metric=TEXT, help=TEXT, ship_id=TEXT, mission_id=TEXT, value=DOUBLE)
-STATES = struct(ship_id=TEXT, state=TEXT)
 
 
-def metrics_table(store: TableStore, every: int = 50) -> ChangeTable:
-    """Latest sample per metric, ship and mission."""
-    return ChangeTable(store, "metrics_latest", tuple(METRIC_KEYS), METRICS, every)
-
-
-def states_table(store: TableStore, every: int = 50) -> ChangeTable:
-    """Status each ship is known by; null where a terminal event cleared it."""
-    return ChangeTable(store, "radar_states", ("ship_id",), STATES, every)
+def metrics_table(spark: SparkSession, path: str, buckets: int = 64) -> BucketTable:
+    """Latest sample per metric, ship and mission; the samples of a ship's mission share a bucket."""
+    return BucketTable(spark, path, tuple(METRIC_KEYS), METRICS, ("ship_id", "mission_id"), buckets)
 
 
 def arriving(records: DataFrame) -> DataFrame:
-    """Parsed telemetry with its arrival number. A ship's records share a partition, so offsets order them."""
+    """Parsed telemetry with its offset as ``seq``."""
     return parse_telemetry(records.withColumn("seq", F.col("offset")), keep=("seq",))
 
 
+def placed(records: DataFrame) -> DataFrame:
+    """Parsed telemetry with its place of arrival: record time, partition, offset.
+
+    A ship's records need not share a partition (records without key are dealt out, partitions are added), so offsets
+    alone do not order them.
+    """
+    at = F.coalesce(F.unix_millis("timestamp"), F.lit(0)) if "timestamp" in records.columns else F.lit(0)
+    return parse_telemetry(records.withColumn("arrived", at.cast("bigint")), keep=PLACE)
+
+
 def run_telemetry(
-    source: DataFrame,
-    checkpoint: str,
-    lake_path: str,
-    metrics: ChangeTable | None = None,
-    trigger: dict = EVERY_SECOND,
-    rejects_path: str | None = None,
+    source: DataFrame, checkpoint: str, lake_path: str, trigger: dict = EVERY_SECOND, rejects_path: str | None = None
 ) -> StreamingQuery:
-    """Land the stream in the lake and, with ``metrics``, keep the latest gauges up to date.
+    """Land the stream in the lake.
 
     With ``rejects_path`` records that give no row (no JSON, neither mission nor ship) go there instead, as they came.
     """
@@ -72,24 +72,39 @@ def run_telemetry(
             counter = Observation()
             write_lake(landed, batch_id, lake_path, counter=counter)
             log.info("batch %d: %d telemetry rows", batch_id, counter.get["rows"])
-            if metrics is not None:
-                metrics.put(latest_gauges(parsed, "seq"), batch_id)
         finally:
             parsed.unpersist()
 
     return source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def run_metrics(source: DataFrame, table: BucketTable, checkpoint: str, trigger: dict = EVERY_SECOND) -> StreamingQuery:
+    """Keep the latest gauges in ``table``: the newest complete row per ship and mission is Spark's state, and only keys
+    that a micro-batch changes leave it, into the buckets they fall in."""
+
+    def publish(changed: DataFrame, batch_id: int) -> None:
+        table.put(changed, batch_id)
+
+    latest = latest_gauges(placed(source), arrival_number())
+    return (
+        latest.writeStream.outputMode("update")
+        .foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def run_lake(source: DataFrame, lake_path: str, checkpoint: str, trigger: dict = EVERY_SECOND) -> StreamingQuery:
     """Land the stream in the lake only."""
-    return run_telemetry(source, checkpoint, lake_path, None, trigger)
+    return run_telemetry(source, checkpoint, lake_path, trigger)
 
 
 def radar_stream(source: DataFrame) -> DataFrame:
     """Streaming latest event per ship; the state store holds one event per ship."""
-    events = named_ships(arriving(source))
-    rest = [c for c in events.columns if c != "ship_id"]
-    latest = events.groupBy("ship_id").agg(F.max_by(F.struct(*rest), "seq").alias("_row"))
+    events = named_ships(placed(source)).withColumn("seq", F.col("offset"))
+    rest = [c for c in events.columns if c not in ("ship_id", *PLACE)]
+    latest = events.groupBy("ship_id").agg(F.max_by(F.struct(*rest), arrival_number()).alias("_row"))
     return drop_finished(latest.select("ship_id", "_row.*"))
 
 
@@ -110,25 +125,45 @@ def run_radar(source: DataFrame, store: TableStore, checkpoint: str, trigger: di
     )
 
 
-def run_transitions(
-    source: DataFrame, states: ChangeTable, log_path: str, checkpoint: str, trigger: dict = EVERY_SECOND
+def run_transitions(source: DataFrame, log_path: str, checkpoint: str, trigger: dict = EVERY_SECOND) -> StreamingQuery:
+    """Append status changes to ``log_path``, by batch; the status each ship is known by is Spark's state."""
+
+    def handle(changes: DataFrame, batch_id: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+
+    changes = status_changes(placed(source))
+    return (
+        changes.writeStream.outputMode("append")
+        .foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def run_reports(
+    source: DataFrame,
+    missions: DataFrame,
+    reports_path: str,
+    checkpoint: str,
+    trigger: dict = EVERY_SECOND,
+    period_seconds: Column | None = None,
+    anchor: Column | None = None,
+    lateness: str = "0 seconds",
 ) -> StreamingQuery:
-    """Append status changes to ``log_path``; ``states`` keeps the status each ship is known by."""
+    """Append the captains' reports that fall due to ``reports_path``, by batch (see ``states.due_reports``)."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = arriving(batch).select("seq", "mission_id", "ship_id", "status", "mission_status").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if parsed.isEmpty():
-                return
-            newest = last_known(parsed)
-            known = states.read(below=batch_id, only=newest).where(F.col("state").isNotNull())
-            changes = radar_transitions(parsed, carried=known)
-            changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
-            states.put(newest, batch_id)
-        finally:
-            parsed.unpersist()
+    def handle(reports: DataFrame, batch_id: int) -> None:
+        reports.write.mode("overwrite").parquet(f"{reports_path}/batch_id={batch_id}")
 
-    return source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    reports = due_reports(placed(source), missions, period_seconds, anchor, lateness)
+    return (
+        reports.writeStream.outputMode("append")
+        .foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
 
 
 def new_manifest_files(spark: SparkSession, root: str) -> DataFrame:
