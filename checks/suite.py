@@ -1003,8 +1003,8 @@ def dq_checksum_mismatch(b: Bound) -> DataFrame:
     written again with other values for some."""
     path, mission = work_path(b.spark, "objects"), F.col("mission_id").cast("bigint")
     sent = b.report_rows.drop("object_key")
-    SF.export_reports(sent.where(mission % 97 != 6), path, 0)
-    SF.export_reports(sent.where(mission % 97 == 5).withColumn("value", F.col("value") + 1), path, 1)
+    SF.export_reports(sent.where(mission % 97 != 6), path, 0, "runs")
+    SF.export_reports(sent.where(mission % 97 == 5).withColumn("value", F.col("value") + 1), path, 1, "runs")
     manifests = RP.report_objects(sent).select(F.col("object_key").alias("mission_file"), F.col("checksum").alias("checksum_mission"))
     return DQ.checksum_mismatch(manifests, RP.report_objects(newest_run(read_report_rows(b.spark, path))))
 

@@ -27,7 +27,8 @@ def export_reports(
 
     ``rows``: a directory per reporting day and run, ``object_key`` as a column, sorted by it; a repeated run replaces
     its own rows, and ``read_report_rows`` leaves choosing an object's newest run to the ingest. ``files``: a directory
-    per mission and day, replaced as a whole. Either way the report columns stay in the files and a large day or
+    per mission and day, replaced as a whole. ``runs``: a directory per run, read like ``rows``, for runs that touch many
+    days with few rows each. Either way the report columns stay in the files and a large day or
     object is written by several tasks.
     """
     day = F.substring("timestamp", 1, 10)
@@ -40,6 +41,9 @@ def export_reports(
     elif layout == "files":
         rows = rows.withColumn("report_mission", F.col("mission_id"))
         spread, levels = spread_for_write(rows, "object_key", content), ["report_mission", "report_date"]
+    elif layout == "runs":
+        rows = rows.withColumns({"run_id": F.lit(run_id).cast("bigint"), "report_date": F.col("report_date").cast("date")})
+        spread, levels = rows.repartitionByRange("object_key", content), ["run_id"]
     else:
         raise ValueError(f"unknown report layout: {layout}")
     out = count_into(spread.sortWithinPartitions(*levels, "object_key"), counter)
