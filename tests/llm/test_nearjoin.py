@@ -137,3 +137,28 @@ def test_texts_of_a_hot_key_are_fetched_once_a_class(documents, monkeypatch):
 
 def rows_with_numbers(rows):
     return [(i, t) for i, (_, t) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("seed", range(12))
+@pytest.mark.parametrize("leaders", [2, 64])
+def test_shortened_prefixes_connect_what_all_pairs_do(monkeypatch, seed, leaders):
+    """Within every subtrie the same rows are connected as by comparing all its pairs, whatever their labels."""
+    monkeypatch.setattr(nearjoin, "LEADERS", leaders)
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, 40, 6)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    shifts = nearjoin.levels(2)
+    rest = np.concatenate([np.sort(rng.integers(0, 3, s) << 31 | rng.integers(0, 3, s)) for s in sizes])
+    base = rng.integers(0, 256, (8, 48)).astype(np.uint8)
+    sig = base[rng.integers(0, 8, len(rest))].copy()
+    flips = rng.random(sig.shape) < 0.3
+    sig[flips] = rng.integers(0, 256, int(flips.sum()))
+    side = np.concatenate([rng.integers(0, 2, s) if k % 2 else np.full(s, -1) for k, s in enumerate(sizes)])
+    a, b = np.triu_indices(len(rest), 1)
+    subtrie = np.repeat(np.arange(len(sizes)), sizes)
+    use = (subtrie[a] == subtrie[b]) & ((side[a] < 0) | (side[a] != side[b]))
+    use &= (sig[a] == sig[b]).sum(1) >= int(np.ceil(nearjoin.ESTIMATE * 48))
+    want = nearjoin.union_find(len(rest), a[use], b[use])
+    got = nearjoin.connected(starts, rest, sig, side, shifts)
+    top = nearjoin.union_find(len(rest), np.arange(len(rest)), got)
+    assert top.tolist() == want.tolist()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wakeline.llm.common import (
-    Recent, components, grouped, in_blocks, map_arrow, mixed, pairs_within, runs, starts_of, stored, text_batches, union_find,
+    Recent, components, in_blocks, map_arrow, mixed, pairs_within, runs, starts_of, stored, text_batches, union_find,
 )
 
 #: Words of a shingle, least similarity of a link.
@@ -20,6 +20,9 @@ TREES, LONGEST, RECALL = 12, 4, 0.9999
 ESTIMATE = 0.52
 #: Rows of a group that one task compares at once.
 BLOCK = 512
+#: Members of a node above which each is compared with what it is not connected with yet, one after the other.
+LEADERS = 64
+_LABEL = T.StructType([T.StructField("node", T.LongType()), T.StructField("rest", T.LongType())])
 _U = np.uint64
 _rng = np.random.default_rng(20240501)
 _FLIP = _rng.integers(0, 2**63, TREES * LONGEST, dtype=np.uint64)
@@ -27,10 +30,10 @@ _ODD = _rng.integers(0, 2**63, TREES * LONGEST, dtype=np.uint64) * _U(2) + _U(1)
 
 
 def depth(similarity: float = SIMILARITY, trees: int = TREES, longest: int = LONGEST, recall: float = RECALL) -> int:
-    """Length of the prefixes that must match: shortened from the longest until the tries reach ``recall``.
+    """Length down to which matched prefixes are shortened: until the tries reach ``recall`` for links at ``similarity``.
 
     Two signatures share a prefix of length d in one trie with probability s^d, in at least one of the tries with
-    1 - (1 - s^d)^trees. Longer shared prefixes are found along with it, as they share the shorter one too.
+    1 - (1 - s^d)^trees.
     """
     d = longest
     while d > 1 and 1 - (1 - similarity**d) ** trees < recall:
@@ -92,25 +95,39 @@ def set_keys(value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
-def described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: key, text_key, hashes of its set of shingles, their number, signature bytes and prefixes of all tries."""
+def levels(length: int) -> list[int]:
+    """Bits to drop from the rest of a label to leave prefixes of LONGEST, ..., ``length`` minima."""
+    bits = 63 // max(1, LONGEST - length)
+    return [bits * (LONGEST - d) for d in range(LONGEST, length, -1)] + [63]
+
+
+def described(docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
+    """Per row: key, text_key, hashes of its set of shingles, their number, signature bytes and labels in all tries.
+
+    A label is the hash of the shortest prefix that may be matched and, as one number that sorts like them, the minima
+    behind it (their leading bits).
+    """
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
     schema = source.select("key", "text_key").schema
-    for name, kind in (("lo64", "long"), ("hi64", "long"), ("n", T.IntegerType()), ("sig", "binary"), ("prefixes", T.ArrayType(T.LongType()))):
+    for name, kind in (("lo64", "long"), ("hi64", "long"), ("n", T.IntegerType()), ("sig", "binary"), ("labels", T.ArrayType(_LABEL))):
         schema = schema.add(name, kind)
-    length = depth()
+    length = depth(similarity)
+    bits = 63 // max(1, LONGEST - length)
 
     def work(batches):
         for batch, texts in text_batches(batches):
             value, starts = shingle_sets(texts)
             sig = signatures(value, starts)
             lo, hi = set_keys(value, starts)
-            prefix = np.empty((len(texts), TREES), np.uint64)
+            prefix, rest = np.empty((len(texts), TREES), np.uint64), np.zeros((len(texts), TREES), np.uint64)
             for t in range(TREES):
                 p = np.full(len(texts), t + 1, np.uint64)
                 for k in range(length):
                     p = mixed(p * _U(0x9E3779B97F4A7C15) + sig[:, t * LONGEST + k])
                 prefix[:, t] = p
+                for k in range(length, LONGEST):  # minima are 32 bits
+                    part = sig[:, t * LONGEST + k].astype(np.uint64)
+                    rest[:, t] = (rest[:, t] << _U(bits)) | (part >> _U(32 - bits) if bits < 32 else part << _U(bits - 32))
             low = sig.astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -121,7 +138,8 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
                     pa.array(np.diff(starts).astype(np.int32)),
                     pa.array([r.tobytes() for r in low], pa.binary()),
                     pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(texts) + 1, dtype=np.int32) * TREES), pa.array(prefix.view(np.int64).ravel())
+                        pa.array(np.arange(len(texts) + 1, dtype=np.int32) * TREES),
+                        pa.StructArray.from_arrays([pa.array(c.view(np.int64).ravel()) for c in (prefix, rest)], names=["node", "rest"]),
                     ),
                 ],
                 names=schema.names,
@@ -130,51 +148,99 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
     return map_arrow(source, work, schema)
 
 
-def met_in_tries(classes: DataFrame) -> DataFrame:
+def met_in_tries(classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): classes that meet in a trie with a promising estimate, as edges that connect all such pairs.
 
-    Members of a trie node are compared by their signatures; of the pairs that may be links only a spanning set goes on,
-    so a node of n members gives less than n rows.
+    A task holds subtries, their labels sorted, so that the nodes of every length are runs. It begins with the longest
+    prefixes and shortens them, length by length, for members that nothing connects yet; pairs that are connected already
+    or that have met below a longer prefix are not compared again. Only a spanning set goes on, so n members give less
+    than n rows.
     """
-    nodes = classes.select("id", F.explode("prefixes").alias("node"))
+    nodes = classes.select("id", F.inline("labels"))
     met = in_blocks(nodes, ["node"], F.xxhash64("id"), BLOCK)
-    met = grouped(met.join(classes.select("id", "sig"), "id").select("node", "lo", "hi", "side", "id", "sig"), ["node", "lo", "hi"])
-    least = int(np.ceil(ESTIMATE * len(_FLIP)))
+    met = met.join(classes.select("id", "sig"), "id").select("node", "lo", "hi", "side", "rest", "id", "sig")
+    met = met.repartition("node", "lo", "hi").sortWithinPartitions("node", "lo", "hi", "rest")
+    shifts = levels(depth(similarity))
 
     def work(batches):
         for table in runs(batches, ["node", "lo", "hi"]):
             ids = table.column("id").to_numpy()
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
-            side = table.column("side").to_numpy()
-            cross = table.column("lo").to_numpy() < table.column("hi").to_numpy()
+            side = np.where(table.column("lo").to_numpy() < table.column("hi").to_numpy(), table.column("side").to_numpy().astype(int), -1)
             starts = starts_of(table, ["node", "lo", "hi"])
-            sizes = np.diff(starts)
-            link_a, link_b = [], []
-            cut = 0
-            while cut < len(sizes):
-                work_ = np.cumsum(sizes[cut:] * (sizes[cut:] - 1) // 2)
-                stop = cut + max(1, int(np.searchsorted(work_, 300_000)))
-                base = int(starts[cut])
-                i, j = pairs_within(sizes[cut:stop])
-                i, j = i + base, j + base
-                for at in range(0, len(i), 300_000):
-                    a, b = i[at : at + 300_000], j[at : at + 300_000]
-                    use = ~cross[a] | (side[a] != side[b])
-                    a, b = a[use], b[use]
-                    near = (sig[a] == sig[b]).sum(1) >= least
-                    link_a.append(a[near])
-                    link_b.append(b[near])
-                cut = stop
-            a, b = np.concatenate(link_a), np.concatenate(link_b)
-            if len(a):
+            root = connected(starts, table.column("rest").to_numpy(), sig, side, shifts)
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            if len(moved):
                 node, index = np.unique(ids, return_inverse=True)
-                root = union_find(len(node), index[a], index[b])
-                moved = np.flatnonzero(root != np.arange(len(node)))
-                yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
+                top = union_find(len(node), index[moved], index[root[moved]])
+                moved = np.flatnonzero(top != np.arange(len(node)))
+                yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[top[moved]])], names=["a", "b"])
 
     return map_arrow(met, work, "a long, b long")
 
 
+def connected(starts: np.ndarray, rest: np.ndarray, sig: np.ndarray, side: np.ndarray, shifts: list[int]) -> np.ndarray:
+    """Least row connected with each row within its subtrie: from the longest prefixes to the shortest.
+
+    ``starts`` are the subtries' first rows and the row count, ``rest`` their sorted labels, ``side`` is -1 or the side of a
+    row in a group that compares two blocks.
+    """
+    n, least = len(rest), int(np.ceil(ESTIMATE * sig.shape[1]))
+    subtrie = np.zeros(n, np.int64)
+    subtrie[starts[1:-1]] = 1
+    subtrie = np.cumsum(subtrie)
+    root = np.arange(n)
+    longer = np.full(n, -1)  # the node of the length before; none at first
+    for k, shift in enumerate(shifts):
+        value = rest >> shift
+        fresh = np.ones(n, bool)
+        fresh[1:] = (subtrie[1:] != subtrie[:-1]) | (value[1:] != value[:-1])
+        node = np.cumsum(fresh) - 1
+        begin = np.append(np.flatnonzero(fresh), n)
+        sizes = np.diff(begin)
+        small = np.flatnonzero((sizes > 1) & (sizes <= LEADERS))
+        edges_a, edges_b = [], []
+        at = 0
+        while at < len(small):
+            work = np.cumsum(sizes[small[at:]] * (sizes[small[at:]] - 1) // 2)
+            stop = at + max(1, int(np.searchsorted(work, 300_000)))
+            rows = np.concatenate([np.arange(begin[g], begin[g + 1]) for g in small[at:stop]])
+            i, j = pairs_within(sizes[small[at:stop]])
+            a, b = rows[i], rows[j]
+            use = (root[a] != root[b]) & ((side[a] < 0) | (side[a] != side[b]))
+            if k:
+                use &= longer[a] != longer[b]
+            a, b = a[use], b[use]
+            near = (sig[a] == sig[b]).sum(1) >= least
+            edges_a.append(a[near])
+            edges_b.append(b[near])
+            at = stop
+        for g in np.flatnonzero(sizes > LEADERS):
+            rows = np.arange(begin[g], begin[g + 1])
+            own = np.unique(root[rows], return_inverse=True)[1]  # what is connected, as far as known
+            for r in range(len(rows) - 1):
+                others = np.flatnonzero(own[r + 1 :] != own[r]) + r + 1
+                if k:
+                    others = others[longer[rows[others]] != longer[rows[r]]]
+                if side[rows[r]] >= 0:
+                    others = others[side[rows[others]] != side[rows[r]]]
+                if not len(others):
+                    continue
+                hit = others[(sig[rows[others]] == sig[rows[r]]).sum(1) >= least]
+                if len(hit):
+                    edges_a.append(np.full(len(hit), rows[r]))
+                    edges_b.append(rows[hit])
+                    joined = np.zeros(own.max() + 1, bool)
+                    joined[own[hit]] = True
+                    own[joined[own]] = own[r]
+        if edges_a:
+            a, b = np.concatenate(edges_a), np.concatenate(edges_b)
+            if len(a):
+                root = union_find(n, np.concatenate([a, np.arange(n)]), np.concatenate([b, root]))
+        longer = node
+    return root
+
+
 def shared_counts(value: np.ndarray, starts: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """Number of common shingles of each of ``rows`` with each of ``cols``, by products of 0/1 matrices in slices."""
     members = np.union1d(rows, cols)
@@ -204,7 +270,9 @@ def verified(members: DataFrame, similarity: float) -> DataFrame:
     connects with. A row whose text has another set than its class is left out.
     """
     met = in_blocks(members, ["root"], F.xxhash64("id"), BLOCK)
-    met = grouped(met, ["root", "lo", "hi"])
+    # The work is in the pairs, not in the bytes: partitions are not put together again where they are small.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = met.repartition(tasks, "root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
 
     def work(batches):
         for table in runs(batches, ["root", "lo", "hi"]):
@@ -286,14 +354,14 @@ def linked(docs: DataFrame, key: str, text: str, similarity: float) -> DataFrame
 
     ``root`` is a number of the connected class, which tells classes of the same least key (or none) apart.
     """
-    rows = stored(described(docs, key, text), "described")
+    rows = stored(described(docs, key, text, similarity), "described")
     sets = rows.filter("n > 0").groupBy("lo64", "hi64")
     shown = F.min(F.struct(row_key(F.col("key"), F.col("text_key")).alias("row_key"), "text_key")).alias("shown")
     classes = sets.agg(
-        F.min("key").alias("least"), shown, F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"), F.first("prefixes").alias("prefixes")
+        F.min("key").alias("least"), shown, F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"), F.first("labels").alias("labels")
     )
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    met = components(met_in_tries(classes))
+    met = components(met_in_tries(classes, similarity))
     known = classes.select("id", "shown.*", "copies", "lo64", "hi64").join(met, classes.id == met.node).drop("node")
     texts = docs.select(row_key(F.col(key), F.xxhash64(text)).alias("row_key"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
     members = texts.join(known, ["row_key", "text_key"]).dropDuplicates(["row_key", "text_key", "id"])
