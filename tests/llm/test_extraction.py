@@ -1,5 +1,6 @@
 """Main text extraction: pages of known parts, the reader, the trees, the decoding."""
 
+import time
 import random
 import re
 
@@ -131,3 +132,20 @@ def test_query_on_given_pages(spark):
         blocks = (" ".join(entities.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1|br)>", inner))
         right += r.text == " ".join(b for b in blocks if b)
     assert right >= 0.99 * len(pages)
+
+
+def test_wide_pages_and_open_quotes_take_linear_time():
+    """A hundred thousand siblings, and quotes that are never closed: seconds, not hours."""
+    begin = time.time()
+    page = extraction.Page("<html><body>" + "<p>Some words here.</p>" * 100_000 + "</body></html>")
+    judged, x = page.rows()
+    assert len(judged) > 100_000 and len(x) == len(judged)
+    for text in ("<a href=\"x>y</a> <b c='z>", "<a 'x\">y", "<a b=\"c"):
+        dom.read(text * 50_000 + "'")
+    assert time.time() - begin < 60
+
+
+def test_tags_end_outside_of_quotes():
+    nodes, pieces = dom.read("<p title='a > b' class=\"c\">one</p><p class=\"d>two</p>three")
+    assert [n.attributes for n in nodes if n.name == "p"][0] == "class c"
+    assert [t for _, t in pieces if t] == ["one", "two", "three"]

@@ -31,7 +31,8 @@ SIBLINGS = {
 }
 SCOPES = frozenset("html body table td th button object article section div main aside header footer nav form li blockquote".split())
 
-_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 
@@ -46,6 +47,27 @@ class Node:
         self.children: list[int] = []
 
 
+def tag_end(html: str, at: int, fails: set[int]) -> int:
+    """Place of the ``>`` outside of quotes that ends a tag, -1 if there is none.
+
+    ``fails`` keeps the quotes, seen from outside of quotes, behind which no tag ends: what has been read in vain once is
+    not read again, so a page with quotes left open is read in linear time.
+    """
+    passed = []
+    while m := _STOP.search(html, at):
+        k = m.start()
+        if html[k] == ">":
+            return k
+        if k in fails:
+            break
+        passed.append(k)
+        at = html.find(html[k], k + 1) + 1
+        if not at:
+            break
+    fails.update(passed)
+    return -1
+
+
 def read(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     """(elements, pieces): element 0 is the page itself. A piece is (element, text), or (element, None) for a break.
 
@@ -57,6 +79,7 @@ def read(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     pieces: list[tuple[int, str | None]] = []
     stack = [0]
     at, n = 0, len(html)
+    fails: set[int] = set()
 
     def close(names, scope) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -90,17 +113,22 @@ def read(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             pieces.append((stack[-1], "<"))
             at = begin + 1
             continue
-        m = _TAG.match(html, begin) or _LOOSE.match(html, begin)
-        if not m:
+        m = _NAME.match(html, begin)
+        end = tag_end(html, m.end(), fails) if m else -1
+        if end >= 0:
+            slash, name, rest = m[1], m[2].lower(), html[m.end() : end]
+            at = end + 1
+        elif m := _LOOSE.match(html, begin):
+            slash, name, rest = m[1], m[2].lower(), m[3]
+            at = m.end()
+        else:
             if after == "/":
                 end = html.find(">", begin)
                 at = n if end < 0 else end + 1
             else:
                 at = n  # a tag that never ends
             continue
-        at = m.end()
-        name = m[2].lower()
-        if m[1]:
+        if slash:
             if name in BLOCK or name not in VOID:
                 inner = name not in BLOCK
                 for k in range(len(stack) - 1, 0, -1):
@@ -122,7 +150,7 @@ def read(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             continue
         if name in VOID:
             continue
-        told = " ".join(f"{a[0]} {a[1] or a[2] or a[3]}" for a in _ATTRIBUTE.findall(m[3])) if m[3] else ""
+        told = " ".join(f"{a[0]} {a[1] or a[2] or a[3]}" for a in _ATTRIBUTE.findall(rest)) if rest else ""
         number = len(nodes)
         nodes.append(Node(name, told.lower(), stack[-1], len(stack)))
         nodes[stack[-1]].children.append(number)
@@ -136,6 +164,6 @@ def read(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             else:
                 at = n
             continue
-        if not m[3].endswith("/") or name in BLOCK:
+        if not rest.endswith("/") or name in BLOCK:
             stack.append(number)
     return nodes, pieces

@@ -6,6 +6,7 @@ import html as entities
 import json
 import math
 import random
+from collections import Counter
 import re
 
 import numpy as np
@@ -109,11 +110,15 @@ class Page:
         judged = [i for i in range(1, len(nodes)) if self.judge[i] == i]
         total = max(1, self.size[0])
         out = []
+        families: dict[int, tuple[list[int], dict[int, int], Counter]] = {}  # of a parent, found once
         for i in judged:
             node = nodes[i]
             p = node.parent
-            siblings = [c for c in nodes[p].children if self.size[c]]
-            k = siblings.index(i)
+            if p not in families:
+                siblings = [c for c in nodes[p].children if self.size[c]]
+                families[p] = siblings, {c: k for k, c in enumerate(siblings)}, Counter(nodes[c].name for c in siblings)
+            siblings, places, names = families[p]
+            k = places[i]
             size = self.size[i]
             bad, good = said[i]
             below = sum(said[c][0] > 0 for c in node.children)
@@ -123,7 +128,7 @@ class Page:
                 node.depth, len(siblings), k, k / max(1, len(siblings)), len(siblings) - k - 1,
                 math.log1p(self.size[siblings[k - 1]]) if k else -1, math.log1p(self.size[siblings[k + 1]]) if k + 1 < len(siblings) else -1,
                 good, above_good[i], inside[i], below, bad > 0, above_bad[i] > 0, len(node.children),
-                sum(nodes[c].name == node.name for c in siblings), sum(nodes[c].name in ("p", "h2", "blockquote") for c in node.children),
+                names[node.name], sum(nodes[c].name in ("p", "h2", "blockquote") for c in node.children),
                 sum(nodes[c].name in ("article", "main") for c in node.children),
             ]
             row += [bad >> b & 1 for b in range(len(BAD_WORDS))] + [above_bad[i] >> b & 1 for b in range(8 + 6)]
