@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from checks import sql as Q
 from checks.bindings import ANCHOR_EV, AS_OF, AS_OF_EV, MID_EV, T1, Bound, events_as_records, terminal_commands
@@ -14,12 +14,13 @@ from checks.present import present
 from wakeline import catalogue as C
 from wakeline.functions import numeric as N, text as X, times as TM
 from wakeline.functions.health import score_health, subsystem_scores
-from wakeline.operators import aggregates as A, gates as G, keys as K, quality as DQ, registry as R, reshape as RS
+from wakeline.operators import aggregates as A, distinct as D, gates as G, keys as K, quality as DQ, registry as R, reshape as RS
 from wakeline.operators.skew import sliced_join
 from wakeline.plans import business as B, ingest as I, radar as RD, refresh as RF, reports as RP, serving as S
 from wakeline.schemas import MANIFESTS, MISSION_REPORTS, SHIP_STATE
 from wakeline.session import work_path
 from wakeline.sinks import files as SF
+from wakeline.sinks.days import DayLake
 from wakeline.sinks.landing import append_landing, ingested_only, read_landing
 from wakeline.sources.dimensions import planets, unknown_targets, with_arrival, with_target_position
 from wakeline.sources.files import newest_run, read_manifest_rows, read_mission_logs, read_report_rows
@@ -1035,6 +1036,53 @@ def stream_lake(b: Bound) -> DataFrame:
     return read_lake(b.spark, f"{root}/lake").drop("batch_id", "mission_bucket").withColumnRenamed(C.ORIGIN_DISTANCE, "distance")
 
 
+@query(Q.sql([Q.TELEMETRY], _WIRE))
+def stored_lake(b: Bound) -> DataFrame:
+    """A lake by day: the stream and two more batches, one of them written twice, closed days rewritten, a late batch."""
+    root = work_path(b.spark, "days")
+    lake = DayLake(b.spark, f"{root}/lake")
+    arrived = J.arriving(b.topic_records)
+    third = F.col("seq") % 3
+    lake.write(arrived.where(third == 0), 0)
+    for _ in range(2):
+        lake.write(arrived.where((third == 1) & (F.col("seq") % 11 > 0)), 1)
+    lake.compact("2024-01-20", 1)
+    lake.write(arrived.where((third == 2) | ((third == 1) & (F.col("seq") % 11 == 0))), 2)
+    lake.compact("2024-01-10", 2)
+    return lake.read().withColumnRenamed(C.ORIGIN_DISTANCE, "distance")
+
+
+@query(
+    Q.sql(
+        [Q.MISSIONS, Q.REPORTS],
+        """SELECT captain, 'ships' AS kind, strftime(date_trunc('quarter', started_at), '%Y-%m') AS quarter, count(DISTINCT ship_name) AS n
+FROM missions GROUP BY ALL
+UNION ALL SELECT captain, 'items', strftime(date_trunc('quarter', seen), '%Y-%m'), count(DISTINCT item)
+FROM reports JOIN missions USING (mission_id) GROUP BY ALL
+UNION ALL SELECT captain, 'missions', 'all', count(DISTINCT mission_id) FROM reports JOIN missions USING (mission_id) GROUP BY ALL""",
+    )
+)
+def distinct_by_period(b: Bound) -> DataFrame:
+    """Ships and items by captain and quarter, reporting missions over all years, from stored bitmaps of every month."""
+    root = work_path(b.spark, "bitmaps")
+    ships, items = D.numbered(b.missions, "ship_name"), D.numbered(b.mission_reports, "item")
+    reports = b.mission_reports.join(b.missions.select("mission_id", "captain"), "mission_id")
+    for kind, rows, at, number in (
+        ("ships", b.missions.join(ships, "ship_name"), "started_at", "number"),
+        ("items", reports.join(items, "item"), "timestamp", "number"),
+        ("missions", reports, "timestamp", "mission_id"),
+    ):
+        month = F.date_format(at, "yyyy-MM").alias("month")
+        D.distinct_partials(rows.select("captain", month, F.col(number)), ["captain", "month"], F.col(number)).write.parquet(f"{root}/{kind}")
+
+    def counted(kind: str, period: Column) -> DataFrame:
+        partials = b.spark.read.parquet(f"{root}/{kind}").withColumn("quarter", period)
+        return D.distinct_counts(partials, ["captain", "quarter"]).select("captain", F.lit(kind).alias("kind"), "quarter", "n")
+
+    quarter = F.date_format(F.date_trunc("quarter", F.to_date("month", "yyyy-MM")), "yyyy-MM")
+    return counted("ships", quarter).union(counted("items", quarter)).union(counted("missions", F.lit("all")))
+
+
 @query(_METRICS)
 def stream_metrics(b: Bound) -> DataFrame:
     root = work_path(b.spark, "metrics")

@@ -18,6 +18,7 @@ from wakeline.operators.reshape import METRIC_KEYS, latest_gauges
 from wakeline.plans.ingest import ingest_manifests, parse_manifests
 from wakeline.plans.radar import drop_finished, named_ships
 from wakeline.schemas import DOUBLE, MANIFESTS, TEXT, struct
+from wakeline.sinks.days import DayLake
 from wakeline.sinks.landing import append_landing, read_landing, read_waiting, write_waiting
 from wakeline.sinks.lake import write_lake
 from wakeline.sources.files import manifest_texts
@@ -54,9 +55,9 @@ def placed(records: DataFrame) -> DataFrame:
 
 
 def run_telemetry(
-    source: DataFrame, checkpoint: str, lake_path: str, trigger: dict = EVERY_SECOND, rejects_path: str | None = None
+    source: DataFrame, checkpoint: str, lake: str | DayLake, trigger: dict = EVERY_SECOND, rejects_path: str | None = None
 ) -> StreamingQuery:
-    """Land the stream in the lake.
+    """Land the stream in the lake: one by day, or one by mission bucket below a path.
 
     With ``rejects_path`` records that give no row (no JSON, neither mission nor ship) go there instead, as they came.
     """
@@ -70,7 +71,10 @@ def run_telemetry(
                 unreadable(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
             landed = parsed if rejects_path is None else parsed.where(F.coalesce("mission_id", "ship_id").isNotNull())
             counter = Observation()
-            write_lake(landed, batch_id, lake_path, counter=counter)
+            if isinstance(lake, DayLake):
+                lake.write(landed, batch_id, counter=counter)
+            else:
+                write_lake(landed, batch_id, lake, counter=counter)
             log.info("batch %d: %d telemetry rows", batch_id, counter.get["rows"])
         finally:
             parsed.unpersist()
@@ -95,9 +99,9 @@ def run_metrics(source: DataFrame, table: BucketTable, checkpoint: str, trigger:
     )
 
 
-def run_lake(source: DataFrame, lake_path: str, checkpoint: str, trigger: dict = EVERY_SECOND) -> StreamingQuery:
+def run_lake(source: DataFrame, lake: str | DayLake, checkpoint: str, trigger: dict = EVERY_SECOND) -> StreamingQuery:
     """Land the stream in the lake only."""
-    return run_telemetry(source, checkpoint, lake_path, trigger)
+    return run_telemetry(source, checkpoint, lake, trigger)
 
 
 def radar_stream(source: DataFrame) -> DataFrame:
