@@ -1189,6 +1189,27 @@ def stored_refresh(b: Bound) -> DataFrame:
     return present(tables["cargo_summary"].read())
 
 
+def _kept_marts(b: Bound) -> dict[str, DataFrame]:
+    """Marts built as of T1 and kept up through three runs, each with the missions that changed."""
+    early = RF.bl_rebuild(b.early_missions, b.early_ship_state, _early_reports(b), b.early_manifests, T1)
+    kept = S.KeptMarts.build(b.spark, work_path(b.spark, "marts"), S.mission_facts(early["mission_summary"], early["cargo_summary"]), 8)
+    operations, cargo = _mart_inputs(b)
+    facts = S.mission_facts(operations, cargo)
+    for version in (1, 2, 3):
+        kept.update(facts.where(F.col("mission_id") % 3 == version - 1), version)
+    return kept.marts(B.planet_summary(b.missions, operations, cargo, AS_OF), AS_OF)
+
+
+@query(ORACLES["mart_ship_performance"])
+def kept_mart_ships(b: Bound) -> DataFrame:
+    return present(_kept_marts(b)["mart_ship_performance"])
+
+
+@query(ORACLES["mart_captain_performance"])
+def kept_mart_captains(b: Bound) -> DataFrame:
+    return present(_kept_marts(b)["mart_captain_performance"])
+
+
 @query(ORACLES["mart_ship_performance"])
 def stored_mart(b: Bound) -> DataFrame:
     """The ship leaderboard stored in rank order."""
