@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.bindings import AS_OF, Bound
-from checks.suite import QUERIES
+from checks.suite import QUERIES, _documents
 from wakeline.functions.times import instant
+from wakeline.operators.keys import cascade
 from wakeline.operators.reshape import latest_gauges
-from wakeline.plans import business as B
+from wakeline.plans import business as B, ingest as I
 from wakeline.schemas import SHIP_STATE
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +84,30 @@ def test_upsert_shuffles_each_side_once(spark, tmp_path):
         assert physical(upsert(df, df.limit(5), ["mission_id"])).count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def scans(df, path):
+    """How often a plan reads the table at ``path``, exchanges that are used twice counted twice."""
+    return sum(str(path) in line for line in physical(df).splitlines() if "FileScan" in line)
+
+
+def test_ingest_reads_report_rows_once_a_frame(spark, tmp_path):
+    b, path = Bound(spark, SF), tmp_path / "rows"
+    b.report_rows.write.parquet(str(path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        landing = I.ingest_manifests(I.parse_manifests(_documents(b)), spark.read.parquet(str(path)), b.early_manifests, AS_OF)
+        read = {name: scans(df, path) for name, df in landing._asdict().items()}
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert read == {"reports": 1, "ship_state": 0, "manifests": 0, "waiting": 0, "rejected": 1}
+
+
+def test_cascade_reads_the_children_once_more(spark, tmp_path):
+    b, path = Bound(spark, SF), tmp_path / "rows"
+    b.mission_reports.write.parquet(str(path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        assert scans(cascade(spark.read.parquet(str(path)), b.live_missions, "mission_id"), path) == 1
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")

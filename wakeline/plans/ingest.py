@@ -14,6 +14,7 @@ from wakeline.operators.aggregates import distinct_rows
 from wakeline.operators.keys import require_columns, unseen
 from wakeline.operators.skew import sliced_join
 from wakeline.schemas import MANIFEST_DOCUMENT, MANIFESTS, MISSION_REPORTS, REPORT_COLUMNS, SHIP_STATE, land
+from wakeline.session import stored
 
 
 class Landing(NamedTuple):
@@ -114,10 +115,14 @@ def ingest_manifests(
 ) -> Landing:
     """Rows to append to the three landing tables for all new manifests, in one set-based run.
 
-    ``documents``: parsed manifests with ``manifest_path, checksum_manifest``; persist them when they come from text,
-    as each of the results decodes them again. ``report_rows``: report rows with the ``object_key`` of their file and,
-    where stored by day and run, ``report_date`` and ``run_id``: the newest run of an object counts. The report rows are
-    the large side and never pass a group; a file that holds a large share of them is sliced for the join.
+    ``documents``: parsed manifests with ``manifest_path, checksum_manifest``; persist them when they come from text.
+    ``report_rows``: report rows with the ``object_key`` of their file and, where stored by day and run, ``report_date``
+    and ``run_id``: the newest run of an object counts. The report rows are the large side and never pass a group; a
+    file that holds a large share of them is sliced for the join.
+
+    Two narrow tables are stored at once: newest run and row count of every object (one scan of two columns), and the
+    new manifests with what is known of their object. Completeness, waiting, states, registrations and hot objects come
+    from these, so the report rows are read once more for the rows that land, and once for those that do not fit.
     """
     new = new_manifests(documents, registered).withColumn("object_key", F.col("files.mission"))
     if "report_date" in report_rows.columns:
@@ -126,16 +131,21 @@ def ingest_manifests(
         report_rows = report_rows.join(F.broadcast(days), "report_date", "left_semi")
     run = F.col("run_id") if "run_id" in report_rows.columns else F.lit(0).cast("bigint")
     report_rows = report_rows.select(*REPORT_COLUMNS, "object_key", run.alias("run_id"))
-    objects = report_rows.groupBy("object_key").agg(F.max("run_id").alias("newest_run"))
-    complete = new.join(objects, "object_key")
+    objects = report_rows.where(F.col("object_key").isNotNull()).groupBy("object_key")
+    objects = stored(objects.agg(F.max("run_id").alias("newest_run"), F.count(F.lit(1)).alias("n")), "objects")
+    settled = stored(new.join(objects.drop("n"), "object_key", "left"), "settled")
+    complete = settled.where(F.col("newest_run").isNotNull())
 
     lineage = complete.select("object_key", "newest_run", F.col("checksum.mission").alias("file_checksum"))
-    joined = sliced_join(report_rows, lineage, "object_key", F.struct(*REPORT_COLUMNS))
-    counted = joined.where(F.col("run_id") == F.col("newest_run")).select(
-        *REPORT_COLUMNS, "file_checksum", F.col("object_key").alias("source_file"), instant(as_of).alias("loaded_at")
+    judged = report_rows.withColumn("_misfit", _misfits(report_rows.select(*REPORT_COLUMNS), MISSION_REPORTS))
+
+    def of_new(rows: DataFrame) -> DataFrame:
+        joined = sliced_join(rows, lineage, "object_key", F.struct(*REPORT_COLUMNS), counts=objects)
+        return joined.where(F.col("run_id") == F.col("newest_run")).withColumn("source_file", F.col("object_key"))
+
+    reports = of_new(judged.where(F.col("_misfit").isNull())).select(
+        *REPORT_COLUMNS, "file_checksum", "source_file", instant(as_of).alias("loaded_at")
     )
-    checked = counted.withColumn("_misfit", _misfits(counted, MISSION_REPORTS))
-    reports = checked.where(F.col("_misfit").isNull()).drop("_misfit")
     manifests = complete.select(
         "mission_id",
         "mission_date",
@@ -146,9 +156,9 @@ def ingest_manifests(
         utc_text_to_ntz(F.col("upload_time")).alias("upload_time"),
         F.lit(C.INGESTED).alias("status"),
     )
-    waiting = new.join(objects, "object_key", "left_anti").select("mission_id", "mission_date", "manifest_path")
+    waiting = settled.where(F.col("newest_run").isNull()).select("mission_id", "mission_date", "manifest_path")
     states = _states(complete, as_of)
-    left_out = checked.where(F.col("_misfit").isNotNull()).select(
+    left_out = of_new(judged.where(F.col("_misfit").isNotNull())).select(
         F.col("source_file").alias("source"), F.lit("report row does not fit").alias("reason"), F.col("_misfit").alias("detail")
     )
     dropped = states.withColumn("_misfit", _misfits(states, SHIP_STATE)).where(F.col("_misfit").isNotNull()).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library is designed around. A cluster keeps its own shuffle partition count and memory.
 SETTINGS = {
@@ -54,3 +54,10 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/wakeline/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once below the shared folder and read back: cuts lineage, and later uses don't compute them again."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
