@@ -23,7 +23,7 @@ from wakeline.sinks import files as SF
 from wakeline.sinks.days import DayLake
 from wakeline.sinks.landing import append_landing, ingested_only, read_landing
 from wakeline.sources.dimensions import planets, unknown_targets, with_arrival, with_target_position
-from wakeline.sources.files import newest_run, read_manifest_rows, read_mission_logs, read_report_rows
+from wakeline.sources.files import newest_run, read_manifest_rows, read_mission_logs, read_report_rows, stream_manifest_rows
 from wakeline.sources.tables import TableStore
 from wakeline.sources.telemetry import malformed, parse_telemetry, read_lake
 from wakeline.streaming import jobs as J
@@ -1142,6 +1142,30 @@ def stored_manifests(b: Bound) -> DataFrame:
     return got.select("manifest_path", F.get_json_object("text", "$.checksum.mission").alias("checksum"))
 
 
+@query(
+    Q.sql(
+        [Q.REPORTS, Q.MANIFESTS],
+        """SELECT n.mission_id, strftime(mission_date, '%Y-%m-%d') AS mission_date, manifest_path, checksum_mission, count(*) AS n
+FROM manifests n JOIN reports r ON n.mission_id = r.mission_id AND n.mission_date = CAST(r.seen AS DATE) GROUP BY ALL""",
+    )
+)
+def stream_ingest(b: Bound) -> DataFrame:
+    """Two runs over documents that arrive in two lots. The first run has the reports before 1996 only; the second takes
+    up what waited since, and the second lot."""
+    root, documents = work_path(b.spark, "ingest"), _documents(b)
+    day = F.element_at(F.split("manifest_path", "/"), 2)
+    lots = (documents.where(day < T1[:10]), documents.where(day >= T1[:10]))
+    reports = (b.report_rows.where(F.col("timestamp") < "1996-01-01"), b.report_rows)
+    for number, (lot, arrived) in enumerate(zip(lots, reports)):
+        SF.write_manifest_documents(lot, f"{root}/documents", number)
+        source = stream_manifest_rows(b.spark, f"{root}/documents")
+        J.run_ingest(source, lambda rows=arrived: rows, f"{root}/landing", f"{root}/position", lambda: AS_OF).awaitTermination()
+    landed = read_landing(b.spark, f"{root}/landing", "mission_reports", MISSION_REPORTS).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    manifests = read_landing(b.spark, f"{root}/landing", "manifests", MANIFESTS)
+    both = manifests.join(landed, manifests["mission_file"] == landed["source_file"])
+    return present(both.select("mission_id", "mission_date", "manifest_path", "checksum_mission", "n"))
+
+
 @query(ORACLES["clean_reports"])
 def stored_logs(b: Bound) -> DataFrame:
     """Raw logs as CSV, written twice by one run, read by column names and cleaned."""

@@ -2,7 +2,7 @@
 
 import hashlib
 import json
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -15,7 +15,8 @@ from wakeline.operators.reshape import split_encodable, to_topic_records
 from wakeline.plans import ingest as I, reports as R
 from wakeline.schemas import MANIFESTS, MISSION_REPORTS, RAW_REPORT, REJECTED, SHIP_STATE, land
 from wakeline.sinks.files import export_reports, write_audit_log, write_manifest_documents, write_raw_logs, write_sorted
-from wakeline.sinks.landing import append_by_name, append_landing, ingested_only, read_landing, read_waiting
+from wakeline.sinks import landing as LD
+from wakeline.sinks.landing import append_landing, ingested_only, read_landing, read_registered, read_waiting
 from wakeline.sources.files import (
     file_hashes,
     read_manifest_rows,
@@ -299,12 +300,42 @@ def test_missing_columns_are_named(table):
         I.clean_reports(table([("1", 2.0)], "mission_id string, value double"))
 
 
-def test_append_matches_columns_by_name(spark, table, tmp_path):
+def test_landing_matches_columns_by_name(table):
     df = table([("9", "x", 5.0, 1)], "source_file string, item string, value double, mission_id int")
-    append_by_name(df, str(tmp_path / "t"), MISSION_REPORTS)
-    append_by_name(df, str(tmp_path / "t"), MISSION_REPORTS)
-    got = spark.read.schema(MISSION_REPORTS).parquet(str(tmp_path / "t"))
-    assert got.count() == 2 and got.first()["mission_id"] == 1 and got.first()["source_file"] == "9"
+    got = land(df, MISSION_REPORTS)
+    assert got.columns == MISSION_REPORTS.names and got.first()["mission_id"] == 1 and got.first()["source_file"] == "9"
+
+
+def registered_run(table, root, run_id, days):
+    """An ingest run that registers missions 1, 2, ... of the given days."""
+    found = table([(i, date.fromisoformat(d), f"{i}/{d}") for i, d in enumerate(days, 1)], "mission_id bigint, mission_date date, manifest_path string")
+    none = table([], "mission_id bigint")
+    append_landing(I.Landing(none, none, found, none, none), root, run_id)
+
+
+@pytest.mark.parametrize("most", [4096, 1])
+def test_registrations_of_other_months_are_not_read(spark, table, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(LD, "MOST_DAYS", most)
+    root = str(tmp_path / "landing")
+    for run_id, days in enumerate((["2024-01-05", "2024-01-06"], ["2024-02-01"], ["2024-03-01", "2024-01-05"], ["2024-01-06"])):
+        registered_run(table, root, run_id, days)
+    for path in (tmp_path / "landing" / "manifests").glob("run_id=*/mission_month=20240[23]/*.parquet"):
+        path.write_bytes(b"not to be read")
+    documents = table([("2024-01-05",), ("2024-01-06",), ("none",), (None,)], "date string")
+    got = read_registered(spark, root, documents, below_run=3)
+    assert got.columns == MANIFESTS.names
+    assert sorted(r.manifest_path for r in got.collect()) == ["1/2024-01-05", "2/2024-01-05", "2/2024-01-06"]
+    one = read_registered(spark, root, documents.where("date = '2024-01-06'"), below_run=9)
+    assert sorted(r.manifest_path for r in one.collect()) == ["1/2024-01-06", "2/2024-01-06"]
+    assert read_registered(spark, root, documents.where("date = 'none'"), below_run=9).count() == 0
+    assert read_registered(spark, str(tmp_path / "empty"), documents, below_run=9).count() == 0
+
+
+def test_registrations_of_a_rerun_replace_its_own(spark, table, tmp_path):
+    root = str(tmp_path / "landing")
+    registered_run(table, root, 1, ["2024-01-05", "2024-02-05"])
+    registered_run(table, root, 1, ["2024-01-05"])
+    assert [r.manifest_path for r in read_landing(spark, root, "manifests", MANIFESTS).collect()] == ["1/2024-01-05"]
 
 
 def test_manifest_documents_written_and_read_back(spark, table, tmp_path):

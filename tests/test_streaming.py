@@ -238,6 +238,25 @@ def test_new_manifest_files_are_seen_once(spark, tmp_path):
     assert seen == ["a/m.json", "b/m.json"]
 
 
+def test_finished_manifest_files_leave_the_listing(spark, tmp_path):
+    root, archive, sizes = tmp_path / "store", tmp_path / "done", []
+
+    def run():
+        source = J.new_manifest_files(spark, str(root), max_files=2, archive=str(archive))
+        query = source.writeStream.foreachBatch(lambda b, _: sizes.append(sorted(r["manifest_path"] for r in b.collect())))
+        drain(query.option("checkpointLocation", str(tmp_path / "c")).trigger(**J.DRAIN).start())
+
+    for lot in (("a", "b", "c"), ("d",), ("e",)):
+        for name in lot:
+            (root / name).mkdir(parents=True)
+            (root / name / "m.json").write_text("{}")
+        run()
+    assert [len(s) for s in sizes] == [2, 1, 1, 1] and sorted(sum(sizes, [])) == [f"{n}/m.json" for n in "abcde"]
+    left = sorted(p.parent.name for p in root.rglob("*.json"))
+    assert left in (["d", "e"], ["e"], [])
+    assert sorted(p.parent.name for p in archive.rglob("*.json")) == sorted(set("abcde") - set(left))
+
+
 def test_unknown_source_kind(spark):
     with pytest.raises(ValueError):
         telemetry_source(spark, "carrier pigeon")

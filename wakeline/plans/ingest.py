@@ -120,9 +120,9 @@ def ingest_manifests(
     and ``run_id``: the newest run of an object counts. The report rows are the large side and never pass a group; a
     file that holds a large share of them is sliced for the join.
 
-    Two narrow tables are stored at once: newest run and row count of every object (one scan of two columns), and the
-    new manifests with what is known of their object. Completeness, waiting, states, registrations and hot objects come
-    from these, so the report rows are read once more for the rows that land, and once for those that do not fit.
+    Stored first is one row for every new manifest and every object, with the object's newest run and row count (one
+    scan of two columns of the report rows). Completeness, waiting, states, registrations and hot objects come from this
+    table, so the report rows are read once more for the rows that land, and once for those that do not fit.
     """
     new = new_manifests(documents, registered).withColumn("object_key", F.col("files.mission"))
     if "report_date" in report_rows.columns:
@@ -132,15 +132,16 @@ def ingest_manifests(
     run = F.col("run_id") if "run_id" in report_rows.columns else F.lit(0).cast("bigint")
     report_rows = report_rows.select(*REPORT_COLUMNS, "object_key", run.alias("run_id"))
     objects = report_rows.where(F.col("object_key").isNotNull()).groupBy("object_key")
-    objects = stored(objects.agg(F.max("run_id").alias("newest_run"), F.count(F.lit(1)).alias("n")), "objects")
-    settled = stored(new.join(objects.drop("n"), "object_key", "left"), "settled")
-    complete = settled.where(F.col("newest_run").isNotNull())
+    objects = objects.agg(F.max("run_id").alias("newest_run"), F.count(F.lit(1)).alias("n"))
+    settled = stored(new.join(objects, "object_key", "full"), "settled")
+    complete = settled.where(F.col("mission_id").isNotNull() & F.col("newest_run").isNotNull())
+    counts = settled.where(F.col("n").isNotNull()).select("object_key", "n").distinct()
 
     lineage = complete.select("object_key", "newest_run", F.col("checksum.mission").alias("file_checksum"))
     judged = report_rows.withColumn("_misfit", _misfits(report_rows.select(*REPORT_COLUMNS), MISSION_REPORTS))
 
     def of_new(rows: DataFrame) -> DataFrame:
-        joined = sliced_join(rows, lineage, "object_key", F.struct(*REPORT_COLUMNS), counts=objects)
+        joined = sliced_join(rows, lineage, "object_key", F.struct(*REPORT_COLUMNS), counts=counts)
         return joined.where(F.col("run_id") == F.col("newest_run")).withColumn("source_file", F.col("object_key"))
 
     reports = of_new(judged.where(F.col("_misfit").isNull())).select(

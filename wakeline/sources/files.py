@@ -53,6 +53,12 @@ def read_manifest_rows(spark: SparkSession, path: str) -> DataFrame:
     return latest_per_key(stored, ["manifest_path"], "run_id").select("manifest_path", "text")
 
 
+def stream_manifest_rows(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
+    """Streaming ``manifest_path, text`` of documents stored as rows; a trigger takes ``max_files`` files at most."""
+    reader = spark.readStream.schema(struct(manifest_path=TEXT, text=TEXT, run_id=LONG))
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path).select("manifest_path", "text")
+
+
 def read_reports(spark: SparkSession, root: str, modified_after: str | None = None) -> DataFrame:
     """All report rows of a one-file-per-key store with the ``object_key`` of their file. Timestamps stay text.
 

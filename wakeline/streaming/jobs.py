@@ -17,9 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from wakeline.operators.reshape import METRIC_KEYS, latest_gauges
 from wakeline.plans.ingest import ingest_manifests, parse_manifests
 from wakeline.plans.radar import drop_finished, named_ships
-from wakeline.schemas import DOUBLE, MANIFESTS, TEXT, struct
+from wakeline.schemas import DOUBLE, TEXT, struct
 from wakeline.sinks.days import DayLake
-from wakeline.sinks.landing import append_landing, read_landing, read_waiting, write_waiting
+from wakeline.sinks.landing import append_landing, read_registered, read_waiting, write_waiting
 from wakeline.sinks.lake import write_lake
 from wakeline.sources.files import manifest_texts
 from wakeline.sources.tables import BucketTable, TableStore
@@ -170,10 +170,17 @@ def run_reports(
     )
 
 
-def new_manifest_files(spark: SparkSession, root: str) -> DataFrame:
-    """Streaming ``manifest_path, text`` of manifest files not seen by the query before."""
+def new_manifest_files(spark: SparkSession, root: str, max_files: int = 10_000, archive: str | None = None) -> DataFrame:
+    """Streaming ``manifest_path, text`` of manifest files not seen by the query before, ``max_files`` a trigger at most.
+
+    With ``archive``, a folder outside ``root``, files are moved there (keeping their path) once their batch is done and
+    another one begins, so that the next listing finds only what is new.
+    """
     reader = spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
-    return manifest_texts(reader.option("pathGlobFilter", "*.json").load(root), root)
+    reader = reader.option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return manifest_texts(reader.load(root), root)
 
 
 def run_ingest(
@@ -199,7 +206,7 @@ def run_ingest(
         try:
             if texts.isEmpty():
                 return
-            earlier = read_landing(spark, landing_root, "manifests", MANIFESTS, below_run=batch_id)
+            earlier = read_registered(spark, landing_root, documents, batch_id)
             landing = ingest_manifests(documents, report_rows(), earlier, as_of())
             write_waiting(texts, landing.waiting, landing_root, batch_id)
             append_landing(landing, landing_root, batch_id)
