@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from checks import sql as Q
 from checks.bindings import ANCHOR_EV, AS_OF, AS_OF_EV, MID_EV, T1, Bound, events_as_records, terminal_commands
@@ -21,9 +21,10 @@ from wakeline.schemas import MANIFESTS, MISSION_REPORTS, SHIP_STATE
 from wakeline.session import work_path
 from wakeline.sinks import files as SF
 from wakeline.sinks.days import DayLake
+from wakeline.sinks.lake import write_lake
 from wakeline.sinks.landing import append_landing, ingested_only, read_landing
 from wakeline.sources.dimensions import planets, unknown_targets, with_arrival, with_target_position
-from wakeline.sources.files import newest_run, read_manifest_rows, read_mission_logs, read_report_rows, stream_manifest_rows
+from wakeline.sources.files import file_hashes, newest_run, read_manifest_rows, read_mission_logs, read_report_rows, stream_manifest_rows
 from wakeline.sources.tables import TableStore
 from wakeline.sources.telemetry import malformed, parse_telemetry, read_lake
 from wakeline.streaming import jobs as J
@@ -308,10 +309,17 @@ def reached_target(b: Bound) -> DataFrame:
     return arrived.groupBy("target", "arrived").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(Q.sql([Q.MISSIONS], "SELECT target, count(*) AS n FROM missions GROUP BY target"))
+@query(
+    f"""SELECT n_name AS target, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+WHERE n_nationkey >= {len(C.PLANETS)} GROUP BY 1"""
+)
 def unknown_destinations(b: Bound) -> DataFrame:
-    """No bound target is in the destination dimension, so every mission is listed."""
-    return unknown_targets(b.missions, planets(b.spark)).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    """Nations stand for the destination of their number; those beyond the last destination keep their own name."""
+    names = F.create_map(*[F.lit(x) for i, (name, *_) in enumerate(C.PLANETS) for x in (i, name)])
+    homes = b.table("customer").join(b.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    homes = homes.select("c_custkey", F.coalesce(F.try_element_at(names, F.col("c_nationkey").cast("int")), "n_name").alias("target"))
+    missions = b.table("orders").join(homes, F.col("o_custkey") == F.col("c_custkey"))
+    return unknown_targets(missions, planets(b.spark)).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(Q.sql([Q.MISSIONS], f"SELECT mission_id, round(epoch(coalesce(finished_at, {Q.AS_OF}) - started_at) / 3600.0, 6) AS duration_hr FROM missions"))
@@ -662,6 +670,23 @@ _WIRE = """SELECT seq, "timestamp", mission_id, ship_id, coord_x, coord_y, coord
   power_core_temp_c, navigation_signal_db, distance, status, mission_status FROM telemetry"""
 
 
+@query(
+    Q.sql(
+        [Q.TELEMETRY],
+        "SELECT ship_id AS key, count(*) FILTER (seq % 10 <> 0) AS sent, count(*) FILTER (seq % 10 = 0) AS set_aside FROM telemetry GROUP BY 1",
+    )
+)
+def unencodable_events(b: Bound) -> DataFrame:
+    """Every tenth event has a reading JSON has no form for: it is set aside, the others are sent."""
+    odd = F.when(F.col("seq") % 20 == 0, F.lit(float("nan"))).when(F.col("seq") % 10 == 0, F.lit(float("inf")))
+    events = b.telemetry.withColumn("fuel_prc", F.coalesce(odd, F.col("fuel_prc")))
+    good, bad = RS.split_encodable(RS.to_topic_records(events))
+    error = F.get_json_object("value", "$.serialization_error").isNotNull()
+    each = good.select("key", F.lit(1).alias("sent"), F.lit(0).alias("set_aside"))
+    each = each.unionAll(bad.select("key", F.lit(0), error.cast("int")))
+    return each.groupBy("key").agg(F.sum("sent").alias("sent"), F.sum("set_aside").alias("set_aside"))
+
+
 @query(Q.sql([Q.TELEMETRY], _WIRE))
 def telemetry_parse_roundtrip(b: Bound) -> DataFrame:
     return J.arriving(b.topic_records).withColumnRenamed(C.ORIGIN_DISTANCE, "distance")
@@ -1142,6 +1167,28 @@ def stored_manifests(b: Bound) -> DataFrame:
     return got.select("manifest_path", F.get_json_object("text", "$.checksum.mission").alias("checksum"))
 
 
+@query(
+    """SELECT c_nationkey::BIGINT AS nation, sum(length(c_name) + 1)::BIGINT AS length,
+  sha256(string_agg(c_name, chr(10) ORDER BY c_name) || chr(10)) AS sha256 FROM customer GROUP BY 1"""
+)
+def exported_hashes(b: Bound) -> DataFrame:
+    """SHA-256 of the bytes of written files: one text file a nation with the names of its customers."""
+    path = work_path(b.spark, "names")
+    names = b.table("customer").select("c_name", "c_nationkey").repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_name")
+    names.write.partitionBy("c_nationkey").text(path)
+    nation = F.regexp_extract("object_key", r"c_nationkey=(\d+)/", 1).cast("bigint")
+    return file_hashes(b.spark, path, "*.txt").select(nation.alias("nation"), "length", "sha256")
+
+
+@query(Q.sql([Q.TELEMETRY], "SELECT count(*) AS counted, count(*) AS stored FROM telemetry"))
+def counted_lake_write(b: Bound) -> DataFrame:
+    """Rows of a lake batch as counted while it was written, beside those that are there."""
+    path, counter = work_path(b.spark, "lake"), Observation("lake")
+    write_lake(J.arriving(b.topic_records), 0, path, counter=counter)
+    there = read_lake(b.spark, path).agg(F.count(F.lit(1)).alias("stored"))
+    return there.select(F.lit(counter.get["rows"]).cast("bigint").alias("counted"), "stored")
+
+
 @query(
     Q.sql(
         [Q.REPORTS, Q.MANIFESTS],
@@ -1240,3 +1287,32 @@ def stored_mart(b: Bound) -> DataFrame:
     path = work_path(b.spark, "mart")
     SF.write_sorted(S.mart_ship_performance(*_mart_inputs(b), AS_OF), path, F.desc_nulls_first("total_value_poko"), "ship_name")
     return present(b.spark.read.parquet(path))
+
+
+_BOARDS = (
+    ("ship", "mart_ship_performance", "ship_name", "total_value_poko"),
+    ("captain", "mart_captain_performance", "captain", "total_value_poko"),
+    ("destination", "mart_planet_performance", "planet_name", "nb_missions_total"),
+)
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{board}' AS board, row_number() OVER (ORDER BY {by} DESC NULLS FIRST, {name}) AS rank, {name} AS name FROM ({ORACLES[mart]})"
+        for board, mart, name, by in _BOARDS
+    )
+)
+def leaderboards(b: Bound) -> DataFrame:
+    """The three leaderboards with the place of every ship, captain and destination as a column."""
+    operations, cargo = _mart_inputs(b)
+    places = B.planet_summary(b.missions, operations, cargo, AS_OF)
+    marts = (
+        S.mart_ship_performance(operations, cargo, AS_OF),
+        S.mart_captain_performance(operations, cargo, AS_OF),
+        S.mart_planet_performance(places, operations, cargo, AS_OF),
+    )
+    boards = [
+        A.ranked(mart, F.desc_nulls_first(by), F.col(name)).select(F.lit(board).alias("board"), "rank", F.col(name).alias("name"))
+        for mart, (board, _, name, by) in zip(marts, _BOARDS)
+    ]
+    return reduce(DataFrame.unionAll, boards)

@@ -137,3 +137,13 @@ def test_numbers_of_requests_far_apart(spark):
     ids = [i * 5_000_000 for i in range(300)] + [2**45 + i * 2**37 for i in range(40)] + [-5, 2**62]
     got = {r.id: r.number for r in number_by_arrival(spark.createDataFrame([(i,) for i in reversed(ids)], "id bigint"), "id").collect()}
     assert got == {i: n for n, i in enumerate(sorted(ids), 1)}
+
+
+def test_ranks_are_dense_over_all_ranges(spark):
+    from wakeline.operators.aggregates import ranked
+
+    df = spark.range(1000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("v"), F.format_string("%04d", "id").alias("name"))
+    got = ranked(df, F.desc_nulls_first("v"), F.col("name")).collect()
+    plain = sorted(df.collect(), key=lambda r: (r.v is not None, -(r.v or 0), r.name))
+    assert [(r["rank"], r.v, r.name) for r in sorted(got, key=lambda r: r["rank"])] == [(i, r.v, r.name) for i, r in enumerate(plain, 1)]
+    assert ranked(df.limit(0), F.col("name")).count() == 0

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from wakeline.functions.numeric import ratio
+from wakeline.session import stored
 
 
 def count_where(condition: Column) -> Column:
@@ -50,6 +51,20 @@ def top_per_group(counts: DataFrame, group: str, label: str, size: str) -> DataF
     )
 
 
+def ranked(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
+    """Number all rows 1..n by ``order``, which must be without ties, as a column.
+
+    Rows are dealt into ranges of the order and stored with the number of their range; a window numbers a range, and what
+    is added up in one task is a count a range.
+    """
+    dealt = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranked")
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_inside", inside).join(sizes, "_range").select((F.col("_before") + F.col("_inside")).alias(name), *df.columns)
+
+
 def favourite_ship(missions: DataFrame) -> DataFrame:
     """Most flown ship per captain and how often: ``captain, favorite_ship, nb_fav_ship_missions``."""
     counts = missions.groupBy("captain", F.col("ship_name").alias("favorite_ship")).agg(
