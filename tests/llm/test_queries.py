@@ -3,6 +3,7 @@
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -89,6 +90,32 @@ def test_vectors_as_by_all_pairs(spark, got):
     assert [by[r[0]] for r in rows] == plain_links(rows)
 
 
+def test_vectors_that_link(spark, tmp_path):
+    """The given vectors, each with a near one at a cosine of 0.981 to 0.999, some with copies and some just too far."""
+    given = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rng, rows = np.random.default_rng(3), []
+    for r in given.orderBy("vec_id").collect():
+        v = np.asarray(r.embedding, np.float64)
+        if r.label is None or not np.isfinite(v).all() or not v.any():
+            continue
+        v /= np.linalg.norm(v)
+        side = rng.standard_normal(len(v))
+        side -= (side @ v) * v
+        side /= np.linalg.norm(side)
+        near, far = (float(c) * v + float(np.sqrt(1 - c * c)) * side for c in (rng.uniform(0.981, 0.999), 0.97))
+        n = len(rows)
+        rows += [(n, v.tolist(), r.label), (n + 1, near.tolist(), r.label)]
+        rows += [(n + 2, (near if n % 3 else far).tolist(), r.label)]
+    schema = given.select("vec_id", "embedding", "label").schema
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "embeddings.parquet"))
+    stored = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(str(tmp_path / "embeddings.parquet")).orderBy("vec_id").collect()]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in entry.queries()["op7_embedding_near_dedup"](spark, str(tmp_path)).collect()}
+    want = plain_links(stored)
+    assert sum(n for n, _ in want) > len(rows)
+    assert all(found[r[0]][0] <= w[0] for r, w in zip(stored, want))  # nothing links that should not
+    assert sum(found[r[0]] == w for r, w in zip(stored, want)) >= 0.99 * len(rows)
+
+
 def test_mix_meets_its_targets(got, docs):
     source = {d[0]: d[2] for d in docs}
     size, taken, target = Counter(), Counter(), {}
