@@ -2,6 +2,8 @@
 
 import json
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -15,7 +17,7 @@ from wakeline.schemas import TEXT, struct
 from wakeline.sources.tables import BucketTable, TableStore
 from wakeline.sources.telemetry import malformed, parse_telemetry, read_lake, read_mission, telemetry_source
 from wakeline.sinks.lake import write_lake
-from wakeline.streaming import jobs as J
+from wakeline.streaming import jobs as J, states
 
 
 def event(rng, mission):
@@ -330,3 +332,38 @@ def test_bare_local_session_gets_a_folder_and_a_cluster_does_not():
     assert shared_dir(local) == shared_dir(local) != ""
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session("yarn"))
+
+
+def test_processors_run_in_sessions_made_elsewhere(spark, topic, table, tmp_path):
+    """The session keeps another state store; the driver's Python process of a processor cannot import this package."""
+    store, default = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(store)
+    spark.conf.set(store, default)
+    try:
+        start = datetime(2025, 1, 1)
+        topic.send(list(ticks((1, 1, {}), (1, 5, {"status": "REPAIR"}), (1, 30, {}))))
+        drain(J.run_transitions(topic.stream(), str(tmp_path / "log"), str(tmp_path / "c1"), J.DRAIN))
+        drain(J.run_reports(topic.stream(), table([(1, 10, start)], MISSIONS), str(tmp_path / "due"), str(tmp_path / "c2"), J.DRAIN))
+        assert spark.conf.get(store) == default
+    finally:
+        spark.conf.set(store, before)
+    assert rows(spark.read.parquet(str(tmp_path / "log")).select("seq", "current")) == [(0, "OK"), (1, "REPAIR"), (2, "OK")]
+    got = rows(spark.read.parquet(str(tmp_path / "due")).select("report_no", "kind", "status"))
+    assert got == [(0, "start", "OK"), (1, "periodic", "REPAIR"), (2, "periodic", "REPAIR"), (3, "periodic", "REPAIR")]
+
+
+def test_processors_are_sent_as_code():
+    sent = []
+
+    class Rows:
+        def groupBy(self, key):
+            return self
+
+        def transformWithStateInPandas(self, processor, *more):
+            sent.append(states.cloudpickle.dumps(processor))
+
+    for processor in (states.StatusChanges(), states.DueReports()):
+        states._processed(Rows(), "ship_id", processor, None, "None")
+    assert not [s for s in sent if b"wakeline.schemas" in s or b"wakeline.catalogue" in s]
+    load = "import pickle, sys; [pickle.loads(bytes.fromhex(s)) for s in sys.argv[1:]]; assert not [m for m in sys.modules if m.startswith('wakeline')]"
+    subprocess.run([sys.executable, "-I", "-c", load, *[s.hex() for s in sent]], check=True)

@@ -24,7 +24,7 @@ from wakeline.sinks.lake import write_lake
 from wakeline.sources.files import manifest_texts
 from wakeline.sources.tables import BucketTable, TableStore
 from wakeline.sources.telemetry import parse_telemetry, unreadable
-from wakeline.streaming.states import PLACE, arrival_number, due_reports, status_changes
+from wakeline.streaming.states import PLACE, arrival_number, due_reports, start_stateful, status_changes
 
 log = logging.getLogger(__name__)
 
@@ -136,13 +136,8 @@ def run_transitions(source: DataFrame, log_path: str, checkpoint: str, trigger:
         changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 
     changes = status_changes(placed(source))
-    return (
-        changes.writeStream.outputMode("append")
-        .foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    writer = changes.writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return start_stateful(writer.trigger(**trigger), source.sparkSession)
 
 
 def run_reports(
@@ -161,13 +156,8 @@ def run_reports(
         reports.write.mode("overwrite").parquet(f"{reports_path}/batch_id={batch_id}")
 
     reports = due_reports(placed(source), missions, period_seconds, anchor, lateness)
-    return (
-        reports.writeStream.outputMode("append")
-        .foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    writer = reports.writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return start_stateful(writer.trigger(**trigger), source.sparkSession)
 
 
 def new_manifest_files(spark: SparkSession, root: str, max_files: int = 10_000, archive: str | None = None) -> DataFrame:
