@@ -131,13 +131,22 @@ class Bound:
         )
 
     @cached_property
-    def manifests(self) -> DataFrame:
+    def report_days(self) -> DataFrame:
+        """Days on which missions reported, with the last report's time."""
         day = F.col("l_shipdate").cast("date")
-        days = (
-            self.table("lineitem")
-            .groupBy(F.col("l_orderkey").alias("mission_id"), day.alias("mission_date"))
-            .agg(F.max("l_shipdate").alias("last"))
-        )
+        lines = self.table("lineitem").groupBy(F.col("l_orderkey").alias("mission_id"), day.alias("mission_date"))
+        return lines.agg(F.max("l_shipdate").alias("last"))
+
+    @cached_property
+    def manifests(self) -> DataFrame:
+        return self._manifests(self.report_days)
+
+    @cached_property
+    def manifests_by_mission(self) -> DataFrame:
+        """The manifests dealt out by mission before their long names are made, for joins by mission."""
+        return self._manifests(self.report_days.repartition("mission_id"))
+
+    def _manifests(self, days: DataFrame) -> DataFrame:
         report, manifest = [f(F.col("mission_id"), F.col("mission_date")) for f in (report_key, manifest_key)]
         return days.select(
             "mission_id",

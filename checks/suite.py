@@ -466,14 +466,14 @@ def touch_updated_at(b: Bound) -> DataFrame:
 
 
 def _documents(b: Bound) -> DataFrame:
-    files = b.manifests.select(
+    files = b.manifests_by_mission.select(
         "mission_id", "mission_date", F.col("mission_file").alias("object_key"), F.col("checksum_mission").alias("checksum")
     )
     return RP.build_manifests(files, b.mission_states, AS_OF)
 
 
-def _landing(b: Bound) -> I.Landing:
-    return I.ingest_manifests(I.parse_manifests(_documents(b)), b.report_rows, b.early_manifests, AS_OF)
+def _landing(b: Bound, keep: bool = False) -> I.Landing:
+    return I.ingest_manifests(I.parse_manifests(_documents(b)), b.report_rows, b.early_manifests, AS_OF, keep)
 
 
 _NEW = "new AS (SELECT * FROM manifests WHERE mission_date >= DATE '1998-07-01')"
@@ -538,7 +538,7 @@ WHERE mission_date < DATE '2000-01-01'""",
 def manifests_waiting(b: Bound) -> DataFrame:
     """Of the reports only those from 2000 on have arrived."""
     arrived = b.report_rows.where(F.col("timestamp") >= "2000-01-01")
-    landing = I.ingest_manifests(I.parse_manifests(_documents(b)), arrived, b.early_manifests, AS_OF)
+    landing = I.ingest_manifests(I.parse_manifests(_documents(b)), arrived, b.early_manifests, AS_OF, keep=False)
     return present(landing.waiting)
 
 
@@ -568,7 +568,7 @@ def manifests_outcomes(b: Bound) -> DataFrame:
     """Every document ends in one place: landed, known before, waiting for its report, or rejected."""
     documents = I.parse_manifests(_damaged(b))
     arrived = b.report_rows.where(F.col("timestamp") >= "2000-01-01")
-    landing = I.ingest_manifests(documents, arrived, b.early_manifests, AS_OF)
+    landing = I.ingest_manifests(documents, arrived, b.early_manifests, AS_OF, keep=False)
     ids = documents.select(F.col("mission_id").try_cast("bigint").alias("mission_id"), F.col("date").try_cast("date").alias("mission_date"))
     known = ids.join(b.early_manifests.select("mission_id", "mission_date"), ["mission_id", "mission_date"], "left_semi")
     unreadable = landing.rejected.where(F.col("reason") == "no readable mission or date")
@@ -587,7 +587,7 @@ FROM reports r JOIN new n ON n.mission_id = r.mission_id AND n.mission_date = CA
 def landing_rejects(b: Bound) -> DataFrame:
     """Prices from 50000 on are made too large for their column: these rows are listed and do not land."""
     value = F.when(F.col("value") >= 50000, F.col("value") * 1e13).otherwise(F.col("value"))
-    landing = I.ingest_manifests(I.parse_manifests(_documents(b)), b.report_rows.withColumn("value", value), b.early_manifests, AS_OF)
+    landing = I.ingest_manifests(I.parse_manifests(_documents(b)), b.report_rows.withColumn("value", value), b.early_manifests, AS_OF, keep=False)
     rows = landing.rejected.where(F.col("reason") == "report row does not fit")
     return rows.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -1242,7 +1242,7 @@ def stored_landing(b: Bound) -> DataFrame:
     """An ingest run appended twice under its number, and read over all runs."""
     root = work_path(b.spark, "landing")
     for _ in range(2):
-        append_landing(_landing(b), root, 1)
+        append_landing(_landing(b, keep=True), root, 1)
     reports = read_landing(b.spark, root, "mission_reports", MISSION_REPORTS)
     manifests = read_landing(b.spark, root, "manifests", MANIFESTS)
     landed = ingested_only(reports, manifests).select("source_file").distinct()

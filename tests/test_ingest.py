@@ -425,3 +425,50 @@ def test_snapshots_follow_the_clock(spark, table):
 def test_sorted_mart(spark, table, tmp_path):
     write_sorted(table([(i,) for i in range(50)], "v int").repartition(3), str(tmp_path / "s"), F.desc("v"))
     assert spark.read.parquet(str(tmp_path / "s")).count() == 50
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_parsed_once(spark, table):
+    """Filters on a document's fields do not parse its text again each."""
+    texts = table([("p", '{"mission_id": "1", "date": "2025-01-01"}'), ("q", "{not json"), ("r", None)], "manifest_path string, text string")
+    new = I.new_manifests(I.parse_manifests(texts), spark.createDataFrame([], MANIFESTS))
+    assert _plan(new).count("from_json") == 1
+    assert rows(new.select("mission_id", "manifest_path")) == [(1, "p")]
+    assert rows(I.parse_manifests(texts).select("manifest_path", "mission_id")) == [("p", "1"), ("q", None), ("r", None)]
+
+
+def test_manifests_are_dealt_out_before_their_names_are_made(spark, tmp_path):
+    from checks.bindings import TABLES, Bound
+    from checks.suite import _documents
+
+    for name, schema in TABLES.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    above = _plan(_documents(Bound(spark, str(tmp_path)))).split("sha2(", 1)[0]
+    assert "Exchange" not in above
+
+
+def test_checksums_keep_their_text(table):
+    """Sums travel as bytes; what is no lower-case hex, or missing, comes through as it is."""
+    sums = ["00ff" * 16, "ABCD", "abc", "", None, "x"]
+    docs = table([(f"p{i}", f"c{i}", str(i), "2025-01-01", ("f",), (s,)) for i, s in enumerate(sums)],
+                 "manifest_path string, checksum_manifest string, mission_id string, date string, files struct<mission:string>, checksum struct<mission:string>")
+    new = I.new_manifests(docs, table([], "mission_id bigint, mission_date date"))
+    assert [r[0] for r in new.orderBy("mission_id").select("checksum.mission").collect()] == sums
+    assert [r[0] for r in new.orderBy("mission_id").select("checksum_manifest").collect()] == [f"c{i}" for i in range(6)]
+
+
+def test_ingest_without_keeping_gives_the_same(spark, table):
+    docs = I.parse_manifests(table(
+        [(f"{m}", json.dumps({"mission_id": m, "date": "2025-01-01", "files": {"mission": f"f{m}"}, "checksum": {"mission": "ab" * 32}})) for m in "123"],
+        "manifest_path string, text string"))
+    for runs in ((0, 0), (0, 1)):
+        report_rows = table([("1", "a", 1.0, "2025-01-01 00:00:00", "f1", runs[0]), ("1", "b", 2.0, "2025-01-01 00:00:00", "f1", runs[1]),
+                             ("2", "c", 1e30, "2025-01-01 00:00:00", "f2", 0)],
+                            "mission_id string, item string, value double, timestamp string, object_key string, run_id bigint")
+        for got in (report_rows, report_rows.drop("run_id")):
+            kept, lazy = [I.ingest_manifests(docs, got, spark.createDataFrame([], MANIFESTS), NOW, keep) for keep in (True, False)]
+            for name, a, b in zip(I.Landing._fields, kept, lazy):
+                assert rows(a) == rows(b), name

@@ -76,3 +76,15 @@ def encode_json(*columns: Column | str) -> Column:
 
 def sha256_hex(content: Column) -> Column:
     return F.sha2(content, 256)
+
+
+def pack_hex(text: Column) -> Column:
+    """``bytes, text``: lower-case hex text as its bytes, half as long; any other text as it is."""
+    content = F.unhex(text)
+    fits = F.lower(F.hex(content)) == text
+    return F.struct(F.when(fits, content).alias("bytes"), F.when(~F.coalesce(fits, F.lit(False)), text).alias("text"))
+
+
+def unpack_hex(packed: Column) -> Column:
+    """The text that ``pack_hex`` was given."""
+    return F.coalesce(F.lower(F.hex(packed["bytes"])), packed["text"])

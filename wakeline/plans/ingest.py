@@ -5,10 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wakeline import catalogue as C
-from wakeline.functions.text import sha256_hex
+from wakeline.functions.text import pack_hex, sha256_hex, unpack_hex
 from wakeline.functions.times import instant, utc_text_to_ntz
 from wakeline.operators.aggregates import distinct_rows
 from wakeline.operators.keys import require_columns, unseen
@@ -63,11 +63,13 @@ def clean_reports(raw: DataFrame) -> DataFrame:
 
 
 def parse_manifests(texts: DataFrame) -> DataFrame:
-    """Manifest documents from ``manifest_path, text``; a document that is no JSON object gives nulls."""
+    """Manifest documents from ``manifest_path, text``; a document that is no JSON object gives nulls.
+
+    The document is unfolded as a list of one: later filters on its fields then don't parse the text once more each.
+    """
     doc = F.from_json("text", MANIFEST_DOCUMENT)
-    return texts.select("manifest_path", sha256_hex(F.col("text").cast("binary")).alias("checksum_manifest"), doc.alias("doc")).select(
-        "manifest_path", "checksum_manifest", "doc.*"
-    )
+    checksum = sha256_hex(F.col("text").cast("binary")).alias("checksum_manifest")
+    return texts.select("manifest_path", checksum, F.inline(F.array(doc)))
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -88,15 +90,20 @@ def unreadable_manifests(documents: DataFrame) -> DataFrame:
 def new_manifests(documents: DataFrame, registered: DataFrame) -> DataFrame:
     """Documents of (mission, date) pairs not registered yet; of repeats the first path is taken.
 
-    Documents without a readable key (``unreadable_manifests``) leave first, so they do not meet as one group.
-    Registered pairs leave before the aggregation, which then shuffles new documents only.
+    Documents without a readable key (``unreadable_manifests``) leave first, so they do not meet as one group. The
+    documents are dealt out once, their checksums as bytes and without the columns that the caller leaves unused.
     """
     keys = ["mission_id", "mission_date"]
     readable = _keyed(documents).where(F.col("mission_id").isNotNull() & F.col("mission_date").isNotNull())
-    typed = unseen(readable, registered, keys)
-    rest = [c for c in typed.columns if c not in keys]
-    once = typed.groupBy(*keys).agg(F.min_by(F.struct(*rest), "manifest_path").alias("_doc"))
-    return once.select(*keys, *[f"_doc.{c}" for c in rest])
+    rest = [c for c in readable.columns if c not in keys]
+    sums = {"checksum_manifest": F.col("checksum_manifest"), "checksum": F.col("checksum.mission")}
+    typed = unseen(readable.withColumns({c: pack_hex(text) for c, text in sums.items() if c in rest}), registered, keys)
+    by_path = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("manifest_path"))
+    once = typed.withColumn("_place", F.row_number().over(by_path)).where("_place = 1")
+    back = {c: unpack_hex(F.col(c)) for c in sums if c in rest}
+    if "checksum" in back:
+        back["checksum"] = F.struct(back["checksum"].alias("mission"))
+    return once.withColumns(back).select(*keys, *rest)
 
 
 def _misfits(df: DataFrame, schema: T.StructType) -> Column:
@@ -111,7 +118,7 @@ def _misfits(df: DataFrame, schema: T.StructType) -> Column:
 
 
 def ingest_manifests(
-    documents: DataFrame, report_rows: DataFrame, registered: DataFrame, as_of: datetime | str
+    documents: DataFrame, report_rows: DataFrame, registered: DataFrame, as_of: datetime | str, keep: bool = True
 ) -> Landing:
     """Rows to append to the three landing tables for all new manifests, in one set-based run.
 
@@ -120,29 +127,37 @@ def ingest_manifests(
     and ``run_id``: the newest run of an object counts. The report rows are the large side and never pass a group; a
     file that holds a large share of them is sliced for the join.
 
-    Stored first is one row for every new manifest and every object, with the object's newest run and row count (one
-    scan of two columns of the report rows). Completeness, waiting, states, registrations and hot objects come from this
-    table, so the report rows are read once more for the rows that land, and once for those that do not fit.
+    With ``keep``, stored first is one row for every new manifest and every object, with the object's newest run and row
+    count (one scan of two columns of the report rows). Completeness, waiting, states, registrations and hot objects come
+    from this table, so the report rows are read once more for the rows that land, and once for those that do not fit.
+    Without it nothing is stored and each part carries only its own columns: for callers that use one part.
     """
     new = new_manifests(documents, registered).withColumn("object_key", F.col("files.mission"))
     if "report_date" in report_rows.columns:
         # One row per calendar day at most, so the broadcast is bounded; it prunes the day partitions of the scan.
         days = new.select(F.col("mission_date").alias("report_date")).distinct()
         report_rows = report_rows.join(F.broadcast(days), "report_date", "left_semi")
-    run = F.col("run_id") if "run_id" in report_rows.columns else F.lit(0).cast("bigint")
+    by_run = "run_id" in report_rows.columns
+    run = F.col("run_id") if by_run else F.lit(0).cast("bigint")
     report_rows = report_rows.select(*REPORT_COLUMNS, "object_key", run.alias("run_id"))
     objects = report_rows.where(F.col("object_key").isNotNull()).groupBy("object_key")
     objects = objects.agg(F.max("run_id").alias("newest_run"), F.count(F.lit(1)).alias("n"))
-    settled = stored(new.join(objects, "object_key", "full"), "settled")
+    if keep:
+        settled = stored(new.join(objects, "object_key", "full"), "settled")
+        counts = settled.where(F.col("n").isNotNull()).select("object_key", "n").distinct()
+    else:
+        settled, counts = new.join(objects, "object_key", "left"), objects.select("object_key", "n")
     complete = settled.where(F.col("mission_id").isNotNull() & F.col("newest_run").isNotNull())
-    counts = settled.where(F.col("n").isNotNull()).select("object_key", "n").distinct()
 
-    lineage = complete.select("object_key", "newest_run", F.col("checksum.mission").alias("file_checksum"))
+    # Where objects have one run, the join with their rows leaves out the manifests without any.
+    landing = complete if keep or by_run else new.withColumn("newest_run", F.lit(0).cast("bigint"))
+    lineage = landing.select("object_key", "newest_run", pack_hex(F.col("checksum.mission")).alias("_checksum"))
     judged = report_rows.withColumn("_misfit", _misfits(report_rows.select(*REPORT_COLUMNS), MISSION_REPORTS))
 
     def of_new(rows: DataFrame) -> DataFrame:
         joined = sliced_join(rows, lineage, "object_key", F.struct(*REPORT_COLUMNS), counts=counts)
-        return joined.where(F.col("run_id") == F.col("newest_run")).withColumn("source_file", F.col("object_key"))
+        landed = joined.where(F.col("run_id") == F.col("newest_run"))
+        return landed.withColumns({"source_file": F.col("object_key"), "file_checksum": unpack_hex(F.col("_checksum"))})
 
     reports = of_new(judged.where(F.col("_misfit").isNull())).select(
         *REPORT_COLUMNS, "file_checksum", "source_file", instant(as_of).alias("loaded_at")
