@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from wakeline.operators.arrival import latest_per_key
 from wakeline.schemas import DATE, LONG, MANIFEST_DOCUMENT, RAW_REPORT, TEXT, struct
+from wakeline.session import stored
 
 #: Bytes of a file read at once.
 PIECE = 1 << 20
@@ -48,9 +49,20 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_manifest_rows(spark: SparkSession, path: str) -> DataFrame:
-    """``manifest_path, text`` of documents stored as rows; of a path's documents the one of the newest run."""
-    stored = spark.read.schema(struct(manifest_path=TEXT, text=TEXT, run_id=LONG)).parquet(path)
-    return latest_per_key(stored, ["manifest_path"], "run_id").select("manifest_path", "text")
+    """``manifest_path, text`` of documents stored as rows; of a path's documents the one of the newest run.
+
+    Nothing replaces a document of the last run, so its texts stay where they are; only paths are dealt out to find those
+    it holds twice, and earlier documents that it replaced. Texts of earlier runs and of such paths meet by path.
+    """
+    rows = spark.read.schema(struct(manifest_path=TEXT, text=TEXT, run_id=LONG)).parquet(path)
+    last_run = F.lit(rows.agg(F.max("run_id")).first()[0]).cast("bigint")
+    last, earlier = rows.where(F.col("run_id") == last_run), rows.where(F.col("run_id") < last_run)
+    held = last.groupBy(F.col("manifest_path").alias("_held")).agg(F.count(F.lit(1)).alias("_n"))
+    twice = stored(held.where("_n > 1").select("_held"), "twice")
+    same = F.col("manifest_path").eqNullSafe(F.col("_held"))
+    once = last.join(twice, same, "left_anti")
+    rest = last.join(twice, same, "left_semi").unionAll(earlier.join(last.select(F.col("manifest_path").alias("_held")), same, "left_anti"))
+    return once.unionAll(latest_per_key(rest, ["manifest_path"], "run_id").select(*once.columns)).select("manifest_path", "text")
 
 
 def stream_manifest_rows(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame:
