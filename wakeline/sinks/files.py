@@ -58,7 +58,7 @@ def write_manifest_documents(documents: DataFrame, path: str, run_id: int = 0, l
     path, in a directory of its own.
     """
     if layout == "rows":
-        documents.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+        documents.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/run_id={run_id}")
         return
     if layout != "files":
         raise ValueError(f"unknown manifest layout: {layout}")
@@ -69,13 +69,17 @@ def write_manifest_documents(documents: DataFrame, path: str, run_id: int = 0, l
 
 
 def write_audit_log(events: DataFrame, path: str, by_mission: bool = False, run_id: int = 0) -> None:
-    """Audit events as JSON below ``log_date`` (and, for small volumes, the mission) and the run, which replaces its own."""
+    """Audit events as JSON below ``log_date`` (and, for small volumes, the mission) and the run, which replaces its own.
+
+    The many events of a day are compressed; a mission's few stay plain text.
+    """
     levels = ["log_date"]
     if by_mission:
         events = events.withColumn("log_mission", F.col("mission_id")).drop("object_key")
         levels.append("log_mission")
     rows = events.withColumn("run_id", F.lit(run_id).cast("bigint"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels, "run_id").json(path)
+    out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels, "run_id")
+    out.json(path, compression="none" if by_mission else "gzip")
 
 
 def write_sorted(df: DataFrame, path: str, *order) -> None:
