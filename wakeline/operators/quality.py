@@ -69,8 +69,10 @@ def single_row(df: DataFrame, table: str) -> DataFrame:
 def checksum_mismatch(manifests: DataFrame, files: DataFrame) -> DataFrame:
     """Manifests whose recorded report checksum differs from the file's, or whose file is absent.
 
-    ``files``: ``object_key, sha256`` (``sources.files.file_hashes``).
+    ``files``: ``object_key, sha256`` (``sources.files.file_hashes``). Where both sides have ``object``
+    (``reports.report_objects``), which names the file as its key does, they meet by it.
     """
-    joined = manifests.join(files, manifests["mission_file"] == files["object_key"], "left")
+    by = ("object", "object") if "object" in manifests.columns and "object" in files.columns else ("mission_file", "object_key")
+    joined = manifests.join(files, manifests[by[0]] == files[by[1]], "left")
     bad = joined.where(~F.col("checksum_mission").eqNullSafe(F.col("sha256")))
     return _violations(bad, "manifests", "checksum", F.col("mission_file"), F.lit(1).cast("bigint"))

@@ -98,22 +98,27 @@ def state_struct(snapshot_columns: list[str]) -> Column:
 
 
 def report_objects(reports: DataFrame) -> DataFrame:
-    """One row per (mission, day) of cleaned report rows: ``mission_id, mission_date, object_key, checksum, sha256``.
+    """One row per (mission, day) of cleaned report rows: ``mission_id, mission_date, object_key, checksum, sha256, object``.
 
     The checksum covers the rows' content whatever their order or files: the SHA-256 of every row is taken apart into eight
     numbers of 32 bits, these are added up exactly, and count and sums are hashed. All merge map-side, so a hot object is
-    never gathered in one place.
+    never gathered in one place. The sums are longs, exact up to two billion rows an object. ``object`` is mission and day
+    as one value, nulls included, by which the rows are dealt out: a join by it deals out nothing again.
     """
     fields = [F.col("item"), F.col("value").cast("decimal(38,9)").cast("string"), F.col("timestamp").cast("timestamp_ntz").cast("string")]
     text = F.concat_ws("|", *[F.coalesce(f, F.lit("")) for f in fields])
     day = F.substring(F.col("timestamp").cast("string"), 1, 10).cast("date")
-    hashed = reports.select("mission_id", day.alias("mission_date"), sha256_hex(text.cast("binary")).alias("_hash"))
-    limbs = [F.conv(F.substring("_hash", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(8)]
+    place = F.struct("mission_id", day.alias("mission_date")).alias("object")
+    hashed = reports.select(place, sha256_hex(text.cast("binary")).alias("_hash"))
+    limbs = [F.conv(F.substring("_hash", 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)]
     sums = [F.sum(limb).alias(f"_{i}") for i, limb in enumerate(limbs)]
-    objects = hashed.groupBy("mission_id", "mission_date").agg(F.count(F.lit(1)).alias("_n"), *sums)
+    objects = hashed.groupBy("object").agg(F.count(F.lit(1)).alias("_n"), *sums)
     digest = sha256_hex(F.concat_ws("|", *[F.col(c).cast("string") for c in ("_n", *[f"_{i}" for i in range(8)])]).cast("binary"))
-    keyed = objects.withColumns({"object_key": report_key(F.col("mission_id"), F.col("mission_date")), "checksum": digest})
-    return keyed.select("mission_id", "mission_date", "object_key", "checksum", F.col("checksum").alias("sha256"))
+    mission, date = F.col("object.mission_id"), F.col("object.mission_date")
+    keyed = objects.select(
+        mission.alias("mission_id"), date.alias("mission_date"), report_key(mission, date).alias("object_key"), digest.alias("checksum"), "object"
+    )
+    return keyed.select("mission_id", "mission_date", "object_key", "checksum", F.col("checksum").alias("sha256"), "object")
 
 
 def build_manifests(files: DataFrame, states: DataFrame, as_of: datetime | str) -> DataFrame:

@@ -42,8 +42,9 @@ def export_reports(
         rows = rows.withColumn("report_mission", F.col("mission_id"))
         spread, levels = spread_for_write(rows, "object_key", content), ["report_mission", "report_date"]
     elif layout == "runs":
-        rows = rows.withColumns({"run_id": F.lit(run_id).cast("bigint"), "report_date": F.col("report_date").cast("date")})
-        spread, levels = rows.repartitionByRange("object_key", content), ["run_id"]
+        rows = reports.repartitionByRange(key, content)  # names and days are made where the rows have arrived
+        rows = rows.withColumns({"report_date": day.cast("date"), "object_key": key, "run_id": F.lit(run_id).cast("bigint")})
+        spread, levels = rows, ["run_id"]
     else:
         raise ValueError(f"unknown report layout: {layout}")
     out = count_into(spread.sortWithinPartitions(*levels, "object_key"), counter)

@@ -98,8 +98,8 @@ def read_mission_logs(spark: SparkSession, path: str) -> DataFrame:
 
 def newest_run(rows: DataFrame) -> DataFrame:
     """Of report rows stored by run, those of each object's newest run."""
-    newest = rows.groupBy("object_key").agg(F.max("run_id").alias("run_id"))
-    return rows.join(newest, ["object_key", "run_id"], "left_semi")
+    newest = rows.groupBy(F.col("object_key").alias("_key")).agg(F.max("run_id").alias("_newest"))
+    return rows.join(newest, (F.col("object_key") == F.col("_key")) & (F.col("run_id") >= F.col("_newest")), "left_semi")
 
 
 def file_hashes(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
