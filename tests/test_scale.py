@@ -54,3 +54,10 @@ def test_newest_run_keeps_the_rows_of_an_objects_last_run(spark, table, tmp_path
     assert rows(got.select("object_key", F.col("report_date").cast("string"))) == rows(
         got.select(F.concat("mission_id", F.lit("/2001-01-01/mission_"), "mission_id", F.lit("_20010101.parquet")), F.lit("2001-01-01"))
     )
+
+
+def test_duplicate_keys_are_counted_in_parts(spark, table):
+    held = table([(i, "x") for i in range(40)] + [(7, "y"), (None, "z"), (None, "z")], "k long, v string")
+    got = K.duplicate_keys(held, ["k"], rows_per_task=10)
+    assert rows(got) == [(None, 2), (7, 2)]
+    assert got.rdd.getNumPartitions() == 5
