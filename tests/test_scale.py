@@ -12,6 +12,7 @@ from wakeline.sinks.files import export_reports
 from wakeline.sinks.landing import write_waiting
 from wakeline.sources.files import newest_run, read_report_rows
 from wakeline.sources.tables import BucketTable
+from wakeline.sources.telemetry import parse_telemetry
 
 REPORTS = "mission_id string, item string, value double, timestamp string"
 
@@ -61,3 +62,27 @@ def test_duplicate_keys_are_counted_in_parts(spark, table):
     got = K.duplicate_keys(held, ["k"], rows_per_task=10)
     assert rows(got) == [(None, 2), (7, 2)]
     assert got.rdd.getNumPartitions() == 5
+
+
+def test_texts_stay_where_they_are_when_nothing_waits(spark, table, tmp_path):
+    texts = table([("a", "{}"), ("b", "{}"), ("c", "{}")], "manifest_path string, text string")
+    write_waiting(texts, texts.where("manifest_path = 'b'"), str(tmp_path), 3)
+    write_waiting(texts, texts.limit(0), str(tmp_path), 4)
+    assert rows(spark.read.schema(WAITING).parquet(f"{tmp_path}/waiting/run_id=3")) == [("b", "{}")]
+    assert spark.read.schema(WAITING).parquet(f"{tmp_path}/waiting/run_id=4").count() == 0
+
+
+def test_checksums_are_stored_as_bytes_between_the_steps_of_an_ingest(spark, table, monkeypatch):
+    text = '{"mission_id": "1", "date": "2001-01-01", "files": {"mission": "f"}, "checksum": {"mission": "%s"}, "upload_time": "2001-01-01T18:00:00"}'
+    sums = ["ab" * 32, "Not a checksum"]
+    docs = table([(f"m{i}", text.replace('"1"', f'"{i}"').replace('"f"', f'"f{i}"') % c) for i, c in enumerate(sums)], "manifest_path string, text string")
+    report_rows = table([(str(i), "x", 1.0, "2001-01-01 00:00:00", f"f{i}") for i in range(2)], REPORTS + ", object_key string")
+    kept = []
+    keep = I.stored
+    monkeypatch.setattr(I, "stored", lambda df, *a: kept.append(df) or keep(df, *a))
+    landing = I.ingest_manifests(I.parse_manifests(docs), report_rows, table([], "mission_id long, mission_date date"), "2002-01-01 00:00:00")
+    assert kept[0].schema["checksum"].dataType["bytes"].dataType.simpleString() == "binary"
+    assert not {"date", "files"} & set(kept[0].columns)
+    assert sorted(r.checksum_mission for r in landing.manifests.collect()) == sorted(sums)
+    assert sorted(r.file_checksum for r in landing.reports.collect()) == sorted(sums)
+    assert {len(r.checksum_manifest) for r in landing.manifests.collect()} == {64}
