@@ -1253,7 +1253,7 @@ def stored_landing(b: Bound) -> DataFrame:
 @query(ORACLES["upsert_cargo_summary"])
 def stored_refresh(b: Bound) -> DataFrame:
     """Summaries as of T1 stored by bucket, refreshed there by one gated run."""
-    early = RF.bl_rebuild(b.early_missions, b.early_ship_state, _early_reports(b), b.early_manifests, T1)
+    early = RF.bl_rebuild(b.early_missions, b.early_ship_state, _early_reports(b), b.early_manifests, T1, keep=True)
     tables = RF.store_summaries(b.spark, work_path(b.spark, "bl"), early, buckets=16)
     sources = {"missions": b.missions, "ship_state": b.ship_state, "mission_reports": b.mission_reports, "manifests": b.manifests}
     RF.run_bl_refresh(tables, sources, AS_OF, 1, timedelta(days=36500))

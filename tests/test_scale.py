@@ -64,6 +64,33 @@ def test_duplicate_keys_are_counted_in_parts(spark, table):
     assert got.rdd.getNumPartitions() == 5
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path, table):
+    kept = BucketTable(spark, str(tmp_path), ("k",), table([], "k long, v string").schema, buckets=1)
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    before = {n: spark.conf.get(n) for n in names}
+    spark.conf.set(names[0], "64k")
+    spark.conf.set(names[1], "false")
+    try:
+        batch = spark.range(60_000).repartition(8).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        kept.put(batch, 0)
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert len(list((tmp_path / "bucket=0" / "version=0").glob("part-*"))) > 1
+    assert kept.read().count() == kept.read().select("k").distinct().count() == 60_000
+
+
+def test_the_destination_summary_reads_stored_summaries(spark, monkeypatch):
+    from checks.bindings import Bound
+
+    b = Bound(spark, "/root/testdata/sf0.001")
+    inputs = (b.missions, b.ship_state, b.mission_reports, b.manifests, "2002-01-01 00:00:00")
+    kept, plain = RF.bl_rebuild(*inputs, keep=True), RF.bl_rebuild(*inputs)
+    assert "lineitem" not in plan(kept["planet_summary"]) and "lineitem" in plan(plain["planet_summary"])
+    for name in plain:
+        assert rows(kept[name]) == rows(plain[name])
+
+
 def test_texts_stay_where_they_are_when_nothing_waits(spark, table, tmp_path):
     texts = table([("a", "{}"), ("b", "{}"), ("c", "{}")], "manifest_path string, text string")
     write_waiting(texts, texts.where("manifest_path = 'b'"), str(tmp_path), 3)

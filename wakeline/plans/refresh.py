@@ -8,13 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.operators.gates import MISSION_WINDOW, missions_gate
 from wakeline.plans import business as B, serving as S
+from wakeline.session import stored
 from wakeline.sources.tables import BucketTable
 
 
-def bl_rebuild(missions: DataFrame, ship_state: DataFrame, reports: DataFrame, manifests: DataFrame, as_of) -> dict[str, DataFrame]:
-    """The four summaries from scratch."""
+def bl_rebuild(
+    missions: DataFrame, ship_state: DataFrame, reports: DataFrame, manifests: DataFrame, as_of, keep: bool = False
+) -> dict[str, DataFrame]:
+    """The four summaries from scratch.
+
+    With ``keep`` the mission and cargo summaries are stored, so the destination summary does not compute them again: for
+    callers that use all four.
+    """
     operations = B.mission_summary(missions, ship_state, as_of)
     cargo = B.cargo_summary(missions, reports, as_of)
+    if keep:
+        operations, cargo = stored(operations, "operations"), stored(cargo, "cargo")
     return {
         "mission_summary": operations,
         "cargo_summary": cargo,

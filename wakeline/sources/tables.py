@@ -76,6 +76,7 @@ class BucketTable:
     Other buckets stay as they are, file for file. ``by`` are the keys that decide the bucket. A bucket's newest version
     counts; ``keep`` of them stay. A version written again (a retried micro-batch or run) starts from what was there before
     it. Changed rows are written below ``_changes`` first, so that they are computed once and survive a lost executor.
+    A large bucket is written by several tasks, small ones share a task.
     """
 
     spark: SparkSession
@@ -114,7 +115,7 @@ class BucketTable:
             batch = self.spark.read.schema(self.schema).parquet(*[f"{staged}/bucket={b}" for b in touched])
             merged = upsert(self.read(version, touched), batch, list(self.keys), update_cols, null_keys=True)
             placed = merged.select(*columns, self._bucket().alias("bucket"), F.lit(version).cast("bigint").alias("version"))
-            placed.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            placed.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 "bucket", "version"
             ).parquet(self.path)
         self._prune(version)
