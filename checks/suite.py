@@ -18,7 +18,7 @@ from wakeline.operators import aggregates as A, distinct as D, gates as G, keys
 from wakeline.operators.skew import sliced_join
 from wakeline.plans import business as B, ingest as I, radar as RD, refresh as RF, reports as RP, serving as S
 from wakeline.schemas import MANIFESTS, MISSION_REPORTS, SHIP_STATE
-from wakeline.session import work_path
+from wakeline.session import stored, work_path
 from wakeline.sinks import files as SF
 from wakeline.sinks.days import DayLake
 from wakeline.sinks.lake import write_lake
@@ -1265,7 +1265,7 @@ def _kept_marts(b: Bound) -> dict[str, DataFrame]:
     early = RF.bl_rebuild(b.early_missions, b.early_ship_state, _early_reports(b), b.early_manifests, T1)
     kept = S.KeptMarts.build(b.spark, work_path(b.spark, "marts"), S.mission_facts(early["mission_summary"], early["cargo_summary"]), 8)
     operations, cargo = _mart_inputs(b)
-    facts = S.mission_facts(operations, cargo)
+    facts = stored(S.mission_facts(operations, cargo), "facts")
     for version in (1, 2, 3):
         kept.update(facts.where(F.col("mission_id") % 3 == version - 1), version)
     return kept.marts(B.planet_summary(b.missions, operations, cargo, AS_OF), AS_OF)

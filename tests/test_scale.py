@@ -113,3 +113,12 @@ def test_checksums_are_stored_as_bytes_between_the_steps_of_an_ingest(spark, tab
     assert sorted(r.checksum_mission for r in landing.manifests.collect()) == sorted(sums)
     assert sorted(r.file_checksum for r in landing.reports.collect()) == sorted(sums)
     assert {len(r.checksum_manifest) for r in landing.manifests.collect()} == {64}
+
+
+def test_kept_marts_follow_cells_without_names(spark, table, tmp_path):
+    at = lambda d: dt.datetime(2001, 1, d)
+    schema = "mission_id long, ship_name string, captain string, target string, status string, finished_at timestamp_ntz, avg_health decimal(10,3), uptime_ratio decimal(10,3), min_fuel_prc decimal(10,3), max_temp_c decimal(10,3), mission_duration_hr decimal(10,3), total_value_poko decimal(20,2)"
+    row = lambda m, ship, end: (m, ship, None, "t", "SUCCESS", end, None, None, None, None, None, None)
+    kept = S.KeptMarts.build(spark, str(tmp_path), table([row(1, None, at(9)), row(2, None, at(3)), row(3, "s", at(5))], schema), 2)
+    kept.update(table([row(1, None, at(1))], schema), 1)
+    assert rows(kept.cells.read().select("ship_name", "rows", F.col("last_mission_end").cast("date").cast("string"))) == [(None, 2, "2001-01-03"), ("s", 1, "2001-01-05")]

@@ -15,6 +15,7 @@ from wakeline import catalogue as C
 from wakeline.functions.numeric import count_ratio, ratio, round_numeric
 from wakeline.functions.times import instant
 from wakeline.operators.aggregates import MONEY, average, count_where, sum_and_count
+from wakeline.session import stored
 from wakeline.sources.tables import BucketTable
 
 _MEASURES = {
@@ -193,7 +194,8 @@ class KeptMarts:
 
     A run takes the new facts of the missions that changed. Their old shares are taken off the sums of their cells and the
     new ones put on; only buckets with such missions or cells are read and rewritten. The latest end of a mission is a
-    maximum: where the share that held it changes, it is found again among the shares of that cell alone.
+    maximum: where the share that held it changes, it is found again among the shares of that cell alone. Cells that move
+    are stored before they are looked up, so shares are read once for the old ones and once for those maxima.
     """
 
     shares: BucketTable
@@ -203,13 +205,12 @@ class KeptMarts:
     def build(spark: SparkSession, root: str, facts: DataFrame, buckets: int = 64) -> KeptMarts:
         """From the facts of all missions (``mission_facts``), as version 0 below ``root``."""
         facts = facts.select("mission_id", *CELL, "status", "finished_at", *_MEASURES.values())
-        cells = _cells(facts)
         kept = KeptMarts(
             BucketTable(spark, f"{root}/shares", ("mission_id",), facts.schema, buckets=buckets),
-            BucketTable(spark, f"{root}/cells", tuple(CELL), cells.schema, buckets=buckets),
+            BucketTable(spark, f"{root}/cells", tuple(CELL), _cells(facts).schema, buckets=buckets),
         )
         kept.shares.put(facts, 0)
-        kept.cells.put(cells, 0)
+        kept.cells.put(_cells(kept.shares.read()), 0)
         return kept
 
     def update(self, changed: DataFrame, version: int) -> tuple[list[int], list[int]]:
@@ -225,16 +226,17 @@ class KeptMarts:
         parts = [c for c in now.columns if c not in (*CELL, "last_mission_end")]
         gone = _cells(old).select(*CELL, *[(-F.col(c)).alias(c) for c in parts], F.col("last_mission_end").alias("gone_end"))
         come = _cells(changed).withColumnRenamed("last_mission_end", "come_end")
-        moved = gone.unionByName(come, allowMissingColumns=True)
+        moved = stored(gone.unionByName(come, allowMissingColumns=True), "moved")
         touched = _tagged(moved.select(*CELL).distinct())
         held = _tagged(now).join(touched.select("_cell"), "_cell", "left_semi").drop("_cell").withColumnRenamed("last_mission_end", "held_end")
         sums = [F.sum(c).cast(now.schema[c].dataType).alias(c) for c in parts]
         ends = [F.max(c).alias(c) for c in ("held_end", "gone_end", "come_end")]
         after = held.unionByName(moved, allowMissingColumns=True).groupBy(*CELL).agg(*sums, *ends)
         lost = F.col("gone_end").isNotNull() & (F.col("gone_end") >= F.col("held_end"))
-        after = _tagged(after.withColumn("lost", F.coalesce(lost, F.lit(False))))
-        stay = _tagged(shares.join(changed.select("mission_id"), "mission_id", "left_anti"))
-        again = stay.join(after.where("lost").select("_cell"), "_cell", "left_semi").groupBy("_cell").agg(F.max("finished_at").alias("stay_end"))
+        after = stored(_tagged(after.withColumn("lost", F.coalesce(lost, F.lit(False)))), "after")
+        of_lost = _tagged(shares).join(after.where("lost").select("_cell"), "_cell", "left_semi")
+        stay = of_lost.join(changed.select("mission_id"), "mission_id", "left_anti")
+        again = stay.groupBy("_cell").agg(F.max("finished_at").alias("stay_end"))
         after = after.join(again, "_cell", "left")
         end = F.greatest(F.when(F.col("lost"), F.col("stay_end")).otherwise(F.col("held_end")), "come_end")
         cells = self.cells.put(after.withColumn("last_mission_end", end), version)
@@ -262,4 +264,4 @@ def _cells(facts: DataFrame) -> DataFrame:
 
 def _tagged(rows: DataFrame) -> DataFrame:
     """With ``_cell``, the cell as one value that joins where names are null."""
-    return rows.withColumn("_cell", F.to_json(F.struct(*CELL), {"ignoreNullFields": "false"}))
+    return rows.withColumn("_cell", F.struct(*CELL))
