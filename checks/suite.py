@@ -1050,8 +1050,10 @@ def cascade_prune(b: Bound) -> DataFrame:
 
 
 def _event_stream(b: Bound) -> DataFrame:
+    """Events as they arrive, dealt out by number: few tasks read a file, and records are made and parsed in all of them."""
     schema: T.StructType = b.table("events").schema
-    return events_as_records(b.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(b.dir))
+    events = b.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(b.dir)
+    return events_as_records(events.repartition("event_id"))
 
 
 @query(Q.sql([Q.TELEMETRY], _WIRE))

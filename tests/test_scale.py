@@ -122,3 +122,20 @@ def test_kept_marts_follow_cells_without_names(spark, table, tmp_path):
     kept = S.KeptMarts.build(spark, str(tmp_path), table([row(1, None, at(9)), row(2, None, at(3)), row(3, "s", at(5))], schema), 2)
     kept.update(table([row(1, None, at(1))], schema), 1)
     assert rows(kept.cells.read().select("ship_name", "rows", F.col("last_mission_end").cast("date").cast("string"))) == [(None, 2, "2001-01-03"), ("s", 1, "2001-01-05")]
+
+
+def test_events_of_a_stream_are_dealt_out_before_they_are_parsed(spark):
+    from checks import suite
+    from checks.bindings import Bound
+
+    analysed = suite._event_stream(Bound(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().analyzed().toString()
+    assert "RepartitionByExpression [event_id" in analysed
+
+
+def test_a_telemetry_record_is_parsed_once_however_it_is_filtered(spark, table):
+    records = table([(1, '{"mission_id": "1", "ship_id": "s"}'), (2, "{"), (3, None), (4, '{"ship_id": "s"}')], "seq long, value string")
+    parsed = parse_telemetry(records, keep=("seq",))
+    assert rows(parsed.select("seq", "mission_id", "ship_id")) == [(1, "1", "s"), (2, None, None), (3, None, None), (4, None, "s")]
+    named = parsed.where("mission_id is not null and ship_id is not null and fuel_prc is null")
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert rows(named.select("seq")) == [(1,)]

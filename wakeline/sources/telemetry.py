@@ -58,9 +58,10 @@ def parse_telemetry(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     """Typed telemetry from JSON ``value``s, plus the record columns in ``keep``.
 
     Permissive: a malformed value gives an all-null row, an unknown field is dropped, a mistyped one is null.
+    The document is unfolded as a list of one: later filters on its fields then don't parse the text once more each.
     """
-    decoded = F.from_json(F.col("value").cast("string"), TELEMETRY).alias("data")
-    return records.select(*keep, decoded).select(*keep, "data.*")
+    decoded = F.from_json(F.col("value").cast("string"), TELEMETRY)
+    return records.select(*keep, F.inline(F.array(decoded)))
 
 
 def malformed(parsed: DataFrame) -> DataFrame:
