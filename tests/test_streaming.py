@@ -143,6 +143,30 @@ def test_reports_fall_due_in_the_stream(spark, topic, table, tmp_path):
         sent = got.count()
 
 
+def test_missions_share_state_by_bucket(spark, topic, table, tmp_path):
+    """Many missions in three buckets: one value and one timer a bucket, reports as from the batch plan after every run."""
+    rng, start = random.Random(9), datetime(2025, 1, 1)
+    missions = table([(m, rng.choice([7, 10, 25, 0, None]), start + timedelta(minutes=rng.randrange(40))) for m in range(60)], MISSIONS)
+    out, minute, ended = str(tmp_path / "due"), 0.0, set()
+    for run in range(3):
+        sent = []
+        for _ in range(120):
+            minute += rng.random()
+            m = rng.randrange(20 * (run + 1))
+            end = "SUCCESS" if rng.random() < 0.08 and m not in ended else None
+            ended |= {m} if end else set()
+            sent.append((m, minute, {"mission_status": end, "status": rng.choice(["OK", "REPAIR"])}))
+        topic.send(list(ticks(*sent)))
+        due = states.due_reports(J.placed(topic.stream()), missions, buckets=3)
+        write = due.writeStream.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch_id={n}"))
+        query = states.start_stateful(write.option("checkpointLocation", str(tmp_path / "c")).trigger(**J.DRAIN), spark)
+        drain(query)
+        as_of = start + timedelta(minutes=minute)
+        got = spark.read.parquet(out).drop("batch_id")
+        assert rows(got) == rows(report_snapshots(missions, topic.batch(), as_of).select(*got.columns))
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * 3  # a value, a timer and its place in time
+
+
 def test_mission_ids_stay_text_and_one_mission_can_be_read(spark, topic, tmp_path):
     rng = random.Random(4)
     topic.send([event(rng, m) for m in ["007"] * 5 + ["7"] * 3])
