@@ -4,6 +4,7 @@ import hashlib
 import json
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Observation, functions as F
@@ -295,6 +296,24 @@ def test_manifest_stream_ingests_what_is_new(spark, store, tmp_path):
     assert read_landing(spark, target, "mission_reports", MISSION_REPORTS).count() == 9
 
 
+def test_manifests_of_a_batch_are_stored_while_it_lasts_and_not_cached(spark, store, tmp_path):
+    from wakeline.session import shared_dir
+    from wakeline.streaming import jobs as J
+
+    seen, folder = [], Path(shared_dir(spark).removeprefix("file:")) / "wakeline"
+
+    def reports():
+        held = [len(list(p.glob("*.parquet"))) for p in folder.glob("manifests-*")]
+        seen.append((spark.sparkContext._jsc.getPersistentRDDs().size(), len(held), min(held, default=0) > 0))
+        return read_reports(spark, str(store))
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    target = str(tmp_path / "landing")
+    J.run_ingest(J.new_manifest_files(spark, str(store)), reports, target, str(tmp_path / "c"), lambda: NOW).awaitTermination()
+    assert seen == [(before, 1, True)] and not list(folder.glob("manifests-*"))
+    assert read_landing(spark, target, "manifests", MANIFESTS).count() == 4
+
+
 def test_missing_columns_are_named(table):
     with pytest.raises(ValueError, match=r"\['item', 'timestamp'\]"):
         I.clean_reports(table([("1", 2.0)], "mission_id string, value double"))

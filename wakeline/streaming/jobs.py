@@ -18,6 +18,7 @@ from wakeline.operators.reshape import METRIC_KEYS, latest_gauges
 from wakeline.plans.ingest import ingest_manifests, parse_manifests
 from wakeline.plans.radar import drop_finished, named_ships
 from wakeline.schemas import DOUBLE, TEXT, struct
+from wakeline.session import stored_meanwhile
 from wakeline.sinks.days import DayLake
 from wakeline.sinks.landing import append_landing, read_registered, read_waiting, write_waiting
 from wakeline.sinks.lake import write_lake
@@ -191,17 +192,14 @@ def run_ingest(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        texts = batch.unionByName(read_waiting(spark, landing_root, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
-        documents = parse_manifests(texts).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if texts.isEmpty():
-                return
+        texts = batch.unionByName(read_waiting(spark, landing_root, batch_id))
+        if texts.isEmpty():
+            return
+        # Stored, not cached: a file's documents are one cached block, which a task far from it fetches whole.
+        with stored_meanwhile(parse_manifests(texts), "manifests", "zstd") as documents:
             earlier = read_registered(spark, landing_root, documents, batch_id)
             landing = ingest_manifests(documents, report_rows(), earlier, as_of())
             write_waiting(texts, landing.waiting, landing_root, batch_id)
             append_landing(landing, landing_root, batch_id)
-        finally:
-            documents.unpersist()
-            texts.unpersist()
 
     return manifests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
