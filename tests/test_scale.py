@@ -1,6 +1,7 @@
 """What is dealt out, computed and held at once by jobs that grow with their tables."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from conftest import rows
 from wakeline.operators import keys as K, quality as DQ
 from wakeline.plans import ingest as I, refresh as RF, reports as RP, serving as S
 from wakeline.schemas import WAITING
+from wakeline.session import stored
 from wakeline.sinks.files import export_reports
 from wakeline.sinks.landing import write_waiting
 from wakeline.sources.files import newest_run, read_report_rows
@@ -57,6 +59,28 @@ def test_newest_run_keeps_the_rows_of_an_objects_last_run(spark, table, tmp_path
     )
 
 
+def test_what_writes_shuffled_goes_with_them(spark, table, tmp_path):
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    spread = spark.range(1000).select(F.lit("1").alias("mission_id"), F.col("id").cast("string").alias("item"), F.lit(1.0).alias("value"),
+                                      F.lit("2001-01-01 00:00:00").alias("timestamp")).repartition("item")
+    assert stored(spread, "spread").count() == 1000
+    export_reports(spread, str(tmp_path), 0, "runs")
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == setting
+    assert read_report_rows(spark, str(tmp_path)).where("item is not null").count() == 1000
+    kept = {n.split("_")[1] for n in shuffled() - before}
+    for _ in range(50):  # they go in the background
+        kept = {n.split("_")[1] for n in shuffled() - before}
+        if len(kept) <= 2:  # the counts' own
+            break
+        time.sleep(0.1)
+    assert len(kept) <= 2
+
+
 def test_duplicate_keys_are_counted_in_parts(spark, table):
     held = table([(i, "x") for i in range(40)] + [(7, "y"), (None, "z"), (None, "z")], "k long, v string")
     got = K.duplicate_keys(held, ["k"], rows_per_task=10)

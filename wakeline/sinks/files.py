@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from wakeline.functions.text import file_stem, report_key
 from wakeline.operators.aggregates import count_into
 from wakeline.operators.skew import spread_for_write
+from wakeline.session import freeing_shuffles
 
 
 def write_raw_logs(logs: DataFrame, path: str, run_id: int = 0) -> None:
@@ -49,7 +50,8 @@ def export_reports(
         raise ValueError(f"unknown report layout: {layout}")
     out = count_into(spread.sortWithinPartitions(*levels, "object_key"), counter)
     out = out.drop("object_key") if layout == "files" else out
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
+    with freeing_shuffles(reports.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
 
 
 def write_manifest_documents(documents: DataFrame, path: str, run_id: int = 0, layout: str = "rows") -> None:
@@ -59,7 +61,8 @@ def write_manifest_documents(documents: DataFrame, path: str, run_id: int = 0, l
     path, in a directory of its own.
     """
     if layout == "rows":
-        documents.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/run_id={run_id}")
+        with freeing_shuffles(documents.sparkSession):
+            documents.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/run_id={run_id}")
         return
     if layout != "files":
         raise ValueError(f"unknown manifest layout: {layout}")
