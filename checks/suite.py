@@ -472,8 +472,8 @@ def _documents(b: Bound) -> DataFrame:
     return RP.build_manifests(files, b.mission_states, AS_OF)
 
 
-def _landing(b: Bound, keep: bool = False) -> I.Landing:
-    return I.ingest_manifests(I.parse_manifests(_documents(b)), b.report_rows, b.early_manifests, AS_OF, keep)
+def _landing(b: Bound, keep: bool = False, keep_lineage: bool = False) -> I.Landing:
+    return I.ingest_manifests(I.parse_manifests(_documents(b)), b.report_rows, b.early_manifests, AS_OF, keep, keep_lineage)
 
 
 _NEW = "new AS (SELECT * FROM manifests WHERE mission_date >= DATE '1998-07-01')"
@@ -494,7 +494,7 @@ FROM reports r JOIN new n ON n.mission_id = r.mission_id AND n.mission_date = CA
     )
 )
 def mission_reports_landing(b: Bound) -> DataFrame:
-    return present(_landing(b).reports)
+    return present(_landing(b, keep_lineage=True).reports)
 
 
 _LAST = """last AS (

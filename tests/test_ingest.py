@@ -314,6 +314,17 @@ def test_manifests_of_a_batch_are_stored_while_it_lasts_and_not_cached(spark, st
     assert read_landing(spark, target, "manifests", MANIFESTS).count() == 4
 
 
+def test_kept_lineage_lands_the_same_rows(spark, store):
+    documents = I.parse_manifests(read_manifest_texts(spark, str(store)))
+    reports, none = read_reports(spark, str(store)), spark.createDataFrame([], MANIFESTS)
+    whole = I.ingest_manifests(documents, reports, none, NOW)
+    part = I.ingest_manifests(documents, reports, none, NOW, keep=False, keep_lineage=True)
+    assert whole.reports.count() > 0 and rows(part.reports) == rows(whole.reports)
+    assert rows(part.rejected) == rows(whole.rejected) and rows(part.manifests) == rows(whole.manifests)
+    texts = part.reports._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in texts and "Window" not in texts  # the manifests are found already
+
+
 def test_missing_columns_are_named(table):
     with pytest.raises(ValueError, match=r"\['item', 'timestamp'\]"):
         I.clean_reports(table([("1", 2.0)], "mission_id string, value double"))

@@ -126,7 +126,7 @@ def _misfits(df: DataFrame, schema: T.StructType) -> Column:
 
 
 def ingest_manifests(
-    documents: DataFrame, report_rows: DataFrame, registered: DataFrame, as_of: datetime | str, keep: bool = True
+    documents: DataFrame, report_rows: DataFrame, registered: DataFrame, as_of: datetime | str, keep: bool = True, keep_lineage: bool = False
 ) -> Landing:
     """Rows to append to the three landing tables for all new manifests, in one set-based run.
 
@@ -138,7 +138,9 @@ def ingest_manifests(
     With ``keep``, stored first is one row for every new manifest and every object, with the object's newest run and row
     count (one scan of two columns of the report rows); checksums travel and are stored as bytes. Completeness, waiting, states, registrations and hot objects come
     from this table, so the report rows are read once more for the rows that land, and once for those that do not fit.
-    Without it nothing is stored and each part carries only its own columns: for callers that use one part.
+    Without it nothing is stored and each part carries only its own columns: for callers that use one part. Of these,
+    ``keep_lineage`` is for those that use the report rows: it stores the new manifests' objects and checksums, so that
+    what was shuffled to find them is gone before the report rows are dealt out.
     """
     new = _new_packed(documents, registered).select(
         *("mission_id", "mission_date", "manifest_path", "checksum_manifest", "checksum", "upload_time", "ship_state"),
@@ -163,6 +165,8 @@ def ingest_manifests(
     # Where objects have one run, the join with their rows leaves out the manifests without any.
     landing = complete if keep or by_run else new.withColumn("newest_run", F.lit(0).cast("bigint"))
     lineage = landing.select("object_key", "newest_run", F.col("checksum").alias("_checksum"))
+    if keep_lineage and not keep:
+        lineage = stored(lineage, "lineage", "zstd")
     judged = report_rows.withColumn("_misfit", _misfits(report_rows.select(*REPORT_COLUMNS), MISSION_REPORTS))
 
     def of_new(rows: DataFrame) -> DataFrame:
