@@ -81,6 +81,25 @@ def test_what_writes_shuffled_goes_with_them(spark, table, tmp_path):
     assert len(kept) <= 2
 
 
+def test_objects_of_the_newest_run_are_dealt_out_once(spark, table, tmp_path):
+    path, day = str(tmp_path), "2001-01-01 00:00:00"
+    export_reports(table([("1", "a", 1.0, day), ("2", "b", 1.0, day), (None, "c", 1.0, day), ("3", "d", 1.0, None)], REPORTS), path, 0, "runs")
+    export_reports(table([("1", "a", 5.0, day), (None, "c", 6.0, day)], REPORTS), path, 1, "runs")
+    export_reports(table([("1", "a", 7.0, day)], REPORTS), path, 2, "runs")
+    stored_rows = RP.with_object(read_report_rows(spark, path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        newest = newest_run(stored_rows, "object")
+        objects = RP.report_objects(newest)
+        assert exchanges(objects) == 2  # the rows, and the objects of later runs
+        assert rows(newest.select("mission_id", "value", "run_id")) == [(None, 6.0, 1), ("1", 7.0, 2), ("2", 1.0, 0), ("3", 1.0, 0)]
+        sent = table([("1", "a", 7.0, day), ("2", "b", 1.0, day), (None, "c", 6.0, day), ("3", "d", 1.0, None)], REPORTS)
+        assert rows(objects.select("object_key", "checksum")) == rows(RP.report_objects(sent).select("object_key", "checksum"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_duplicate_keys_are_counted_in_parts(spark, table):
     held = table([(i, "x") for i in range(40)] + [(7, "y"), (None, "z"), (None, "z")], "k long, v string")
     got = K.duplicate_keys(held, ["k"], rows_per_task=10)

@@ -96,10 +96,15 @@ def read_mission_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(path)
 
 
-def newest_run(rows: DataFrame) -> DataFrame:
-    """Of report rows stored by run, those of each object's newest run."""
-    newest = rows.groupBy(F.col("object_key").alias("_key")).agg(F.max("run_id").alias("_newest"))
-    return rows.join(newest, (F.col("object_key") == F.col("_key")) & (F.col("run_id") >= F.col("_newest")), "left_semi")
+def newest_run(rows: DataFrame, key: str = "object_key") -> DataFrame:
+    """Of report rows stored by run, those of each object's newest run; rows without a key are left out.
+
+    Nothing replaces an object that only the first run has, so objects are listed of later runs only. ``key`` may be any
+    column that names the object; what is grouped by it afterwards is not dealt out again.
+    """
+    first = F.lit(rows.agg(F.min("run_id")).first()[0]).cast("bigint")
+    later = rows.where(F.col("run_id") > first).groupBy(F.col(key).alias("_key")).agg(F.max("run_id").alias("_newest"))
+    return rows.where(F.col(key).isNotNull()).join(later, (F.col(key) == F.col("_key")) & (F.col("run_id") < F.col("_newest")), "left_anti")
 
 
 def file_hashes(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
